@@ -53,14 +53,21 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        for name in BASE:
-            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        self._seen: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.table(name) if name in BASE else self.sql(f"select * from {name}")
+        if name not in self._seen:
+            if name in BASE:
+                self._seen[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            else:
+                self._seen[name] = self.sql(VIEWS[name])
+        return self._seen[name]
 
     def sql(self, body: str) -> DataFrame:
-        return self.spark.sql(with_views(body))
+        """Run SQL over views; each becomes a temporary view, analysed once."""
+        for name in set(re.findall(r"[a-z_0-9]+", body)) & (set(BASE) | set(VIEWS)):
+            self(name).createOrReplaceTempView(name)
+        return self.spark.sql(body)
 
 
 def query(name: str, oracle: str | None = None):
