@@ -231,3 +231,113 @@ select name, ord, slot from (
 VIEWS["d_catid"] = """
 select row_number() over (order by ord, slot) as id, name from d_catseen
 """
+
+# --- directed road graphs ------------------------------------------------
+
+VIEWS["v_seg"] = """
+select l_orderkey * 8 + l_linenumber as gid, min(l_partkey) as pk, min(l_suppkey) as sk
+from lineitem group by l_orderkey * 8 + l_linenumber
+"""
+
+# Each segment gives a forward and a reverse edge; nodes link nearby segments.
+VIEWS["v_half"] = """
+select gid, pk, sk, 0 as dir, cast(floor(gid / 4) as bigint) as start_node, cast(floor(gid / 4) as bigint) + pk % 5 + 1 as end_node from v_seg
+union all
+select gid, pk, sk, 1 as dir, cast(floor(gid / 4) as bigint) + pk % 5 + 1 as start_node, cast(floor(gid / 4) as bigint) as end_node from v_seg
+"""
+
+VIEWS["v_edges_a"] = """
+select gid * 2 + dir + 1 as graph_id, gid * 2 + 2 - dir as opposing_id, pk + 1 as way_id, gid, dir, start_node, end_node,
+  46.0e0 + (start_node % 1000) * 0.0001e0 as lat, 12.0e0 + cast(floor(start_node / 1000) as bigint) * 0.0003e0 as lon,
+  46.0e0 + (end_node % 1000) * 0.0001e0 as end_lat, 12.0e0 + cast(floor(end_node / 1000) as bigint) * 0.0003e0 as end_lon,
+  46.00005e0 + (start_node % 1000) * 0.0001e0 as inner_lat, 12.0001e0 + (pk % 7) * 0.00001e0 + cast(floor(start_node / 1000) as bigint) * 0.0003e0 as inner_lon,
+  cast(case (gid + dir) % 6 when 0 then 0 when 1 then 1 when 2 then 1024 else 1025 end as bigint) as forward_access,
+  cast(case (gid + 1 - dir) % 6 when 0 then 0 when 1 then 1 when 2 then 1024 else 1025 end as bigint) as reverse_access,
+  (gid + dir) % 3 = 0 as deadend, gid % 5 <> 4 as is_road, gid % 11 = 0 as is_shortcut, gid % 17 = 0 as is_transit, gid % 5 = 4 and gid % 2 = 0 as is_ferry,
+  cast(gid % 8 as int) as road_class, cast(gid % 4 as int) as road_use, cast(gid % 3 as int) as layer, gid % 13 = 0 as bridge, gid % 19 = 0 as tunnel
+from v_half
+"""
+
+VIEWS["v_edges_b"] = """
+select graph_id * 3 + 7 as graph_id, opposing_id * 3 + 7 as opposing_id, way_id + case when gid % 29 = 0 then 1 else 0 end as way_id, gid, dir,
+  start_node + 5 as start_node, end_node + 5 as end_node,
+  lat + case when gid % 7 = 0 then 0.001e0 else 0.0e0 end as lat, lon,
+  end_lat + case when gid % 9 = 0 then 0.00003e0 else 0.0e0 end as end_lat, end_lon, inner_lat, inner_lon,
+  forward_access, reverse_access, (gid + dir) % 4 = 0 as deadend, is_road, is_shortcut, is_transit, is_ferry,
+  road_class, road_use, layer, bridge, tunnel
+from v_edges_a where gid % 5 <> 0
+"""
+
+# Outgoing edges at the end node of each edge, one row per outgoing edge.
+VIEWS["v_out_a"] = """
+select e.graph_id as source_id, e.opposing_id, e.deadend, o.graph_id as option_id, o.forward_access as option_access, o.end_node,
+  o.is_road, o.is_shortcut, o.start_node, o.end_lat, o.end_lon, o.inner_lat as dep_lat,
+  case when o.gid % 23 = 0 then cast(null as double) else o.inner_lon end as dep_lon,
+  case when o.gid % 10 = 3 then 'NOT_EVALUATED' when o.gid % 10 = 4 then 'UNRESOLVED_CONDITIONAL'
+    when (o.forward_access & 1) <> 0 then 'ALLOWED_NATIVE_IMMEDIATE' else 'DENIED' end as car,
+  case when o.gid % 10 = 3 then 'NOT_EVALUATED' when o.gid % 10 = 5 then 'UNRESOLVED_TIME'
+    when (o.forward_access & 1024) <> 0 then 'ALLOWED_NATIVE_IMMEDIATE' else 'DENIED' end as motorcycle
+from v_edges_a e join v_edges_a o on o.start_node = e.end_node
+"""
+
+VIEWS["v_out_b"] = """
+select e.graph_id as source_id, e.opposing_id, o.graph_id as option_id, o.forward_access as option_access, o.end_node, o.is_road, o.is_shortcut
+from v_edges_b e join v_edges_b o on o.start_node = e.end_node
+"""
+
+# Options in the sense of the terminal search: the reverse edge is not one.
+VIEWS["v_opts"] = """
+select source_id, option_id, option_access, is_shortcut as shortcut, option_id % 37 = 0 as transit, option_id % 41 = 0 as via_hierarchy,
+  start_node as from_node, end_node, end_lat, end_lon, dep_lat, dep_lon, car, motorcycle
+from v_out_a where option_id <> opposing_id
+"""
+
+VIEWS["v_src"] = """
+select graph_id, forward_access as access, end_node, end_lat, end_lon, road_class, road_use, layer, bridge, tunnel from v_edges_a
+"""
+
+VIEWS["d_term"] = """
+select s.graph_id, s.access, s.end_node, s.end_lat, s.end_lon, s.access & ~coalesce(o.oa, 0) as terminal_modes
+from v_src s left join (select source_id, bit_or(option_access) as oa from v_opts group by source_id) o on o.source_id = s.graph_id
+"""
+
+# Edges that meet the cut, with an orientation.
+VIEWS["v_cutsel"] = """
+select graph_id, case graph_id % 4 when 0 then 'OUTWARD' when 1 then 'AMBIGUOUS' else 'INWARD' end as orientation from v_edges_a where gid % 3 = 0
+"""
+
+VIEWS["v_tilesel"] = """
+select graph_id & 33554431 as tile_id from v_edges_a where graph_id % 5 <> 0
+"""
+
+VIEWS["v_scope"] = """
+select graph_id from v_edges_a where graph_id % 7 <> 0
+"""
+
+VIEWS["d_roots"] = """
+select t.*, t.access & ~t.terminal_modes as pending from d_term t join v_cutsel c on c.graph_id = t.graph_id where c.orientation in ('OUTWARD', 'AMBIGUOUS')
+"""
+
+VIEWS["d_ropts"] = """
+select r.graph_id as root_id, r.access, r.pending, o.*,
+  (o.option_access & r.pending) <> 0 and not o.shortcut and not o.transit as eligible,
+  (o.option_id & 33554431) in (select tile_id from v_tilesel) as in_scope
+from d_roots r join v_opts o on o.source_id = r.graph_id where r.pending <> 0
+"""
+
+VIEWS["d_links"] = """
+select graph_id as terminal_id, graph_id as root_id, terminal_modes as modes, 'NATIVE_TERMINAL_AT_SHARED_CUT' as kind from d_roots where terminal_modes <> 0
+union all
+select option_id, root_id, t.terminal_modes & o.pending, 'NATIVE_TERMINAL_ONE_IMMEDIATE_HOP_UNPROVEN'
+from d_ropts o join d_term t on t.graph_id = o.option_id
+where eligible and in_scope and option_id in (select graph_id from v_scope) and (t.terminal_modes & o.pending) <> 0
+"""
+
+# Source dead ends and nearby receiver ends within 8 m (planar).
+VIEWS["d_near"] = """
+select a.graph_id as source_id, b.graph_id as receiver_id, a.way_id as source_way, b.way_id as receiver_way, b.deadend as receiver_deadend,
+  a.forward_access as source_access, b.forward_access as receiver_access,
+  111320.0e0*sqrt(pow(b.end_lat-a.end_lat, 2) + pow((b.end_lon-a.end_lon)*cos(radians((a.end_lat+b.end_lat)/2)), 2)) as distance_m
+from v_edges_a a join v_edges_b b on b.end_node - 5 between a.end_node - 2 and a.end_node + 2 and a.deadend
+where 111320.0e0*sqrt(pow(b.end_lat-a.end_lat, 2) + pow((b.end_lon-a.end_lon)*cos(radians((a.end_lat+b.end_lat)/2)), 2)) <= 8.0e0
+"""

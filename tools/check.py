@@ -10,6 +10,7 @@ import math
 import os
 import sys
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -59,6 +60,7 @@ def compare(spark, con, sf_dir, name):
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="0.01")
+    ap.add_argument("--threads", type=int, default=4)
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     load_all()
@@ -69,16 +71,20 @@ def main():
     names = args.names or list(QUERIES)
     names = [n for n in QUERIES if any(n == x or (x.endswith("*") and n.startswith(x[:-1])) for x in names)]
     bad = []
-    for name in names:
+
+    def run(name):
         start = time.time()
         try:
-            n, ok, note = compare(spark, con, sf_dir, name)
+            n, ok, note = compare(spark, con.cursor(), sf_dir, name)
         except Exception as exc:  # report and go on with the next query
             n, ok, note = 0, False, f"{type(exc).__name__}: {str(exc)[:900]}"
         mark = {True: "ok  ", False: "BAD ", None: "rows"}[ok]
         print(f"{mark} {name:26s} {n:8d} rows {time.time() - start:6.2f}s {note}{'   EMPTY' if n == 0 else ''}", flush=True)
         if ok is False:
             bad.append(name)
+
+    with ThreadPoolExecutor(args.threads) as pool:
+        list(pool.map(run, names))
     print(f"{len(names)} queries, bad: {bad}")
 
 
