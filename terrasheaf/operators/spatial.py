@@ -1,7 +1,7 @@
 """Spatial joins on grid cells: an equi-join on the cell and an exact test.
 
 Only one side is copied to several cells.  A polygon is a set of segments
-``region_id, ring_no, is_hole, ax, ay, bx, by`` (x = longitude, y = latitude).
+``region_id, ring_no, is_hole, ax, ay, ex, ey`` (x = longitude, y = latitude).
 Areas are counted in cells; the cell size is an argument and says how exact they are.
 """
 
@@ -87,15 +87,15 @@ def refused_ends(source: DataFrame) -> DataFrame:
 
 
 def shape_segments(shapes: DataFrame, key: str = "graph_id") -> DataFrame:
-    """Segments of directed shapes: key, seg, ax, ay, bx, by."""
+    """Segments of directed shapes: key, seg, ax, ay, ex, ey."""
     s = shapes.select(key, "shape", F.posexplode("shape").alias("seg", "a")).withColumn("b", F.get("shape", F.col("seg") + 1))
     return s.filter(F.col("b").isNotNull()).select(
         key,
         "seg",
         F.col("a.lon").alias("ax"),
         F.col("a.lat").alias("ay"),
-        F.col("b.lon").alias("bx"),
-        F.col("b.lat").alias("by"),
+        F.col("b.lon").alias("ex"),
+        F.col("b.lat").alias("ey"),
     )
 
 
@@ -117,18 +117,18 @@ def segments_meet(a: tuple, b: tuple, c: tuple, d: tuple) -> Column:
 
 def _segment_cells(df: DataFrame, size: float) -> DataFrame:
     return box_cells(
-        df, size, F.least("ay", "by"), F.greatest("ay", "by"), F.least("ax", "bx"), F.greatest("ax", "bx")
+        df, size, F.least("ay", "ey"), F.greatest("ay", "ey"), F.least("ax", "ex"), F.greatest("ax", "ex")
     )
 
 
 def cut_crossings(shapes: DataFrame, segments: DataFrame, size: float = 0.01) -> DataFrame:
     """(graph_id, region_id) of directed shapes that meet a boundary line."""
     s = _segment_cells(shape_segments(shapes), size)
-    b = _segment_cells(segments.select("region_id", *[F.col(c) for c in ("ax", "ay", "bx", "by")]), size).withColumnsRenamed(
-        {"ax": "cx0", "ay": "cy0", "bx": "dx0", "by": "dy0"}
+    b = _segment_cells(segments.select("region_id", *[F.col(c) for c in ("ax", "ay", "ex", "ey")]), size).withColumnsRenamed(
+        {"ax": "cx0", "ay": "cy0", "ex": "dx0", "ey": "dy0"}
     )
     c = F.col
-    meet = segments_meet((c("ax"), c("ay")), (c("bx"), c("by")), (c("cx0"), c("cy0")), (c("dx0"), c("dy0")))
+    meet = segments_meet((c("ax"), c("ay")), (c("ex"), c("ey")), (c("cx0"), c("cy0")), (c("dx0"), c("dy0")))
     return s.join(b, ["cy", "cx"]).filter(meet).select("graph_id", "region_id").distinct()
 
 
@@ -138,8 +138,8 @@ def polygon_strips(segments: DataFrame, strip: float) -> DataFrame:
     A group holds the outline pieces of one region in one thin strip, which is
     bounded by the detail of the outline and shrinks with ``strip``.
     """
-    s = segments.withColumn("cy", F.explode(cell_range(F.least("ay", "by"), F.greatest("ay", "by"), strip)))
-    piece = F.struct("ring_no", "is_hole", "ax", "ay", "bx", "by")
+    s = segments.withColumn("cy", F.explode(cell_range(F.least("ay", "ey"), F.greatest("ay", "ey"), strip)))
+    piece = F.struct("ring_no", "is_hole", "ax", "ay", "ex", "ey")
     return s.groupBy("region_id", "cy").agg(F.collect_list(piece).alias("pieces"))
 
 
@@ -156,14 +156,14 @@ def points_in_polygon(points: DataFrame, segments: DataFrame, strip: float = 0.0
 
     def on_edge(s: Column) -> Column:
         return (
-            (_cross(s["ax"], s["ay"], s["bx"], s["by"], px, py) == 0)
-            & px.between(F.least(s["ax"], s["bx"]), F.greatest(s["ax"], s["bx"]))
-            & py.between(F.least(s["ay"], s["by"]), F.greatest(s["ay"], s["by"]))
+            (_cross(s["ax"], s["ay"], s["ex"], s["ey"], px, py) == 0)
+            & px.between(F.least(s["ax"], s["ex"]), F.greatest(s["ax"], s["ex"]))
+            & py.between(F.least(s["ay"], s["ey"]), F.greatest(s["ay"], s["ey"]))
         )
 
     def crosses(s: Column) -> Column:
-        at = s["ax"] + (py - s["ay"]) * (s["bx"] - s["ax"]) / (s["by"] - s["ay"])
-        return ((s["ay"] > py) != (s["by"] > py)) & (px < at)
+        at = s["ax"] + (py - s["ay"]) * (s["ex"] - s["ax"]) / (s["ey"] - s["ay"])
+        return ((s["ay"] > py) != (s["ey"] > py)) & (px < at)
 
     hit = F.filter("pieces", crosses)
 
@@ -209,9 +209,9 @@ def box_meets_segment(min_lat, max_lat, min_lon, max_lon, ax, ay, bx, by) -> Col
 def tile_boundary(tiles: DataFrame, segments: DataFrame, size: float = 0.25) -> DataFrame:
     """Tiles touched by a boundary line; ``tiles`` has level, tile_index and bounds."""
     t = box_cells(tiles, size, F.col("min_lat"), F.col("max_lat"), F.col("min_lon"), F.col("max_lon"))
-    s = _segment_cells(segments.select("ax", "ay", "bx", "by"), size)
+    s = _segment_cells(segments.select("ax", "ay", "ex", "ey"), size)
     c = F.col
-    meet = box_meets_segment(c("min_lat"), c("max_lat"), c("min_lon"), c("max_lon"), c("ax"), c("ay"), c("bx"), c("by"))
+    meet = box_meets_segment(c("min_lat"), c("max_lat"), c("min_lon"), c("max_lon"), c("ax"), c("ay"), c("ex"), c("ey"))
     hit = t.join(s, ["cy", "cx"]).filter(meet).select("level", "tile_index").distinct()
     return tiles.join(hit, ["level", "tile_index"], "left_semi")
 
@@ -239,7 +239,7 @@ def tile_ring(selected: DataFrame, tiles: DataFrame) -> DataFrame:
 def area_cells(segments: DataFrame, size: float) -> DataFrame:
     """Cells (cy, cx) of each region whose centre it covers."""
     box = segments.groupBy("region_id").agg(
-        F.min(F.least("ay", "by")).alias("a"), F.max(F.greatest("ay", "by")).alias("b"), F.min(F.least("ax", "bx")).alias("c"), F.max(F.greatest("ax", "bx")).alias("d")
+        F.min(F.least("ay", "ey")).alias("a"), F.max(F.greatest("ay", "ey")).alias("b"), F.min(F.least("ax", "ex")).alias("c"), F.max(F.greatest("ax", "ex")).alias("d")
     )
     grid = box.withColumn("gy", F.explode(cell_range(F.col("a"), F.col("b"), size))).withColumn("gx", F.explode(cell_range(F.col("c"), F.col("d"), size)))
     centres = grid.select(
@@ -291,3 +291,147 @@ def tile_box(tiles: DataFrame) -> DataFrame:
 
 def metres_to_degrees(metres: float) -> float:
     return math.ceil(metres / PLANAR_TOPOLOGY * 1e7) / 1e7
+
+
+# --- distances to an outline and pieces outside it ------------------------
+
+
+def point_segment_m(px, py, ax, ay, bx, by) -> Column:
+    """Planar metres between a point and a segment near the point."""
+    k = F.cos(F.radians(py))
+    dx, dy = (bx - ax) * k, by - ay
+    qx, qy = (px - ax) * k, py - ay
+    len2 = dx * dx + dy * dy
+    t = F.when(len2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (qx * dx + qy * dy) / len2))).otherwise(0.0)
+    return F.lit(PLANAR_TOPOLOGY) * F.hypot(qx - t * dx, qy - t * dy)
+
+
+def segment_distance(a: tuple, b: tuple, c: tuple, d: tuple) -> Column:
+    """Planar metres between two segments; 0 where they meet."""
+    apart = F.least(point_segment_m(*a, *c, *d), point_segment_m(*b, *c, *d), point_segment_m(*c, *a, *b), point_segment_m(*d, *a, *b))
+    return F.when(segments_meet(a, b, c, d), 0.0).otherwise(apart)
+
+
+def nearest_outline(pieces: DataFrame, outline: DataFrame, key: str, size: float = 0.02, growth: int = 32) -> DataFrame:
+    """Least distance of each key's segments to the outline, by growing cells.
+
+    A round joins pieces with the outline in their own and neighbouring cells.
+    A key whose best distance is below one cell is final, because anything
+    nearer would have been met; the others go on with larger cells, so the
+    answer is exact without pairing every piece with every outline segment.
+    """
+    c = F.col
+    out = None
+    rest = pieces.select(key, "ax", "ay", "ex", "ey")
+    while True:
+        last = size >= 360.0
+        wide = F.lit(size) / F.greatest(F.lit(0.05), F.cos(F.radians(F.greatest(F.abs("ay"), F.abs("ey")))))
+        p = box_cells(
+            rest, size, F.least("ay", "ey") - size, F.greatest("ay", "ey") + size, F.least("ax", "ex") - wide, F.greatest("ax", "ex") + wide
+        )
+        o = _segment_cells(outline.select("ax", "ay", "ex", "ey"), size).withColumnsRenamed({"ax": "ox", "ay": "oy", "ex": "qx", "ey": "qy"})
+        d = segment_distance((c("ax"), c("ay")), (c("ex"), c("ey")), (c("ox"), c("oy")), (c("qx"), c("qy")))
+        best = p.join(o, ["cy", "cx"]).groupBy(key).agg(F.min(d).alias("outline_m"))
+        if last:
+            done = best
+        else:
+            done = best.filter(F.col("outline_m") <= size * PLANAR_TOPOLOGY)
+        out = done if out is None else out.unionByName(done)
+        if last:
+            return out
+        rest = rest.join(done, key, "left_anti")
+        size *= growth
+
+
+def split_at_crossings(shapes: DataFrame, outline: DataFrame, key: str = "graph_id", size: float = 0.01) -> DataFrame:
+    """Shape segments cut where they meet the outline: key, middle lat/lon, metres."""
+    seg = shape_segments(shapes, key)
+    c = F.col
+    s = _segment_cells(seg, size)
+    o = _segment_cells(outline.select("ax", "ay", "ex", "ey"), size).withColumnsRenamed({"ax": "ox", "ay": "oy", "ex": "qx", "ey": "qy"})
+    rx, ry = c("ex") - c("ax"), c("ey") - c("ay")
+    sx, sy = c("qx") - c("ox"), c("qy") - c("oy")
+    den = rx * sy - ry * sx
+    t = ((c("ox") - c("ax")) * sy - (c("oy") - c("ay")) * sx) / den
+    meet = segments_meet((c("ax"), c("ay")), (c("ex"), c("ey")), (c("ox"), c("oy")), (c("qx"), c("qy")))
+    cuts = s.join(o, ["cy", "cx"]).filter(meet & (den != 0)).select(key, "seg", t.alias("t")).filter(c("t").between(0, 1))
+    cuts = cuts.groupBy(key, "seg").agg(F.collect_set("t").alias("ts"))
+    rows = seg.join(cuts, [key, "seg"], "left")
+    marks = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.coalesce("ts", F.array().cast("array<double>")))))
+    rows = rows.withColumn("marks", marks).select("*", F.posexplode("marks").alias("i", "t0")).withColumn("t1", F.get("marks", F.col("i") + 1))
+    rows = rows.filter(F.col("t1").isNotNull())
+    mid = (F.col("t0") + F.col("t1")) / 2
+    whole = planar_m(c("ay"), c("ax"), c("ey"), c("ex"))
+    return rows.select(
+        key, "seg", "i", (c("ay") + (c("ey") - c("ay")) * mid).alias("lat"), (c("ax") + (c("ex") - c("ax")) * mid).alias("lon"),
+        ((F.col("t1") - F.col("t0")) * whole).alias("metres"),
+    )
+
+
+def metres_outside(shapes: DataFrame, segments: DataFrame, key: str = "graph_id") -> DataFrame:
+    """Metres of each shape that lie outside the polygon."""
+    pieces = split_at_crossings(shapes, segments, key).withColumn("piece", F.concat_ws("/", key, "seg", "i"))
+    inside = points_in_polygon(pieces.select("piece", "lat", "lon"), segments).select("piece").distinct().withColumn("inside", F.lit(True))
+    rows = pieces.join(inside, "piece", "left")
+    return rows.groupBy(key).agg(F.sum(F.when(F.col("inside").isNull(), F.col("metres")).otherwise(0.0)).alias("outside_m"))
+
+
+def boundary_samples(segments: DataFrame, buffer_m: float, maximum: int = 160) -> DataFrame:
+    """Inside/outside point pairs along the normal of evenly spaced outline places.
+
+    ``segments`` also carries ``seq`` along its ring.  Metric work is planar
+    around the middle of each region.
+    """
+    from pyspark.sql import Window
+
+    mid = segments.groupBy("region_id").agg(F.avg("ay").alias("lat0"))
+    k = F.cos(F.radians("lat0")) * PLANAR_TOPOLOGY
+    m = segments.join(mid, "region_id").select(
+        "region_id", "lat0", "ring_no", "seq", (F.col("ax") * k).alias("x0"), (F.col("ay") * PLANAR_TOPOLOGY).alias("y0"),
+        (F.col("ex") * k).alias("x1"), (F.col("ey") * PLANAR_TOPOLOGY).alias("y1"),
+    )
+    m = m.withColumn("len", F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))
+    along = Window.partitionBy("region_id").orderBy("ring_no", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    m = m.withColumn("cum", F.coalesce(F.sum("len").over(along), F.lit(0.0)))
+    whole = m.groupBy("region_id").agg(F.sum("len").alias("whole")).withColumn(
+        "n", F.least(F.lit(maximum), F.greatest(F.lit(24), F.ceil(F.col("whole") / 8500))).cast("int")
+    )
+    step = F.col("whole") / F.col("n")
+    targets = whole.select("region_id", "whole", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")).select(
+        "*", F.explode(F.array(F.lit(-25.0), F.lit(0.0), F.lit(25.0))).alias("off")
+    )
+    targets = targets.withColumn("t", F.greatest(F.lit(0.0), F.least(F.col("whole"), (F.col("i") + 0.5) * step + F.col("off"))))
+    targets = targets.withColumn("bin", F.floor(F.col("t") / step))
+    spans = m.join(whole, "region_id").withColumn("bin", F.explode(F.sequence(F.floor(F.col("cum") / step), F.floor((F.col("cum") + F.col("len")) / step))))
+    hit = targets.join(spans.select("region_id", "bin", "lat0", "x0", "y0", "x1", "y1", "len", "cum"), ["region_id", "bin"]).filter(
+        (F.col("t") >= F.col("cum")) & (F.col("t") <= F.col("cum") + F.col("len")) & (F.col("len") > 0)
+    )
+    f = (F.col("t") - F.col("cum")) / F.col("len")
+    at = F.struct((F.col("x0") + (F.col("x1") - F.col("x0")) * f).alias("x"), (F.col("y0") + (F.col("y1") - F.col("y0")) * f).alias("y"))
+
+    def of(off: float) -> Column:
+        return F.min(F.when(F.col("off") == off, at))
+
+    p = hit.groupBy("region_id", "i", "lat0").agg(of(-25.0).alias("p0"), of(0.0).alias("p"), of(25.0).alias("p1"))
+    dx, dy = F.col("p1.x") - F.col("p0.x"), F.col("p1.y") - F.col("p0.y")
+    size = F.hypot(dx, dy)
+    offsets = [o for o in (900.0, 2500.0) if o <= buffer_m * 0.65]
+    p = p.filter(size > 1e-6).withColumn("offset_m", F.explode(F.array(*[F.lit(o) for o in offsets])))
+    back = F.cos(F.radians("lat0")) * PLANAR_TOPOLOGY
+
+    def moved(sign: float) -> Column:
+        x = F.col("p.x") - F.lit(sign) * dy / size * F.col("offset_m")
+        y = F.col("p.y") + F.lit(sign) * dx / size * F.col("offset_m")
+        return F.struct(F.lit(sign).alias("sign"), (y / PLANAR_TOPOLOGY).alias("lat"), (x / back).alias("lon"))
+
+    ends = p.select("region_id", "i", "offset_m", F.explode(F.array(moved(1.0), moved(-1.0))).alias("e")).select(
+        F.col("region_id").alias("own"), "i", "offset_m", "e.*"
+    )
+    key = ["own", "i", "offset_m", "sign"]
+    inside = points_in_polygon(ends, segments).filter(F.col("own") == F.col("region_id")).select(*key).distinct().withColumn("inside", F.lit(True))
+    flagged = ends.join(inside, key, "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
+    both = flagged.groupBy(F.col("own").alias("region_id"), F.col("i").alias("sample"), "offset_m").agg(
+        F.max(F.when(F.col("inside"), F.struct("lat", "lon"))).alias("inside_point"),
+        F.max(F.when(~F.col("inside"), F.struct("lat", "lon"))).alias("outside_point"),
+    )
+    return both.filter(F.col("inside_point").isNotNull() & F.col("outside_point").isNotNull())

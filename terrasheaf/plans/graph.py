@@ -266,7 +266,7 @@ def _(t):
 @query(
     "predecessor_paths",
     """with recursive c as (select graph_id from v_cutsel where orientation = 'INWARD'),
-      p as (select e.graph_id as final_id, e.graph_id as edge_id, 0 as depth, [e.graph_id] as path, 'PREDECESSOR' as status from v_edges_a e where e.deadend and e.gid % 4 = 0
+      p as (select e.graph_id as final_id, e.graph_id as edge_id, 0 as depth, [e.graph_id] as path, 'PREDECESSOR' as status from v_edges_a e where e.deadend
         union all
         select p.final_id, i.graph_id, p.depth + 1, list_append(p.path, i.graph_id), case when list_contains(p.path, i.graph_id) then 'CYCLE' when i.graph_id in (select graph_id from c) then 'CROSSES_CUT' else 'PREDECESSOR' end
         from p join v_edges_a k on k.graph_id = p.edge_id join v_edges_a i on i.end_node = k.start_node and i.graph_id <> k.opposing_id
@@ -275,7 +275,7 @@ def _(t):
     union all select final_id, edge_id, depth, 'DEPTH_REACHED', array_to_string(path, '>') from p where depth = 3 and status = 'PREDECESSOR'""",
 )
 def _(t):
-    finals = t("v_edges_a").filter("deadend and gid % 4 = 0")
+    finals = t("v_edges_a").filter("deadend")
     out = G.predecessor_paths(finals, t("v_edges_a"), t("v_cutsel").filter("orientation = 'INWARD'"), depth=3)
     return out.withColumn("path", F.array_join("path", ">"))
 
@@ -301,9 +301,9 @@ def _(t):
     return G.hierarchy_reach(nodes, links)
 
 
-_CHAIN = """select gid as chain_id, 0 as pos, graph_id from v_edges_a where dir = 0 and gid % 2 = 0
-  union all select gid, 1, opposing_id from v_edges_a where dir = 0 and gid % 4 = 0
-  union all select gid, 1, graph_id + 40 from v_edges_a where dir = 0 and gid % 4 = 2"""
+_CHAIN = """select gid as chain_id, 0 as pos, graph_id from v_edges_a where dir = 0
+  union all select gid, 1, opposing_id from v_edges_a where dir = 0 and gid % 2 = 0
+  union all select gid, 1, graph_id + 40 from v_edges_a where dir = 0 and gid % 2 = 1"""
 
 
 @query(

@@ -242,8 +242,10 @@ from lineitem group by l_orderkey * 8 + l_linenumber
 # Each segment gives a forward and a reverse edge; nodes link nearby segments.
 VIEWS["v_half"] = """
 select gid, pk, sk, 0 as dir, cast(floor(gid / 4) as bigint) as start_node, cast(floor(gid / 4) as bigint) + pk % 5 + 1 as end_node from v_seg
+where floor(gid / 4) % 1000 + pk % 5 + 1 < 1000
 union all
 select gid, pk, sk, 1 as dir, cast(floor(gid / 4) as bigint) + pk % 5 + 1 as start_node, cast(floor(gid / 4) as bigint) as end_node from v_seg
+where floor(gid / 4) % 1000 + pk % 5 + 1 < 1000
 """
 
 VIEWS["v_edges_a"] = """
@@ -341,3 +343,91 @@ select a.graph_id as source_id, b.graph_id as receiver_id, a.way_id as source_wa
 from v_edges_a a join v_edges_b b on b.end_node - 5 between a.end_node - 2 and a.end_node + 2 and a.deadend
 where 111320.0e0*sqrt(pow(b.end_lat-a.end_lat, 2) + pow((b.end_lon-a.end_lon)*cos(radians((a.end_lat+b.end_lat)/2)), 2)) <= 8.0e0
 """
+
+# --- outlines, windows, tiles --------------------------------------------
+
+# Two regions whose outlines lie over the test graph: a square with a hole and
+# a shifted square.  Vertices avoid every coordinate the graph views can take.
+VIEWS["v_poly"] = """
+select 'ra' as region_id, 0 as ring_no, false as is_hole, 0 as seq, 12.000151e0 as ax, 46.010007e0 as ay, 12.000153e0 as ex, 46.070013e0 as ey
+union all select 'ra', 0, false, 1, 12.000153e0, 46.070013e0, 12.400017e0, 46.070011e0
+union all select 'ra', 0, false, 2, 12.400017e0, 46.070011e0, 12.400013e0, 46.010003e0
+union all select 'ra', 0, false, 3, 12.400013e0, 46.010003e0, 12.000151e0, 46.010007e0
+union all select 'ra', 1, true, 0, 12.000091e0, 46.030007e0, 12.000093e0, 46.040013e0
+union all select 'ra', 1, true, 1, 12.000093e0, 46.040013e0, 12.200017e0, 46.040011e0
+union all select 'ra', 1, true, 2, 12.200017e0, 46.040011e0, 12.200013e0, 46.030003e0
+union all select 'ra', 1, true, 3, 12.200013e0, 46.030003e0, 12.000091e0, 46.030007e0
+union all select 'rb', 0, false, 0, 11.900051e0, 46.050007e0, 11.900053e0, 46.090013e0
+union all select 'rb', 0, false, 1, 11.900053e0, 46.090013e0, 12.300017e0, 46.090011e0
+union all select 'rb', 0, false, 2, 12.300017e0, 46.090011e0, 12.300013e0, 46.050003e0
+union all select 'rb', 0, false, 3, 12.300013e0, 46.050003e0, 11.900051e0, 46.050007e0
+"""
+
+# Even-odd test of graph ends, per ring, written out for the comparison SQL.
+VIEWS["d_inring"] = """
+select p.graph_id, s.region_id, s.ring_no, bool_or(is_hole) as is_hole,
+  count(case when (ay > end_lat) <> (ey > end_lat) and end_lon < ax + (end_lat - ay) * (ex - ax) / (ey - ay) then 1 end) % 2 = 1 as inside
+from v_edges_a p cross join v_poly s group by p.graph_id, s.region_id, s.ring_no
+"""
+
+VIEWS["d_in"] = """
+select graph_id, region_id, bool_or(inside and not is_hole) and not bool_or(inside and is_hole) as inside from d_inring group by graph_id, region_id
+"""
+
+VIEWS["v_windows"] = """
+select w as window_index, 46.0e0 + (w % 97) * 0.001e0 as min_lat, 46.0021e0 + (w % 97) * 0.001e0 as max_lat,
+  12.0e0 + cast(floor(w / 100) as bigint) * 0.0003e0 as min_lon, 12.0004e0 + cast(floor(w / 100) as bigint) * 0.0003e0 as max_lon
+from (select distinct cast(floor(gid / 40) as bigint) as w from v_seg) x
+"""
+
+# Tiles of level 2 on and around the outlines, from the orders table.
+VIEWS["v_tiles"] = """
+select distinct 2 as level, (544 + o_orderkey % 5 - 2) * 1440 + 768 + cast(floor(o_orderkey / 5) as bigint) % 40 - 20 as tile_index from orders
+union
+select distinct 1 as level, (136 + o_orderkey % 3 - 1) * 360 + 192 + cast(floor(o_orderkey / 3) as bigint) % 9 - 4 as tile_index from orders
+"""
+
+VIEWS["v_tilebox"] = """
+select level, tile_index, cast(floor(tile_index / w) as bigint) * size - 90.0e0 as min_lat, cast(floor(tile_index / w) as bigint) * size - 90.0e0 + size as max_lat,
+  (tile_index % w) * size - 180.0e0 as min_lon, (tile_index % w) * size - 180.0e0 + size as max_lon
+from (select level, tile_index, case level when 2 then 1440 else 360 end as w, case level when 2 then 0.25e0 else 1.0e0 end as size from v_tiles) t
+"""
+
+# --- shapes --------------------------------------------------------------
+
+VIEWS["v_shape_a"] = """
+select graph_id, opposing_id, gid, dir, way_id, forward_access, deadend, road_class, road_use, layer, bridge, tunnel,
+  lat as la0, lon as lo0, inner_lat as la1, inner_lon as lo1, end_lat as la2, end_lon as lo2 from v_edges_a
+"""
+
+VIEWS["v_shape_b"] = """
+select graph_id, opposing_id, gid, dir, way_id, forward_access, deadend, road_class, road_use, case when gid % 31 = 0 then layer + 1 else layer end as layer, bridge, tunnel,
+  is_shortcut, is_transit, start_node, end_node, lat as la0, lon as lo0, inner_lat as la1, inner_lon as lo1,
+  end_lat + (end_lat - inner_lat) * (gid % 3) * 0.5e0 as la2, end_lon + (end_lon - inner_lon) * (gid % 3) * 0.5e0 as lo2 from v_edges_b
+"""
+
+# Source and receiver shapes of the same segment, both directions.
+VIEWS["v_ab"] = """
+select a.graph_id as a_id, b.graph_id as b_id, a.forward_access as a_access, b.forward_access as b_access,
+  a.way_id as a_way, b.way_id as b_way, a.layer as a_layer, b.layer as b_layer, a.bridge as a_bridge, b.bridge as b_bridge, a.tunnel as a_tunnel, b.tunnel as b_tunnel,
+  a.la0 as aa0, a.lo0 as ao0, a.la1 as aa1, a.lo1 as ao1, a.la2 as aa2, a.lo2 as ao2,
+  b.la0 as ba0, b.lo0 as bo0, b.la1 as ba1, b.lo1 as bo1,
+  b.la2 as ba2, b.lo2 as bo2
+from v_shape_a a join v_shape_b b on a.gid = b.gid
+"""
+
+# Projection of a point (pa, po) on the two segments of B; planar metres at latitude ra.
+VIEWS["d_projrow"] = """
+select a_id, b_id, which, pa, po, ra, s, dx, dy, qx, qy, dx*dx+dy*dy as len2 from (
+  select *, (x1-x0)*111320.0e0*cos(radians(ra)) as dx, (y1-y0)*111320.0e0 as dy, (po-x0)*111320.0e0*cos(radians(ra)) as qx, (pa-y0)*111320.0e0 as qy from (
+    select a_id, b_id, w.which, case w.which when 'x' then aa2 else aa1 end as pa, case w.which when 'x' then ao2 else ao1 end as po, aa2 as ra, k.s,
+      case k.s when 0 then bo0 else bo1 end as x0, case k.s when 0 then ba0 else ba1 end as y0, case k.s when 0 then bo1 else bo2 end as x1, case k.s when 0 then ba1 else ba2 end as y1
+    from v_ab cross join (select 'x' as which union all select 'p') w cross join (select 0 as s union all select 1) k) r) q
+"""
+
+VIEWS["d_proj"] = """
+select a_id, b_id, which, min_by(m, m * 10 + s * 1e-9) as m, min_by(t * len + before, m * 10 + s * 1e-9) as along, sum(len) as whole from (
+  select *, sqrt(pow(qx - t*dx, 2) + pow(qy - t*dy, 2)) as m, sqrt(len2) as len, coalesce(lag(sqrt(len2)) over (partition by a_id, b_id, which order by s), 0) as before from (
+    select *, greatest(0.0e0, least(1.0e0, (qx*dx+qy*dy)/len2)) as t from d_projrow where len2 >= 1e-10) a) b
+group by a_id, b_id, which
+"""
