@@ -21,6 +21,11 @@ def point(lat: Column, lon: Column) -> Column:
     return F.struct(lat.cast("double").alias("lat"), lon.cast("double").alias("lon"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def pairs(shape: Column, make) -> Column:
     """``make(a, b)`` for each consecutive pair of vertices."""
     n = F.size(shape)
@@ -103,7 +108,7 @@ def project_on_line(
             (acc["i"] + 1).alias("i"),
         )
 
-    return F.aggregate(measured, start, merge)
+    return F.when(lat.isNotNull() & lon.isNotNull(), F.aggregate(measured, start, merge))
 
 
 def _mix(a: Column, b: Column, f: Column) -> Column:
@@ -126,29 +131,44 @@ def _pieces(shape: Column) -> Column:
 def _walk(pieces: Column, last: Column, metres: Column, tiny: float) -> Column:
     """Point at ``metres`` along the pieces; the last vertex when none holds it."""
     hit = F.get(F.filter(pieces, lambda p: (metres - p["before"] <= p["len"]) & (p["len"] > tiny)), F.lit(0))
-    return F.when(hit.isNull(), last).otherwise(_mix(hit["a"], hit["b"], (metres - hit["before"]) / hit["len"]))
+    return let(hit, lambda h: F.when(h.isNull(), last).otherwise(_mix(h["a"], h["b"], (metres - h["before"]) / h["len"])))
+
+
+def _measured(shape: Column) -> Column:
+    return F.struct(_pieces(shape).alias("pieces"), line_length(shape).alias("whole"))
+
+
+def _at(m: Column, shape: Column, metres: Column, tiny: float = 0.001) -> Column:
+    return F.when((metres >= 0) & (metres <= m["whole"]), _walk(m["pieces"], F.element_at(shape, -1), metres, tiny))
 
 
 def point_along(shape: Column, metres: Column) -> Column:
     """Point at a distance from the start; NULL outside the shape."""
-    inside = (metres >= 0) & (metres <= line_length(shape))
-    return F.when(inside, _walk(_pieces(shape), F.element_at(shape, -1), metres, 0.001))
+    return let(_measured(shape), lambda m: _at(m, shape, metres))
 
 
 def probe_point(shape: Column, incoming: bool) -> Column:
     """Local probe: 20 m or half the length from the near end; NULL under 2 m."""
-    whole = line_length(shape)
-    offset = F.least(F.lit(PROBE_METRES), whole * 0.5)
-    return F.when(whole >= 2.0, point_along(shape, whole - offset if incoming else offset))
+
+    def place(m: Column) -> Column:
+        offset = F.least(F.lit(PROBE_METRES), m["whole"] * 0.5)
+        return F.when(m["whole"] >= 2.0, _at(m, shape, m["whole"] - offset if incoming else offset))
+
+    return let(_measured(shape), place)
 
 
 def tail_samples(shape: Column) -> Column:
     """Points about every 2 m back from the end over the last 20 m at most."""
     back = F.reverse(shape)
-    tail = F.least(F.lit(TAIL_METRES), line_length(shape))
-    steps = F.greatest(F.lit(1), F.least(F.lit(TAIL_MAX_STEPS), F.ceil(tail / TAIL_STEP).cast("int")))
-    pieces, last = _pieces(back), F.element_at(back, -1)
-    return F.transform(F.sequence(F.lit(0), steps), lambda i: _walk(pieces, last, tail * i / steps, 1e-7))
+
+    def samples(m: Column) -> Column:
+        tail = F.least(F.lit(TAIL_METRES), m["whole"])
+        steps = F.greatest(F.lit(1), F.least(F.lit(TAIL_MAX_STEPS), F.ceil(tail / TAIL_STEP).cast("int")))
+        return F.transform(
+            F.sequence(F.lit(0), steps), lambda i: _walk(m["pieces"], F.element_at(back, -1), tail * i / steps, 1e-7)
+        )
+
+    return let(_measured(back), samples)
 
 
 def terminal_heading(shape: Column, scale: float = PLANAR_TERMINAL) -> Column:

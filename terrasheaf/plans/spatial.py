@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import geo, lines as L
 from ..operators import spatial as X
 from .registry import Tables, query
+from .views import projection
 
 
 def shape_of(*names: tuple[str, str]):
@@ -163,14 +164,17 @@ def _(t):
     return shapes(t, "v_shape_a").select("graph_id", geo.bounds_struct(F.col("shape")).alias("b")).select("graph_id", "b.*")
 
 
+VIEWS_AB = "(select a_id, b_id, aa2 as pa, ao2 as po, ba0 as b0a, bo0 as b0o, ba1 as b1a, bo1 as b1o, ba2 as b2a, bo2 as b2o from v_ab) ab"
+
+
 @query(
     "project_on_line",
-    "select a_id, b_id, round(m, 3) as metres, round(along, 3) as along from d_proj where which = 'x'",
+    f"select a_id, b_id, round(x_m, 3) as metres, round(x_along, 3) as along, x_seg as segment from {projection(VIEWS_AB, 'a_id, b_id', 'pa', 'po', 'pa', '111320.0e0', 'x')} p",
 )
 def _(t):
     ab = t("v_ab").withColumn("shape", shape_of(("ba0", "bo0"), ("ba1", "bo1"), ("ba2", "bo2")))
     p = L.project_on_line(F.col("aa2"), F.col("ao2"), F.col("shape"), geo.PLANAR_TOPOLOGY)
-    return ab.withColumn("p", p).select("a_id", "b_id", F.round("p.metres", 3).alias("metres"), F.round("p.along", 3).alias("along"))
+    return ab.withColumn("p", p).select("a_id", "b_id", F.round("p.metres", 3).alias("metres"), F.round("p.along", 3).alias("along"), "p.segment")
 
 
 _H = "2*6371008.8e0*asin(least(1.0e0, sqrt(pow(sin(radians({b}a-{a}a)/2),2) + cos(radians({a}a))*cos(radians({b}a))*pow(sin(radians({b}o-{a}o)/2),2))))"

@@ -252,7 +252,7 @@ VIEWS["v_edges_a"] = """
 select gid * 2 + dir + 1 as graph_id, gid * 2 + 2 - dir as opposing_id, pk + 1 as way_id, gid, dir, start_node, end_node,
   46.0e0 + (start_node % 1000) * 0.0001e0 as lat, 12.0e0 + cast(floor(start_node / 1000) as bigint) * 0.0003e0 as lon,
   46.0e0 + (end_node % 1000) * 0.0001e0 as end_lat, 12.0e0 + cast(floor(end_node / 1000) as bigint) * 0.0003e0 as end_lon,
-  46.00005e0 + (start_node % 1000) * 0.0001e0 as inner_lat, 12.0001e0 + (pk % 7) * 0.00001e0 + cast(floor(start_node / 1000) as bigint) * 0.0003e0 as inner_lon,
+  46.00003e0 + (start_node % 1000) * 0.0001e0 as inner_lat, 12.0001e0 + (pk % 7) * 0.00001e0 + cast(floor(start_node / 1000) as bigint) * 0.0003e0 as inner_lon,
   cast(case (gid + dir) % 6 when 0 then 0 when 1 then 1 when 2 then 1024 else 1025 end as bigint) as forward_access,
   cast(case (gid + 1 - dir) % 6 when 0 then 0 when 1 then 1 when 2 then 1024 else 1025 end as bigint) as reverse_access,
   (gid + dir) % 3 = 0 as deadend, gid % 5 <> 4 as is_road, gid % 11 = 0 as is_shortcut, gid % 17 = 0 as is_transit, gid % 5 = 4 and gid % 2 = 0 as is_ferry,
@@ -416,18 +416,119 @@ select a.graph_id as a_id, b.graph_id as b_id, a.forward_access as a_access, b.f
 from v_shape_a a join v_shape_b b on a.gid = b.gid
 """
 
-# Projection of a point (pa, po) on the two segments of B; planar metres at latitude ra.
-VIEWS["d_projrow"] = """
-select a_id, b_id, which, pa, po, ra, s, dx, dy, qx, qy, dx*dx+dy*dy as len2 from (
-  select *, (x1-x0)*111320.0e0*cos(radians(ra)) as dx, (y1-y0)*111320.0e0 as dy, (po-x0)*111320.0e0*cos(radians(ra)) as qx, (pa-y0)*111320.0e0 as qy from (
-    select a_id, b_id, w.which, case w.which when 'x' then aa2 else aa1 end as pa, case w.which when 'x' then ao2 else ao1 end as po, aa2 as ra, k.s,
-      case k.s when 0 then bo0 else bo1 end as x0, case k.s when 0 then ba0 else ba1 end as y0, case k.s when 0 then bo1 else bo2 end as x1, case k.s when 0 then ba1 else ba2 end as y1
-    from v_ab cross join (select 'x' as which union all select 'p') w cross join (select 0 as s union all select 1) k) r) q
+# Receiver options after a predecessor, with costing and attributes.
+VIEWS["v_optb"] = """
+select e.graph_id as predecessor_id, o.graph_id as option_id, o.forward_access as option_access, o.lat as start_lat, o.lon as start_lon,
+  case when o.gid % 10 = 3 then 'NOT_EVALUATED' when o.gid % 20 = 4 then 'UNRESOLVED_CONDITIONAL'
+    when (o.forward_access & 1) <> 0 then 'ALLOWED_NATIVE_IMMEDIATE' else 'DENIED' end as car,
+  case when o.gid % 10 = 3 then 'NOT_EVALUATED' when o.gid % 20 = 5 then 'UNRESOLVED_TIME'
+    when (o.forward_access & 1024) <> 0 then 'ALLOWED_NATIVE_IMMEDIATE' else 'DENIED' end as motorcycle,
+  e.road_class as p_class, o.road_class as n_class, e.road_use as p_use, o.road_use as n_use, e.layer as p_layer, o.layer as n_layer,
+  e.bridge as p_bridge, o.bridge as n_bridge, e.tunnel as p_tunnel, o.tunnel as n_tunnel
+from v_edges_b e join v_edges_b o on o.start_node = e.end_node where o.graph_id <> e.opposing_id
+"""
+
+# Source finals with their exact end point and approach.
+VIEWS["d_cand"] = """
+select s.graph_id as source_id, t.terminal_modes & 1025 as modes, s.forward_access as access, t.end_node, s.la2 as x_lat, s.lo2 as x_lon,
+  case when s.gid % 43 = 0 then null else s.la1 end as app_lat, s.lo1 as app_lon, s.layer, s.bridge, s.tunnel
+from v_shape_a s join d_term t on t.graph_id = s.graph_id where (t.terminal_modes & 1025) <> 0
+"""
+
+VIEWS["d_atx"] = """
+select source_id, receiver_id, min(m) as distance_m from (
+  select *, 111320.0e0*sqrt(pow(qx-u*dx, 2) + pow(qy-u*dy, 2)) as m from (
+    select *, greatest(0.0e0, least(1.0e0, (qx*dx+qy*dy)/(dx*dx+dy*dy))) as u from (
+      select c.source_id, b.graph_id as receiver_id, k.s, (case s when 0 then lo1-lo0 else lo2-lo1 end)*cos(radians(x_lat)) as dx, case s when 0 then la1-la0 else la2-la1 end as dy,
+        (x_lon - case s when 0 then lo0 else lo1 end)*cos(radians(x_lat)) as qx, x_lat - case s when 0 then la0 else la1 end as qy
+      from d_cand c join v_shape_b b on floor((b.end_node-5)/1000) = floor(c.end_node/1000) and b.end_node-5 between c.end_node-25 and c.end_node+25
+        and not b.is_shortcut and not b.is_transit and (b.forward_access & 1025) <> 0
+      cross join (select 0 as s union all select 1) k) a) b) d where m <= 4.0e0 group by source_id, receiver_id
+"""
+
+VIEWS["d_pairx"] = """
+select c.*, a.receiver_id, b.forward_access as r_access, b.layer as r_layer, b.bridge as r_bridge, b.tunnel as r_tunnel,
+  b.la0 as b0a, b.lo0 as b0o, b.la1 as b1a, b.lo1 as b1o, b.la2 as b2a, b.lo2 as b2o
+from d_atx a join d_cand c on c.source_id = a.source_id join v_shape_b b on b.graph_id = a.receiver_id
+"""
+
+
+def projection(relation: str, key: str, lat: str, lon: str, ref: str, scale: str, name: str) -> str:
+    """Comparison SQL: nearest place of a point on the two segments b0-b1-b2."""
+    best = "m * 10 + s * 1e-9"
+    return f"""(select {key}, min_by(m, {best}) as {name}_m, min_by(t * len + before, {best}) as {name}_along, min_by(s, {best}) as {name}_seg,
+      min_by(dx / len, {best}) as {name}_tx, min_by(dy / len, {best}) as {name}_ty, sum(len) as {name}_len from (
+      select *, sqrt(pow(qx - t*dx, 2) + pow(qy - t*dy, 2)) as m, coalesce(lag(len) over (partition by {key} order by s), 0) as before from (
+        select *, greatest(0.0e0, least(1.0e0, (qx*dx+qy*dy)/(dx*dx+dy*dy))) as t, sqrt(dx*dx+dy*dy) as len from (
+          select {key}, s, (case s when 0 then b1o-b0o else b2o-b1o end)*{scale}*cos(radians({ref})) as dx, (case s when 0 then b1a-b0a else b2a-b1a end)*{scale} as dy,
+            ({lon} - case s when 0 then b0o else b1o end)*{scale}*cos(radians({ref})) as qx, ({lat} - case s when 0 then b0a else b1a end)*{scale} as qy
+          from {relation} cross join (select 0 as s union all select 1) k) p0 where dx*dx+dy*dy >= 1e-10) p1) p2 group by {key})"""
+
+
+VIEWS["d_ov"] = f"""
+select source_id, receiver_id, common_modes, x_m, approach_m, progress_m, segment_m, remaining_m, same_structure,
+  case when common_modes = 0 then 'REJECTED_NO_SHARED_VEHICLE_MODE' when app_lat is null then 'UNRESOLVED_SOURCE_APPROACH_MISSING'
+    when x_m <= 0.75 and approach_m <= 0.75 and progress_m <= -0.5 then 'REJECTED_OPPOSITE_DIRECTED_SHAPE'
+    when x_m <= 0.75 and approach_m <= 0.75 and ((progress_m >= 1 and segment_m >= 1)
+      or (segment_m >= 0.5 and segment_m < 1 and x_m <= 0.1 and approach_m <= 0.1 and progress_m >= 0.5 and progress_m >= segment_m - 0.12)) then
+        case when not same_structure then 'UNRESOLVED_NATIVE_LEVEL_OR_STRUCTURE_CONFLICT' when remaining_m < 1 then 'B_PREDECESSOR_ENDS_AT_X_NEEDS_NATIVE_SUCCESSOR'
+          else 'MATCHED_DIRECTED_SOURCE_GEOMETRY_OVERLAP' end
+    else 'UNRESOLVED_NO_DIRECTED_SOURCE_OVERLAP' end as status
+from (
+  select q.source_id, q.receiver_id, q.app_lat, q.access & q.r_access & 1025 as common_modes, x.x_m, a.a_m as approach_m, x.x_along - a.a_along as progress_m,
+    111320.0e0*sqrt(pow((q.app_lon-q.x_lon)*cos(radians(q.x_lat)), 2) + pow(q.app_lat-q.x_lat, 2)) as segment_m, x.x_len - x.x_along as remaining_m,
+    q.layer = q.r_layer and q.bridge = q.r_bridge and q.tunnel = q.r_tunnel as same_structure
+  from d_pairx q join {projection("d_pairx", "source_id, receiver_id", "x_lat", "x_lon", "x_lat", "111320.0e0", "x")} x
+    on x.source_id = q.source_id and x.receiver_id = q.receiver_id
+  join {projection("d_pairx", "source_id, receiver_id", "app_lat", "app_lon", "x_lat", "111320.0e0", "a")} a
+    on a.source_id = q.source_id and a.receiver_id = q.receiver_id) v
+"""
+
+_ALLOWED = "((case when car = 'ALLOWED_NATIVE_IMMEDIATE' then 1 else 0 end) | (case when motorcycle = 'ALLOWED_NATIVE_IMMEDIATE' then 1024 else 0 end))"
+
+VIEWS["d_tried"] = f"""
+select c.source_id, c.x_lat, c.x_lon, u.receiver_id as predecessor_id, o.* exclude (predecessor_id), {_ALLOWED} & c.modes & o.option_access as m
+from d_ov u join d_cand c on c.source_id = u.source_id left join v_optb o on o.predecessor_id = u.receiver_id
+where u.status = 'B_PREDECESSOR_ENDS_AT_X_NEEDS_NATIVE_SUCCESSOR'
+"""
+
+VIEWS["d_node"] = """
+select source_id, option_id, bit_or(m) as modes, min(relation) as relation, list_sort(list_distinct(list(predecessor_id))) as preds from (
+  select *, case when 111320.0e0*sqrt(pow((start_lon-x_lon)*cos(radians(x_lat)), 2) + pow(start_lat-x_lat, 2)) > 0.75 then 'START_NOT_AT_X'
+    when not (p_layer = n_layer and p_bridge = n_bridge and p_tunnel = n_tunnel) then 'NATIVE_STRUCTURE_CHANGE_PHYSICAL_IDENTITY_UNVERIFIED'
+    when not (p_class = n_class and p_use = n_use) then 'NATIVE_CLASS_OR_USE_CHANGE_PHYSICAL_IDENTITY_UNVERIFIED'
+    else 'CONSISTENT_NATIVE_ROAD_ATTRIBUTES_PHYSICAL_IDENTITY_UNVERIFIED' end as relation
+  from d_tried where m <> 0) r group by source_id, option_id
+"""
+
+VIEWS["d_opt"] = """
+select source_id, option_id, modes, relation, preds, 'VERIFIED_B_ORIGINAL_SAME_NODE_LEGAL_BRANCH' as evidence from d_node
+union all
+select o.source_id, o.receiver_id, o.common_modes & c.modes, 'INTERIOR_B_EDGE_OVERLAP_PHYSICAL_IDENTITY_UNVERIFIED', [], 'VERIFIED_B_DIRECTED_INTERIOR_SOURCE_OVERLAP'
+from d_ov o join d_cand c on c.source_id = o.source_id where o.status = 'MATCHED_DIRECTED_SOURCE_GEOMETRY_OVERLAP'
+  and not exists (select 1 from d_node n where n.source_id = o.source_id and n.option_id = o.receiver_id)
+"""
+
+VIEWS["d_unk"] = """
+select source_id, predecessor_id, option_id, car, motorcycle from d_tried
+where option_id is null or starts_with(car, 'UNRESOLVED_') or starts_with(motorcycle, 'UNRESOLVED_')
+"""
+
+VIEWS["d_corr"] = """
+select *, case when n_unknown > 0 then 'B_NODE_CONTINUATION_PARTIALLY_UNRESOLVED'
+  when n_options > 0 and n_predecessors <= 1 and n_inside <= 1 then 'B_NATIVE_DIRECTIONAL_CONTINUATIONS_IDENTIFIED'
+  when n_options > 0 then 'B_MULTIPLE_OVERLAPPING_PREDECESSORS_UNRESOLVED' when n_predecessors > 0 then 'NO_PROVEN_B_NATIVE_OUTGOING_AFTER_X'
+  else 'NO_PROVEN_CORRESPONDING_B_DIRECTION' end as status
+from (select c.source_id, c.modes, coalesce(o.n, 0) as n_options, coalesce(v.p, 0) as n_predecessors, coalesce(v.i, 0) as n_inside, coalesce(k.n, 0) as n_unknown
+  from d_cand c left join (select source_id, count(*) as n from d_opt group by source_id) o on o.source_id = c.source_id
+  left join (select source_id, count(case when status = 'B_PREDECESSOR_ENDS_AT_X_NEEDS_NATIVE_SUCCESSOR' then 1 end) as p,
+     count(case when status = 'MATCHED_DIRECTED_SOURCE_GEOMETRY_OVERLAP' then 1 end) as i from d_ov group by source_id) v on v.source_id = c.source_id
+  left join (select source_id, count(*) as n from d_unk group by source_id) k on k.source_id = c.source_id) q
 """
 
-VIEWS["d_proj"] = """
-select a_id, b_id, which, min_by(m, m * 10 + s * 1e-9) as m, min_by(t * len + before, m * 10 + s * 1e-9) as along, sum(len) as whole from (
-  select *, sqrt(pow(qx - t*dx, 2) + pow(qy - t*dy, 2)) as m, sqrt(len2) as len, coalesce(lag(sqrt(len2)) over (partition by a_id, b_id, which order by s), 0) as before from (
-    select *, greatest(0.0e0, least(1.0e0, (qx*dx+qy*dy)/len2)) as t from d_projrow where len2 >= 1e-10) a) b
-group by a_id, b_id, which
+VIEWS["d_match"] = """
+select o.source_id, o.receiver_id, o.status as relationship, case when remaining_m < 1 then 'END_NODE' else 'INTERIOR' end as position,
+  o.common_modes & c.modes & 1025 as modes, x_m, progress_m
+from d_ov o join d_cand c on c.source_id = o.source_id
+where o.status in ('B_PREDECESSOR_ENDS_AT_X_NEEDS_NATIVE_SUCCESSOR', 'MATCHED_DIRECTED_SOURCE_GEOMETRY_OVERLAP')
 """
