@@ -21,7 +21,7 @@ PEER_PREFIX = "nf8peer-"
 PROPOSAL_PREFIX = "nf8gps-"
 
 # Bounds of the hop searches.
-MAX_HOPS, MAX_VISITS, MAX_HIERARCHY_DEPTH = 10, 4096, 4
+MAX_HOPS, MAX_VISITS, MAX_FANOUT, MAX_HIERARCHY_DEPTH = 10, 4096, 64, 4
 
 PHYSICAL_KEY = ["way_id", "k_lat", "k_lon", "k_inner_lat", "k_inner_lon"]
 
@@ -404,6 +404,8 @@ def predecessor_paths(finals: DataFrame, edges: DataFrame, cut: DataFrame, depth
     depth, budget = min(depth, MAX_HOPS), min(budget, MAX_VISITS)
     into = edges.select(F.col("graph_id").alias("edge_id"), F.col("end_node").alias("at"))
     facts = edges.select(F.col("graph_id").alias("cur"), F.col("start_node").alias("at"), "opposing_id")
+    degree = edges.groupBy(F.col("start_node").alias("at")).agg(F.count(F.lit(1)).alias("fanout"))
+    facts = facts.join(degree, "at")
     crossing = cut.select(F.col("graph_id").alias("edge_id")).distinct().withColumn("crosses", F.lit(True))
     frontier = finals.select(
         F.col("graph_id").alias("final_id"), F.col("graph_id").alias("cur"), F.array("graph_id").alias("path"), F.lit(0).cast("long").alias("used")
@@ -411,7 +413,10 @@ def predecessor_paths(finals: DataFrame, edges: DataFrame, cut: DataFrame, depth
     rows = []
     by_path = Window.partitionBy("final_id").orderBy("next_path")
     for hop in range(1, depth + 1):
-        step = frontier.join(facts, "cur").join(into, "at").filter(F.col("edge_id") != F.col("opposing_id"))
+        placed = frontier.join(facts, "cur")
+        wide = placed.filter(F.col("fanout") > MAX_FANOUT)
+        rows.append(wide.select("final_id", F.col("cur").alias("edge_id"), F.lit(hop - 1).alias("depth"), F.lit("FANOUT_UNCERTAIN").alias("status"), "path"))
+        step = placed.filter(F.col("fanout") <= MAX_FANOUT).join(into, "at").filter(F.col("edge_id") != F.col("opposing_id"))
         step = step.join(crossing, "edge_id", "left").withColumns(
             {"next_path": F.concat("path", F.array("edge_id")), "cycle": F.array_contains("path", F.col("edge_id"))}
         )

@@ -110,7 +110,7 @@ def terminal_evidence(edges: DataFrame, ends: DataFrame, probes: DataFrame) -> D
     return e.select("graph_id", status.alias("status"))
 
 
-def clip_terminals(adjacency: DataFrame, own: DataFrame, peer: DataFrame, outline_metres: float = 250.0) -> DataFrame:
+def clip_terminals(adjacency: DataFrame, own: DataFrame, peer: DataFrame, outline_metres: float = 200.0) -> DataFrame:
     """Per edge and mode: local terminal, inside the peer area, near the own outline.
 
     Distance to the outline is a note and never filters.

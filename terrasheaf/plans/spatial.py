@@ -81,7 +81,7 @@ def _(t):
 
 
 _SQUARES = """select concat('o', cast(o_orderkey as varchar(20))) as region_id, 12.0e0 + (o_orderkey % 50) * 0.01e0 as x, 46.0e0 + cast(floor(o_orderkey / 50) as bigint) % 10 * 0.01e0 as y,
-  0.015e0 + (o_custkey % 3) * 0.01e0 as side from orders"""
+  0.013e0 + (o_custkey % 3) * 0.01e0 as side from orders"""
 
 _SQUARE_CELLS = f"""select region_id, cy, cx from (select *, unnest(range(floor(y/0.01e0)::bigint - 1, floor((y+side)/0.01e0)::bigint + 2)) as cy from ({_SQUARES}) q) a,
   lateral (select unnest(range(floor(x/0.01e0)::bigint - 1, floor((x+side)/0.01e0)::bigint + 2)) as cx) b

@@ -532,3 +532,76 @@ select o.source_id, o.receiver_id, o.status as relationship, case when remaining
 from d_ov o join d_cand c on c.source_id = o.source_id
 where o.status in ('B_PREDECESSOR_ENDS_AT_X_NEEDS_NATIVE_SUCCESSOR', 'MATCHED_DIRECTED_SOURCE_GEOMETRY_OVERLAP')
 """
+
+# --- tiled builds, layers, regions, routes -------------------------------
+
+VIEWS["v_tiles_old"] = """
+select concat('g', cast(o_custkey % 40 as varchar(20))) as region_id, concat('2/', cast(o_orderkey as varchar(20)), '.gph') as path,
+  concat('h', cast(o_totalprice as varchar(30))) as sha256,
+  case when o_orderpriority = '1-URGENT' then 'n1' when o_orderpriority = '2-HIGH' then 'n1,n2' when o_orderpriority = '3-MEDIUM' then 'n3' else '' end as neighbours
+from orders
+"""
+
+VIEWS["v_tiles_new"] = """
+select region_id, path, case when length(sha256) % 7 = 0 then concat(sha256, 'x') else sha256 end as sha256,
+  case when length(path) % 5 = 0 and neighbours = '' then 'n2' else neighbours end as neighbours
+from v_tiles_old where sha256 not like '%7'
+"""
+
+VIEWS["d_tilediff"] = """
+select coalesce(a.region_id, b.region_id) as region_id, coalesce(a.path, b.path) as path,
+  case when a.path is null then 'added' when b.path is null then 'removed' else 'changed' end as status,
+  list_sort(list_distinct(list_filter(list_concat(string_split(coalesce(a.neighbours, ''), ','), string_split(coalesce(b.neighbours, ''), ',')), lambda x: x <> ''))) as bs
+from v_tiles_old a full join v_tiles_new b on a.region_id = b.region_id and a.path = b.path
+where a.path is null or b.path is null or a.sha256 <> b.sha256
+"""
+
+# Way features: several per way, some drawn backwards in the later state.
+VIEWS["v_way_a"] = """
+select l_partkey as way_id, l_orderkey as f, p_type as road_class, case when p_size % 3 = 0 then '' else p_name end as name, cast(p_size % 5 as varchar(20)) as surface,
+  46.0e0 + (l_suppkey % 100) * 0.001e0 as la0, 12.0e0 + (l_partkey % 200) * 0.001e0 as lo0,
+  46.0005e0 + (l_suppkey % 100) * 0.001e0 as la1, 12.0005e0 + (l_partkey % 200) * 0.001e0 as lo1
+from lineitem join part on p_partkey = l_partkey
+"""
+
+VIEWS["v_way_b"] = """
+select way_id, f, road_class, case when way_id % 11 = 0 then concat(name, ' new') else name end as name, surface,
+  case when way_id % 2 = 0 then la1 else la0 end as la0, case when way_id % 2 = 0 then lo1 else lo0 end as lo0,
+  case when way_id % 2 = 0 then la0 else la1 end as la1, case when way_id % 2 = 0 then lo0 else lo1 end as lo1
+from v_way_a where way_id % 13 <> 0
+union all
+select way_id + 10000000, f, road_class, name, surface, la0, lo0, la1, lo1 from v_way_a where way_id % 17 = 0
+"""
+
+# Regions: continent -> country -> area; some areas cannot be downloaded.
+VIEWS["v_regions"] = """
+select lower(r_name) as id, '' as parent, cast(null as varchar(20)) as iso, '' as url from region
+union all
+select lower(n_name), lower(r_name), case when n_nationkey % 5 = 0 then null when n_nationkey % 7 = 0 then 'XXX' else concat(chr(97 + n_nationkey), 'z') end,
+  case when n_nationkey % 3 = 0 then '' else concat('u', n_name) end
+from nation join region on r_regionkey = n_regionkey
+union all
+select concat('a', cast(c_custkey as varchar(20))), case when c_custkey % 50 = 0 then 'nowhere' else lower(n_name) end, cast(null as varchar(20)),
+  case when c_custkey % 4 = 0 then '' else concat('u', c_name) end
+from customer join nation on n_nationkey = c_nationkey
+"""
+
+VIEWS["v_routes"] = """
+select o_orderkey as route_id, case when o_orderkey % 13 = 0 then 2 else 0 end as status, case when o_orderkey % 17 = 0 then cast(null as double) else (o_orderkey % 900) * 0.1e0 + 0.05e0 end as length_km,
+  46.0e0 + (o_orderkey % 97) * 0.001e0 as start_lat, 12.0e0 + (o_custkey % 89) * 0.0011e0 as start_lon,
+  46.0e0 + (o_orderkey % 83) * 0.0012e0 as end_lat, 12.2e0 + (o_custkey % 79) * 0.0011e0 as end_lon,
+  46.0001e0 + (o_orderkey % 97) * 0.001e0 + case when o_orderkey % 19 = 0 then 0.05e0 else 0.0e0 end as actual_start_lat, 12.0e0 + (o_custkey % 89) * 0.0011e0 as actual_start_lon,
+  46.0e0 + (o_orderkey % 83) * 0.0012e0 + (o_custkey % 3) * 0.001e0 as actual_end_lat, 12.2e0 + (o_custkey % 79) * 0.0011e0 as actual_end_lon,
+  60.0e0 + o_orderkey % 700 as seconds, o_custkey % 500 as journey, o_orderstatus <> 'P' as success
+from orders
+"""
+
+# Is a point of a route in region ra?
+VIEWS["d_route_in"] = """
+select route_id, which, bool_or(inside and not is_hole) and not bool_or(inside and is_hole) as inside from (
+  select p.route_id, p.which, s.ring_no, bool_or(is_hole) as is_hole,
+    count(case when (ay > plat) <> (ey > plat) and plon < ax + (plat - ay) * (ex - ax) / (ey - ay) then 1 end) % 2 = 1 as inside
+  from (select route_id, 'start' as which, start_lat as plat, start_lon as plon from v_routes union all select route_id, 'end', end_lat, end_lon from v_routes
+    union all select route_id, 'a', actual_start_lat, actual_start_lon from v_routes union all select route_id, 'z', actual_end_lat, actual_end_lon from v_routes) p
+  cross join v_poly s where s.region_id = 'ra' group by p.route_id, p.which, s.ring_no) r group by route_id, which
+"""
