@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.geo import AUTO_BIT, MOTORCYCLE_BIT
 from ..functions.ids import canonical_json
 from .match import EXACT_MAX, MIN_PROGRESS, MIN_SHORT, OVERLAP_MAX, ROOT_NONE, ROOT_OPTIONS
-from .rules import repeated, union_all, violations
+from .rules import RANK_BROKEN, ranked_neighbours, repeated, union_all, violations
 
 # Identifiers and limits the documents must keep to.
 SHA = "^sha256:[0-9a-f]{64}$"
@@ -473,9 +473,8 @@ def check_runtime(pairs: DataFrame, crossings: DataFrame, support: DataFrame) ->
             "metric_forbidden": "not supported and (km is not null or seconds is not null)",
         },
     )
-    order = Window.partitionBy("pair_id").orderBy("pos")
     key = F.struct("tier", "rank", "way_id", "crossing_id")
-    rows = crossings.withColumns({"prev": F.lag(key).over(order), "own": key}).join(_counts(support, "crossing_id", "n", "supported"), "crossing_id", "left")
+    rows = ranked_neighbours(crossings, ["pair_id"], "pos", key).join(_counts(support, "crossing_id", "n", "supported"), "crossing_id", "left")
     x = check(
         rows,
         "crossing_id",
@@ -504,9 +503,8 @@ def check_anchors(regions: DataFrame, sources: DataFrame, anchors: DataFrame) ->
     """
     src = check(sources, "pair_id", {"source_sha": f"not (coalesce(sha256, '') rlike '{SHA}')", "neighbour_self": "neighbour_id <=> region_id"})
     known = sources.select("region_id", "pair_id").distinct().withColumn("known", F.lit(True))
-    order = Window.partitionBy("region_id").orderBy("pos")
     key = F.struct("neighbour_id", "way_id", "candidate_id", "anchor_id")
-    rows = anchors.join(known, ["region_id", "pair_id"], "left").withColumns({"own": key, "prev": F.lag(key).over(order)})
+    rows = ranked_neighbours(anchors, ["region_id"], "pos", key).join(known, ["region_id", "pair_id"], "left")
     roles = "concat(roles_motorcycle, roles_car)"
     a = check(
         rows,
@@ -585,10 +583,9 @@ def check_chain_plan(plans: DataFrame, chains: DataFrame, hops: DataFrame, optio
     """
     c = F.col
     score = F.expr("case when route_style = 'FASTER' then seconds else km end")
-    order = Window.partitionBy("plan_id").orderBy("rank")
     rows = chains.join(plans.select("plan_id", "route_style", "max_hops", "from_region", "to_region", "status"), "plan_id", "left")
     key = F.struct("score", F.size("regions"), "regions", "chain_id")
-    rows = rows.withColumns({"want_score": score, "want_rank": F.row_number().over(order) - 1, "own": key, "prev": F.lag(key).over(order)})
+    rows = ranked_neighbours(rows.withColumn("want_score", score), ["plan_id"], "rank", key)
     rows = rows.join(_counts(hops, "chain_id", "n_hops"), "chain_id", "left")
     found = check(
         rows,
@@ -598,7 +595,7 @@ def check_chain_plan(plans: DataFrame, chains: DataFrame, hops: DataFrame, optio
             "hop_count": "coalesce(n_hops, 0) <> size(regions) - 1",
             "too_many_hops": "size(regions) - 1 > max_hops",
             "endpoints": "element_at(regions, 1) <> from_region or element_at(regions, -1) <> to_region",
-            "rank": "rank <> want_rank",
+            "rank": RANK_BROKEN.format(rank="rank"),
             "score": "score < 0 or abs(score - want_score) >= 1e-6",
             "order_broken": "prev > own",
             "unexpected_chain": "status = 'NO_CHAIN'",
@@ -633,15 +630,14 @@ def check_hierarchical_plan(chains: DataFrame, crossings: DataFrame, traversals:
     sums = traversals.groupBy("chain_id").agg(F.sum("km").alias("sum_km"), F.sum("seconds").alias("sum_seconds"), F.count(F.lit(1)).alias("n_trav"))
     rows = chains.join(sums, "chain_id", "left").join(_counts(crossings, "chain_id", "n_cross"), "chain_id", "left")
     rows = rows.na.fill(0, ["n_trav", "n_cross"]).na.fill(0.0, ["sum_km", "sum_seconds"])
-    order = Window.partitionBy("plan_id").orderBy("rank")
     second = F.expr("case when route_style = 'FASTER' then sum_km else sum_seconds end")
     key = F.struct("score", second, "n_cross", "chain_id")
-    rows = rows.withColumns({"own": key, "prev": F.lag(key).over(order), "want_rank": F.row_number().over(order) - 1})
+    rows = ranked_neighbours(rows, ["plan_id"], "rank", key)
     found = check(
         rows,
         "chain_id",
         {
-            "rank": "rank <> want_rank",
+            "rank": RANK_BROKEN.format(rank="rank"),
             "region_cycle": "size(array_distinct(regions)) <> size(regions)",
             "crossing_count": "n_cross <> size(regions) - 1",
             "traversal_count": "n_trav <> greatest(0, size(regions) - 2)",
@@ -749,7 +745,7 @@ def refresh_connectors(regions: DataFrame, inventories: DataFrame, sources: Data
     """
     now = regions.select("region_id", F.col("graph_fp").alias("now_fp"), "boundaries")
     inv = inventories.join(now, "region_id")
-    src = sources.join(inv.select("sha256", "boundaries").distinct(), "sha256")
+    src = sources.join(inv.select("sha256", "boundaries"), "sha256")
     fresh = src.groupBy("sha256").agg(
         F.every(F.coalesce(F.try_element_at("boundaries", F.col("neighbour")) == F.col("boundary_fp"), F.lit(False))).alias("edges_ok")
     )

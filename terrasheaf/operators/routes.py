@@ -8,7 +8,7 @@ from ..functions.geo import EARTH_SEARCH_M, EARTH_VERIFY_M, haversine_m
 from ..functions.ids import dense_ids, stable_id
 from . import spatial as X
 from .graph import PROPOSAL_PREFIX
-from .rules import union_all, violations
+from .rules import RANK_BROKEN, ranked_neighbours, union_all, violations
 
 # Tolerances in metres and limits of the probes.
 ARRIVAL_M, HANDOFF_M, SNAP_M = 25.0, 1.0, 150.0
@@ -59,10 +59,8 @@ def best_route(results: DataFrame) -> DataFrame:
 
 def rank_contiguity(rows: DataFrame, group: str, rank: str, keys: list[str], subject: Column) -> DataFrame:
     """Violations where ranks are not 0..n-1 or do not follow the declared key."""
-    order = Window.partitionBy(group).orderBy(rank, *keys)
-    key = F.struct(*keys)
-    step = rows.withColumns({"_want": F.row_number().over(order) - 1, "_prev": F.lag(key).over(order)})
-    rules = {"rank_not_contiguous": F.col(rank) != F.col("_want"), "order_broken": F.col("_prev") > key}
+    step = ranked_neighbours(rows, [group], rank, F.struct(*keys))
+    rules = {"rank_not_contiguous": F.expr(RANK_BROKEN.format(rank=rank)), "order_broken": F.col("prev") > F.col("own")}
     return violations(step, [subject.cast("string").alias("subject")], rules)
 
 

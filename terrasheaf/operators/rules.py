@@ -21,3 +21,20 @@ def repeated(df: DataFrame, keys: list[str], subject: Column, code: str) -> Data
 
 def union_all(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+RANK_BROKEN = "{rank} < 0 or {rank} >= n_group or n_same > 1"
+
+
+def ranked_neighbours(rows: DataFrame, group: list[str], rank: str, key: Column) -> DataFrame:
+    """Add ``own`` key, ``prev`` key at the rank before, and two rank counts.
+
+    Ranks are 0..n-1 exactly when none is out of range and none repeats.  Keys
+    meet their predecessor by an equi-join on rank + 1, so a group with most of
+    the rows is not sorted in one task.
+    """
+    own = rows.withColumn("own", key)
+    size = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n_group"))
+    at = own.groupBy(*group, rank).agg(F.count(F.lit(1)).alias("n_same"), F.max("own").alias("top"))
+    before = at.select(*group, (F.col(rank) + 1).alias(rank), F.col("top").alias("prev"))
+    return own.join(size, group).join(at.drop("top"), [*group, rank]).join(before, [*group, rank], "left")

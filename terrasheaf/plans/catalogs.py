@@ -211,9 +211,10 @@ _RANKED = "select l_orderkey as grp, l_linenumber - 1 + case when l_partkey % 29
 
 @query(
     "rank_contiguity",
-    f"""with r as (select *, row_number() over (partition by grp order by rk, k1, k2, k3) - 1 as want, lag(k1) over (partition by grp order by rk, k1, k2, k3) as p1, lag(k2) over (partition by grp order by rk, k1, k2, k3) as p2,
-        lag(k3) over (partition by grp order by rk, k1, k2, k3) as p3 from ({_RANKED}) x)
-    select cast(grp as varchar) as subject, code, count(*) as n from (select grp, 'rank_not_contiguous' as code from r where rk <> want union all select grp, 'order_broken' from r where p1 > k1 or (p1 = k1 and (p2 > k2 or (p2 = k2 and p3 > k3)))) v group by 1, 2""",
+    f"""with r as (select *, count(*) over (partition by grp) as n, count(*) over (partition by grp, rk) as d from ({_RANKED}) x),
+      p as (select grp, rk + 1 as rk, max_by(k1, k1 * 1000000000000 + k2 * 1000000 + k3) as p1, max_by(k2, k1 * 1000000000000 + k2 * 1000000 + k3) as p2, max_by(k3, k1 * 1000000000000 + k2 * 1000000 + k3) as p3 from r group by grp, rk)
+    select cast(grp as varchar) as subject, code, count(*) as n from (select grp, 'rank_not_contiguous' as code from r where rk < 0 or rk >= n or d > 1
+      union all select r.grp, 'order_broken' from r join p on p.grp = r.grp and p.rk = r.rk where p1 > k1 or (p1 = k1 and (p2 > k2 or (p2 = k2 and p3 > k3)))) v group by 1, 2""",
 )
 def _(t):
     out = R.rank_contiguity(t.sql(_RANKED), "grp", "rk", ["k1", "k2", "k3"], F.col("grp"))
