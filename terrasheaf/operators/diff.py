@@ -200,8 +200,10 @@ def near_outline(shapes: DataFrame, outline: DataFrame, metres: float, key: str,
     o = X.box_cells(
         outline.select("ax", "ay", "ex", "ey"), size, F.least("ay", "ey"), F.greatest("ay", "ey"), F.least("ax", "ex"), F.greatest("ax", "ex")
     ).withColumnsRenamed({"ax": "ox", "ay": "oy", "ex": "qx", "ey": "qy"})
-    gap = X.segment_distance((c("ax"), c("ay")), (c("ex"), c("ey")), (c("ox"), c("oy")), (c("qx"), c("qy")))
-    return s.join(o, ["cy", "cx"]).filter(gap <= metres).select(key).distinct()
+    ends = ((c("ax"), c("ay")), (c("ex"), c("ey")), (c("ox"), c("oy")), (c("qx"), c("qy")))
+    # A little wider than the corridor, because a degree of longitude shrinks with latitude.
+    apart = X.boxes_apart(*ends, dx=F.lit(d * 1.1) / F.cos(F.radians(F.greatest(F.abs("ay"), F.abs("ey")))), dy=F.lit(d * 1.1))
+    return s.join(o, ["cy", "cx"]).filter(~apart & (X.segment_distance(*ends) <= metres)).select(key).distinct()
 
 
 def required_roads(features: DataFrame, major: list[str], border: DataFrame) -> DataFrame:

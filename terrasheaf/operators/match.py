@@ -184,7 +184,9 @@ def edges_at_point(points: DataFrame, shapes: DataFrame, metres: float = NEAR_X,
         points.select("source_id", "x_lat", "x_lon"), size, F.col("x_lat") - d, F.col("x_lat") + d, F.col("x_lon") - wide, F.col("x_lon") + wide
     )
     gap = X.point_segment_m(F.col("x_lon"), F.col("x_lat"), F.col("ax"), F.col("ay"), F.col("ex"), F.col("ey"))
-    pairs = p.join(seg, ["cy", "cx"]).withColumn("distance_m", gap).filter(F.col("distance_m") <= metres)
+    here = (F.col("x_lon"), F.col("x_lat"))
+    apart = X.boxes_apart((F.col("ax"), F.col("ay")), (F.col("ex"), F.col("ey")), here, here, dx=wide, dy=F.lit(d))
+    pairs = p.join(seg, ["cy", "cx"]).filter(~apart).withColumn("distance_m", gap).filter(F.col("distance_m") <= metres)
     return pairs.groupBy("source_id", F.col("graph_id").alias("receiver_id")).agg(F.min("distance_m").alias("distance_m"))
 
 

@@ -103,6 +103,16 @@ def _cross(ox: Column, oy: Column, px: Column, py: Column, qx: Column, qy: Colum
     return (px - ox) * (qy - oy) - (py - oy) * (qx - ox)
 
 
+def boxes_apart(a: tuple, b: tuple, c: tuple, d: tuple, dx=0.0, dy=0.0) -> Column:
+    """Cheap first test: the boxes of two segments are further apart than (dx, dy)."""
+    return (
+        (F.least(a[0], b[0]) > F.greatest(c[0], d[0]) + dx)
+        | (F.greatest(a[0], b[0]) < F.least(c[0], d[0]) - dx)
+        | (F.least(a[1], b[1]) > F.greatest(c[1], d[1]) + dy)
+        | (F.greatest(a[1], b[1]) < F.least(c[1], d[1]) - dy)
+    )
+
+
 def segments_meet(a: tuple, b: tuple, c: tuple, d: tuple) -> Column:
     """Do segments ab and cd share a point?  Touching counts."""
     d1, d2 = _cross(*c, *d, *a), _cross(*c, *d, *b)
@@ -128,8 +138,8 @@ def cut_crossings(shapes: DataFrame, segments: DataFrame, size: float = 0.01) ->
         {"ax": "cx0", "ay": "cy0", "ex": "dx0", "ey": "dy0"}
     )
     c = F.col
-    meet = segments_meet((c("ax"), c("ay")), (c("ex"), c("ey")), (c("cx0"), c("cy0")), (c("dx0"), c("dy0")))
-    return s.join(b, ["cy", "cx"]).filter(meet).select("graph_id", "region_id").distinct()
+    ends = ((c("ax"), c("ay")), (c("ex"), c("ey")), (c("cx0"), c("cy0")), (c("dx0"), c("dy0")))
+    return s.join(b, ["cy", "cx"]).filter(~boxes_apart(*ends) & segments_meet(*ends)).select("graph_id", "region_id").distinct()
 
 
 def polygon_strips(segments: DataFrame, strip: float) -> DataFrame:
@@ -353,8 +363,8 @@ def split_at_crossings(shapes: DataFrame, outline: DataFrame, key: str = "graph_
     sx, sy = c("qx") - c("ox"), c("qy") - c("oy")
     den = rx * sy - ry * sx
     t = ((c("ox") - c("ax")) * sy - (c("oy") - c("ay")) * sx) / den
-    meet = segments_meet((c("ax"), c("ay")), (c("ex"), c("ey")), (c("ox"), c("oy")), (c("qx"), c("qy")))
-    cuts = s.join(o, ["cy", "cx"]).filter(meet & (den != 0)).select(key, "seg", t.alias("t")).filter(c("t").between(0, 1))
+    ends = ((c("ax"), c("ay")), (c("ex"), c("ey")), (c("ox"), c("oy")), (c("qx"), c("qy")))
+    cuts = s.join(o, ["cy", "cx"]).filter(~boxes_apart(*ends) & segments_meet(*ends) & (den != 0)).select(key, "seg", t.alias("t")).filter(c("t").between(0, 1))
     cuts = cuts.groupBy(key, "seg").agg(F.collect_set("t").alias("ts"))
     rows = seg.join(cuts, [key, "seg"], "left")
     marks = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.coalesce("ts", F.array().cast("array<double>")))))

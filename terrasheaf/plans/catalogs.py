@@ -283,10 +283,12 @@ def _(t):
     return R.route_edge_audit(rows, register)
 
 
-_PROOF = """select o_orderkey as final_id, m.mode, case when o_orderkey % 5 = 0 then 'ONE_HOP' else 'DIRECT' end as method, o_orderkey % 7 <> 0 or m.mode = 'auto' as proven,
+_PROOF_OF = """select o_orderkey as final_id, '{0}' as mode, case when o_orderkey % 5 = 0 then 'ONE_HOP' else 'DIRECT' end as method, o_orderkey % 7 <> 0 or '{0}' = 'auto' as proven,
   o_orderkey + 1 as predecessor_id, o_orderkey % 11 = 0 as wrong_tail, case when o_orderkey % 13 = 0 then 3.0e0 else 0.5e0 end as start_m, case when o_orderkey % 15 = 0 then 1 else 2 end as declared_count
-  from orders cross join (select 'auto' as mode union all select 'motorcycle') m"""
-_PATHS = "select o_orderkey as final_id, concat('k', cast(case when o_orderkey % 17 = 0 then 0 else n.i end as varchar(20))) as path_key, case when o_orderkey % 19 = 0 then 3 else 2 end as expected from orders cross join (select 0 as i union all select 1) n"
+  from orders"""
+_PROOF = _PROOF_OF.format("auto") + " union all " + _PROOF_OF.format("motorcycle")
+_PATH = "select o_orderkey as final_id, concat('k', cast(case when o_orderkey % 17 = 0 then 0 else {} end as varchar(20))) as path_key, case when o_orderkey % 19 = 0 then 3 else 2 end as expected from orders"
+_PATHS = _PATH.format(0) + " union all " + _PATH.format(1)
 
 
 @query(

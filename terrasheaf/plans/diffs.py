@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import diff as D
+from ..operators import diff as D, spatial as X
 from .registry import Tables, query
 from .spatial import shape_of
 
@@ -128,7 +128,7 @@ def _(t):
     from v_windows w left join p on p.window_index = w.window_index""",
 )
 def _(t):
-    hits = t.sql("select w.window_index, a.graph_id, a.gid from v_edges_a a join v_windows w on a.lat between min_lat and max_lat and a.lon between min_lon and max_lon")
+    hits = X.window_edges(t("v_edges_a").select("graph_id", "gid", "lat", "lon"), t("v_windows"), 0.002).select("window_index", "graph_id", "gid")
     extra = t.sql("select window_index, 0 - window_index as graph_id, 1 as gid from v_windows where window_index % 6 = 0")
     raw = hits.filter("gid % 10 <> 3").unionByName(extra)
     return D.window_parity(t("v_edges_a"), t("v_windows").withColumn("requested", F.lit(60)), raw, raw.filter("gid % 4 <> 0"))

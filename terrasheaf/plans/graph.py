@@ -291,11 +291,11 @@ def _(t):
 def _(t):
     nodes = t.sql(
         """select gid * 10 as root_id, gid * 10 + k as node_id, case when gid % 9 = 0 and k = 2 then 1 else k end as depth
-        from v_seg cross join (select 0 as k union all select 1 union all select 2) x
+        from v_seg lateral view explode(array(0, 1, 2)) x as k
         union all select gid * 10, gid * 10 + 9, 3 from v_seg where gid % 8 = 0"""
     )
     links = t.sql(
-        """select gid * 10 as root_id, gid * 10 + k as node_id, gid * 10 + k + 1 as target_id from v_seg cross join (select 0 as k union all select 1) x
+        """select gid * 10 as root_id, gid * 10 + k as node_id, gid * 10 + k + 1 as target_id from v_seg lateral view explode(array(0, 1)) x as k
         union all select gid * 10, gid * 10 + 2, gid * 10 + 3 from v_seg where gid % 6 = 0 union all select gid * 10, gid * 10 + 2, gid * 10 from v_seg"""
     )
     return G.hierarchy_reach(nodes, links)
@@ -357,15 +357,15 @@ def _(t):
     bounds = t.sql(
         """select n_name as region_id, concat('s', cast((n_nationkey + d) % 25 as varchar(20))) as neighbour_source_id,
           concat('f', cast(n_nationkey as varchar(20)), '-', cast(d as varchar(20)), '-', cast(z as varchar(20))) as fingerprint
-        from nation cross join (select 1 as d union all select 24 union all select 2) x cross join (select 0 as z union all select 1) y
+        from nation lateral view explode(array(1, 24, 2)) x as d lateral view explode(array(0, 1)) y as z
         where z = 0 or (n_nationkey % 6 = 0 and d = 1)"""
     )
     cols = "pair_id from_region_id to_region_id from_boundary_fingerprint to_boundary_fingerprint validation_state".split()
     return G.reciprocal_pairs(regions, bounds).select(*cols)
 
 
-_ANCHORS = """select concat('r', cast(s_nationkey as varchar(20))) as region_id, m.mode, s_suppkey as anchor_id, s_suppkey % 3 <> 0 as is_entry, s_suppkey % 4 <> 0 as is_exit
-  from supplier cross join (select 'auto' as mode union all select 'motorcycle') m"""
+_ANCHOR = """select concat('r', cast(s_nationkey as varchar(20))) as region_id, '{}' as mode, s_suppkey as anchor_id, s_suppkey % 3 <> 0 as is_entry, s_suppkey % 4 <> 0 as is_exit from supplier"""
+_ANCHORS = _ANCHOR.format("auto") + " union all " + _ANCHOR.format("motorcycle")
 
 
 @query(

@@ -364,7 +364,7 @@ _HNODES = """select e.end_node as root_node, e.end_node * 10 + o.k as node_id, o
     select *, case when same_node > 0 then 'VIOLATION_ROOT_CONTINUATION' when other_level > 0 then 'HIERARCHY_MODE_ACCESSIBLE_ALTERNATIVES_UNRESOLVED' else 'NO_OTHER_NATIVE_MODE_ACCESSIBLE_HIERARCHY_OUTGOING' end as status from j""",
 )
 def _(t):
-    c = t.sql("select graph_id, end_node * 10 as root_node, opposing_id, mode from v_edges_a cross join (select 'auto' as mode union all select 'motorcycle') m")
+    c = t.sql("select graph_id, end_node * 10 as root_node, opposing_id, mode from v_edges_a lateral view explode(array('auto', 'motorcycle')) m as mode")
     n = t.sql(_HNODES).withColumn("root_node", F.col("root_node") * 10)
     return M.hierarchy_end_status(c, n)
 

@@ -56,9 +56,10 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_place_features(lines: DataFrame) -> DataFrame:
-    """Place features from JSON lines; a line that is no object gives a NULL feature."""
+    """Place features from JSON lines; a line that is no such object is marked broken."""
     full = lines.filter(F.trim("line") != "").withColumn("f", F.from_json(F.trim("line"), FEATURE_SCHEMA))
-    return full.select("ord", "f.id", "f.properties", "f.geometry", F.col("f").isNull().alias("broken"))
+    broken = F.coalesce("f.id", F.to_json("f.properties"), F.to_json("f.geometry")).isNull()
+    return full.select("ord", "f.id", "f.properties", "f.geometry", broken.alias("broken"))
 
 
 def read_place_features(spark: SparkSession, path: str) -> DataFrame:
