@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+MAX_RANGES = 1_000_000
+
+
 def sha256(col: Column) -> Column:
     return F.sha2(col, 256)
 
@@ -37,11 +40,14 @@ def fingerprint_lines(lines: Column) -> Column:
 def dense_ids(keys: DataFrame, ordinal: str, tie: list[str], name: str = "id", width: int = 1_000_000) -> DataFrame:
     """Number rows 1..n in (ordinal, tie) order without a one-partition window.
 
-    Rows are grouped in ordinal ranges of ``width``; a range holds a bounded
-    number of rows, is numbered on its own, and gets the count of all earlier
-    ranges as its offset.  Only the per-range counts meet in one task.
+    Rows are grouped in ordinal ranges; a range is numbered on its own and gets
+    the count of all earlier ranges as its offset.  Only the per-range counts
+    meet in one task, a million at most: a sparse ordinal (packed ids) gets wider
+    ranges than ``width``, a dense one keeps it and so bounds the rows per range.
     """
-    bucketed = keys.withColumn("_range", F.floor(F.col(ordinal) / width).cast("long"))
+    span = keys.select((F.max(ordinal) - F.min(ordinal)).alias("s")).scalar()
+    step = F.greatest(F.lit(width).cast("long"), F.ceil(span / MAX_RANGES))
+    bucketed = keys.withColumn("_range", F.floor(F.col(ordinal) / step).cast("long"))
     counts = bucketed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

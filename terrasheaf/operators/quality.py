@@ -6,7 +6,7 @@ not count, so a rule that must catch NULL says so.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import AUTO_BIT, MOTORCYCLE_BIT
 from ..functions.ids import canonical_json
@@ -331,15 +331,14 @@ def check_correlations(sides: DataFrame, candidates: DataFrame) -> DataFrame:
     """
     c = F.col
     rows = candidates.join(sides.select("side_id", c("way_id").alias("stable_way")), "side_id", "left")
-    order = Window.partitionBy("side_id").orderBy("rank")  # candidates near one anchor
-    rows = rows.withColumns({"want": F.row_number().over(order) - 1, "before": F.lag("way_match").over(order)})
+    rows = ranked_neighbours(rows, ["side_id"], "rank", F.struct("way_match"))
     found = check(
         rows,
         "side_id",
         {
-            "rank_not_contiguous": "rank <> want",
+            "rank_not_contiguous": RANK_BROKEN.format(rank="rank"),
             "way_match_wrong": "way_match <> (way_id <=> stable_way)",
-            "same_way_not_first": "way_match and not before",
+            "same_way_not_first": "way_match and not prev.way_match",
             "percent": "percent < 0 or percent > 1",
             "distance": "not coalesce(distance_m >= 0, false)",
             "heading": "heading < 0 or heading >= 360",
@@ -370,14 +369,13 @@ def check_candidates(pairs: DataFrame, candidates: DataFrame, unresolved: DataFr
     evidence flags, separation_m, heading_delta.  unresolved: pair_id, road_id.
     """
     c = F.col
-    order = Window.partitionBy("pair_id", "road_id").orderBy("rank")  # options of one road
-    rows = candidates.withColumn("want", F.row_number().over(order) - 1)
+    rows = ranked_neighbours(candidates, ["pair_id", "road_id"], "rank", F.struct("candidate_id"))
     found = check(
         rows,
         "candidate_id",
         {
             "tier": "not coalesce(tier between 0 and 4, false)",
-            "rank_not_contiguous": "rank <> want",
+            "rank_not_contiguous": RANK_BROKEN.format(rank="rank"),
             "both_match_wrong": "both_match <> (from_match and to_match)",
             "one_match_wrong": "one_match <> (from_match or to_match)",
             "same_way_wrong": "same_way <> coalesce(from_way_id = to_way_id, false)",
@@ -603,10 +601,9 @@ def check_chain_plan(plans: DataFrame, chains: DataFrame, hops: DataFrame, optio
     )
     h = hops.join(chains.select("chain_id", "regions"), "chain_id", "left")
     hop = check(h, "chain_id", {"hop_regions": "not (from_region <=> get(regions, pos) and to_region <=> get(regions, pos + 1))"})
-    cand = Window.partitionBy("chain_id", "hop_pos").orderBy("rank")  # options of one hop
     okey = F.struct(score, "tier", "source_rank", "way_id", "candidate_id")
-    o = options.withColumns({"want": F.row_number().over(cand) - 1, "own": okey, "prev": F.lag(okey).over(cand)})
-    opt = check(o, "chain_id", {"option_rank": "rank <> want", "option_metric": "not coalesce(km >= 0 and seconds >= 0, false)", "option_order": "prev > own"})
+    o = ranked_neighbours(options, ["chain_id", "hop_pos"], "rank", okey)
+    opt = check(o, "chain_id", {"option_rank": RANK_BROKEN.format(rank="rank"), "option_metric": "not coalesce(km >= 0 and seconds >= 0, false)", "option_order": "prev > own"})
     bare = hops.join(options.select("chain_id", c("hop_pos").alias("pos")).distinct(), ["chain_id", "pos"], "left_anti")
     none = plans.filter("status = 'FOUND'").join(chains.select("plan_id").distinct(), "plan_id", "left_anti")
     return union_all(

@@ -1,7 +1,6 @@
 """File readers.  Each has a ``parse_`` twin that works on rows already read.
 
-Text files are split by Spark; the input ordinal is (file, offset order) and is
-carried as a column, because the order of rows is not otherwise defined.
+Text files are split by Spark, so the input ordinal is carried as a column.
 """
 
 from __future__ import annotations
@@ -45,14 +44,22 @@ REGION_SCHEMA = (
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with ``file``, ``ord`` and ``line``.
 
-    Within a split, rows keep file order; splits of one file follow each other by
-    their start.  The ordinal is therefore the pair (partition, row) packed in a
-    long, which is unique and grows along each file.
+    The ordinal is file number, byte offset of the split and row packed in one
+    long.  It grows along each file, because a row takes at least one byte; files
+    follow each other by name.  Only file names pass through the driver.
     """
     lines = spark.read.text(path)
-    return lines.select(
-        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line")
+    names = spark.createDataFrame(list(enumerate(sorted(lines.inputFiles()))) or [(0, "")], "file_no long, file string")
+    # Local paths are written with one slash by the scan and with three by the listing.
+    names = names.withColumn("file", F.regexp_replace("file", "^file:/+", "file:/"))
+    rows = lines.select(
+        F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("row"),
+        F.col("value").alias("line"),
     )
+    ordinal = F.shiftleft("file_no", 42) + F.col("start") + F.col("row")
+    return rows.join(names, "file").select("file", ordinal.alias("ord"), "line")
 
 
 def parse_place_features(lines: DataFrame) -> DataFrame:
