@@ -9,7 +9,7 @@ from ..functions.geo import AUTO_BIT, MODES, MOTORCYCLE_BIT, PLANAR_TOPOLOGY, ha
 from . import spatial as X
 from .graph import allowed_bits
 from .rules import repeated, union_all, violations
-from ..session import cut_lineage
+from ..session import stage
 
 
 def cut_geometry(shapes: DataFrame, segments: DataFrame, key: str = "graph_id") -> DataFrame:
@@ -290,12 +290,12 @@ def correlate(candidates: DataFrame, overlaps: DataFrame, options: DataFrame) ->
     ``status`` (exactly one row per source).
     """
     bits = allowed_bits(F.col("car"), F.col("motorcycle"))
-    overlaps = cut_lineage(overlaps)  # small next to its inputs and read four times
+    overlaps = stage(overlaps, "overlaps")  # small next to its inputs and read four times
     base = candidates.select("source_id", F.col("modes").alias("source_modes"), "x_lat", "x_lon")
     upstream = overlaps.filter(F.col("status") == ENDS_AT_X).select("source_id", F.col("receiver_id").alias("predecessor_id"))
     inside = overlaps.filter(F.col("status") == MATCHED).select("source_id", F.col("receiver_id").alias("option_id"), "common_modes")
     tried = upstream.join(base, "source_id").join(options, "predecessor_id", "left")
-    tried = cut_lineage(tried.withColumn("modes", bits.bitwiseAND(F.col("source_modes")).bitwiseAND(F.col("option_access"))))
+    tried = stage(tried.withColumn("modes", bits.bitwiseAND(F.col("source_modes")).bitwiseAND(F.col("option_access"))), "tried")
     legal = successor_relation(tried.filter(F.col("modes") != 0))
     node = legal.groupBy("source_id", "option_id").agg(
         F.bit_or("modes").alias("modes"),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.ids import dense_ids, canonical_fingerprint
+from ..functions.ids import canonical_fingerprint, dense_ids
+from ..functions.lines import let
 from ..functions.text import clean_list, clean_text, normalize_text
+from ..session import stage
 from .rules import violations
 
 # Relation codes of a category link.
@@ -39,18 +41,24 @@ def full_address(address: Column) -> Column:
 def taxonomy_fields(props: Column) -> Column:
     """basic, primary, hierarchy and alternates with the older layout as fallback."""
     primary = clean_text(props["taxonomy"]["primary"])
-    primary = F.when(primary != "", primary).otherwise(clean_text(props["categories"]["primary"]))
-    alternates = clean_list(props["taxonomy"]["alternates"])
-    alternates = F.when(F.size(alternates) > 0, alternates).otherwise(clean_list(props["categories"]["alternate"]))
-    hierarchy = clean_list(props["taxonomy"]["hierarchy"])
-    missing = (primary != "") & ~F.array_contains(hierarchy, primary)
-    return F.struct(
-        clean_text(props["basic_category"]).alias("basic"),
-        primary.alias("prim"),
-        F.when(missing, F.concat(hierarchy, F.array(primary))).otherwise(hierarchy).alias("hierarchy"),
-        alternates.alias("alternates"),
+    found = F.struct(
+        F.when(primary != "", primary).otherwise(clean_text(props["categories"]["primary"])).alias("prim"),
+        clean_list(props["taxonomy"]["hierarchy"]).alias("hierarchy"),
+        clean_list(props["taxonomy"]["alternates"]).alias("alternates"),
     )
 
+    def finish(t: Column) -> Column:
+        missing = (t["prim"] != "") & ~F.array_contains(t["hierarchy"], t["prim"])
+        older = clean_list(props["categories"]["alternate"])
+        return F.struct(
+            clean_text(props["basic_category"]).alias("basic"),
+            t["prim"].alias("prim"),
+            F.when(missing, F.concat(t["hierarchy"], F.array(t["prim"]))).otherwise(t["hierarchy"]).alias("hierarchy"),
+            F.when(F.size(t["alternates"]) > 0, t["alternates"]).otherwise(older).alias("alternates"),
+        )
+
+    return let(found, finish)
+
 
 def preferred_source(sources: Column) -> Column:
     """Source with the greatest (confidence or -1, provider, dataset, record, version)."""
@@ -68,8 +76,8 @@ def preferred_source(sources: Column) -> Column:
             clean_text(s["version"]).alias("version"),
         ),
     )
-    best = F.array_max(ranked)
-    return F.struct(*[F.coalesce(best[k], F.lit("")).alias(k) for k in ("provider", "dataset", "record_id", "version")])
+    names = ("provider", "dataset", "record_id", "version")
+    return let(F.array_max(ranked), lambda best: F.struct(*[F.coalesce(best[k], F.lit("")).alias(k) for k in names]))
 
 
 def place_filter(features: DataFrame, country: str = "") -> DataFrame:
@@ -109,7 +117,7 @@ def place_key(features: DataFrame) -> DataFrame:
     raw = F.when(F.coalesce(_p("id"), F.lit("")) != "", _p("id")).otherwise(F.col("id"))
     own = clean_text(raw)
     derived = F.concat(
-        normalize_text(F.col("name")),
+        normalize_text(F.when(own == "", F.col("name"))),
         F.format_string(":%.6f:%.6f", F.col("latitude"), F.col("longitude")),
     )
     return features.withColumn("place_id", F.when(own != "", own).otherwise(derived))
@@ -226,8 +234,9 @@ def build_bridge(accepted: DataFrame, categories: DataFrame) -> DataFrame:
 
 def build_pack(features: DataFrame, country: str = "", ids: str = "dense") -> dict[str, DataFrame]:
     """All five pack tables from a place feed."""
-    records = place_records(features, country)
-    accepted = place_dedup(records)
+    # Both are read by several branches; the feed itself is parsed once.
+    records = stage(place_records(features, country), "records")
+    accepted = stage(place_dedup(records), "accepted")
     dims = build_dimensions(records, accepted, ids)
     ac, cat, src = dims["address_contexts"], dims["search_categories"], dims["search_sources"]
     named = cat.select("id", "name")

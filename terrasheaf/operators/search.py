@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import haversine_m
 from ..functions.text import normalize_text, query_tokens, words
+from ..session import stage
 from .places import ALTERNATE, HIERARCHY
 
 # Limits and weights of the two search contracts.
@@ -26,7 +27,11 @@ CATEGORY_DIRECT, CATEGORY_LINKED, PROXIMITY = 1800, 1000, 900
 
 
 def prepare_queries(queries: DataFrame) -> DataFrame:
-    """Add normal forms and tokens; queries no version may answer are dropped."""
+    """Add normal forms and tokens; queries no version may answer are dropped.
+
+    The result is staged: every branch of a search reads it, and its size decides
+    whether it is broadcast.
+    """
     q = queries.withColumns(
         {
             "q_norm": normalize_text(F.col("text"), "query"),
@@ -40,7 +45,7 @@ def prepare_queries(queries: DataFrame) -> DataFrame:
         F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)
     )
     long_enough = F.char_length("q_norm") >= 2
-    return q.filter(F.coalesce(origin_ok, F.lit(False)) & (long_enough | (F.col("cat_norm") != "")))
+    return stage(q.filter(F.coalesce(origin_ok, F.lit(False)) & (long_enough | (F.col("cat_norm") != ""))), "queries")
 
 
 def _fold_ascii(col: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import diff as D, match as M, quality as Q
 from . import graph as PG, match as PM
-from ..session import cut_lineage
+from ..session import stage
 from .registry import Tables, query
 
 SHA = "concat('sha256:', repeat('a', 64))"
@@ -175,7 +175,7 @@ def _(t):
 )
 def _(t):
     c = PM.candidates(t)
-    m = cut_lineage(M.matched_roads(PM.overlaps(t), c).drop("code", "relationship"))
+    m = stage(M.matched_roads(PM.overlaps(t), c).drop("code", "relationship"), "matched")
     s = F.col("source_id")
     per = m.groupBy("source_id").agg(F.max("x_m").alias("max_x_m"))
     disposed = c.select("source_id", "modes").join(per, "source_id", "left").filter(s % 7 != 0).withColumn("modes", F.col("modes") + F.when(s % 9 == 0, 2).otherwise(0))

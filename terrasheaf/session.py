@@ -51,3 +51,15 @@ def cut_lineage(df, eager: bool = True):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=eager)
+
+
+def stage(df, label: str):
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    For results that several branches of a plan read: they are computed once,
+    survive a lost executor, keep column pruning, and their real size is known
+    to the planner, which then broadcasts them only when they are small.
+    """
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
