@@ -64,17 +64,15 @@ def _(t):
 _OSM = """select case o_orderkey % 3 when 0 then 'n' when 1 then 'w' else 'r' end as type, o_orderkey % 5000 as id, o_orderkey as version, o_custkey as timestamp, o_orderstatus <> 'P' as visible, o_orderpriority as tag from orders"""
 
 
-@query("latest_versions", f"select * from ({_OSM}) o where visible qualify row_number() over (partition by type, id order by version desc, timestamp desc) = 1".replace("where visible qualify", "qualify"))
+@query(
+    "latest_versions",
+    f"""select type, id, version, timestamp, visible, tag from (
+      select *, row_number() over (partition by type, id order by version desc, timestamp desc) as rn from ({_OSM}) o) x where rn = 1 and visible""",
+)
 def _(t):
     return C.latest_versions(t.sql(_OSM))
 
 
-from . import registry as _r  # noqa: E402
-
-_r.ORACLES["latest_versions"] = _r.with_views(
-    f"select type, id, version, timestamp, visible, tag from (select *, row_number() over (partition by type, id order by version desc, timestamp desc) as rn from ({_OSM}) o) x where rn = 1 and visible"
-)
-
 _REL = """select concat('r', cast(s_nationkey as varchar(20))) as region_id, case s_suppkey % 3 when 0 then 'SEARCH' when 1 then 'ROUTING' else 'VISUAL' end as kind,
   concat('v', cast(s_suppkey as varchar(20))) as version, concat('2024-', cast(10 + s_suppkey % 3 as varchar(20))) as built_at, s_name as key from supplier"""
 

@@ -154,12 +154,6 @@ def _(t):
     return P.pack_counts(pack["places"], pack["address_contexts"], pack["place_categories"])
 
 
-def _links(t):
-    bridge = t("v_bridge")
-    broken = bridge.withColumn("place_id", F.when(F.crc32("place_id") % 50 == 0, "gone").otherwise(F.col("place_id")))
-    return broken
-
-
 @query(
     "orphan_links",
     """select distinct place_id, category_id, relation, ordinal from (

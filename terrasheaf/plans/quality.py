@@ -186,13 +186,12 @@ def _(t):
 
 @query(
     "scan_audit",
-    """with w as (select distinct window_index as k from v_windows)
-    select concat('to:', k) as subject, 'window_incomplete' as code from w where k % 9 = 0 union all select concat('to:', k), 'window_unscanned' from w where k % 11 = 0
-    union all select concat('to:', k), 'window_bounds' from w where k % 13 = 0 union all select cast(k as varchar), 'windows_not_aligned' from w where k % 13 = 0 or k % 17 = 0
-    union all select concat('to:', graph_id), 'access_mask' from v_edges_b where gid % 23 = 0 union all select concat('to:', graph_id), 'edge_repeated' from v_edges_b where gid % 27 = 0
-    union all select concat('from:', min(window_index)), 'window_repeated' from v_windows group by min_lat, max_lat, min_lon, max_lon having count(*) > 1
-    union all select concat('to:', min(window_index)), 'window_repeated' from v_windows where window_index % 17 <> 0 and window_index % 13 <> 0 group by min_lat, max_lat, min_lon, max_lon having count(*) > 1
-    union all select concat('to:', min(window_index)), 'window_repeated' from v_windows where window_index % 17 <> 0 and window_index % 13 = 0 group by max_lat, min_lon, max_lon having count(*) > 1""",
+    """with w as (select window_index as k, * from v_windows), b as (select * from w where k % 17 <> 0)
+    select concat('to:', k) as subject, 'window_incomplete' as code from b where k % 9 = 0 union select concat('to:', k), 'window_unscanned' from b where k % 11 = 0
+    union select concat('to:', k), 'window_bounds' from b where k % 13 = 0 union select cast(k as varchar), 'windows_not_aligned' from w where k % 13 = 0 or k % 17 = 0
+    union select concat('to:', graph_id), 'access_mask' from v_edges_b where gid % 23 = 0 union select concat('to:', graph_id), 'edge_repeated' from v_edges_b where gid % 27 = 0
+    union select concat('from:', min(k)), 'window_repeated' from w group by min_lat, max_lat, min_lon, max_lon having count(*) > 1
+    union select concat('to:', min(k)), 'window_repeated' from b group by case when k % 13 = 0 then 89 else min_lat end, max_lat, min_lon, max_lon having count(*) > 1""",
 )
 def _(t):
     w = t("v_windows")
@@ -207,16 +206,6 @@ def _(t):
     return Q.scan_audit(a.unionByName(b), e).distinct()
 
 
-from .registry import ORACLES, with_views  # noqa: E402
-
-ORACLES["scan_audit"] = with_views(
-    """with w as (select window_index as k, * from v_windows), b as (select * from w where k % 17 <> 0)
-    select concat('to:', k) as subject, 'window_incomplete' as code from b where k % 9 = 0 union select concat('to:', k), 'window_unscanned' from b where k % 11 = 0
-    union select concat('to:', k), 'window_bounds' from b where k % 13 = 0 union select cast(k as varchar), 'windows_not_aligned' from w where k % 13 = 0 or k % 17 = 0
-    union select concat('to:', graph_id), 'access_mask' from v_edges_b where gid % 23 = 0 union select concat('to:', graph_id), 'edge_repeated' from v_edges_b where gid % 27 = 0
-    union select concat('from:', min(k)), 'window_repeated' from w group by min_lat, max_lat, min_lon, max_lon having count(*) > 1
-    union select concat('to:', min(k)), 'window_repeated' from b group by case when k % 13 = 0 then 89 else min_lat end, max_lat, min_lon, max_lon having count(*) > 1"""
-)
 
 
 # --- connectivity documents -----------------------------------------------
@@ -359,10 +348,8 @@ def _(t):
 @query(
     "check_runtime",
     """with o as (select o_orderkey as k, o_custkey % 50 as pair from orders)
-    select cast(k as varchar) as subject, 'metric_missing' as code from o where k % 7 = 0 union all select cast(k as varchar), 'metric_forbidden' from o where k % 11 = 0
-    union all select cast(k as varchar), 'way_id' from o where k % 13 = 0 union all select cast(k as varchar), 'unsupported' from o where k % 17 = 0
-    union all select cast(k as varchar), 'metric_forbidden' from o where k % 17 = 0 union all select cast(pair as varchar), 'support_count' from o where pair % 6 = 0 group by pair
-    union all select cast(k as varchar), 'metric_forbidden' from o where k % 17 = 0""".replace("where k % 7 = 0", "where k % 7 = 0 and k % 17 <> 0").replace("k % 11 = 0 union", "k % 11 = 0 union"),
+    select cast(k as varchar) as subject, 'metric_missing' as code from o where k % 7 = 0 and k % 17 <> 0 union select cast(k as varchar), 'metric_forbidden' from o where k % 11 = 0 or k % 17 = 0
+    union select cast(k as varchar), 'way_id' from o where k % 13 = 0 union select cast(k as varchar), 'unsupported' from o where k % 17 = 0 union select cast(pair as varchar), 'support_count' from o where pair % 6 = 0""",
 )
 def _(t):
     from pyspark.sql import Window
@@ -378,11 +365,6 @@ def _(t):
     return Q.check_runtime(pairs, x, s1.unionByName(s2)).distinct()
 
 
-ORACLES["check_runtime"] = with_views(
-    """with o as (select o_orderkey as k, o_custkey % 50 as pair from orders)
-    select cast(k as varchar) as subject, 'metric_missing' as code from o where k % 7 = 0 and k % 17 <> 0 union select cast(k as varchar), 'metric_forbidden' from o where k % 11 = 0 or k % 17 = 0
-    union select cast(k as varchar), 'way_id' from o where k % 13 = 0 union select cast(k as varchar), 'unsupported' from o where k % 17 = 0 union select cast(pair as varchar), 'support_count' from o where pair % 6 = 0"""
-)
 
 
 @query(
