@@ -2,11 +2,36 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in Python are pickled by name, so workers must be able
+    to import the package even where it is not installed.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="terrasheaf-code-"), "terrasheaf.zip")
+    with zipfile.ZipFile(path, "w") as package:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    package.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+
 
 def local_session(cores: int | str = 8, app: str = "terrasheaf") -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
