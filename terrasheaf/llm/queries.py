@@ -2,26 +2,155 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import bpe, decontamination, quality_rules, simhash
 from .common import read_table, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Vocabulary files of public tokenizers; they are read in place and never copied.
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+
+
+def vocabulary(name: str) -> str:
+    try:
+        import public_tokenizers
+    except ModuleNotFoundError:
+        return os.path.join(TOKENIZERS, name)
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
 
 
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), decoded=True)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 @query
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stage(simhash.fingerprints(read_table(spark, sf_dir, "documents"), shingle=4), "simhash")
     return simhash.components(prints, most=4).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+# ------------------------------------------------------------------ comparison SQL
+
+_WS = r"[\x20\x09-\x0D]"
+
+ORACLES["op5_decontamination"] = r"""
+with low as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
+  from documents),
+item as (
+  select cast(item_id as varchar) item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
+  from benchmark),
+win as (
+  select distinct item_id, least(10, len(w)) n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') g
+  from (select item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) i from item where len(w) > 0)),
+sizes as (select distinct n from win),
+runs as (
+  select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') g
+  from (select doc_id, n, w, unnest(generate_series(1, len(w) - n + 1)) i from low, sizes where len(w) >= n)),
+met as (select r.doc_id, r.n, r.i, win.item_id from runs r join win on r.n = win.n and r.g = win.g),
+spot as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(generate_series(i, i + n - 1)) p from met) group by doc_id),
+named as (
+  select doc_id, count(*) n_items, array_to_string(list(item_id order by item_id), ',') items
+  from (select distinct doc_id, item_id from met) group by doc_id)
+select l.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint) n_hit, cast(coalesce(n_items, 0) as bigint) n_items,
+  sha256(coalesce(items, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from low l left join spot using (doc_id) left join named using (doc_id)
+"""
+
+
+def _op2_sql() -> str:
+    """The counts in plain SQL, and the rounds of the estimate as a recursive query."""
+    q = quality_rules
+    stop = ", ".join(f"'{w}'" for w in sorted(set(q.FUNCTION_WORDS)))
+    rules = range(1, len(q.RULES) + 1)
+    odds = "ln(prior / (1 - prior)) + " + " + ".join(f"v{j} * ln(a{j} / (1 - a{j}))" for j in rules)
+    clamp = "greatest({lo}, least({hi}, {x}))".format
+    learn = ", ".join(
+        clamp(
+            lo=q.LEAST_ACCURACY,
+            hi=q.MOST_ACCURACY,
+            x=f"(sum(n * case when v{j} > 0 then q when v{j} < 0 then 1 - q else 0 end) + {q.START_ACCURACY}) / (sum(case when v{j} <> 0 then n else 0 end) + 1)",
+        )
+        for j in rules
+    )
+    return rf"""
+with recursive cut as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_WS}+'), lambda x: x <> '') w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l,
+    cast(length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) as bigint) n_symbols
+  from documents),
+runs as (
+  select doc_id, i, array_to_string(w[i:i + 7], ' ') g
+  from (select doc_id, w, unnest(generate_series(1, len(w) - 7)) i from cut where len(w) >= 8)),
+twice as (select doc_id, g from runs group by doc_id, g having count(*) > 1),
+spots as (select doc_id, count(distinct p) n from (select r.doc_id, unnest(generate_series(r.i, r.i + 7)) p from runs r join twice using (doc_id, g)) group by doc_id),
+counts as (
+  select c.doc_id, cast(len(w) as bigint) n_words, cast(length(array_to_string(w, '')) as bigint) word_chars, n_symbols,
+    cast(len(l) - len(list_distinct(l)) as bigint) n_dup_lines, cast(coalesce(s.n, 0) as bigint) n_repeat_words, len(l) n_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '[.!?…] *$'))) n_end_lines, len(list_filter(w, lambda x: lower(x) in ({stop}))) n_function_words
+  from cut c left join spots s using (doc_id)),
+voted as (
+  select *, greatest(n_words, 1) ws, greatest(n_lines, 1) ls,
+    case when 10 * n_symbols > ws then -1 when 100 * n_symbols <= ws then 1 else 0 end v1,
+    case when 100 * n_function_words < 8 * ws then -1 when 100 * n_function_words >= 15 * ws then 1 else 0 end v2,
+    case when 100 * n_dup_lines > 30 * ls then -1 when n_dup_lines = 0 and n_lines > 2 then 1 else 0 end v3,
+    case when 100 * n_repeat_words > 20 * ws then -1 when n_repeat_words = 0 then 1 else 0 end v4,
+    case when word_chars > 9 * ws then -1 when word_chars >= 2 * ws and word_chars <= 8 * ws then 1 else 0 end v5,
+    case when 100 * n_end_lines < 40 * ls then -1 when 100 * n_end_lines >= 75 * ls then 1 else 0 end v6,
+    n_words < 20 or 100 * n_repeat_words > 30 * n_words base_failed
+  from counts),
+patterns as (select {", ".join(f"v{j}" for j in rules)}, cast(count(*) as double) n from voted group by all),
+em as (
+  select 0 i, cast({q.START_PRIOR} as double) prior, {", ".join(f"cast({q.START_ACCURACY} as double) a{j}" for j in rules)}
+  union all
+  select i + 1, {clamp(lo=0.01, hi=0.99, x="sum(n * q) / sum(n)")}, {learn}
+  from (select em.*, p.*, 1 / (1 + exp(-({odds}))) q from em, patterns p where i < {q.ROUNDS}) group by i),
+model as (select * from em where i = {q.ROUNDS})
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and 1 / (1 + exp(-({odds}))) >= 0.5 kept
+from voted, model
+"""
+
+
+ORACLES["op2_quality_rules"] = _op2_sql()
