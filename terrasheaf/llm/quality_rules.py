@@ -2,8 +2,9 @@
 
 Each rule votes +1 (good), -1 (bad) or abstains (0).  Documents with the same
 votes are counted together, expectation-maximisation over those counts (at most
-3 ** rules rows) estimates each rule's accuracy and the share of good documents,
-and a document stays if its posterior probability of being good is at least a half.
+3 ** rules rows) estimates the share of good documents and two accuracies of each
+rule, on good documents and on bad ones, and a document stays if its posterior
+probability of being good is at least a half.  An abstention tells nothing.
 Nothing is trained on labels, and no document is shuffled: only vote patterns are.
 
 Defined cases: a null or empty text has no words, fails the base rules and is
@@ -22,8 +23,9 @@ from .common import WORD_SPACE, stage
 SPACE = r"[\x20\x09-\x0D]"
 WINDOW = 8
 ROUNDS = 40
-START_PRIOR, START_ACCURACY = 0.8, 0.8
-LEAST_ACCURACY, MOST_ACCURACY = 0.55, 0.99
+# Start values and bounds: rules seldom err on good documents and catch some of the bad ones.
+START_PRIOR, START_ON_GOOD, START_ON_BAD = 0.8, 0.95, 0.4
+LEAST, MOST = 0.001, 0.999
 
 # Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = (
@@ -103,25 +105,55 @@ def votes() -> list[Column]:
     return [
         vote(10 * F.col("n_symbols") > words, 100 * F.col("n_symbols") <= words),
         vote(100 * F.col("n_function_words") < 8 * words, 100 * F.col("n_function_words") >= 15 * words),
-        vote(100 * F.col("n_dup_lines") > 30 * lines, (F.col("n_dup_lines") == 0) & (F.col("n_lines") > 2)),
-        vote(100 * F.col("n_repeat_words") > 20 * words, F.col("n_repeat_words") == 0),
+        vote(100 * F.col("n_dup_lines") > 50 * lines, (F.col("n_dup_lines") == 0) & (F.col("n_lines") > 2)),
+        vote(100 * F.col("n_repeat_words") > 30 * words, F.col("n_repeat_words") == 0),
         vote(F.col("word_chars") > 9 * words, (F.col("word_chars") >= 2 * words) & (F.col("word_chars") <= 8 * words)),
         vote(100 * F.col("n_end_lines") < 40 * lines, 100 * F.col("n_end_lines") >= 75 * lines),
     ]
 
 
-def _weight(share: Column) -> Column:
-    return F.log(share / (F.lit(1.0) - share))
+def _posterior(given: Column, model: Column) -> Column:
+    """Probability of being good, given votes and a model (prior, on_good, on_bad)."""
+    told = F.transform(
+        given,
+        lambda v, j: F.when(v > 0, F.log(F.get(model["on_good"], j) / (1 - F.get(model["on_bad"], j))))
+        .when(v < 0, F.log((1 - F.get(model["on_good"], j)) / F.get(model["on_bad"], j)))
+        .otherwise(0.0),
+    )
+    odds = F.aggregate(told, F.log(model["prior"] / (1 - model["prior"])), lambda s, x: s + x)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
-def _posterior(given: Column, prior: Column, accuracies: Column) -> Column:
-    told = F.zip_with(given, accuracies, lambda v, a: v * _weight(a))
-    odds = F.aggregate(told, _weight(prior), lambda s, x: s + x)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
+def _sum(values: Column, start: float = 0.0) -> Column:
+    return F.aggregate(values, F.lit(start), lambda a, x: a + x)
+
+
+def _clamp(x: Column, lo, hi) -> Column:
+    return F.greatest(F.lit(lo) if isinstance(lo, float) else lo, F.least(F.lit(hi), x))
+
+
+def _maximised(scored: Column) -> Column:
+    """The model that fits patterns (given, n, q) best; one start vote is added to each share."""
+
+    def share(weight, j: int, sign: int, start: float) -> Column:
+        vote = lambda x: F.get(x["given"], F.lit(j))
+        right = F.transform(scored, lambda x: F.when(vote(x) == sign, weight(x)).otherwise(0.0))
+        cast = F.transform(scored, lambda x: F.when(vote(x) != 0, weight(x)).otherwise(0.0))
+        return _sum(right, start) / _sum(cast, 1.0)
+
+    good, bad = lambda x: x["n"] * x["q"], lambda x: x["n"] * (1 - x["q"])
+    total = _sum(F.transform(scored, lambda x: x["n"]))
+    prior = _clamp(F.when(total > 0, _sum(F.transform(scored, good)) / total).otherwise(START_PRIOR), 0.01, 0.99)
+    on_good = [_clamp(share(good, j, 1, START_ON_GOOD), 0.5, MOST) for j in range(len(RULES))]
+    # A vote never counts against what it says: both accuracies together are 1 at least.
+    on_bad = [
+        _clamp(F.greatest(share(bad, j, -1, START_ON_BAD), 1 - on_good[j]), LEAST, MOST) for j in range(len(RULES))
+    ]
+    return F.struct(prior.alias("prior"), F.array(*on_good).alias("on_good"), F.array(*on_bad).alias("on_bad"))
 
 
 def estimate(patterns: DataFrame) -> DataFrame:
-    """One row (prior, accuracies) from rows (given: array of votes, n: documents).
+    """One row (model) from rows (given: array of votes, n: documents).
 
     All rounds are one expression over the array of patterns, whose length
     3 ** rules bounds; no document is looked at here.
@@ -129,44 +161,21 @@ def estimate(patterns: DataFrame) -> DataFrame:
     held = patterns.select(F.struct("given", F.col("n").cast("double").alias("n")).alias("p")).agg(
         F.sort_array(F.collect_list("p")).alias("all")
     )
-    add = lambda a, x: a + x
-    clamp = lambda x, lo, hi: F.greatest(F.lit(lo), F.least(F.lit(hi), x))
 
-    def again(state: Column, _: Column) -> Column:
+    def again(model: Column, _: Column) -> Column:
         scored = F.transform(
             "all",
-            lambda p: F.struct(
-                p["given"].alias("given"),
-                p["n"].alias("n"),
-                _posterior(p["given"], state["prior"], state["accuracies"]).alias("q"),
-            ),
+            lambda p: F.struct(p["given"].alias("given"), p["n"].alias("n"), _posterior(p["given"], model).alias("q")),
         )
-
         # An array of one element names the scored patterns, so they are computed once a round.
-        def maximised(w: Column) -> Column:
-            total = F.aggregate(F.transform(w, lambda x: x["n"]), F.lit(0.0), add)
-            good = F.aggregate(F.transform(w, lambda x: x["n"] * x["q"]), F.lit(0.0), add)
-
-            def accuracy(j: int) -> Column:
-                v = lambda x: F.get(x["given"], F.lit(j))
-                right = F.transform(
-                    w, lambda x: x["n"] * F.when(v(x) > 0, x["q"]).when(v(x) < 0, 1 - x["q"]).otherwise(0.0)
-                )
-                cast = F.transform(w, lambda x: F.when(v(x) != 0, x["n"]).otherwise(0.0))
-                # One vote is added as right at the start accuracy, so a silent rule keeps it.
-                share = (F.aggregate(right, F.lit(START_ACCURACY), add)) / F.aggregate(cast, F.lit(1.0), add)
-                return clamp(share, LEAST_ACCURACY, MOST_ACCURACY)
-
-            prior = clamp(F.when(total > 0, good / total).otherwise(START_PRIOR), 0.01, 0.99)
-            return F.struct(prior.alias("prior"), F.array(*[accuracy(j) for j in range(len(RULES))]).alias("accuracies"))
-
-        return F.get(F.transform(F.array(scored), maximised), F.lit(0))
+        return F.get(F.transform(F.array(scored), _maximised), F.lit(0))
 
     start = F.struct(
-        F.lit(START_PRIOR).alias("prior"), F.array(*[F.lit(START_ACCURACY)] * len(RULES)).alias("accuracies")
+        F.lit(START_PRIOR).alias("prior"),
+        F.array(*[F.lit(START_ON_GOOD)] * len(RULES)).alias("on_good"),
+        F.array(*[F.lit(START_ON_BAD)] * len(RULES)).alias("on_bad"),
     )
-    done = held.select(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, again).alias("s"))
-    return done.select("s.prior", "s.accuracies")
+    return held.select(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, again).alias("model"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,9 +187,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     # One row by construction, so the side that is sent to every task is bounded.
     learned = stage(estimate(patterns), "quality-model")
     scored = voted.crossJoin(F.broadcast(learned)).withColumn(
-        "quality", _posterior(F.col("given"), F.col("prior"), F.col("accuracies"))
+        "quality", _posterior(F.col("given"), F.col("model"))
     )
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5)).drop("prior", "accuracies")
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5)).drop("model")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -197,5 +206,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), "text")
     found = measures(held).withColumn("given", F.array(*votes())).crossJoin(F.broadcast(learned))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    good = found.where(~failed & (_posterior(F.col("given"), F.col("prior"), F.col("accuracies")) >= 0.5))
+    good = found.where(~failed & (_posterior(F.col("given"), F.col("model")) >= 0.5))
     return good.select("doc_id.*")

@@ -104,16 +104,19 @@ def _op2_sql() -> str:
     q = quality_rules
     stop = ", ".join(f"'{w}'" for w in sorted(set(q.FUNCTION_WORDS)))
     rules = range(1, len(q.RULES) + 1)
-    odds = "ln(prior / (1 - prior)) + " + " + ".join(f"v{j} * ln(a{j} / (1 - a{j}))" for j in rules)
-    clamp = "greatest({lo}, least({hi}, {x}))".format
-    learn = ", ".join(
-        clamp(
-            lo=q.LEAST_ACCURACY,
-            hi=q.MOST_ACCURACY,
-            x=f"(sum(n * case when v{j} > 0 then q when v{j} < 0 then 1 - q else 0 end) + {q.START_ACCURACY}) / (sum(case when v{j} <> 0 then n else 0 end) + 1)",
-        )
-        for j in rules
+    odds = "ln(prior / (1 - prior)) + " + " + ".join(
+        f"case when v{j} > 0 then ln(g{j} / (1 - b{j})) when v{j} < 0 then ln((1 - g{j}) / b{j}) else 0 end" for j in rules
     )
+    good = {
+        j: f"greatest(0.5, least({q.MOST}, (sum(case when v{j} > 0 then n * q else 0 end) + {q.START_ON_GOOD}) / (sum(case when v{j} <> 0 then n * q else 0 end) + 1)))"
+        for j in rules
+    }
+    bad = {
+        j: f"greatest({q.LEAST}, least({q.MOST}, greatest(1 - {good[j]}, (sum(case when v{j} < 0 then n * (1 - q) else 0 end) + {q.START_ON_BAD}) / (sum(case when v{j} <> 0 then n * (1 - q) else 0 end) + 1))))"
+        for j in rules
+    }
+    learn = ", ".join(f"{good[j]}, {bad[j]}" for j in rules)
+    begin = ", ".join(f"cast({q.START_ON_GOOD} as double) g{j}, cast({q.START_ON_BAD} as double) b{j}" for j in rules)
     return rf"""
 with recursive cut as (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_WS}+'), lambda x: x <> '') w,
@@ -134,17 +137,17 @@ voted as (
   select *, greatest(n_words, 1) ws, greatest(n_lines, 1) ls,
     case when 10 * n_symbols > ws then -1 when 100 * n_symbols <= ws then 1 else 0 end v1,
     case when 100 * n_function_words < 8 * ws then -1 when 100 * n_function_words >= 15 * ws then 1 else 0 end v2,
-    case when 100 * n_dup_lines > 30 * ls then -1 when n_dup_lines = 0 and n_lines > 2 then 1 else 0 end v3,
-    case when 100 * n_repeat_words > 20 * ws then -1 when n_repeat_words = 0 then 1 else 0 end v4,
+    case when 100 * n_dup_lines > 50 * ls then -1 when n_dup_lines = 0 and n_lines > 2 then 1 else 0 end v3,
+    case when 100 * n_repeat_words > 30 * ws then -1 when n_repeat_words = 0 then 1 else 0 end v4,
     case when word_chars > 9 * ws then -1 when word_chars >= 2 * ws and word_chars <= 8 * ws then 1 else 0 end v5,
     case when 100 * n_end_lines < 40 * ls then -1 when 100 * n_end_lines >= 75 * ls then 1 else 0 end v6,
     n_words < 20 or 100 * n_repeat_words > 30 * n_words base_failed
   from counts),
 patterns as (select {", ".join(f"v{j}" for j in rules)}, cast(count(*) as double) n from voted group by all),
 em as (
-  select 0 i, cast({q.START_PRIOR} as double) prior, {", ".join(f"cast({q.START_ACCURACY} as double) a{j}" for j in rules)}
+  select 0 i, cast({q.START_PRIOR} as double) prior, {begin}
   union all
-  select i + 1, {clamp(lo=0.01, hi=0.99, x="sum(n * q) / sum(n)")}, {learn}
+  select i + 1, greatest(0.01, least(0.99, sum(n * q) / sum(n))), {learn}
   from (select em.*, p.*, 1 / (1 + exp(-({odds}))) q from em, patterns p where i < {q.ROUNDS}) group by i),
 model as (select * from em where i = {q.ROUNDS})
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
