@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, quality_rules, simhash
+from . import bpe, decontamination, importance, quality_rules, simhash, span_dedup
 from .common import read_table, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,17 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = span_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", "n_sentences", "n_removed")
+
+
+@query
+def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 # ------------------------------------------------------------------ comparison SQL
 
 _WS = r"[\x20\x09-\x0D]"
@@ -157,3 +168,28 @@ from voted, model
 
 
 ORACLES["op2_quality_rules"] = _op2_sql()
+
+ORACLES["op9_span_dedup"] = rf"""
+with cut as (
+  select doc_id, text, list_filter(string_split(regexp_replace(text, '([.!?…]+{_WS}+|\n{_WS}*)', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') s
+  from documents),
+plain as (select doc_id, text, s, list_transform(s, lambda x: trim(regexp_replace(x, '{_WS}+', ' ', 'g'))) p from cut),
+sized as (select *, list_transform(p, lambda x: case when x = '' then 0 else len(string_split(x, ' ')) end) z from plain),
+starts as (select doc_id, text, p, z, unnest(generate_series(1, len(p))) i from sized where len(p) > 0),
+runs as (
+  select doc_id, i, n, array_to_string(p[i:i + n - 1], chr(10)) g
+  from (
+    select *, case when z[i] >= {span_dedup.WORDS} then 1 when i + 1 <= len(p) and z[i] + z[i + 1] >= {span_dedup.WORDS} then 2
+      when i + 2 <= len(p) and z[i] + z[i + 1] + z[i + 2] >= {span_dedup.LEAST_WORDS} then 3 else 0 end n
+    from starts)
+  where n > 0),
+ranked as (select *, row_number() over (partition by g order by doc_id, i) nth from runs),
+gone as (select distinct doc_id, unnest(generate_series(i, i + n - 1)) k from ranked where nth > 1),
+kept as (
+  select c.doc_id, len(s) n_sentences, count(g.k) n_removed, string_agg(case when g.k is null then s[c.i] end, '' order by c.i) t
+  from (select doc_id, s, unnest(generate_series(1, len(s))) i from cut where len(s) > 0) c left join gone g on g.doc_id = c.doc_id and g.k = c.i
+  group by all)
+select d.doc_id, case when coalesce(k.n_removed, 0) > 0 then regexp_replace(coalesce(k.t, ''), '{_WS}+$', '') else d.text end as text,
+  cast(coalesce(k.n_sentences, 0) as bigint) n_sentences, cast(coalesce(k.n_removed, 0) as bigint) n_removed
+from documents d left join kept k on k.doc_id = d.doc_id
+"""
