@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from .common import map_texts
 
 # White space as the vocabulary's normaliser and splitter see it, and its split pattern.
-SPACES = "\t-\r \x85\xa0  -     　"
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACES}\p{{L}}\p{{N}}]+"
 
 LONG_WORD = 1024  # symbols; a longer word goes through a heap, whose cost is not rounds x length

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, importance, quality_rules, simhash, span_dedup
-from .common import read_table, stage
+from . import bpe, decontamination, importance, quality_rules, simhash, span_dedup, token_files
+from .common import read_table, run_dir, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "token-files")
+    token_files.write_token_files(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), path)
+    return token_files.with_crc32(token_files.read_token_files(spark, path))
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
