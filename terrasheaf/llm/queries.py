@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, importance, quality_rules, simhash, span_dedup, token_files
+from . import (
+    bpe,
+    decontamination,
+    html_text,
+    importance,
+    language_id,
+    quality_rules,
+    simhash,
+    span_dedup,
+    token_files,
+    url_filter,
+)
 from .common import read_table, run_dir, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +43,24 @@ def query(fn):
     return fn
 
 
+RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+# The list of blocked URLs is derived from the pages: all URLs of hosts that hold one of these names.
+LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills)\."
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    listed = pages.select("url").where(url_filter.host_of(F.col("url")).rlike(LISTED_HOSTS))
+    return url_filter.judge(pages, RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
@@ -69,6 +98,20 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~language_id.held_out("doc_id")))
+    told = language_id.predict(docs, model)
+    return told.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(read_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stage(simhash.fingerprints(read_table(spark, sf_dir, "documents"), shingle=4), "simhash")
@@ -200,3 +243,26 @@ select d.doc_id, case when coalesce(k.n_removed, 0) > 0 then regexp_replace(coal
   cast(coalesce(k.n_sentences, 0) as bigint) n_sentences, cast(coalesce(k.n_removed, 0) as bigint) n_removed
 from documents d left join kept k on k.doc_id = d.doc_id
 """
+
+ORACLES["op1_url_filter"] = r"""
+with cut as (
+  select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end rest from pages),
+parts as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path,
+    list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'),
+      lambda p: p <> '' and not regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) asked
+  from cut),
+named as (
+  select *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\\.', '') || regexp_replace(path, '/+$', '')
+    || case when len(asked) > 0 then '?' || array_to_string(asked, '&') else '' end canonical
+  from parts),
+listed as (select distinct canonical from named where canonical <> '' and regexp_matches(host, '(^|\\.)(spam-farm|cheap-pills)\\.')),
+rules(host, path, verdict) as (
+  values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fit as (
+  select n.page_id, r.host || r.path as rule, r.verdict, row_number() over (partition by n.page_id order by length(r.host || r.path) desc) nth
+  from named n join rules r on (n.host = r.host or ends_with(n.host, '.' || r.host)) and starts_with(n.path, r.path))
+select n.page_id, n.host, n.path, f.rule, coalesce(f.verdict, case when l.canonical is not null then 'block' else 'allow' end) verdict
+from named n left join fit f on f.page_id = n.page_id and f.nth = 1 left join listed l using (canonical)
+""".replace("\\\\", "\\")
