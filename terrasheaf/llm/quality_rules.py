@@ -195,16 +195,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns.
 
-    The model is learned in a first pass; the second pass measures each text
-    again beside its row, so no text is shuffled and repeated ids do no harm.
+    Rows are written once with their votes: the model is learned from the votes
+    and applied to the same rows, so no text is measured twice or shuffled, and
+    repeated ids do no harm.
     """
-    patterns = measures(docs).select(F.array(*votes()).alias("given")).groupBy("given").agg(F.count("*").alias("n"))
-    learned = stage(estimate(patterns), "quality-model")
-    row = "_row"
-    while row in docs.columns:
-        row += "_"
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), "text")
-    found = measures(held).withColumn("given", F.array(*votes())).crossJoin(F.broadcast(learned))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    good = found.where(~failed & (_posterior(F.col("given"), F.col("model")) >= 0.5))
-    return good.select("doc_id.*")
+    found = measures(held).select("doc_id", failed.alias("base_failed"), F.array(*votes()).alias("given"))
+    voted = stage(found, "quality-rows")
+    learned = stage(estimate(voted.groupBy("given").agg(F.count("*").alias("n"))), "quality-model")
+    scored = voted.where(~F.col("base_failed")).crossJoin(F.broadcast(learned))
+    return scored.where(_posterior(F.col("given"), F.col("model")) >= 0.5).select("doc_id.*")
