@@ -7,6 +7,11 @@ equal bits of neighbours factored into upper nodes, whole groups pruned by the
 differences accumulated from the root.  Buckets yield spanning links only, so a
 dense group never makes all its pairs.
 
+Several fingerprints per document (``prints``) sharpen the estimate: two
+documents link if one of their fingerprints differs in at most ``most`` bits and
+all of them together in at most ``total``.  With one fingerprint the first
+condition is all there is.
+
 Defined cases: a null or empty text has no shingle and fingerprint zero, linked
 like any other; a text with fewer words than a shingle is one shingle; repeated
 rows have equal fingerprints and fall into one component; a null doc_id is
@@ -30,42 +35,63 @@ from .common import connected_components, map_texts, merge_labels, ship, stage,
 BITS, SEED = 64, 42
 LEAF, FANOUT = 16, 8
 FRONTIER = 1 << 21  # (query, leaf) pairs looked at together
-BATCH_ROWS = 1 << 20  # bucket rows indexed together
+BATCH_ROWS = 1 << 18  # bucket rows indexed together
+BUCKET_ROWS = 1 << 16  # codes above which a bucket is dealt again
+# Near copies: 42 of 256 bits apart is an angle whose cosine is that of word
+# shingle sets of Jaccard similarity 0.77; the spread of the estimate is 0.03.
+MOST, PRINTS, TOTAL = 7, 4, 42
 
 
 # ---------------------------------------------------------------- fingerprints
 
 
-def fingerprint_of(text: str | None, shingle: int) -> int:
+def fingerprint_of(text: str | None, shingle: int, prints: int = 1) -> list[int]:
+    """The 64-bit fingerprints of a text as signed integers.
+
+    The first takes the shingle hashes as they are, the others mix them anew.
+    """
     words = words_of(text)
     if not words:
-        return 0
+        return [0] * prints
     line = b" ".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
     n = max(1, len(words) - shingle + 1)
     first, last = (ends - sizes)[:n].tolist(), ends[-n:].tolist()
-    counts = np.zeros(BITS, np.int64)
+    counts = np.zeros((prints, BITS), np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, n, 1 << 16):
         part = [digest(line[a:b], SEED) for a, b in zip(first[at : at + (1 << 16)], last[at : at + (1 << 16)])]
-        octets = np.array(part, "<u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
+        hashes = np.array(part, "<u8")
+        for k in range(prints):
+            octets = (_mixed(hashes, k) if k else hashes).view(np.uint8).reshape(-1, 8)
+            counts[k] += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > n, axis=1, bitorder="little").view("<i8").ravel().tolist()
+
+
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes that do not depend on each other for different ``k``."""
+    x = hashes ^ np.uint64(0x9E3779B97F4A7C15 * k % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) with the 64-bit fingerprint as a signed long, one per input row."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 4, prints: int = 1, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, fp, more): the first fingerprint and an array of the others, one row per input row."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            fps = [fingerprint_of(t, shingle) for t in batch.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = [fingerprint_of(t, shingle, prints) for t in batch.column(1).to_pylist()]
+            more = pa.array([f[1:] for f in fps], pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in fps], pa.int64()), more], ["doc_id", "fp", "more"])
 
         return step
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs, {"doc_id": id_col, "text": text_col}, f"doc_id {kind}, fp long", make)
+    return map_texts(docs, {"doc_id": id_col, "text": text_col}, f"doc_id {kind}, fp long, more array<long>", make)
 
 
 # ----------------------------------------------------------------------- index
@@ -118,8 +144,8 @@ class GrayIndex:
         self.levels = levels
         self.leaves = np.bincount(self.root[levels[0]["lo"]], minlength=len(first))[self.root]
 
-    def link(self, most: int, item: np.ndarray, lab: np.ndarray) -> None:
-        """Union items whose codes differ in at most ``most`` bits.
+    def link(self, most: int, item: np.ndarray, lab: np.ndarray, whole: np.ndarray | None, total: int) -> None:
+        """Union items whose codes differ in at most ``most`` bits (and all in ``whole`` in at most ``total``).
 
         ``item`` gives each code's place in ``lab``, the array of set roots.
         Groups that already are in the set of the query are skipped: they can
@@ -131,6 +157,9 @@ class GrayIndex:
             base = load[begin - 1] if begin else 0
             stop = max(begin + 1, int(np.searchsorted(load, base + FRONTIER, "right")))
             i, j = self._near(np.arange(begin, stop), most, item, lab)
+            if whole is not None and len(i):
+                near = np.bitwise_count(whole[i] ^ whole[j]).sum(axis=1) <= total
+                i, j = i[near], j[near]
             if len(i):
                 merge_labels(lab, item[i], item[j])
             begin = stop
@@ -169,13 +198,14 @@ class GrayIndex:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def spanning_links(bucket: np.ndarray, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (code, smaller code) that connect the same codes as all links within buckets."""
+def spanning_links(
+    bucket: np.ndarray, codes: np.ndarray, most: int, node: np.ndarray, whole: np.ndarray | None = None, total: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, smaller node) that connect the same nodes as all links within buckets."""
     order = np.lexsort((gray_rank(codes), bucket))
-    bucket, codes = bucket[order], codes[order]
-    names, item = np.unique(codes, return_inverse=True)
+    names, item = np.unique(node[order], return_inverse=True)
     lab = np.arange(len(names))
-    GrayIndex(bucket, codes).link(most, item, lab)
+    GrayIndex(bucket[order], codes[order]).link(most, item, lab, None if whole is None else whole[order], total)
     child = np.flatnonzero(lab != np.arange(len(names)))
     return names[child], names[lab[child]]
 
@@ -193,83 +223,89 @@ def _block_keys(fp, most: int, salt):
     return F.array(*parts)
 
 
-def links(codes: DataFrame, most: int = 4, bucket_rows: int = 65536) -> DataFrame:
-    """Spanning links (a, b) between the distinct ``fp`` of ``codes``.
+def links(codes: DataFrame, most: int = 4, total: int = 0, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Spanning links (a, b) between the distinct rows (node, fp, more) of ``codes``.
 
     By the pigeonhole rule two codes that differ in at most ``most`` bits agree
     in one of ``most + 1`` blocks of bits.  A bucket of more than
     ``bucket_rows`` codes is dealt again by the blocks of a rotated code, where
     the same rule holds, so nothing is lost by the split.
     """
-    keyed = stage(codes.select("fp", F.explode(_block_keys(F.col("fp"), most, None)).alias("key")), "simhash-keys")
+    each = codes.select("node", F.array_insert("more", 1, F.col("fp")).alias("all"))
+    each = each.select("node", "all", F.posexplode("all").alias("nth", "code"))
+    keyed = stage(each.select("node", "all", "code", F.explode(_block_keys(F.col("code"), most, F.col("nth"))).alias("key")), "simhash-keys")
     hot = stage(keyed.groupBy("key").count().where(F.col("count") > bucket_rows).select("key"), "simhash-hot")
     if hot.limit(1).count():
-        turned = F.shiftleft("fp", 5).bitwiseOR(F.shiftrightunsigned("fp", BITS - 5))
+        turned = F.shiftleft("code", 5).bitwiseOR(F.shiftrightunsigned("code", BITS - 5))
         again = keyed.join(hot, "key", "left_semi").select(
-            "fp", F.explode(_block_keys(turned, most, F.col("key"))).alias("key")
+            "node", "all", "code", F.explode(_block_keys(turned, most, F.col("key"))).alias("key")
         )
-        keyed = keyed.join(hot, "key", "left_anti").select("fp", "key").union(again)
+        keyed = keyed.join(hot, "key", "left_anti").select("node", "all", "code", "key").union(again)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, np.ndarray]] = []
+        kept: list[tuple[np.ndarray, ...]] = []
         rows = 0
 
         def flush(upto_last: bool):
             nonlocal kept, rows
-            key = np.concatenate([k for k, _ in kept])
-            fp = np.concatenate([f for _, f in kept])
+            key, node, code, whole = (np.concatenate(c) for c in zip(*kept))
             cut = len(key) if upto_last else int(np.searchsorted(key, key[-1]))
-            kept, rows = [(key[cut:], fp[cut:])], len(key) - cut
+            kept, rows = [(key[cut:], node[cut:], code[cut:], whole[cut:])], len(key) - cut
             if not cut:
                 return None
-            a, b = spanning_links(key[:cut], fp[:cut].view(np.uint64), most)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+            more = whole[:cut].view(np.uint64) if whole.shape[1] > 1 else None
+            a, b = spanning_links(key[:cut], code[:cut].view(np.uint64), most, node[:cut], more, total)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for batch in batches:
             if batch.num_rows:
-                kept.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-                rows += batch.num_rows
+                n = batch.num_rows
+                whole = batch.column(3).flatten().to_numpy().reshape(n, -1)
+                kept.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), whole))
+                rows += n
             if rows > BATCH_ROWS and (out := flush(False)):
                 yield out
         if rows and (out := flush(True)):
             yield out
 
     ship(codes.sparkSession)
-    dealt = keyed.select("key", "fp").repartition("key").sortWithinPartitions("key")
+    dealt = keyed.select("key", "node", "code", "all").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(search, "a long, b long")
 
 
-def components(prints: DataFrame, most: int = 4, bucket_rows: int = 65536) -> DataFrame:
-    """(doc_id, fp, component_id) for rows (doc_id, fp).
+def components(prints: DataFrame, most: int = 4, total: int = 0, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(doc_id, fp, component_id) for rows (doc_id, fp, more).
 
-    component_id is the smallest doc_id that links of at most ``most`` differing
-    bits reach, the document's own included.
+    component_id is the smallest doc_id that links reach, the document's own included.
     """
-    codes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-codes")
-    tree = stage(connected_components(links(codes, most, bucket_rows)), "simhash-tree")
-    held = tree.join(codes, tree["node"] == codes["fp"]).select("node", "root", "least")
+    # A single fingerprint names itself; several are named by their hash.
+    node = F.when(F.size("more") == 0, F.col("fp")).otherwise(F.xxhash64("fp", "more"))
+    named = prints.select("doc_id", "fp", "more", node.alias("node"))
+    codes = stage(named.groupBy("node", "fp", "more").agg(F.min("doc_id").alias("least")), "simhash-codes")
+    tree = stage(connected_components(links(codes, most, total, bucket_rows)), "simhash-tree")
+    held = tree.join(codes.select("node", "least"), "node")
     least = stage(held.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
-    named = stage(tree.join(least, "root").select(F.col("node").alias("fp"), "component_id"), "simhash-names")
+    linked = stage(tree.join(least, "root").select("node", "component_id"), "simhash-linked")
     names = stage(
-        codes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")),
-        "simhash-codes",
+        codes.join(linked, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")),
+        "simhash-names",
     )
-    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
+    return named.join(names, "node").select("doc_id", "fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, most: int = 7, bucket_rows: int = 65536) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, most: int = MOST, prints: int = PRINTS, total: int = TOTAL) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``."""
-    return components(stage(fingerprints(docs, shingle), "simhash"), most, bucket_rows)
+    return components(stage(fingerprints(docs, shingle, prints), "simhash"), most, total)
 
 
-def deduplicate(docs: DataFrame, shingle: int = 5, most: int = 7) -> DataFrame:
+def deduplicate(docs: DataFrame, shingle: int = 5, most: int = MOST, prints: int = PRINTS, total: int = TOTAL) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, with all columns.
 
     The document whose id names the component stays.  Rows that repeat one
     doc_id count as one document; of them the one with the smallest text hash
     stays.  Rows without a doc_id stay as they are.
     """
-    first = near_duplicates(docs, shingle, most).where("doc_id = component_id").select(
+    first = near_duplicates(docs, shingle, most, prints, total).where("doc_id = component_id").select(
         F.col("doc_id").alias("_keep_id")
     ).distinct()
     met = docs.join(first, docs["doc_id"] == first["_keep_id"], "left_semi")
