@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 
 from .common import by_bytes, ship, stage
 
-MAGIC, BLOCK, PERCENTILE = b"PFB1", 1024, 0.9
+MAGIC, BLOCK, PERCENTILE = b"PFB1", 4096, 0.9
 FILE_IDS = 1 << 20
 END_ID = 0
-KNOWN_PIECES, KNOWN_LENGTH = 400_000, 48
+KNOWN_PIECES, KNOWN_LENGTH = 900_000, 48
 # White space of the byte-level pre-tokeniser.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 FIRST = "\ud800"  # a lone surrogate, which no text holds
@@ -180,6 +180,13 @@ class Encoder:
         self.odd = re.compile("[" + SPACES.replace(" ", "").replace("\t-\r", "\t\x0b-\r") + "]")
         self.pieces = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
         self.known: dict[str, bytes] = {}
+        self.long: list[str] = []
+        # Tokens that begin with a space or line end; the library writes these bytes as the letters 0x120 and 0x10A.
+        vocabulary = self.library.get_vocab()
+        self.opens = {mark: np.zeros(1 + max(vocabulary.values()), bool) for mark in " \n"}
+        for token, number in vocabulary.items():
+            for mark, letter in ((" ", chr(0x120)), ("\n", chr(0x10A))):
+                self.opens[mark][number] = token.startswith(letter)
 
     def _cut(self, text: str) -> list[str]:
         """Keys of the pieces of a text."""
@@ -217,44 +224,62 @@ class Encoder:
     def _table(self, wanted: set[str]) -> dict[str, bytes]:
         """Ids of the wanted keys.  When too many are known, those of this batch stay."""
         known = self.known
+        for p in self.long:  # rare long pieces of the last batch
+            del known[p]
+        self.long = []
         if len(known) > KNOWN_PIECES:
             self.known = known = {p: known[p] for p in wanted if p in known}
+        missing = wanted.difference(known)
+        if not missing:
+            return known
         # A row of stops behind a letter or digit is a token of its own, so the rest is looked up without it.
-        tails: dict[str, str] = {}
-        missing: set[str] = set()
-        for p in wanted:
-            if p not in known:
-                base = p.rstrip(".,;:!?")
-                if len(base) < len(p) and base and base[-1].isalnum():
-                    tails[p] = base
-                    p = base
-                    if p in known:
-                        continue
-                missing.add(p)
+        tails: list[tuple[str, str]] = []
+        plain: set[str] = set()
+        for p in missing:
+            base = p.rstrip(".,;:!?")
+            if base != p and base and base[-1].isalnum():
+                tails.append((p, base))
+                p = base
+            plain.add(p)
+        found = self._encode_keys(plain.difference(known))
+        marks: dict[str, bytes] = {}
+        for p, base in tails:
+            stop = p[len(base) :]
+            if stop not in marks:
+                marks[stop] = self._ids([stop])[0]
+            found[p] = (known.get(base) or found[base]) + marks[stop]
+        known.update(found)
+        self.long = [p for p in found if len(p) > KNOWN_LENGTH] if len(max(found, key=len)) > KNOWN_LENGTH else []
+        return known
+
+    def _encode_keys(self, keys: set[str]) -> dict[str, bytes]:
+        """Ids of new keys; many pieces go to the library as one text, cut again where a piece's white space stands."""
         found: dict[str, bytes] = {}
-        self._encode_keys(list(missing), found)
-        stops = {p[len(base) :] for p, base in tails.items()}
-        marks = dict(zip(stops, self._ids(list(stops))))
-        for p, base in tails.items():
-            found[p] = (known[base] if base in known else found[base]) + marks[p[len(base) :]]
-        known.update((p, i) for p, i in found.items() if len(p) <= KNOWN_LENGTH)
-        return known | found if any(len(p) > KNOWN_LENGTH for p in found) else known
-
-    def _encode_keys(self, keys: list[str], found: dict[str, bytes]) -> None:
-        """Ids of new keys; many pieces go to the library as one text, cut again by token starts."""
-        text_of = lambda k: k[1:] if k[0] == FIRST else k if k[0] in SPACE_SET else " " + k
-        single = [k for k in keys if k[0] == FIRST or k[-1] in SPACE_SET or len(k) > KNOWN_LENGTH]
-        found.update(zip(single, self._ids([text_of(k) for k in single])))
-        rest = [k for k in keys if k not in found]
-        for at in range(0, len(rest), 4096):
-            part = rest[at : at + 4096]
-            texts = [text_of(k) for k in part]
-            begins = np.cumsum([0, *map(len, texts)])[:-1]
-            coded = self.library.encode("".join(texts), add_special_tokens=False)
-            ids, starts = np.array(coded.ids, "<u4"), np.array([o[0] for o in coded.offsets])
-            cuts = np.searchsorted(starts, begins[1:], "left")
-            raw, edges = ids.tobytes(), [0, *(4 * cuts).tolist(), 4 * len(ids)]
-            found.update((k, raw[a:b]) for k, a, b in zip(part, edges, edges[1:]))
+        lists: dict[str, list[str]] = {" ": [], "\n": []}
+        single: list[str] = []
+        for k in keys:
+            if k[0] == FIRST or len(k) > KNOWN_LENGTH:
+                single.append(k)
+            elif k[0] not in SPACE_SET:
+                lists[" "].append(k)
+            elif k[0] == "\n" and len(k) > 1 and k[1] not in SPACE_SET:
+                lists["\n"].append(k)
+            else:
+                single.append(k)
+        for mark, part_keys in lists.items():
+            for at in range(0, len(part_keys), 8192):
+                part = part_keys[at : at + 8192]
+                text = "".join(part) if mark == "\n" else " " + " ".join(part)
+                ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                begins = np.flatnonzero(self.opens[mark][ids])
+                if len(begins) != len(part):
+                    single += part
+                    continue
+                raw, edges = ids.tobytes(), [*(4 * begins).tolist(), 4 * len(ids)]
+                found.update(zip(part, [raw[a:b] for a, b in zip(edges, edges[1:])]))
+        texts = [k[1:] if k[0] == FIRST else k if k[0] in SPACE_SET else " " + k for k in single]
+        found.update(zip(single, self._ids(texts)))
+        return found
 
 
 def _encoder(path: str) -> Encoder:
