@@ -5,7 +5,9 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, SparkSession, functions as F, types as T
+
+from ..session import ship
 
 # Limits of the search contract.
 MAX_QUERY_TOKENS = 6
@@ -26,20 +28,40 @@ def clean_list(col: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(items, clean_text), lambda x: x != ""))
 
 
-def _fold(value: str, lower_first: bool) -> str:
-    text = value.lower() if lower_first else value
-    text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-    return " ".join("".join((c if lower_first else c.lower()) if c.isalnum() else " " for c in text).split())
+class _Letters(dict):
+    """For ``str.translate``: what stands for each code point, worked out when it first occurs.
+
+    Marks vanish, letters and digits stay (lower-cased if asked), all else is a space.
+    """
+
+    def __init__(self, lower: bool):
+        super().__init__()
+        self.lower = lower
+
+    def __missing__(self, code: int) -> str:
+        letter = chr(code)
+        if unicodedata.combining(letter):
+            stands = ""
+        elif letter.isalnum():
+            stands = letter.lower() if self.lower else letter
+        else:
+            stands = " "
+        self[code] = stands
+        return stands
+
+
+# Tables fill up once per worker; they hold no more than the code points in use.
+_AFTER, _BEFORE = _Letters(True), _Letters(False)
 
 
 @F.pandas_udf(T.StringType())
 def _fold_pack(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: _fold(v, False), na_action="ignore")
+    return values.str.normalize("NFKD").str.translate(_AFTER).str.split().str.join(" ")
 
 
 @F.pandas_udf(T.StringType())
 def _fold_query(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: _fold(v, True), na_action="ignore")
+    return values.str.lower().str.normalize("NFKD").str.translate(_BEFORE).str.split().str.join(" ")
 
 
 def normalize_ascii(col: Column) -> Column:
@@ -57,6 +79,9 @@ def normalize_text(col: Column, variant: str = "pack") -> Column:
     compatibility letters only.  ASCII rows stay in generated code: the Arrow
     function gets NULL for them, so only text it must change crosses to Python.
     """
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        ship(session)
     text = F.coalesce(col, F.lit(""))
     udf = _fold_pack if variant == "pack" else _fold_query
     ascii_row = is_ascii(text)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -52,17 +54,22 @@ def local_session(cores: int | str = 8, app: str = "terrasheaf") -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A local folder is chosen only when the setting is absent, which is the case
-    in tests; executors of a cluster must see the same folder.
+    Executors of a cluster must see the folder, so none is made up there: a
+    session that has no such setting gets a folder of its own only in local
+    mode, where driver and executors are one process, as in tests.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if configured:
         return configured.rstrip("/")
-    fallback = tempfile.mkdtemp(prefix="terrasheaf-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    own = tempfile.mkdtemp(prefix="terrasheaf-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
