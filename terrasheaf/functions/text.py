@@ -9,8 +9,7 @@ from pyspark.sql import Column, SparkSession, functions as F, types as T
 
 from ..session import ship
 
-# Limits of the search contract.
-MAX_QUERY_TOKENS = 6
+# The shortest token of the search contract.
 MIN_TOKEN_LENGTH = 2
 
 # str.split() in the reference semantics also breaks on the four ASCII separators.
@@ -93,8 +92,8 @@ def words(norm: Column) -> Column:
     return F.filter(F.split(norm, " "), lambda w: w != "")
 
 
-def query_tokens(norm: Column, limit: int | None = MAX_QUERY_TOKENS) -> Column:
-    """Distinct tokens of at least two characters in first order, cut at ``limit``."""
+def query_tokens(norm: Column, limit: int | None = None) -> Column:
+    """Distinct tokens of at least two characters in first order; ``limit`` cuts them, by default none is."""
     tokens = F.array_distinct(
         F.filter(F.split(norm, " "), lambda t: F.char_length(t) >= MIN_TOKEN_LENGTH)
     )

@@ -126,9 +126,10 @@ def clip_terminals(adjacency: DataFrame, own: DataFrame, peer: DataFrame, outlin
         "end_lat",
         "end_lon",
         "m.mode",
-        (F.col("deadend") & (F.col("forward_access").bitwiseAND(F.col("m.bit")) != 0) & ~goes).alias("local_terminal"),
+        (F.coalesce("deadend", F.lit(False)) & (F.col("forward_access").bitwiseAND(F.col("m.bit")) != 0) & ~goes).alias("local_terminal"),
     )
-    places = rows.filter("local_terminal").select("graph_id", "end_lat", "end_lon").distinct()
+    rows = stage(rows, "clip-rows")
+    places = stage(rows.filter("local_terminal").select("graph_id", "end_lat", "end_lon").distinct(), "clip-places")
     inside = X.points_in_polygon(places, peer, lat="end_lat", lon="end_lon").select("graph_id").distinct().withColumn("in_peer", F.lit(True))
     spot = places.select(
         "graph_id", F.col("end_lon").alias("ax"), F.col("end_lat").alias("ay"), F.col("end_lon").alias("ex"), F.col("end_lat").alias("ey")

@@ -12,26 +12,30 @@ from ..functions.text import normalize_text, query_tokens, words
 from ..session import stage
 from .places import ALTERNATE, HIERARCHY
 
-# Limits and weights of the two search contracts.
-RAW_LIMIT_V1 = 240
-LOCAL_RAW_LIMIT = 3000
-GLOBAL_RAW_LIMIT = 900
+# Weights of the two search contracts.
 LOCAL_RADIUS_KM = 150.0
 KM_PER_DEGREE = 111.32
 MIN_COS_LAT = 0.15
-MAX_RESULTS_V1 = 12
-MAX_RESULTS_V2 = 50
 DEFAULT_RESULTS = 8
 EXACT, PREFIX, CONTAINS, BRAND_FIRST, PER_TOKEN = 4000, 2000, 1000, 2500, 250
 CATEGORY_DIRECT, CATEGORY_LINKED, PROXIMITY = 1800, 1000, 900
 
 
 def prepare_queries(queries: DataFrame) -> DataFrame:
-    """Add normal forms and tokens; queries no version may answer are dropped.
+    """Add normal forms and tokens; queries no version may answer are in ``refused_queries``.
 
     The result is staged: every branch of a search reads it, and its size decides
     whether it is broadcast.
     """
+    return stage(_normal_queries(queries).where("refusal is null").drop("refusal"), "queries")
+
+
+def refused_queries(queries: DataFrame) -> DataFrame:
+    """(query_id, refusal) of the queries that no version may answer."""
+    return _normal_queries(queries).where("refusal is not null").select("query_id", "refusal")
+
+
+def _normal_queries(queries: DataFrame) -> DataFrame:
     q = queries.withColumns(
         {
             "q_norm": normalize_text(F.col("text"), "query"),
@@ -44,8 +48,9 @@ def prepare_queries(queries: DataFrame) -> DataFrame:
     origin_ok = (F.col("lat").isNull() & F.col("lon").isNull()) | (
         F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)
     )
-    long_enough = F.char_length("q_norm") >= 2
-    return stage(q.filter(F.coalesce(origin_ok, F.lit(False)) & (long_enough | (F.col("cat_norm") != ""))), "queries")
+    asks = (F.char_length("q_norm") >= 2) | (F.col("cat_norm") != "")
+    refusal = F.when(~F.coalesce(origin_ok, F.lit(False)), "ORIGIN_INCOMPLETE_OR_OUT_OF_RANGE").when(~asks, "NOTHING_ASKED")
+    return q.withColumn("refusal", refusal)
 
 
 def _fold_ascii(col: Column) -> Column:
@@ -164,20 +169,22 @@ def _top(df: DataFrame, order: list[Column], limit: int, name: str) -> DataFrame
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= limit)
 
 
-def retrieve_topk_v1(prepared: DataFrame, places: DataFrame, limit: int = RAW_LIMIT_V1) -> DataFrame:
-    """Per query the best raw matches: exact first token, prefix, other; then confidence.
+def retrieve_topk_v1(prepared: DataFrame, places: DataFrame, limit: int | None = None) -> DataFrame:
+    """Per query the raw matches in order: exact first token, prefix, other; then confidence.
 
     Equal rows are ordered by place_id, the order the first contract leaves open.
+    ``limit`` keeps that many per query and numbers them in ``pos``; without it all
+    stay and ``pos`` is the sort key itself, so that no query's matches are gathered.
     """
     texts = prepared.filter(F.char_length("q_norm") >= 2)
     narrow = places.select("place_id", "name_norm", "confidence", "latitude", "longitude")
     found = token_candidates(texts, places).join(narrow, "place_id").join(texts.select("query_id", "first_token"), "query_id")
-    ranked = _top(
-        found,
-        [_text_class(F.col("name_norm"), F.col("first_token")), F.desc("confidence"), F.col("place_id")],
-        limit,
-        "pos",
+    key = F.struct(
+        _text_class(F.col("name_norm"), F.col("first_token")).cast("double").alias("near"),
+        (-F.col("confidence")).alias("confidence"),
+        "place_id",
     )
+    ranked = found.withColumn("pos", key) if limit is None else _top(found, [key], limit, "pos")
     finite = ~F.isnan("latitude") & ~F.isnan("longitude") & (F.abs("latitude") < float("inf")) & (F.abs("longitude") < float("inf"))
     return ranked.filter(finite).select("query_id", "place_id", "pos")
 
@@ -204,10 +211,19 @@ def candidates_v2(prepared: DataFrame, places: DataFrame, bridge: DataFrame, cat
     )
 
 
-def retrieve_topk_v2(prepared: DataFrame, places: DataFrame, bridge: DataFrame, categories: DataFrame) -> DataFrame:
+def retrieve_topk_v2(
+    prepared: DataFrame,
+    places: DataFrame,
+    bridge: DataFrame,
+    categories: DataFrame,
+    local_limit: int | None = None,
+    overall_limit: int | None = None,
+) -> DataFrame:
     """Nearest matches in the box around the origin, then the best matches anywhere.
 
-    A place found by both keeps its local position.
+    A place found by both keeps its local position.  The limits keep that many
+    rows of either kind and number them in ``pos``; without them all stay and
+    ``pos`` is the sort key itself, so that no query's matches are gathered.
     """
     narrow = open_places(places).select("place_id", "name_norm", "confidence", "latitude", "longitude")
     found = (
@@ -217,17 +233,22 @@ def retrieve_topk_v2(prepared: DataFrame, places: DataFrame, bridge: DataFrame,
     )
     d_lat, d_lon = F.col("latitude") - F.col("lat"), F.col("longitude") - F.col("lon")
     b = bbox_columns(F.col("lat"), F.col("lon"))
-    boxed = found.filter(
+    boxed = (
         F.col("lat").isNotNull()
         & F.col("latitude").between(b["min_lat"], b["max_lat"])
         & F.col("longitude").between(b["min_lon"], b["max_lon"])
     )
-    local = _top(boxed, [d_lat * d_lat + d_lon * d_lon, F.desc("confidence"), F.col("place_id")], LOCAL_RAW_LIMIT, "pos")
     klass = F.when(F.col("q_norm") == "", 0).otherwise(_text_class(F.col("name_norm"), F.col("first_token")))
-    overall = _top(found, [klass, F.desc("confidence"), F.col("place_id")], GLOBAL_RAW_LIMIT, "pos").withColumn(
-        "pos", F.col("pos") + LOCAL_RAW_LIMIT
-    )
+
+    def key(part: int, near: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), near.cast("double").alias("near"), (-F.col("confidence")).alias("confidence"), "place_id")
+
+    local_key, overall_key = key(0, d_lat * d_lat + d_lon * d_lon), key(1, klass)
     cols = ["query_id", "place_id", "pos"]
+    if local_limit is None or overall_limit is None:
+        return found.withColumn("pos", F.when(boxed, local_key).otherwise(overall_key)).select(*cols)
+    local = _top(found.filter(boxed), [local_key], local_limit, "pos")
+    overall = _top(found, [overall_key], overall_limit, "pos").withColumn("pos", F.col("pos") + local_limit)
     return (
         local.select(*cols).unionByName(overall.select(*cols)).groupBy("query_id", "place_id").agg(F.min("pos").alias("pos"))
     )
@@ -252,8 +273,10 @@ def _score_columns(q_norm: Column, tokens: Column, title: Column, address: Colum
     }
 
 
-def _clamp(limit: int, top: int) -> int:
-    return max(1, min(int(limit), top))
+def _results(limit: int) -> int:
+    if limit < 1:
+        raise ValueError(f"a search returns at least one result, not {limit}")
+    return limit
 
 
 def rank_v1(retrieved: DataFrame, prepared: DataFrame, places: DataFrame, limit: int = DEFAULT_RESULTS) -> DataFrame:
@@ -271,7 +294,7 @@ def rank_v1(retrieved: DataFrame, prepared: DataFrame, places: DataFrame, limit:
     rows = rows.withColumn("_n", F.row_number().over(once)).filter(F.col("_n") == 1)
     parts = _score_columns(F.col("q_norm"), F.col("all_tokens"), F.col("title"), F.col("addr"), F.col("confidence"))
     rows = rows.withColumns(parts).withColumn("score", sum((F.col(c) for c in parts), F.lit(0)).cast("long"))
-    best = _top(rows, [F.desc("score"), F.desc("confidence"), F.col("pos")], _clamp(limit, MAX_RESULTS_V1), "rank")
+    best = _top(rows, [F.desc("score"), F.desc("confidence"), F.col("pos")], _results(limit), "rank")
     return best.select("query_id", "rank", "place_id", F.col("name").alias("title"), "address", "score", *parts)
 
 
@@ -311,7 +334,7 @@ def rank_v2(
     best = _top(
         rows,
         [F.desc("score"), F.desc("confidence"), F.asc_nulls_last("distance_m"), F.col("pos")],
-        _clamp(limit, MAX_RESULTS_V2),
+        _results(limit),
         "rank",
     )
     return best.select(
@@ -369,13 +392,10 @@ def diff_places(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select("id", change.alias("change")).filter(F.col("change").isNotNull())
 
 
-def diff_report(changes: DataFrame, limit: int = 500) -> DataFrame:
-    """Per change kind its full count and its first ``limit`` ids."""
+def diff_report(changes: DataFrame) -> DataFrame:
+    """(change, id, n): every changed id with the number of ids that changed alike."""
     counts = changes.groupBy("change").agg(F.count(F.lit(1)).alias("n"))
-    window = Window.partitionBy("change").orderBy("id")
-    top = changes.withColumn("_r", F.row_number().over(window)).filter(F.col("_r") <= limit)
-    lists = top.groupBy("change").agg(F.array_sort(F.collect_list("id")).alias("first_ids"))
-    return counts.join(lists, "change")
+    return changes.join(F.broadcast(counts), "change").select("change", "id", "n")  # one row a kind
 
 
 def diff_categories(a_counts: DataFrame, b_counts: DataFrame) -> DataFrame:

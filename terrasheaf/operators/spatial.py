@@ -7,11 +7,13 @@ Areas are counted in cells; the cell size is an argument and says how exact they
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import PLANAR_TOPOLOGY, planar_m, tile_bounds
+from ..session import stage
 
 # The proximity audit.
 NEAR_METRES = 8.0
@@ -322,34 +324,61 @@ def segment_distance(a: tuple, b: tuple, c: tuple, d: tuple) -> Column:
     return F.when(segments_meet(a, b, c, d), 0.0).otherwise(apart)
 
 
-def nearest_outline(pieces: DataFrame, outline: DataFrame, key: str, size: float = 0.02, growth: int = 32) -> DataFrame:
+def nearest_outline(pieces: DataFrame, outline: DataFrame, key: str, size: float = 0.02, growth: int = 8, parts: int = 8) -> DataFrame:
     """Least distance of each key's segments to the outline, by growing cells.
 
-    A round joins pieces with the outline in their own and neighbouring cells.
-    A key whose best distance is below one cell is final, because anything
-    nearer would have been met; the others go on with larger cells, so the
-    answer is exact without pairing every piece with every outline segment.
+    A round looks at the outline in a piece's own and neighbouring cells.  It
+    first meets the boxes of groups of outline segments (one per ``1 / parts`` of
+    a cell): the farthest corner of a box bounds the distance from above, its
+    nearest side from below, and only groups that can hold the nearest segment
+    are then met segment by segment.  A key whose best distance is below one cell
+    is final, because anything nearer would have been met; the others go on with
+    larger cells.  So the answer is exact, and a far piece meets a few dozen
+    boxes and the segments of a few of them, never the whole outline.
     """
     c = F.col
-    out = None
-    rest = pieces.select(key, "ax", "ay", "ex", "ey")
+    rest = stage(pieces.select(key, "ax", "ay", "ex", "ey"), "outline-pieces")
+    segments = stage(outline.select(c("ax").alias("ox"), c("ay").alias("oy"), c("ex").alias("qx"), c("ey").alias("qy")), "outline")
+    rounds = []
     while True:
         last = size >= 360.0
-        wide = F.lit(size) / F.greatest(F.lit(0.05), F.cos(F.radians(F.greatest(F.abs("ay"), F.abs("ey")))))
+        grain = size / parts
+        grouped = segments.withColumns({"gy": cell((c("oy") + c("qy")) / 2, grain), "gx": cell((c("ox") + c("qx")) / 2, grain)})
+        boxes = grouped.groupBy("gy", "gx").agg(
+            F.min(F.least("oy", "qy")).alias("low_y"),
+            F.max(F.greatest("oy", "qy")).alias("high_y"),
+            F.min(F.least("ox", "qx")).alias("low_x"),
+            F.max(F.greatest("ox", "qx")).alias("high_x"),
+        )
+        # Near the poles a degree of longitude is short, so the search is widened up to all of it.
+        edge = F.least(F.lit(89.999), F.greatest(F.abs("ay"), F.abs("ey")) + size)
+        wide = F.least(F.lit(360.0), F.lit(size) / F.cos(F.radians(edge)))
         p = box_cells(
             rest, size, F.least("ay", "ey") - size, F.greatest("ay", "ey") + size, F.least("ax", "ex") - wide, F.greatest("ax", "ex") + wide
         )
-        o = _segment_cells(outline.select("ax", "ay", "ex", "ey"), size).withColumnsRenamed({"ax": "ox", "ay": "oy", "ex": "qx", "ey": "qy"})
+        o = box_cells(boxes, size, c("low_y"), c("high_y"), c("low_x"), c("high_x"))
+        farthest_lat = F.greatest(F.abs("ay"), F.abs("ey"), F.abs("low_y"), F.abs("high_y"))
+        gap_y = F.greatest(F.lit(0.0), c("low_y") - F.greatest("ay", "ey"), F.least("ay", "ey") - c("high_y"))
+        gap_x = F.greatest(F.lit(0.0), c("low_x") - F.greatest("ax", "ex"), F.least("ax", "ex") - c("high_x"))
+        span_y = F.greatest(F.abs(c("ay") - c("low_y")), F.abs(c("ay") - c("high_y")))
+        span_x = F.greatest(F.abs(c("ax") - c("low_x")), F.abs(c("ax") - c("high_x")))
+        met = p.join(o, ["cy", "cx"]).select(
+            key, "ax", "ay", "ex", "ey", "gy", "gx",
+            F.hypot(gap_x * F.cos(F.radians(farthest_lat)), gap_y).alias("at_least"),
+            F.hypot(span_x * F.cos(F.radians("ay")), span_y).alias("at_most"),
+        )
+        met = stage(met.distinct(), "outline-boxes")
+        bound = met.groupBy(key).agg(F.min("at_most").alias("bound"))
+        # A hair of slack keeps rounding from cutting the nearest group.
+        chosen = met.join(bound, key).filter(c("at_least") <= c("bound") * (1 + 1e-9)).drop("at_least", "at_most", "bound")
         d = segment_distance((c("ax"), c("ay")), (c("ex"), c("ey")), (c("ox"), c("oy")), (c("qx"), c("qy")))
-        best = p.join(o, ["cy", "cx"]).groupBy(key).agg(F.min(d).alias("outline_m"))
-        if last:
-            done = best
-        else:
-            done = best.filter(F.col("outline_m") <= size * PLANAR_TOPOLOGY)
-        out = done if out is None else out.unionByName(done)
-        if last:
-            return out
-        rest = rest.join(done, key, "left_anti")
+        best = chosen.join(grouped, ["gy", "gx"]).groupBy(key).agg(F.min(d).alias("outline_m"))
+        best = stage(best if last else best.filter(c("outline_m") <= size * PLANAR_TOPOLOGY), "outline-best")
+        rounds.append(best)
+        if not last:
+            rest = stage(rest.join(best, key, "left_anti"), "outline-pieces")
+        if last or not rest.limit(1).count():
+            return functools.reduce(DataFrame.unionByName, rounds)
         size *= growth
 
 

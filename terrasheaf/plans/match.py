@@ -113,13 +113,21 @@ def _(t):
     "clip_terminals",
     """with o as (select source_id, bool_or((option_access & 1) <> 0) as a, bool_or((option_access & 1024) <> 0) as m from v_out_a where option_id <> opposing_id group by source_id),
       r as (select e.graph_id, mode, deadend and (forward_access & bit) <> 0 and not coalesce(case when mode = 'auto' then a else m end, false) as local_terminal
-        from v_edges_a e cross join (select 'auto' as mode, 1 as bit union all select 'motorcycle', 1024) b left join o on o.source_id = e.graph_id where e.graph_id in (select source_id from v_out_a))
-    select r.graph_id, mode, local_terminal, local_terminal and coalesce(i.inside, false) as candidate from r left join d_in i on i.graph_id = r.graph_id and i.region_id = 'rb'""",
+        from v_edges_a e cross join (select 'auto' as mode, 1 as bit union all select 'motorcycle', 1024) b left join o on o.source_id = e.graph_id where e.graph_id in (select source_id from v_out_a)),
+      b as (select min(d) as outline_m, graph_id from (
+        select graph_id, 111320.0e0*sqrt(pow(qx-u*dx,2)+pow(qy-u*dy,2)) as d from (
+          select *, greatest(0.0e0, least(1.0e0, (qx*dx+qy*dy)/(dx*dx+dy*dy))) as u from (
+            select e.graph_id, (ex-ax)*cos(radians(end_lat)) as dx, ey-ay as dy, (end_lon-ax)*cos(radians(end_lat)) as qx, end_lat-ay as qy
+            from v_edges_a e cross join v_poly where region_id = 'ra' and e.graph_id in (select graph_id from r where local_terminal)) x) y) z group by graph_id)
+    select r.graph_id, mode, local_terminal, local_terminal and coalesce(i.inside, false) as candidate, round(outline_m, 1) as outline_m,
+      case when local_terminal and coalesce(i.inside, false) and outline_m <= 200 then 'NATIVE_MODE_LOCAL_TERMINAL_IN_PEER_BUFFER_NEAR_OWN_OUTLINE'
+        when local_terminal and coalesce(i.inside, false) then 'NATIVE_MODE_LOCAL_TERMINAL_IN_PEER_BUFFER_OUTLINE_FARTHER' else 'NOT_VERIFIED_AS_CLIP_TERMINAL' end as status
+    from r left join d_in i on i.graph_id = r.graph_id and i.region_id = 'rb' left join b on b.graph_id = r.graph_id""",
 )
 def _(t):
     poly = t("v_poly")
     out = M.clip_terminals(PG.adjacency(t), poly.filter("region_id = 'ra'"), poly.filter("region_id = 'rb'"))
-    return out.select("graph_id", "mode", "local_terminal", "candidate")
+    return out.withColumn("outline_m", F.round("outline_m", 1))
 
 
 @query(

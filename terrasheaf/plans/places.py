@@ -229,22 +229,22 @@ def _(t):
     return S.category_semi(S.prepare_queries(t("v_queries")), t("v_bridge"), t("v_cats"))
 
 
-_RET1 = """select query_id, place_id, pos from (
+_ALL1 = """
   select t.query_id, p.place_id, row_number() over (partition by t.query_id order by
     case when name_norm = coalesce(toks[1], q_norm) then 0 when starts_with(name_norm, coalesce(toks[1], q_norm)) then 1 else 2 end,
     confidence desc, p.place_id) as pos
-  from d_tokcand t join d_query q on q.query_id = t.query_id join v_places p on p.place_id = t.place_id where length(q_norm) >= 2) r
-where pos <= 240"""
+  from d_tokcand t join d_query q on q.query_id = t.query_id join v_places p on p.place_id = t.place_id where length(q_norm) >= 2"""
+_RET1 = f"select query_id, place_id, pos from ({_ALL1}) r where pos <= 240"
 
 
 @query("retrieve_topk_v1", _RET1)
 def _(t):
-    return S.retrieve_topk_v1(S.prepare_queries(t("v_queries")), t("v_places"))
+    return S.retrieve_topk_v1(S.prepare_queries(t("v_queries")), t("v_places"), limit=240)
 
 
 @query("retrieve_topk_v2", "select query_id, place_id, pos from d_ret2")
 def _(t):
-    return S.retrieve_topk_v2(S.prepare_queries(t("v_queries")), t("v_places"), t("v_bridge"), t("v_cats"))
+    return S.retrieve_topk_v2(S.prepare_queries(t("v_queries")), t("v_places"), t("v_bridge"), t("v_cats"), 3000, 900)
 
 
 @query(
@@ -256,9 +256,9 @@ def _(t):
           + case when starts_with(name_norm, q_norm) then 2000 else 0 end + case when contains(name_norm, q_norm) then 1000 else 0 end
           + case when len(toks) > 1 and name_norm = toks[1] then 2500 else 0 end
           + 250*len(list_filter(toks, lambda t: list_contains(string_split(concat(name_norm, ' ', address_norm), ' '), t))) as score
-        from ({_RET1}) r join d_query q on q.query_id = r.query_id join v_places p on p.place_id = r.place_id
+        from ({_ALL1}) r join d_query q on q.query_id = r.query_id join v_places p on p.place_id = r.place_id
         qualify row_number() over (partition by r.query_id, name_norm, address_norm order by r.pos) = 1) a) b
-    where rank <= 12""",
+    where rank <= 99""",
 )
 def _(t):
     q, p = S.prepare_queries(t("v_queries")), t("v_places")
@@ -314,14 +314,22 @@ def _(t):
     return S.diff_places(_pack_rows(t, "v_places"), _pack_rows(t, "v_places2"))
 
 
+@query("diff_report", f"select change, id, count(*) over (partition by change) as n from ({_DIFF}) d")
+def _(t):
+    return S.diff_report(S.diff_places(_pack_rows(t, "v_places"), _pack_rows(t, "v_places2")))
+
+
 @query(
-    "diff_report",
-    f"""select change, count(*) as n, string_agg(case when r <= 500 then id end, ',' order by id) as first_ids from (
-      select *, row_number() over (partition by change order by id) as r from ({_DIFF}) d) e group by change""",
+    "refused_queries",
+    """select c_custkey as query_id, case when c_custkey % 3 = 0 then 'ORIGIN_INCOMPLETE_OR_OUT_OF_RANGE' else 'NOTHING_ASKED' end as refusal
+    from customer where c_custkey % 3 = 0 or c_custkey % 5 = 0""",
 )
 def _(t):
-    out = S.diff_report(S.diff_places(_pack_rows(t, "v_places"), _pack_rows(t, "v_places2")))
-    return out.withColumn("first_ids", F.array_join("first_ids", ","))
+    asked = t.sql(
+        """select c_custkey as query_id, case when c_custkey % 5 = 0 then 'x' else c_name end as text, cast(null as string) as category,
+        case when c_custkey % 3 = 0 then 45.5e0 end as lat, cast(null as double) as lon from customer"""
+    )
+    return S.refused_queries(asked)
 
 
 @query(

@@ -164,11 +164,12 @@ select query_id, rank, place_id, title, address, round(dist, 3) as distance_m, s
 from (
   select *, s_confidence+s_exact+s_prefix+s_contains+s_brand_first+s_tokens+s_category+s_proximity as score,
     row_number() over (partition by query_id order by s_confidence+s_exact+s_prefix+s_contains+s_brand_first+s_tokens+s_category+s_proximity desc,
-      confidence desc, dist asc nulls last, pos) as rank
+      confidence desc, dist asc nulls last, part, near, place_id) as rank
   from (
     select *, case when lat is null then 0 else greatest(0, 900 - floor(least(dist/1000.0e0, 100.0e0)*9.0e0)::bigint) end as s_proximity
     from (
-      select f.query_id, f.place_id, f.name as title, f.address, confidence, pos, lat,
+      select f.query_id, f.place_id, f.name as title, f.address, confidence, lat, case when boxed then 0 else 1 end as part,
+        case when boxed then (latitude-lat)*(latitude-lat)+(longitude-lon)*(longitude-lon) else klass end as near,
         2*6371008.8e0*asin(least(1.0e0, sqrt(pow(sin(radians(latitude-lat)/2),2)
           + cos(radians(lat))*cos(radians(latitude))*pow(sin(radians(longitude-lon)/2),2)))) as dist,
         floor(confidence*100.0e0)::bigint as s_confidence,
@@ -178,7 +179,7 @@ from (
         case when len(toks) > 1 and name_norm = toks[1] then 2500 else 0 end as s_brand_first,
         250*len(list_filter(toks, lambda t: list_contains(string_split(concat(name_norm, ' ', address_norm), ' '), t))) as s_tokens,
         case when cat_norm = '' then 0 when lower(basic_category) = cat_norm or lower(taxonomy_primary) = cat_norm then 1800 else 1000 end as s_category
-      from d_found2 f join d_ret2 r on r.query_id = f.query_id and r.place_id = f.place_id
+      from (select *, coalesce(abs(latitude-lat) <= 150/111.32e0 and abs(longitude-lon) <= 150/(111.32e0*greatest(0.15e0, cos(radians(lat)))), false) as boxed from d_found2) f
     ) a
   ) b
 ) c where rank <= 8

@@ -415,10 +415,40 @@ def test_a_written_version_is_never_replaced(spark, tmp_path):
         sinks.write_pack(t, str(tmp_path), "r", "v1")
 
 
-def test_search_finds_nothing_beyond_the_limits_but_keeps_order(spark):
+def test_search_limit_is_an_argument_and_order_stays(spark):
     n = 300
     p = spark.createDataFrame([(f"p{i:03d}", f"cafe {i}", "street", i / 300.0, 46.0, 12.0) for i in range(n)], "place_id string, name_norm string, address_norm string, confidence double, latitude double, longitude double")
     q = search.prepare_queries(spark.createDataFrame([(1, "cafe", "", None, None)], "query_id long, text string, category string, lat double, lon double"))
-    got = sorted(search.retrieve_topk_v1(q, p).collect(), key=lambda r: r["pos"])
-    assert len(got) == search.RAW_LIMIT_V1 and [r["place_id"] for r in got[:2]] == ["p299", "p298"]
+    got = sorted(search.retrieve_topk_v1(q, p, limit=240).collect(), key=lambda r: r["pos"])
+    assert len(got) == 240 and [r["place_id"] for r in got[:2]] == ["p299", "p298"]
     assert list(itertools.islice((r["pos"] for r in got), 3)) == [1, 2, 3]
+    assert search.retrieve_topk_v1(q, p).count() == n
+
+
+def test_search_scores_every_candidate(spark):
+    # The best score sits behind more nearer matches than any former cut kept.
+    n = 4200
+    rows = [(f"p{i:04d}", f"cafe {i}", "street", f"cafe {i}", "street", 0.5, 46.0 + i * 1e-4, 12.0) for i in range(n)]
+    rows.append(("best", "cafe", "street", "cafe", "street", 0.1, 46.9, 12.0))
+    p = spark.createDataFrame(rows, "place_id string, name_norm string, address_norm string, name string, address string, confidence double, latitude double, longitude double")
+    p = p.selectExpr("*", "'OPEN' as operating_status", "'x' as basic_category", "'x' as taxonomy_primary")
+    q = search.prepare_queries(spark.createDataFrame([(1, "cafe", "", 46.0, 12.0)], "query_id long, text string, category string, lat double, lon double"))
+    bridge = spark.createDataFrame([], "place_id string, category_id long, relation int, ordinal int")
+    cats = spark.createDataFrame([], "id long, name string, name_norm string")
+    best = search.rank_v2(search.retrieve_topk_v2(q, p, bridge, cats), q, p, limit=1).first()
+    assert best["place_id"] == "best"
+    with pytest.raises(ValueError):
+        search.rank_v2(search.retrieve_topk_v2(q, p, bridge, cats), q, p, limit=0)
+
+
+def test_shared_folder_is_refused_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace as N
+
+    from terrasheaf import session
+
+    cluster = N(
+        conf=N(get=lambda *_: None),
+        sparkContext=N(getConf=lambda: N(get=lambda *_: None), master="spark://host:7077"),
+    )
+    with pytest.raises(RuntimeError):
+        session.shared_dir(cluster)
