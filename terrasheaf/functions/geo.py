@@ -41,14 +41,6 @@ def tile_id(graph_id: Column) -> Column:
     return graph_id.bitwiseAND(F.lit((1 << 25) - 1))
 
 
-def tile_level(graph_id: Column) -> Column:
-    return graph_id.bitwiseAND(F.lit(7))
-
-
-def tile_index(graph_id: Column) -> Column:
-    return F.shiftright(tile_id(graph_id), 3)
-
-
 def _tile_size(level: Column) -> Column:
     size = F.lit(None).cast("double")
     for lvl, deg in TILE_DEGREES.items():

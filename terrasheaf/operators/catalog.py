@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
+
 # Containers that are not part of a canonical region path.
 ROOT_CONTAINERS = ["africa", "asia", "australia-oceania", "central-america", "europe", "north-america", "south-america"]
 
@@ -16,18 +18,18 @@ ROAD_MIN_ZOOM = {
     "service": 13, "track": 13,
 }
 MINOR_ROADS = ["unclassified", "residential", "road", "living_street"]
-MAX_REGION_DEPTH = 10
 
 
-def climb(nodes: DataFrame, depth: int = MAX_REGION_DEPTH) -> DataFrame:
+def climb(nodes: DataFrame) -> DataFrame:
     """Add ``path`` (own id first, then its ancestors) and ``iso_path``.
 
     nodes: id, parent, iso.  A parent that is not listed still ends the path; a
-    cycle stops at the first repeated id.  One left join per level.
+    cycle stops at the first repeated id.  One left join per level, until no
+    region has a level above; lineage is cut after each.
     """
     parents = nodes.select(F.col("id").alias("_pid"), F.col("parent").alias("_pparent"), F.col("iso").alias("_piso"))
     out = nodes.withColumns({"_next": F.nullif(F.trim("parent"), F.lit("")), "path": F.array("id"), "iso_path": F.array("iso")})
-    for _ in range(depth):
+    while not out.filter(F.col("_next").isNotNull()).isEmpty():
         out = out.join(parents, F.col("_next") == F.col("_pid"), "left").withColumns(
             {
                 "path": F.when(F.col("_next").isNotNull(), F.concat("path", F.array("_next"))).otherwise(F.col("path")),
@@ -36,8 +38,8 @@ def climb(nodes: DataFrame, depth: int = MAX_REGION_DEPTH) -> DataFrame:
             }
         )
         seen = F.array_contains("path", F.col("_up"))
-        out = out.withColumn("_next", F.when(~seen, F.col("_up"))).drop("_pid", "_pparent", "_piso", "_up")
-    return out.withColumn("too_deep", F.col("_next").isNotNull()).drop("_next")
+        out = cut_lineage(out.withColumn("_next", F.when(~seen, F.col("_up"))).drop("_pid", "_pparent", "_piso", "_up"))
+    return out.drop("_next")
 
 
 def region_ancestry(nodes: DataFrame) -> DataFrame:
@@ -52,7 +54,7 @@ def region_ancestry(nodes: DataFrame) -> DataFrame:
     first = F.get(step, F.lit(0))
     code = F.get(F.filter(step, lambda s: s["iso"].rlike("^[A-Za-z]{2}$")), F.lit(0))["iso"]
     return up.select(
-        "id", F.array_join(parts, "/").alias("canonical_id"), F.get("path", first["i"]).alias("country_id"), F.upper(code).alias("country_iso"), "too_deep"
+        "id", F.array_join(parts, "/").alias("canonical_id"), F.get("path", first["i"]).alias("country_id"), F.upper(code).alias("country_iso")
     )
 
 

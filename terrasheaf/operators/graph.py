@@ -21,7 +21,7 @@ PEER_PREFIX = "nf8peer-"
 PROPOSAL_PREFIX = "nf8gps-"
 
 # Bounds of the hop searches.
-MAX_HOPS, MAX_VISITS, MAX_FANOUT, MAX_HIERARCHY_DEPTH = 10, 4096, 64, 4
+MAX_HOPS, MAX_VISITS, MAX_FANOUT = 10, 4096, 64
 
 PHYSICAL_KEY = ["way_id", "k_lat", "k_lon", "k_inner_lat", "k_inner_lon"]
 
@@ -399,9 +399,11 @@ def predecessor_paths(finals: DataFrame, edges: DataFrame, cut: DataFrame, depth
 
     ``edges``: graph_id, start_node, end_node, opposing_id.  ``cut``: graph_id of
     crossing edges.  Cycles and truncations are rows too.  A hop is one equi-join;
-    lineage is cut after each so a lost executor repeats one hop only.
+    lineage is cut after each so a lost executor repeats one hop only.  Bounds
+    outside 1 to MAX_HOPS and 1 to MAX_VISITS are refused, not adjusted.
     """
-    depth, budget = min(depth, MAX_HOPS), min(budget, MAX_VISITS)
+    if not (1 <= depth <= MAX_HOPS and 1 <= budget <= MAX_VISITS):
+        raise ValueError(f"depth {depth} or budget {budget} is out of range")
     into = edges.select(F.col("graph_id").alias("edge_id"), F.col("end_node").alias("at"))
     facts = edges.select(F.col("graph_id").alias("cur"), F.col("start_node").alias("at"), "opposing_id")
     degree = edges.groupBy(F.col("start_node").alias("at")).agg(F.count(F.lit(1)).alias("fanout"))
@@ -436,14 +438,16 @@ def predecessor_paths(finals: DataFrame, edges: DataFrame, cut: DataFrame, depth
     return union_all(*rows, deep)
 
 
-def hierarchy_reach(nodes: DataFrame, transitions: DataFrame, depth: int = MAX_HIERARCHY_DEPTH) -> DataFrame:
+def hierarchy_reach(nodes: DataFrame, transitions: DataFrame) -> DataFrame:
     """Shortest level-transition depth of each listed node against its declared depth.
 
     nodes: root_id, node_id, depth.  transitions: root_id, node_id, target_id.
+    Levels are followed until no new node is met, however deep that is.
     """
     reached = nodes.filter(F.col("node_id") == F.col("root_id")).select("root_id", "node_id", F.lit(0).alias("shortest"))
-    frontier = reached
-    for hop in range(1, depth + 1):
+    frontier, hop = reached, 0
+    while True:
+        hop += 1
         nxt = (
             frontier.join(transitions, ["root_id", "node_id"])
             .select("root_id", F.col("target_id").alias("node_id"))
@@ -452,6 +456,8 @@ def hierarchy_reach(nodes: DataFrame, transitions: DataFrame, depth: int = MAX_H
             .withColumn("shortest", F.lit(hop))
         )
         frontier = cut_lineage(nxt)
+        if frontier.isEmpty():
+            break
         reached = reached.unionByName(frontier)
     both = nodes.join(reached, ["root_id", "node_id"], "full_outer")
     status = (

@@ -13,12 +13,6 @@ from .rules import violations
 # Relation codes of a category link.
 BASIC, HIERARCHY, ALTERNATE = 0, 1, 2
 
-PLACE_COLUMNS = [
-    "id", "name", "name_norm", "address", "address_norm", "latitude", "longitude", "confidence",
-    "freeform", "address_context_id", "operating_status", "basic_category_id",
-    "taxonomy_primary_id", "source_id", "source_record_id",
-]
-
 
 def _p(name: str) -> Column:
     return F.col(f"properties.{name}")

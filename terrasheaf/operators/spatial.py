@@ -415,11 +415,12 @@ def metres_outside(shapes: DataFrame, segments: DataFrame, key: str = "graph_id"
     return rows.groupBy(key).agg(F.sum(F.when(F.col("inside").isNull(), F.col("metres")).otherwise(0.0)).alias("outside_m"))
 
 
-def boundary_samples(segments: DataFrame, buffer_m: float, maximum: int = 160) -> DataFrame:
+def boundary_samples(segments: DataFrame, buffer_m: float, spacing_m: float = 8500.0) -> DataFrame:
     """Inside/outside point pairs along the normal of evenly spaced outline places.
 
     ``segments`` also carries ``seq`` along its ring.  Metric work is planar
-    around the middle of each region.
+    around the middle of each region.  An outline has a place every ``spacing_m``
+    metres, one at least.
     """
     from pyspark.sql import Window
 
@@ -433,7 +434,7 @@ def boundary_samples(segments: DataFrame, buffer_m: float, maximum: int = 160) -
     along = Window.partitionBy("region_id").orderBy("ring_no", "seq").rowsBetween(Window.unboundedPreceding, -1)
     m = m.withColumn("cum", F.coalesce(F.sum("len").over(along), F.lit(0.0)))
     whole = m.groupBy("region_id").agg(F.sum("len").alias("whole")).withColumn(
-        "n", F.least(F.lit(maximum), F.greatest(F.lit(24), F.ceil(F.col("whole") / 8500))).cast("int")
+        "n", F.greatest(F.lit(1), F.ceil(F.col("whole") / spacing_m)).cast("int")
     )
     step = F.col("whole") / F.col("n")
     targets = whole.select("region_id", "whole", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")).select(

@@ -16,7 +16,7 @@ from .spatial import _POLY_CELLS, _SQUARE_CELLS, shape_of, squares
       p as (select id, list_filter([p2, p1, id], lambda x: x is not null) as path, coalesce(i0, i1) as first_iso, case when i0 is not null then id when i1 is not null then p1 end as country_id,
         upper(case when length(i0) = 2 then i0 when length(i1) = 2 then i1 end) as country_iso from a)
     select id, array_to_string(case when len(path) > 1 and path[1] in ('africa','asia','australia-oceania','central-america','europe','north-america','south-america') then path[2:] else path end, '/') as canonical_id,
-      country_id, country_iso, false as too_deep from p""",
+      country_id, country_iso from p""",
 )
 def _(t):
     return C.region_ancestry(t("v_regions"))

@@ -100,7 +100,7 @@ def _(t):
     "artifact_inventory",
     """with d as (select o_orderkey as k, concat('{"schema":"', case when o_orderkey % 4 = 0 then 'other' else 'known' end, '","version":', o_orderkey % 3, ',"roads":[', case o_orderkey % 3 when 0 then '' when 1 then '1' else '1,2' end, ']',
         case when o_orderkey % 5 = 0 then '' else '}' end) as x from orders)
-    select concat('p', k) as path, case when k % 5 = 0 then 'INVALID' when k % 4 = 0 then 'OTHER' else 'MATCH' end as state, case when k % 5 <> 0 then k % 3 end as version, length(x) as bytes, sha256(x) as sha256, case when k % 5 <> 0 then k % 3 end as roads from d""",
+    select concat('p', k) as path, case when k % 5 = 0 then 'INVALID' when k % 4 = 0 then 'OTHER' else 'MATCH' end as state, case when k % 5 <> 0 then k % 3 end as version, length(x) as bytes, length(x) > 40 as oversize, sha256(x) as sha256, case when k % 5 <> 0 then k % 3 end as roads from d""",
 )
 def _(t):
     k = F.col("o_orderkey")
@@ -109,8 +109,8 @@ def _(t):
         F.when(k % 3 == 0, "").when(k % 3 == 1, "1").otherwise("1,2"), F.lit("]"), F.when(k % 5 == 0, "").otherwise("}"),
     )
     files = t("orders").select(F.concat(F.lit("p"), k.cast("string")).alias("path"), F.encode(body, "UTF-8").alias("content"))
-    out = R.inventory_documents(files, ["known"], ["roads", "cells"], 1 << 20)
-    return out.select("path", "state", "version", "bytes", "sha256", F.try_element_at("array_lengths", F.lit("roads")).alias("roads"))
+    out = R.inventory_documents(files, ["known"], ["roads", "cells"], 40)
+    return out.select("path", "state", "version", "bytes", "oversize", "sha256", F.try_element_at("array_lengths", F.lit("roads")).alias("roads"))
 
 
 _WORDS = ["the", "ment", "http", "License"]
@@ -118,11 +118,13 @@ _WORDS = ["the", "ment", "http", "License"]
 
 @query(
     "literal_mentions",
-    " union all ".join(f"select '{w}' as literal, count(*) as files from documents where contains(text, '{w}') and strlen(text) <= 4000 having count(*) > 0" for w in _WORDS)
-    + " union all select '(oversize)', count(case when strlen(text) > 4000 then 1 end) from documents",
+    " union all ".join(f"select '{w}' as literal, count(*) as files from documents where contains(text, '{w}') having count(*) > 0" for w in _WORDS)
+    + " union all select '(checked)', count(*) from documents union all select '(matching)', count(*) from documents where "
+    + " or ".join(f"contains(text, '{w}')" for w in _WORDS)
+    + " having count(*) > 0",
 )
 def _(t):
-    return R.literal_mentions(t("documents").select(F.col("doc_id").alias("path"), "text"), _WORDS, 4000)
+    return R.literal_mentions(t("documents").select(F.col("doc_id").alias("path"), "text"), _WORDS)
 
 
 @query(

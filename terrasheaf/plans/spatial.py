@@ -216,6 +216,18 @@ def _(t):
     return h.select("graph_id", F.round("h.x", 5).alias("x"), F.round("h.y", 5).alias("y"))
 
 
+@query(
+    "refused_ends",
+    "select c_custkey as graph_id from customer where c_custkey % 7 = 0 or c_custkey % 11 = 0",
+)
+def _(t):
+    ends = t.sql(
+        """select c_custkey as graph_id, case when c_custkey % 7 = 0 then 81.5e0 else 46.0e0 end as end_lat,
+        case when c_custkey % 11 = 0 then cast(null as double) else 12.0e0 end as end_lon from customer"""
+    )
+    return X.refused_ends(ends).select("graph_id")
+
+
 @query("boundary_samples")
 def _(t):
     out = X.boundary_samples(squares(t), 25_000.0)

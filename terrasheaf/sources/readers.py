@@ -196,10 +196,11 @@ def read_region_index(spark: SparkSession, path: str) -> DataFrame:
 def inventory_documents(files: DataFrame, markers: list[str], arrays: list[str], max_bytes: int) -> DataFrame:
     """Known documents among files: marker, version, bytes, digest, array lengths.
 
-    files: path, content (binary).  ``state`` is MATCH, OTHER, OVERSIZE or INVALID.
+    files: path, content (binary).  ``state`` is MATCH, OTHER or INVALID; every
+    file is parsed, ``oversize`` only tells those above ``max_bytes``.
     """
     size = F.octet_length("content")
-    text = F.when(size <= max_bytes, F.decode("content", "UTF-8"))
+    text = F.decode("content", "UTF-8")
     doc = files.withColumns({"bytes": size, "sha256": F.sha2("content", 256), "j": F.try_parse_json(text)})
     marker = F.try_variant_get("j", "$.schema", "string")
     lengths = F.map_from_entries(
@@ -213,9 +214,9 @@ def inventory_documents(files: DataFrame, markers: list[str], arrays: list[str],
             )
         )
     )
-    state = F.when(F.col("bytes") > max_bytes, "OVERSIZE").when(F.col("j").isNull(), "INVALID").when(marker.isin(markers), "MATCH").otherwise("OTHER")
+    state = F.when(F.col("j").isNull(), "INVALID").when(marker.isin(markers), "MATCH").otherwise("OTHER")
     return doc.select(
-        "path", state.alias("state"), marker.alias("marker"), F.try_variant_get("j", "$.version", "int").alias("version"), "bytes", "sha256", lengths.alias("array_lengths")
+        "path", state.alias("state"), marker.alias("marker"), F.try_variant_get("j", "$.version", "int").alias("version"), "bytes", (F.col("bytes") > max_bytes).alias("oversize"), "sha256", lengths.alias("array_lengths")
     )
 
 
@@ -224,17 +225,25 @@ def artifact_inventory(spark: SparkSession, path: str, markers: list[str], array
     return inventory_documents(files.select("path", "content"), markers, arrays, max_bytes)
 
 
-def literal_mentions(files: DataFrame, words: list[str], max_bytes: int = 1 << 20) -> DataFrame:
-    """Number of files that mention each literal, and the files skipped for size.
+def literal_mentions(files: DataFrame, words: list[str]) -> DataFrame:
+    """Number of files that mention each literal, and the counters of the screening.
 
-    files: path, text.  ``words`` is the short fixed list of the audit; all are
-    tested in the scan itself, so files are neither copied nor joined.
+    files: path, text (null where it cannot be read).  ``words`` is the short
+    fixed list of the audit; all are tested in the scan itself, on whole texts, so
+    files are neither copied nor joined.  Counters: files checked, matching any
+    literal, unreadable, and binary (a zero byte stands in the text).
     """
-    small = F.octet_length("text") <= max_bytes
-    found = F.array(*[F.when(small & F.contains("text", F.lit(w)), F.lit(w)) for w in words])
-    hits = files.select(F.explode(F.array_compact(found)).alias("literal")).groupBy("literal").agg(F.count(F.lit(1)).alias("files"))
-    skipped = files.agg(F.lit("(oversize)").alias("literal"), F.count_if(~small).alias("files"))
-    return hits.unionByName(skipped)
+    found = F.array_compact(F.array(*[F.when(F.contains("text", F.lit(w)), F.lit(w)) for w in words]))
+    marks = F.array_compact(
+        F.array(
+            F.lit("(checked)"),
+            F.when(F.size(found) > 0, "(matching)"),
+            F.when(F.col("text").isNull(), "(unreadable)"),
+            F.when(F.contains("text", F.lit("\0")), "(binary)"),
+        )
+    )
+    rows = files.select(F.explode(F.concat(F.coalesce(found, F.array().cast("array<string>")), marks)).alias("literal"))
+    return rows.groupBy("literal").agg(F.count(F.lit(1)).alias("files"))
 
 
 def tile_files(files: DataFrame, root: str) -> DataFrame:

@@ -396,7 +396,7 @@ def test_artifact_inventory_reads_files(spark, tmp_path):
     (tmp_path / "b.json").write_text("{")
     (tmp_path / "c.json").write_text('{"schema":"known","pad":"' + "x" * 200 + '"}')
     got = readers.artifact_inventory(spark, str(tmp_path), ["known"], ["roads"], max_bytes=100)
-    assert sorted(r["state"] for r in got.collect()) == ["INVALID", "MATCH", "OVERSIZE"]
+    assert sorted((r["state"], r["oversize"]) for r in got.collect()) == [("INVALID", False), ("MATCH", False), ("MATCH", True)]
 
 
 def test_tile_inventory_reads_files(spark, tmp_path):
