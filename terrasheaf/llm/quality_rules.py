@@ -26,6 +26,9 @@ ROUNDS = 40
 # Start values and bounds: rules seldom err on good documents and catch some of the bad ones.
 START_PRIOR, START_ON_GOOD, START_ON_BAD = 0.8, 0.95, 0.4
 LEAST, MOST = 0.001, 0.999
+# The start values count as this share of all documents, at least one: so a table in which most good
+# documents trip one rule does not turn into two classes by that rule.
+START_SHARE = 0.2
 
 # Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = (
@@ -124,8 +127,8 @@ def _posterior(given: Column, model: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
-def _sum(values: Column, start: float = 0.0) -> Column:
-    return F.aggregate(values, F.lit(start), lambda a, x: a + x)
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
 def _clamp(x: Column, lo, hi) -> Column:
@@ -133,17 +136,18 @@ def _clamp(x: Column, lo, hi) -> Column:
 
 
 def _maximised(scored: Column) -> Column:
-    """The model that fits patterns (given, n, q) best; one start vote is added to each share."""
+    """The model that fits patterns (given, n, q) and the start values best."""
+    total = _sum(F.transform(scored, lambda x: x["n"]))
+    held = F.greatest(F.lit(1.0), START_SHARE * total)
 
     def share(weight, j: int, sign: int, start: float) -> Column:
         vote = lambda x: F.get(x["given"], F.lit(j))
         right = F.transform(scored, lambda x: F.when(vote(x) == sign, weight(x)).otherwise(0.0))
         cast = F.transform(scored, lambda x: F.when(vote(x) != 0, weight(x)).otherwise(0.0))
-        return _sum(right, start) / _sum(cast, 1.0)
+        return (_sum(right) + held * start) / (_sum(cast) + held)
 
     good, bad = lambda x: x["n"] * x["q"], lambda x: x["n"] * (1 - x["q"])
-    total = _sum(F.transform(scored, lambda x: x["n"]))
-    prior = _clamp(F.when(total > 0, _sum(F.transform(scored, good)) / total).otherwise(START_PRIOR), 0.01, 0.99)
+    prior = _clamp((_sum(F.transform(scored, good)) + held * START_PRIOR) / (total + held), 0.01, 0.99)
     on_good = [_clamp(share(good, j, 1, START_ON_GOOD), 0.5, MOST) for j in range(len(RULES))]
     # A vote never counts against what it says: both accuracies together are 1 at least.
     on_bad = [

@@ -168,12 +168,13 @@ def _op2_sql() -> str:
     odds = "ln(prior / (1 - prior)) + " + " + ".join(
         f"case when v{j} > 0 then ln(g{j} / (1 - b{j})) when v{j} < 0 then ln((1 - g{j}) / b{j}) else 0 end" for j in rules
     )
+    held = f"greatest(1, {q.START_SHARE} * sum(n))"
     good = {
-        j: f"greatest(0.5, least({q.MOST}, (sum(case when v{j} > 0 then n * q else 0 end) + {q.START_ON_GOOD}) / (sum(case when v{j} <> 0 then n * q else 0 end) + 1)))"
+        j: f"greatest(0.5, least({q.MOST}, (sum(case when v{j} > 0 then n * q else 0 end) + {q.START_ON_GOOD} * {held}) / (sum(case when v{j} <> 0 then n * q else 0 end) + {held})))"
         for j in rules
     }
     bad = {
-        j: f"greatest({q.LEAST}, least({q.MOST}, greatest(1 - {good[j]}, (sum(case when v{j} < 0 then n * (1 - q) else 0 end) + {q.START_ON_BAD}) / (sum(case when v{j} <> 0 then n * (1 - q) else 0 end) + 1))))"
+        j: f"greatest({q.LEAST}, least({q.MOST}, greatest(1 - {good[j]}, (sum(case when v{j} < 0 then n * (1 - q) else 0 end) + {q.START_ON_BAD} * {held}) / (sum(case when v{j} <> 0 then n * (1 - q) else 0 end) + {held}))))"
         for j in rules
     }
     learn = ", ".join(f"{good[j]}, {bad[j]}" for j in rules)
@@ -208,7 +209,7 @@ patterns as (select {", ".join(f"v{j}" for j in rules)}, cast(count(*) as double
 em as (
   select 0 i, cast({q.START_PRIOR} as double) prior, {begin}
   union all
-  select i + 1, greatest(0.01, least(0.99, sum(n * q) / sum(n))), {learn}
+  select i + 1, greatest(0.01, least(0.99, (sum(n * q) + {q.START_PRIOR} * {held}) / (sum(n) + {held}))), {learn}
   from (select em.*, p.*, 1 / (1 + exp(-({odds}))) q from em, patterns p where i < {q.ROUNDS}) group by i),
 model as (select * from em where i = {q.ROUNDS})
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
