@@ -1,7 +1,9 @@
 """Corpus pipeline over ``documents``: filter, deduplicate, decontaminate, encode.
 
 Each stage reads what its predecessor kept, as Parquet in the shared folder.
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``.  A stage begins by
+deleting what earlier stages staged in the shared folder, except what it reads,
+so the result of a stage must be written before the next one begins.
 
 Defined cases are those of the operators: documents without words are rejected
 by the rules; ties and repeated rows leave one row; empty tables pass through
@@ -17,22 +19,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasheaf.llm import bpe, decontamination, quality_rules, simhash, span_dedup
-from terrasheaf.llm.common import read_table, stage
+from terrasheaf.llm.common import drop_staged, read_table, stage
 from terrasheaf.llm.queries import vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules' votes find good; the others go."""
+    drop_staged(spark, docs)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, on shingles of five words."""
+    drop_staged(spark, docs)
     return simhash.deduplicate(docs)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document has; n_chars follows the text."""
+    drop_staged(spark, docs)
     cut = span_dedup.remove_repeats(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -43,11 +48,13 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark passage occurs; the others go."""
+    drop_staged(spark, docs)
     return decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit bytes) and the text decoded from them."""
+    drop_staged(spark, docs)
     return bpe.encode(docs, vocabulary("word_bpe_49k.json"), decoded=True)
 
 

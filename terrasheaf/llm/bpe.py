@@ -33,6 +33,7 @@ from .common import map_texts
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACES}\p{{L}}\p{{N}}]+"
 
+BATCH_BYTES = 1 << 20  # text cut into pieces together; a piece takes some ten times its bytes
 LONG_WORD = 1024  # symbols; a longer word goes through a heap, whose cost is not rounds x length
 KNOWN_PIECES, KNOWN_LENGTH = 200_000, 48
 NONE = np.int64(1 << 40)
@@ -250,7 +251,7 @@ def encode(docs: DataFrame, path: str, decoded: bool = False, id_col: str = "doc
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids binary" + ", decoded string" * decoded
-    return map_texts(docs, {"doc_id": id_col, "text": text_col}, schema, make)
+    return map_texts(docs, {"doc_id": id_col, "text": text_col}, schema, make, BATCH_BYTES)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import connected_components, map_texts, merge_labels, ship, stage, words_of
+from .common import connected_components, filter_test, key_hashes, map_texts, merge_labels, ship, stage, words_of
 
 BITS, SEED = 64, 42
 LEAF, FANOUT = 16, 8
@@ -233,7 +233,7 @@ def links(codes: DataFrame, most: int = 4, total: int = 0, bucket_rows: int = BU
     """
     each = codes.select("node", F.array_insert("more", 1, F.col("fp")).alias("all"))
     each = each.select("node", "all", F.posexplode("all").alias("nth", "code"))
-    keyed = stage(each.select("node", "all", "code", F.explode(_block_keys(F.col("code"), most, F.col("nth"))).alias("key")), "simhash-keys")
+    keyed = each.select("node", "all", "code", F.explode(_block_keys(F.col("code"), most, F.col("nth"))).alias("key"))
     hot = stage(keyed.groupBy("key").count().where(F.col("count") > bucket_rows).select("key"), "simhash-hot")
     if hot.limit(1).count():
         turned = F.shiftleft("code", 5).bitwiseOR(F.shiftrightunsigned("code", BITS - 5))
@@ -305,13 +305,18 @@ def deduplicate(docs: DataFrame, shingle: int = 5, most: int = MOST, prints: int
     doc_id count as one document; of them the one with the smallest text hash
     stays.  Rows without a doc_id stay as they are.
     """
-    first = near_duplicates(docs, shingle, most, prints, total).where("doc_id = component_id").select(
-        F.col("doc_id").alias("_keep_id")
-    ).distinct()
-    met = docs.join(first, docs["doc_id"] == first["_keep_id"], "left_semi")
-    nth = F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.col("text")))
-    place = "_nth"
-    while place in docs.columns:
-        place += "_"
-    kept = met.withColumn(place, nth).where(F.col(place) == 1).drop(place)
-    return kept.unionByName(docs.where(docs["doc_id"].isNull()))
+    found = near_duplicates(docs, shingle, most, prints, total).where("doc_id is not null")
+    # Ids to look at: those that go, and those on several rows, of which one stays.
+    named = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    odd = stage(named.where("n > 1 or not stays").select(F.col("doc_id").alias("_odd_id"), F.col("stays").alias("_stays")), "simhash-odd")
+    names = docs.columns
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("whole"))
+    h1, h2 = key_hashes(F.col("whole.doc_id"))
+    possible = filter_test(docs.sparkSession, odd.select(*[h.alias(n) for h, n in zip(key_hashes(F.col("_odd_id")), ("h1", "h2"))]))
+    # Only rows whose id may be odd are moved; all others pass where they are.
+    tested = held.withColumn("maybe", possible(h1, h2))
+    met = tested.where("maybe").join(odd, F.col("whole.doc_id") == F.col("_odd_id"), "left")
+    by_id = W.partitionBy("whole.doc_id").orderBy(F.xxhash64("whole.text"), F.col("whole.text"))
+    ranked = met.withColumn("nth", F.when(F.col("_odd_id").isNull(), 1).otherwise(F.row_number().over(by_id)))
+    kept = ranked.where((F.col("nth") == 1) & F.coalesce("_stays", F.lit(True)))
+    return tested.where("not maybe").select("whole.*").union(kept.select("whole.*"))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_SPACE, by_bytes, map_texts, ship, stage
+from .common import WORD_SPACE, by_bytes, filter_test, key_hashes, map_texts, ship, stage
 
 SENTENCES, WORDS, LEAST_WORDS = 3, 40, 8
 _CUT = re.compile(r"[.!?…]+[ \t\n\x0b\x0c\r]+|\n[ \t\n\x0b\x0c\r]*")
@@ -94,7 +94,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "mark", "first")
     known = spans.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.max(place).alias("end"))
     known = stage(known.where(~F.col("at").eqNullSafe(F.col("end"))).select("h1", "h2", "at"), "spans-known")
-    later = spans.join(known, ["h1", "h2"]).where(~place.eqNullSafe(F.col("at")))
+    # Only spans whose hash may be repeated are moved again.
+    possible = filter_test(docs.sparkSession, known.select("h1", "h2"))
+    later = spans.where(possible(F.col("h1"), F.col("h2"))).join(known, ["h1", "h2"]).where(~place.eqNullSafe(F.col("at")))
     return later.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "n")).alias("spans"))
 
 
@@ -108,9 +110,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     left = docs.select(
         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_mark"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("whole")
     )
-    met = left.join(found, left["_id"].eqNullSafe(found["doc_id"]) & (left["_mark"] == found["mark"]), "left").select(
-        "whole", F.col("whole.text").alias("text"), "spans"
-    )
+    # Only documents that may have something to cut are moved.
+    marks = [h.alias(n) for h, n in zip(key_hashes(F.col("doc_id"), F.col("mark")), ("h1", "h2"))]
+    possible = filter_test(docs.sparkSession, found.select(*marks))
+    tested = left.withColumn("maybe", possible(*key_hashes(F.col("_id"), F.col("_mark"))))
+    hits = tested.where("maybe")
+    met = hits.join(found, hits["_id"].eqNullSafe(found["doc_id"]) & (hits["_mark"] == found["mark"]), "left").select("whole", "spans")
+    met = met.union(tested.where("not maybe").select("whole", F.lit(None).cast(found.schema["spans"].dataType).alias("spans")))
+    met = met.select("whole", F.col("whole.text").alias("text"), "spans")
 
     def run(batches):
         for batch in batches:

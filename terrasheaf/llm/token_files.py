@@ -324,7 +324,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
             return out
 
         for batch in batches:
-            for part in by_bytes(batch, 4 << 20):
+            for part in by_bytes(batch, 2 << 20):
                 for at, ids in enumerate(coder.encode(part.column(1).to_pylist(), end_id)):
                     names.append(part.column(0).slice(at, 1))
                     coded.append(ids)

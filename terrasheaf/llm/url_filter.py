@@ -2,8 +2,8 @@
 
 Listed URLs are kept in a blocked Bloom filter: each URL sets one bit in each of
 eight lanes of one block, so a lookup touches 32 bytes.  Blocks are built by an
-aggregate over the list; their number is bounded by MOST_BLOCKS (64 MB), which
-bounds what is sent to the tasks.  Possible hits are joined with the list by
+aggregate over the list; their number is bounded (64 MB), which bounds what is
+sent to the tasks.  Possible hits are joined with the list by
 their canonical URL, which removes false positives, so the verdict is exact for
 every size of the list.
 
@@ -16,14 +16,12 @@ of the pages are not read.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stage
+from .common import filter_test, key_hashes, stage
 
-BITS_PER_URL, LANES, MOST_BLOCKS, MOST_RULES = 16, 8, 1 << 21, 1000
+MOST_RULES = 1000
 # Query parameters that only tell where a visitor came from.
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,50 +61,16 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return found
 
 
-def build_filter(listed: DataFrame) -> np.ndarray:
-    """Blocks of eight 32-bit lanes for the distinct ``canonical`` of ``listed``."""
-    n = listed.count()
-    blocks = 1
-    while blocks * 32 * LANES < n * BITS_PER_URL and blocks < MOST_BLOCKS:
-        blocks *= 2
-    lanes = [
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("h2", 5 * k).bitwiseAND(F.lit(31)).cast("int"))).alias(f"l{k}")
-        for k in range(LANES)
-    ]
-    marked = listed.select(*_hashes(F.col("canonical")))
-    rows = marked.groupBy(F.pmod("h1", F.lit(blocks)).alias("block")).agg(*lanes).toPandas()
-    table = np.zeros((blocks, LANES), np.uint32)
-    if len(rows):
-        table[rows["block"]] = rows[[f"l{k}" for k in range(LANES)]].to_numpy(np.uint64).astype(np.uint32)
-    return table
-
-
-def _hashes(url: Column) -> tuple[Column, Column]:
-    return F.xxhash64(url).alias("h1"), F.xxhash64(url, F.lit(1)).alias("h2")
-
-
-def may_contain(table: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    block = table[h1 % len(table)]
-    bit = (h2.astype(np.uint64)[:, None] >> (5 * np.arange(LANES, dtype=np.uint64))) & np.uint64(31)
-    return ((block >> bit.astype(np.uint32)) & 1).all(axis=1)
-
-
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], listed_urls: DataFrame) -> DataFrame:
     """(page_id, url, host, path, rule, verdict, canonical, listed) of every page.
 
     ``listed_urls`` has a column ``url``.  A page without a fitting rule is
     blocked if its canonical URL is listed.
     """
-    spark = pages.sparkSession
-    ship(spark)
     listed = listed_urls.where(F.col("url").isNotNull()).select(canonical_of(F.col("url")).alias("canonical"))
     listed = stage(listed.where(F.col("canonical") != "").distinct(), "listed")
-    sent = spark.sparkContext.broadcast(build_filter(listed))
-
-    @F.pandas_udf("boolean")
-    def possible(h1: pd.Series, h2: pd.Series) -> pd.Series:
-        return pd.Series(may_contain(sent.value, h1.to_numpy(), h2.to_numpy()))
-
+    h1, h2 = key_hashes(F.col("canonical"))
+    possible = filter_test(pages.sparkSession, listed.select(h1.alias("h1"), h2.alias("h2")))
     url = F.col("url")
     read = pages.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"), canonical_of(url).alias("canonical"))
     read = read.select(
@@ -114,7 +78,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], listed_urls: Data
         "url",
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("host", "path", "canonical")],
     ).withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
-    marked = stage(read.withColumn("maybe", possible(*_hashes(F.col("canonical")))), "urls")
+    marked = stage(read.withColumn("maybe", possible(h1, h2)), "urls")
     names = ["page_id", "url", "host", "path", "fit", "canonical"]
     hits = marked.where("maybe").join(listed.withColumn("listed", F.lit(True)), "canonical", "left").select(*names, "listed")
     rest = marked.where("not maybe").select(*names, F.lit(None).cast("boolean").alias("listed"))

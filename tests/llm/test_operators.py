@@ -23,7 +23,7 @@ from terrasheaf.llm import (
     token_files,
     url_filter,
 )
-from terrasheaf.llm.common import connected_components, merge_labels
+from terrasheaf.llm.common import build_filter, connected_components, key_hashes, may_contain, merge_labels
 from terrasheaf.llm.queries import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, key string, whole string, mark string, spans string, given string, _id string, _keep_id string, _nth string, n_words string"
@@ -344,12 +344,12 @@ def test_url_filter(spark):
 
 def test_bloom_filter_has_no_false_negative(spark):
     listed = spark.range(5000).select(F.concat(F.lit("h/"), "id").alias("canonical"))
-    table = url_filter.build_filter(listed)
-    hashes = lambda df: df.select(*url_filter._hashes(F.col("canonical"))).toPandas()
+    hashed = lambda df: df.select(*[h.alias(n) for h, n in zip(key_hashes(F.col("canonical")), ("h1", "h2"))])
+    table, hashes = build_filter(hashed(listed)), lambda df: hashed(df).toPandas()
     inside = hashes(listed)
     outside = hashes(spark.range(5000, 25_000).select(F.concat(F.lit("h/"), "id").alias("canonical")))
-    assert url_filter.may_contain(table, inside["h1"].to_numpy(), inside["h2"].to_numpy()).all()
-    assert url_filter.may_contain(table, outside["h1"].to_numpy(), outside["h2"].to_numpy()).mean() < 0.02
+    assert may_contain(table, inside["h1"].to_numpy(), inside["h2"].to_numpy()).all()
+    assert may_contain(table, outside["h1"].to_numpy(), outside["h2"].to_numpy()).mean() < 0.02
 
 
 # -------------------------------------------------------------------- language id
