@@ -13,6 +13,10 @@ PAIR = ("a__b", "sha256:aa", "sha256:bb")
 
 def adjacency(t: Tables, side: str = "a") -> DataFrame:
     """Adjacency rows with their outgoing array, as a reader would give them."""
+    return t.held(f"adjacency_{side}", lambda: _adjacency(t, side))
+
+
+def _adjacency(t: Tables, side: str) -> DataFrame:
     out = t(f"v_out_{side}").groupBy("source_id").agg(
         F.collect_list(
             F.struct(
@@ -24,16 +28,16 @@ def adjacency(t: Tables, side: str = "a") -> DataFrame:
 
 
 def sources(t: Tables) -> DataFrame:
-    return G.terminal_modes(t("v_src"), t("v_opts"))
+    return t.held("sources", lambda: G.terminal_modes(t("v_src"), t("v_opts")))
 
 
 def roots(t: Tables) -> DataFrame:
-    return G.cut_roots(t("v_cutsel")).select("graph_id").join(sources(t), "graph_id")
+    return t.held("roots", lambda: G.cut_roots(t("v_cutsel")).select("graph_id").join(sources(t), "graph_id"))
 
 
 def near(t: Tables) -> DataFrame:
     ends = ["graph_id", "way_id", "end_lat", "end_lon", "end_node", "deadend", "forward_access"]
-    return X.nearby_incoming(t("v_edges_a").select(*ends).filter("deadend"), t("v_edges_b").select(*ends))
+    return t.held("near", lambda: X.nearby_incoming(t("v_edges_a").select(*ends).filter("deadend"), t("v_edges_b").select(*ends)))
 
 
 def search_args(t: Tables):

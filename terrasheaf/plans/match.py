@@ -16,6 +16,10 @@ def r3(expr: str, digits: int = 3) -> str:
 
 
 def candidates(t: Tables) -> DataFrame:
+    return t.held("candidates", lambda: _candidates(t))
+
+
+def _candidates(t: Tables) -> DataFrame:
     modes = PG.sources(t).select("graph_id", "end_node", F.col("terminal_modes").bitwiseAND(F.lit(1025)).alias("modes"))
     s = t("v_shape_a").join(modes.filter("modes <> 0"), "graph_id")
     return s.select(
@@ -34,6 +38,10 @@ def candidates(t: Tables) -> DataFrame:
 
 
 def overlaps(t: Tables) -> DataFrame:
+    return t.held("overlaps", lambda: _overlaps(t))
+
+
+def _overlaps(t: Tables) -> DataFrame:
     c = candidates(t)
     at_x = M.edges_at_point(c, shapes(t, "v_shape_b"))
     r = shapes(t, "v_shape_b").select(
@@ -45,7 +53,7 @@ def overlaps(t: Tables) -> DataFrame:
 
 
 def correlated(t: Tables) -> dict[str, DataFrame]:
-    return M.correlate(candidates(t), overlaps(t), t("v_optb"))
+    return t.held_all("correlated", lambda: M.correlate(candidates(t), overlaps(t), t("v_optb")))
 
 
 def catalog(t: Tables) -> tuple[DataFrame, dict[str, DataFrame]]:

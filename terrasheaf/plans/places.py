@@ -267,6 +267,10 @@ def _(t):
 
 
 def ranked(t: Tables) -> DataFrame:
+    return t.held("ranked", lambda: _ranked(t))
+
+
+def _ranked(t: Tables) -> DataFrame:
     q, p = S.prepare_queries(t("v_queries")), t("v_places")
     return S.rank_v2(S.retrieve_topk_v2(q, p, t("v_bridge"), t("v_cats")), q, p)
 

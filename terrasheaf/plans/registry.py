@@ -24,6 +24,7 @@ BASE = (
 # Graph tables that many queries start from; written once per session and folder.
 STAGED = ("v_edges_a", "v_edges_b", "v_out_a", "v_out_b", "v_optb")
 _STAGE: dict[tuple[str, str, str], str] = {}
+_HELD: dict[tuple[str, str, str], dict[str, str]] = {}
 _STAGE_LOCK = threading.RLock()
 
 QUERIES: dict[str, Callable] = {}
@@ -82,6 +83,26 @@ class Tables:
                 _STAGE[key] = path
         return self.spark.read.parquet(_STAGE[key])
 
+    def held(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """An intermediate result that many queries share, worked out and written once."""
+        return self.held_all(name, lambda: {name: make()})[name]
+
+    def held_all(self, name: str, make: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+        """Like ``held`` for several results that one operator gives together."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        with _STAGE_LOCK:
+            if key not in _HELD:
+                _HELD[key] = {}
+                try:
+                    for part, df in make().items():
+                        path = run_dir(self.spark, f"held-{name}")
+                        df.write.parquet(path)
+                        _HELD[key][part] = path
+                except BaseException:
+                    del _HELD[key]
+                    raise
+        return {part: self.spark.read.parquet(path) for part, path in _HELD[key].items()}
+
     def sql(self, body: str) -> DataFrame:
         """Run SQL over views; each becomes a temporary view, analysed once."""
         for name in set(re.findall(r"[a-z_0-9]+", body)) & (set(BASE) | set(VIEWS)):
