@@ -86,7 +86,7 @@ def source_preview(leaves: DataFrame, buffer: DataFrame) -> DataFrame:
     """
     hit = leaves.join(buffer, ["cy", "cx"]).groupBy("region_id", "primary_id", "source_id").agg(F.count(F.lit(1)).alias("overlap_cells"))
     out = hit.withColumn("is_primary", F.col("source_id") == F.col("primary_id")).drop("primary_id")
-    return out.orderBy("region_id", F.desc("is_primary"), F.desc("overlap_cells"), "source_id")
+    return out
 
 
 def latest_versions(objects: DataFrame) -> DataFrame:
@@ -97,11 +97,10 @@ def latest_versions(objects: DataFrame) -> DataFrame:
 
 
 def release_history(releases: DataFrame) -> DataFrame:
-    """Releases newest first, the latest of each region and kind marked."""
+    """Releases, the latest of each region and kind marked; the reader orders them."""
     newest = releases.groupBy("region_id", "kind").agg(F.max(F.struct("built_at", "version")).alias("n"))
     newest = newest.select("region_id", "kind", F.col("n.built_at").alias("built_at"), F.col("n.version").alias("version"), F.lit(True).alias("latest"))
-    out = releases.join(newest, ["region_id", "kind", "built_at", "version"], "left").withColumn("latest", F.coalesce("latest", F.lit(False)))
-    return out.orderBy(F.desc("built_at"), F.desc("version"))
+    return releases.join(newest, ["region_id", "kind", "built_at", "version"], "left").withColumn("latest", F.coalesce("latest", F.lit(False)))
 
 
 def layer_classify(objects: DataFrame) -> DataFrame:

@@ -155,9 +155,14 @@ def polygon_strips(segments: DataFrame, strip: float) -> DataFrame:
     return s.groupBy("region_id", "cy").agg(F.collect_list(piece).alias("pieces"))
 
 
-def points_in_polygon(points: DataFrame, segments: DataFrame, strip: float = 0.01, lat: str = "lat", lon: str = "lon") -> DataFrame:
+def points_in_polygon(
+    points: DataFrame, segments: DataFrame, strip: float = 0.01, lat: str = "lat", lon: str = "lon", own: str | None = None
+) -> DataFrame:
     """Points with each region they meet and ``strictly`` (not on the outline).
 
+    ``own`` names a column with the one region a point is tested against; it is
+    part of the join key then, so that points never meet other regions' strips.
+
     Even-odd ray casting per ring; a point on the outline is inside, a point
     strictly in a hole is not.  The test needs only the strip row, so points are
     neither grouped nor copied; small outlines make this a map-side join.
@@ -190,7 +195,8 @@ def points_in_polygon(points: DataFrame, segments: DataFrame, strip: float = 0.0
     hole_edge = F.exists("pieces", lambda s: s["is_hole"] & on_edge(s))
     outer_edge = F.exists("pieces", lambda s: ~s["is_hole"] & on_edge(s))
     covered = (inside_any(False) | outer_edge) & (~inside_any(True) | hole_edge)
-    out = p.join(strips, "cy").withColumns({"_covered": covered, "strictly": ~edge})
+    met = p.join(strips, "cy") if own is None else p.join(strips, (p["cy"] == strips["cy"]) & (p[own] == strips["region_id"])).drop(strips["cy"])
+    out = met.withColumns({"_covered": covered, "strictly": ~edge})
     return out.filter("_covered").drop("cy", "pieces", "_covered")
 
 
@@ -257,7 +263,7 @@ def area_cells(segments: DataFrame, size: float) -> DataFrame:
     centres = grid.select(
         F.col("region_id").alias("own"), "gy", "gx", ((F.col("gy") + 0.5) * size).alias("lat"), ((F.col("gx") + 0.5) * size).alias("lon")
     )
-    inside = points_in_polygon(centres, segments, strip=size).filter(F.col("own") == F.col("region_id"))
+    inside = points_in_polygon(centres, segments, strip=size, own="own")
     return inside.select("region_id", F.col("gy").alias("cy"), F.col("gx").alias("cx"))
 
 
@@ -468,7 +474,7 @@ def boundary_samples(segments: DataFrame, buffer_m: float, spacing_m: float = 85
         F.col("region_id").alias("own"), "i", "offset_m", "e.*"
     )
     key = ["own", "i", "offset_m", "sign"]
-    inside = points_in_polygon(ends, segments).filter(F.col("own") == F.col("region_id")).select(*key).distinct().withColumn("inside", F.lit(True))
+    inside = points_in_polygon(ends, segments, own="own").select(*key).distinct().withColumn("inside", F.lit(True))
     flagged = ends.join(inside, key, "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
     both = flagged.groupBy(F.col("own").alias("region_id"), F.col("i").alias("sample"), "offset_m").agg(
         F.max(F.when(F.col("inside"), F.struct("lat", "lon"))).alias("inside_point"),

@@ -423,7 +423,7 @@ def _(t):
         select conv_id, turn, trim(regexp_replace(lower(strip_accents(text)), '[^\\p{L}\\p{N}]+', ' ', 'g')) as n from conversations) a),
       f as (select conv_id, turn, tok, min(i) as i from w where length(tok) >= 2 group by conv_id, turn, tok),
       r as (select *, row_number() over (partition by conv_id, turn order by i) as k from f)
-    select conv_id, turn, string_agg(tok, ' ' order by k) as tokens from r where k <= 6 group by conv_id, turn""",
+    select conv_id, turn, string_agg(tok, ' ' order by k) as tokens from r group by conv_id, turn""",
 )
 def _(t):
     tokens = query_tokens(normalize_text(F.col("text"), "query"))

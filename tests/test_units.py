@@ -40,10 +40,10 @@ def test_null_and_space_cleaning(spark):
     assert [r[0] for r in df.select(text.clean_text(F.col("s"))).collect()] == ["", "a b c"]
 
 
-def test_tokens_are_distinct_capped_and_long_enough(spark):
+def test_tokens_are_distinct_and_long_enough_and_cut_only_if_asked(spark):
     df = spark.createDataFrame([("aa b aa cc dd ee ff gg hh",)], "s string")
-    assert df.select(text.query_tokens(F.col("s"))).first()[0] == ["aa", "cc", "dd", "ee", "ff", "gg"]
-    assert len(df.select(text.query_tokens(F.col("s"), None)).first()[0]) == 7
+    assert df.select(text.query_tokens(F.col("s"), 6)).first()[0] == ["aa", "cc", "dd", "ee", "ff", "gg"]
+    assert len(df.select(text.query_tokens(F.col("s"))).first()[0]) == 7
 
 
 def test_dense_ids_do_not_depend_on_range_width(spark):
