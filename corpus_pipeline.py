@@ -38,12 +38,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document has; n_chars follows the text."""
     drop_staged(spark, docs)
-    cut = span_dedup.remove_repeats(docs)
-    if "n_chars" in docs.columns:
+    # The row travels as one column, so that no column of ``documents`` meets one of the operator's.
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    cut = span_dedup.remove_repeats(held)
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
-        changed = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        cut = cut.withColumn("n_chars", changed)
-    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(columns["n_chars"])
+    return cut.select(*[column.alias(name) for name, column in columns.items()])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,7 +81,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "token-files")
     token_files.write_token_files(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), path)
-    return token_files.with_crc32(token_files.read_token_files(spark, path))
+    return token_files.read_token_files(spark, path, crc32=True)
 
 
 @query

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,13 +60,23 @@ def _pack(values: np.ndarray, width: int) -> bytes:
     return np.packbits(bits[:, :width], bitorder="little").tobytes()
 
 
+_PLACES: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _unpack(data: np.ndarray, count: int, width: int) -> np.ndarray:
+    """The reverse of ``_pack``: each value is cut out of the word that its first byte begins."""
     if not width or not count:
         return np.zeros(count, np.uint32)
-    lane = 2 if width <= 16 else 4
-    bits = np.zeros((count, 8 * lane), np.uint8)
-    bits[:, :width] = np.unpackbits(data, count=count * width, bitorder="little").reshape(count, width)
-    return np.packbits(bits, axis=1, bitorder="little").view(f"<u{lane}").ravel().astype(np.uint32)
+    if (count, width) not in _PLACES:
+        if len(_PLACES) > 256:
+            _PLACES.clear()
+        bit = np.arange(count, dtype=np.int64) * width
+        _PLACES[count, width] = bit >> 3, (bit & 7).astype(np.uint64)
+    byte, shift = _PLACES[count, width]
+    lane = 4 if width <= 25 else 8
+    padded = np.r_[data[: (count * width + 7) // 8], np.zeros(lane, np.uint8)]
+    words = np.ndarray((len(padded) - lane + 1,), f"<u{lane}", padded, strides=(1,))
+    return ((words[byte] >> shift.astype(f"<u{lane}")) & words.dtype.type((1 << width) - 1)).astype(np.uint32)
 
 
 def pack_ids(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) -> tuple[bytes, np.ndarray]:
@@ -324,7 +335,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
             return out
 
         for batch in batches:
-            for part in by_bytes(batch, 2 << 20):
+            for part in by_bytes(batch, 8 << 20):
                 for at, ids in enumerate(coder.encode(part.column(1).to_pylist(), end_id)):
                     names.append(part.column(0).slice(at, 1))
                     coded.append(ids)
@@ -341,8 +352,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     files.select(F.spark_partition_id().cast("long").alias("part"), "*").write.parquet(path)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, ids) of every document: ``start`` counts the ids of all documents before it."""
+def read_token_files(spark: SparkSession, path: str, crc32: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of every document: ``start`` counts the ids of all documents before it.
+
+    ``crc32`` asks for the checksum ``ids_crc32`` of the ids' bytes in place of the ids.
+    """
     files = spark.read.parquet(path)
     sizes = files.select("part", "nth", "n_ids")
     # Files before this one in its part, and parts before it: sums over few rows, one a file and one a part.
@@ -359,21 +373,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(lengths.astype(np.int64))
                 raw = ids.astype("<u4").tobytes()
                 starts = ends - lengths
+                cut = [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
+                held = pa.array(map(zlib.crc32, cut), pa.int64()) if crc32 else pa.array(cut, pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[at].values,
-                        pa.array(starts + batch.column(2)[at].as_py()),
-                        pa.array([raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()),
-                    ],
-                    ["doc_id", "start", "ids"],
+                    [batch.column(0)[at].values, pa.array(starts + batch.column(2)[at].as_py()), pa.array(ends - starts), held],
+                    ["doc_id", "start", "n_tokens", "ids_crc32" if crc32 else "ids"],
                 )
 
     ship(spark)
     kind = files.schema["doc_ids"].dataType.elementType.simpleString()
     met = files.join(offsets, ["part", "nth"]).select("doc_ids", "data", "base")
-    return met.mapInArrow(run, f"doc_id {kind}, start long, ids binary")
-
-
-def with_crc32(held: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of rows (doc_id, start, ids); Spark's crc32 is the unsigned one."""
-    return held.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    return met.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, " + ("ids_crc32 long" if crc32 else "ids binary"))

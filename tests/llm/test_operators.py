@@ -308,7 +308,7 @@ def test_token_files_on_table(spark, docs, empty, tmp_path):
     table = spark.createDataFrame([(1000 - k, t) for k, t in enumerate(texts)] + [(None, "x"), (7, "same"), (7, "same")], "doc_id long, text string")
     path = str(tmp_path / "files")
     token_files.write_token_files(table.repartition(5), vocabulary("byte_bpe_50k.json"), path, file_ids=2000)
-    got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in token_files.with_crc32(token_files.read_token_files(spark, path)).collect())
+    got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in token_files.read_token_files(spark, path, crc32=True).collect())
     want, start = [], 0
     order = [(None, "x"), (7, "same"), (7, "same"), *((1000 - k, t) for k, t in reversed(list(enumerate(texts))))]
     for i, t in order:
@@ -316,6 +316,8 @@ def test_token_files_on_table(spark, docs, empty, tmp_path):
         want.append((start, i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert got == want
+    raw = {(r["start"], zlib.crc32(bytes(r["ids"]))) for r in token_files.read_token_files(spark, path).collect()}
+    assert raw == {(w[0], w[3]) for w in want}
     token_files.write_token_files(empty, vocabulary("byte_bpe_50k.json"), str(tmp_path / "none"))
     assert token_files.read_token_files(spark, str(tmp_path / "none")).count() == 0
 

@@ -140,8 +140,10 @@ def test_pipeline_against_brute_force(spark, con, docs):
 
 
 def test_stages_keep_the_columns(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "doc_id as n_removed", "'x' as row", "'y' as whole")
     for name, step in corpus_pipeline.STAGES[:-1]:
         assert step(spark, docs.limit(0), SF).columns == docs.columns, name
+    cut = corpus_pipeline.repeated_spans(spark, docs, SF)
+    assert cut.where("n_removed <> doc_id").count() == 0 and cut.where("n_chars <> length(text)").count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SF).count() == 0
     assert bpe.load(vocabulary("word_bpe_49k.json")).encode([None]) == [b""]
