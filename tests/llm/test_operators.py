@@ -406,6 +406,8 @@ def test_page_lines():
         "<p>Four<br>five</p><script>if(a<b){'</p>'}</script><form>f</form><section id=comments><p>no</p></section><!-- x -->Six &#233;</article><footer>z</footer>"
     )
     assert html_text.main_text(page, None) == "Head\n\nOne & two three\n\nFour\n\nfive\n\nSix é"
+    wrapped = "<div class='page with-sidebar'><div>side</div><article class='post has-header no-comments'><p>Real.</p><article class='comment'><p>no</p></article></article></div><div id='comments'><article><p>no</p></article></div>"
+    assert html_text.main_text(wrapped, None) == "Real."
     assert html_text.main_text(None, None) == "" and html_text.main_text("", [1]) == "" and html_text.main_text("<p", None) == "<p"
 
 
