@@ -324,11 +324,22 @@ def table_fingerprint(table: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+PACK_KEY = ["region_id", "pack_version"]
+
+
+def _of_pack(packs: DataFrame, facts: DataFrame) -> DataFrame:
+    """Facts beside their packs: by region and version, or one row for all where they carry neither."""
+    if set(PACK_KEY) <= set(facts.columns):
+        return packs.join(facts, PACK_KEY, "left")
+    return packs.join(F.broadcast(facts))  # one row
+
+
 def pack_manifest(counts: DataFrame, identity: DataFrame) -> DataFrame:
-    """Manifest row of a pack: identity columns, source fingerprint, counts, capabilities.
+    """Manifest rows of packs: identity columns, source fingerprint, counts, capabilities.
 
-    ``identity`` has one row with region_id, pack_version, provider, data_release,
-    client, client_version, input_sha256 and coverage.
+    ``identity`` has one row a pack with region_id, pack_version, provider,
+    data_release, client, client_version, input_sha256 and coverage.  ``counts``
+    has a row a pack, with region_id and pack_version, or a single row without them.
     """
     source = {
         "provider": F.col("provider"),
@@ -338,7 +349,7 @@ def pack_manifest(counts: DataFrame, identity: DataFrame) -> DataFrame:
         "inputSha256": F.col("input_sha256"),
         "coverage": F.col("coverage"),
     }
-    return identity.join(F.broadcast(counts)).select(  # one row on both sides
+    return _of_pack(identity, counts).select(
         "*",
         canonical_fingerprint(**source).alias("source_fingerprint"),
         (F.col("categorized_count") > 0).alias("category_search"),
@@ -351,16 +362,19 @@ def pack_manifest(counts: DataFrame, identity: DataFrame) -> DataFrame:
 def validate_pack(
     manifest: DataFrame, counts: DataFrame, orphans: DataFrame, recorded: DataFrame, replayed: DataFrame
 ) -> DataFrame:
-    """Violations of a pack against its manifest.
+    """Violations of packs against their manifests.
 
+    ``counts`` and ``orphans`` belong to the packs that their region_id and
+    pack_version name; without these columns they belong to the single pack.
     ``recorded`` holds the search results noted in the manifest (query_id, rank,
     title, address, score); ``replayed`` the ranking computed now.
     """
     names = ["record_count", "categorized_count", "structured_address_count", "source_identified_count"]
-    n_orphans = orphans.agg(F.count(F.lit(1)).alias("orphans"))
-    row = manifest.join(F.broadcast(counts.select(*[F.col(n).alias(f"now_{n}") for n in names]))).join(
-        F.broadcast(n_orphans)
-    )  # every side is one row
+    keys = [k for k in PACK_KEY if set(PACK_KEY) <= set(counts.columns)]
+    own = [k for k in PACK_KEY if set(PACK_KEY) <= set(orphans.columns)]
+    n_orphans = orphans.groupBy(*own).agg(F.count(F.lit(1)).alias("orphans"))
+    row = _of_pack(_of_pack(manifest, counts.select(*keys, *[F.col(n).alias(f"now_{n}") for n in names])), n_orphans)
+    row = row.withColumn("orphans", F.coalesce("orphans", F.lit(0)))
     source = {
         "provider": F.col("provider"),
         "dataRelease": F.col("data_release"),

@@ -452,3 +452,21 @@ def test_shared_folder_is_refused_on_a_cluster(monkeypatch):
     )
     with pytest.raises(RuntimeError):
         session.shared_dir(cluster)
+
+
+def test_each_pack_gets_its_own_counts(spark):
+    identity = spark.createDataFrame(
+        [(r, "v1", "p", "d", "c", "1.2.3", "a" * 64, "x") for r in ("north", "south")],
+        "region_id string, pack_version string, provider string, data_release string, client string, client_version string, input_sha256 string, coverage string",
+    )
+    counts = spark.createDataFrame(
+        [("north", "v1", 5, 4, 3, 2), ("south", "v1", 7, 0, 1, 0)],
+        "region_id string, pack_version string, record_count long, categorized_count long, structured_address_count long, source_identified_count long",
+    )
+    made = places.pack_manifest(counts, identity)
+    assert rows(made, "region_id", "record_count", "category_search") == [("north", 5, True), ("south", 7, False)]
+    ranks = spark.createDataFrame([], "query_id long, rank int, title string, address string, score long")
+    orphans = spark.createDataFrame([("south", "v1", 9)], "region_id string, pack_version string, category_id long")
+    found = places.validate_pack(made, counts, orphans, ranks, ranks)
+    assert {r for r in rows(found, "subject", "code") if r[0] == "north"} == set()
+    assert ("south", "orphan_category_links") in rows(found, "subject", "code")
