@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import run_dir, ship
 
-BITS_PER_KEY, LANES, MOST_BLOCKS = 16, 8, 1 << 21
+BITS_PER_KEY, LANES, MOST_BLOCKS = 16, 8, 1 << 20
 _STAGED: list[tuple[str, str]] = []
 
 # White space that separates words (space, tab, LF, VT, FF, CR).
@@ -92,17 +92,17 @@ def build_filter(hashes: DataFrame) -> np.ndarray:
     """Blocked Bloom filter of rows (h1, h2): blocks of eight 32-bit lanes.
 
     The number of blocks, and so what comes to the driver and goes to the tasks,
-    is bounded by MOST_BLOCKS (64 MB); with more keys more lookups pass.
+    is bounded by MOST_BLOCKS (32 MB); with more keys more lookups pass.
     """
     n, blocks = hashes.count(), 1
     while blocks * 32 * LANES < n * BITS_PER_KEY and blocks < MOST_BLOCKS:
         blocks *= 2
     bit = lambda k: F.shiftrightunsigned("h2", 5 * k).bitwiseAND(F.lit(31)).cast("int")
-    lanes = [F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(k))).alias(f"l{k}") for k in range(LANES)]
-    rows = hashes.groupBy(F.pmod("h1", F.lit(blocks)).alias("block")).agg(*lanes).toPandas()
+    lanes = [F.bit_or(F.call_function("shiftleft", F.lit(1), bit(k))).alias(f"l{k}") for k in range(LANES)]
+    rows = hashes.groupBy(F.pmod("h1", F.lit(blocks)).cast("int").alias("block")).agg(*lanes).toPandas()
     table = np.zeros((blocks, LANES), np.uint32)
     if len(rows):
-        table[rows["block"]] = rows[[f"l{k}" for k in range(LANES)]].to_numpy(np.uint64).astype(np.uint32)
+        table[rows["block"]] = rows[[f"l{k}" for k in range(LANES)]].to_numpy(np.int32).view(np.uint32)
     return table
 
 

@@ -2,7 +2,7 @@
 
 Listed URLs are kept in a blocked Bloom filter: each URL sets one bit in each of
 eight lanes of one block, so a lookup touches 32 bytes.  Blocks are built by an
-aggregate over the list; their number is bounded (64 MB), which bounds what is
+aggregate over the list; their number is bounded (32 MB), which bounds what is
 sent to the tasks.  Possible hits are joined with the list by
 their canonical URL, which removes false positives, so the verdict is exact for
 every size of the list.
