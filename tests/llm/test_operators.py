@@ -194,6 +194,14 @@ def test_runs_ignore_white_space_only():
     assert not span_dedup.runs("A. B. C. D. E.")
 
 
+def test_short_lines_make_runs(spark):
+    lines = [f"w{k}" for k in range(60)]
+    first, later = "\n".join(["Its own words stand here.", *lines]), "\n".join([*lines, "Other words end this one."])
+    table = spark.createDataFrame([(1, first), (2, later), (3, first)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in span_dedup.remove_repeats(table).collect()}
+    assert got == {1: first, 2: "Other words end this one.", 3: ""}
+
+
 # ----------------------------------------------------------------- decontamination
 
 
