@@ -4,9 +4,9 @@ Every run of consecutive sentences is hashed; equal hashes meet in one global
 aggregate that finds the first place of each repeated run (the smallest doc_id,
 then the earliest sentence); sentences that any other place covers are removed.
 
-A run that starts at a sentence has the fewest sentences that make SENTENCES of
-them, or WORDS words; where these have fewer than LEAST_WORDS words, it goes on
-until it has as many, so that chains of short lines make runs too.  Of a
+At every sentence start the runs of SENTENCES sentences and all shorter runs of
+WORDS words or more; where SENTENCES sentences have fewer than LEAST_WORDS words,
+the run goes on until it has as many, so that chains of short lines make runs too.  Of a
 passage's end, sentences of fewer than LEAST_WORDS words together may stay,
 since no run within the passage starts there.  The length of a run depends
 on its own text only, so copies of a passage make the same runs wherever they
@@ -51,11 +51,11 @@ def runs(text: str | None) -> list[tuple[int, int, bytes]]:
     out = []
     for i in range(len(split)):
         n = words = 0
-        while i + n < len(split) and words < WORDS and (n < SENTENCES or words < LEAST_WORDS):
+        while i + n < len(split) and (n < SENTENCES or words < LEAST_WORDS):
             words += sizes[i + n]
             n += 1
-        if words >= WORDS or n >= SENTENCES and words >= LEAST_WORDS:
-            out.append((i, n, xxhash.xxh3_128_digest(b"\n".join(plain[i : i + n]))))
+            if words >= WORDS or n >= SENTENCES and words >= LEAST_WORDS:
+                out.append((i, n, xxhash.xxh3_128_digest(b"\n".join(plain[i : i + n]))))
     return out
 
 

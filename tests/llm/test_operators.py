@@ -202,6 +202,14 @@ def test_short_lines_make_runs(spark):
     assert got == {1: first, 2: "Other words end this one.", 3: ""}
 
 
+def test_all_sentences_of_a_repeated_passage_go(spark):
+    sentence = lambda mark, n: " ".join(f"{mark}{k}" for k in range(n)) + "."
+    three, two = " ".join([sentence("a", 22), sentence("b", 22), sentence("c", 15)]), " ".join([sentence("d", 45), sentence("e", 5)])
+    table = spark.createDataFrame([(1, f"{three} One end. {two} Two."), (2, f"{three} Other end. {two} Last.")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in span_dedup.remove_repeats(table).collect()}
+    assert got[2] == "Other end. Last."
+
+
 # ----------------------------------------------------------------- decontamination
 
 
