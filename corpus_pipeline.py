@@ -44,7 +44,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(columns["n_chars"])
+        columns["n_chars"] = F.when(F.col("text") != F.col("row.text"), F.length("text").cast(kind)).otherwise(columns["n_chars"])
     return cut.select(*[column.alias(name) for name, column in columns.items()])
 
 

@@ -13,6 +13,13 @@ on its own text only, so copies of a passage make the same runs wherever they
 stand.  A sentence ends with . ! ? or an ellipsis before white space, or with
 its line; runs are compared without regard to the kind and amount of white space.
 
+A passage may also lie inside longer sentences, or begin and end within them.  So
+windows of WORDS words are hashed too, at content-defined places: of each WINDOWS
+consecutive windows of a text the one with the least hash.  Two texts that share
+WORDS + WINDOWS - 1 words or more thus hash at least one common window, wherever
+the words stand, and later windows are cut word by word.  A sentence of which
+words are left does not count as removed.
+
 Defined cases: null and empty texts have no sentences and stay as they are;
 rows that repeat one doc_id and text are one document (all are cut alike, none
 is first against the other), other rows with one doc_id are told apart by their
@@ -33,8 +40,12 @@ from pyspark.sql import functions as F
 from .common import WORD_SPACE, by_bytes, filter_test, key_hashes, map_texts, ship, stage
 
 SENTENCES, WORDS, LEAST_WORDS = 3, 40, 8
+WINDOWS = 11  # a passage of over 50 words holds a window that is chosen in every copy
 _CUT = re.compile(r"[.!?…]+[ \t\n\x0b\x0c\r]+|\n[ \t\n\x0b\x0c\r]*")
 
+_WORD = re.compile(rf"[^{WORD_SPACE}]+[{WORD_SPACE}]*")
+_BASE = 0x9E3779B97F4A7C15
+
 
 def sentences(text: str | None) -> list[str]:
     """The sentences of a text, each with the white space behind it."""
@@ -59,12 +70,54 @@ def runs(text: str | None) -> list[tuple[int, int, bytes]]:
     return out
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(n, base, np.uint64)], dtype=np.uint64)
+
+
+def windows(text: str | None) -> list[tuple[int, bytes]]:
+    """(first word, digest) of the chosen windows of WORDS words."""
+    words = text.encode().split() if text else []
+    n = len(words)
+    if n < WORDS:
+        return []
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
+    sums = np.r_[np.uint64(0), np.cumsum(hashes * _powers(_BASE, n)[:n], dtype=np.uint64)]
+    mark = (sums[WORDS:] - sums[:-WORDS]) * _powers(pow(_BASE, -1, 1 << 64), n)[: n - WORDS + 1]
+    mark = (mark ^ (mark >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    mark ^= mark >> np.uint64(29)
+    width = min(WINDOWS, len(mark))
+    # The last of equal hashes, so that text that repeats itself is chosen throughout.
+    back = np.lib.stride_tricks.sliding_window_view(mark, width)[:, ::-1].argmin(axis=1)
+    chosen = np.unique(np.arange(len(back)) + width - 1 - back).tolist()
+    return [(i, xxhash.xxh3_128_digest(b" ".join(words[i : i + WORDS]), 1)) for i in chosen]
+
+
+def without(text: str, spans: list[dict]) -> tuple[str, int, int]:
+    """(text, sentences, sentences removed) without ``spans``; those with no sentences are windows."""
+    whole = sentences(text)
+    drop = {i for s in spans for i in range(s["first"], s["first"] + s["n"])}
+    gone = {i for s in spans if not s["n"] for i in range(s["first"], s["first"] + WORDS)}
+    left, at = [], 0
+    for i, sentence in enumerate(whole):
+        words = _WORD.findall(sentence) if gone else []
+        stay = [w for k, w in enumerate(words, at) if k not in gone]
+        at += len(words)
+        if words and not stay:
+            drop.add(i)
+        if i not in drop:
+            left.append("".join(stay) if len(stay) < len(words) else sentence)
+    return ("".join(left).rstrip(WORD_SPACE) if drop or gone else text), len(whole), len(drop)
+
+
 def _spans(docs: DataFrame) -> DataFrame:
-    """(h1, h2, doc_id, mark, first, n) of every run; ``mark`` is a hash of the whole text."""
+    """(h1, h2, doc_id, mark, first, n) of every run; ``mark`` is a hash of the whole text.
+
+    Windows have ``n`` zero and their first word as ``first``.
+    """
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [runs(t) for t in batch.column(1).to_pylist()]
+            found = [runs(t) + [(i, 0, h) for i, h in windows(t)] for t in batch.column(1).to_pylist()]
             rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
             marks = np.frombuffer(b"".join([h for f in found for _, _, h in f]), "<i8").reshape(-1, 2)
             return pa.RecordBatch.from_arrays(
@@ -126,11 +179,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for part in by_bytes(batch):
                 texts, counts, gone = [], [], []
                 for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                    whole = sentences(text)
-                    drop = {i for s in spans or () for i in range(s["first"], s["first"] + s["n"])}
-                    texts.append("".join([s for i, s in enumerate(whole) if i not in drop]).rstrip(WORD_SPACE) if drop else text)
-                    counts.append(len(whole))
-                    gone.append(len(drop))
+                    left, count, removed = without(text, spans or [])
+                    texts.append(left)
+                    counts.append(count)
+                    gone.append(removed)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
                     ["whole", "text", "n_sentences", "n_removed"],

@@ -210,6 +210,19 @@ def test_all_sentences_of_a_repeated_passage_go(spark):
     assert got[2] == "Other end. Last."
 
 
+def test_passages_inside_long_sentences_go(spark):
+    word = lambda mark, n: " ".join(f"{mark}{k}" for k in range(n))
+    passage = word("p", 51)
+    texts = [(k, f"{word(f'a{k}x', 30 + k)} {passage} {word(f'b{k}x', 300)}.") for k in range(12)]
+    table = spark.createDataFrame(texts + [(20, None), (21, word("q", 39))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in span_dedup.remove_repeats(table).collect()}
+    assert got[0]["text"] == texts[0][1] and got[20]["text"] is None and got[21]["text"] == word("q", 39)
+    for k, text in texts[1:]:
+        left, own = got[k]["text"].split(), [w for w in text.split() if w[0] != "p"]
+        assert [w for w in left if w[0] != "p"] == own and len(left) - len(own) <= 11
+        assert got[k]["n_sentences"] == 1 and got[k]["n_removed"] == 0
+
+
 # ----------------------------------------------------------------- decontamination
 
 
