@@ -12,21 +12,21 @@ from .rules import RANK_BROKEN, ranked_neighbours, union_all, violations
 
 # Tolerances in metres and limits of the probes.
 ARRIVAL_M, HANDOFF_M, SNAP_M = 25.0, 1.0, 150.0
-DIVERSITY_CELL, PER_CELL, POOL_MIN, POOL_FACTOR = 0.015, 2, 100, 200
+DIVERSITY_CELL, PER_CELL = 0.015, 2
 CROSSING_SNAP_KM, CROSSING_MAX_KM, KM_PER_DEGREE = 5.0, 80.0, 111.3
 
 
 def diverse_proposals(proposals: DataFrame, start: tuple[float, float], end: tuple[float, float], k: int) -> DataFrame:
-    """The ``k`` least detours, at most two per cell, from a bounded best pool.
+    """The ``k`` least detours, at most two per cell, among all rows.
 
     Equal to picking greedily in (detour, id) order.
     """
     lat, lon = F.col("lat"), F.col("lon")
     a = haversine_m(F.lit(start[0]), F.lit(start[1]), lat, lon, EARTH_SEARCH_M)
     b = haversine_m(lat, lon, F.lit(end[0]), F.lit(end[1]), EARTH_SEARCH_M)
-    pool = proposals.withColumn("detour_m", a + b).orderBy("detour_m", "id").limit(max(POOL_MIN, k * POOL_FACTOR))
+    measured = proposals.withColumn("detour_m", a + b)
     cell = Window.partitionBy(F.floor(lat / DIVERSITY_CELL), F.floor(lon / DIVERSITY_CELL)).orderBy("detour_m", "id")
-    kept = pool.withColumn("_n", F.row_number().over(cell)).filter(F.col("_n") <= PER_CELL).drop("_n")
+    kept = measured.withColumn("_n", F.row_number().over(cell)).filter(F.col("_n") <= PER_CELL).drop("_n")
     return kept.orderBy("detour_m", "id").limit(k)
 
 

@@ -311,6 +311,13 @@ def test_diverse_proposals_equal_the_greedy_loop(spark):
     assert sorted(want) == [r[0] for r in rows(routes.diverse_proposals(df, a, b, 9), "id")]
 
 
+def test_diverse_proposals_look_beyond_a_dense_cell(spark):
+    dense = spark.range(1000).selectExpr("concat('a', lpad(id, 4, '0')) as id", "46.001d as lat", "12.001d as lon")
+    far = spark.createDataFrame([("b1", 46.2, 12.2), ("b2", 46.3, 12.3), ("b3", 46.4, 12.4)], "id string, lat double, lon double")
+    got = routes.diverse_proposals(dense.union(far), (46.0, 12.0), (46.0, 12.0), 4)
+    assert rows(got, "id") == [("a0000",), ("a0001",), ("b1",), ("b2",)]
+
+
 def test_cover_keeps_only_sources_with_new_cells(spark):
     cells = [("r", "own", 9, True, 0, x) for x in range(3)] + [("r", "leaf", 1, False, 0, x) for x in (2, 3, 4)] + [("r", "giant", 5, False, 0, x) for x in range(5)]
     df = spark.createDataFrame(cells, "region_id string, source_id string, size_order int, is_primary boolean, cy long, cx long")
