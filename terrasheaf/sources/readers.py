@@ -105,12 +105,15 @@ def read_road_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_edge_scan(documents: DataFrame) -> DataFrame:
-    """(window, edge) rows from one scan document per row in column ``line``."""
+    """(window, edge) rows from one scan document per row in column ``line``.
+
+    A window without edges, or a document that cannot be parsed, is one row with null edge columns.
+    """
     d = documents.select(F.from_json("line", SCAN_SCHEMA).alias("d")).select("d.*")
     whole = F.coalesce(F.col("complete") & ~F.col("truncated") & F.col("maxResults").isNull() & (F.col("returned") == F.size("edges")), F.lit(False))
     names = {"graphId": "graph_id", "wayId": "way_id", "innerLat": "inner_lat", "innerLon": "inner_lon", "forwardAccess": "forward_access",
              "reverseAccess": "reverse_access", "roadClass": "road_class", "use": "road_use"}
-    rows = d.select(F.col("index").alias("window_index"), whole.alias("whole"), "visitedTiles", F.explode("edges").alias("e"))
+    rows = d.select(F.col("index").alias("window_index"), whole.alias("whole"), "visitedTiles", F.explode_outer("edges").alias("e"))
     return rows.select("window_index", "whole", F.col("visitedTiles").alias("visited_tiles"), "e.*").withColumnsRenamed(names)
 
 

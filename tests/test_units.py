@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import unicodedata
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from terrasheaf.functions import geo, ids, lines, text
 from terrasheaf.operators import catalog, diff, graph, match, places, quality, routes, search, spatial
 from terrasheaf.plans.places import nest
+from terrasheaf.plans.registry import QUERIES
 from terrasheaf.sources import readers, sinks
 
 
@@ -40,6 +42,24 @@ def test_null_and_space_cleaning(spark):
     assert [r[0] for r in df.select(text.clean_text(F.col("s"))).collect()] == ["", "a b c"]
 
 
+def test_normalize_text_query_returns_every_document(spark, tmp_path):
+    texts = ["plain Text", "Café 1", "日本 語!", "Straße Ωmega", "Привет, мир", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def fold(value):
+        letters = [c for c in unicodedata.normalize("NFKD", value or "") if not unicodedata.combining(c)]
+        return " ".join("".join(c.lower() if c.isalnum() else " " for c in letters).split())
+
+    assert rows(QUERIES["normalize_text"](spark, str(tmp_path))) == [(k, fold(x)) for k, x in enumerate(texts)]
+
+
+def test_edge_scan_keeps_windows_without_edges(spark):
+    docs = ['{"index": 3, "complete": true, "truncated": false, "returned": 0, "edges": []}', "no json",
+            '{"index": 4, "complete": true, "truncated": false, "returned": 1, "edges": [{"graphId": 9}]}']
+    got = readers.parse_edge_scan(spark.createDataFrame([(d,) for d in docs], "line string"))
+    assert rows(got, "window_index", "whole", "graph_id") == [(3, True, None), (4, True, 9), (None, False, None)]
+
+
 def test_tokens_are_distinct_and_long_enough_and_cut_only_if_asked(spark):
     df = spark.createDataFrame([("aa b aa cc dd ee ff gg hh",)], "s string")
     assert df.select(text.query_tokens(F.col("s"), 6)).first()[0] == ["aa", "cc", "dd", "ee", "ff", "gg"]
