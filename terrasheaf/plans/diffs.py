@@ -149,7 +149,8 @@ def _(t):
     near = D.near_outline(ways(t, "v_way_a"), t("v_poly").filter("region_id = 'ra'"), 75.0, "way_id")
     req = D.required_roads(f, ["ECONOMY", "PROMO"], near)
     out = D.layer_coverage(req, t("v_way_a").filter("way_id % 9 <> 0"))
-    return out.filter(F.array_contains("categories", "MAJOR")).select("way_id", F.lit(True).alias("major"), "present")
+    # Ways that only the border corridor requires come back too; the SQL knows those by class alone.
+    return out.select("way_id", F.array_contains("categories", "MAJOR").alias("major"), "present")
 
 
 @query("layer_coverage_counts")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from terrasheaf.functions import geo, ids, lines, text
 from terrasheaf.operators import catalog, diff, graph, match, places, quality, routes, search, spatial
+from terrasheaf.plans import load_all, registry
 from terrasheaf.plans.places import nest
 from terrasheaf.plans.registry import QUERIES
 from terrasheaf.sources import readers, sinks
@@ -338,6 +339,20 @@ def test_diverse_proposals_look_beyond_a_dense_cell(spark):
     assert rows(got, "id") == [("a0000",), ("a0001",), ("b1",), ("b2",)]
 
 
+def test_layer_coverage_query_returns_border_ways(spark, monkeypatch):
+    load_all()
+    # An outline along latitude 46; ways 1 and 2 lie on it, way 3 far off, way 4 far off but of a major class.
+    ways_ = [(1, "OTHER", 46.0, 46.0), (2, "PROMO", 46.0, 46.0), (3, "OTHER", 46.5, 46.5), (4, "ECONOMY", 46.5, 46.5), (9, "OTHER", 46.0004, 46.0004)]
+    made = {
+        "v_way_a": spark.createDataFrame([(i, c, la0, 12.01, la1, 12.02) for i, c, la0, la1 in ways_], "way_id long, road_class string, la0 double, lo0 double, la1 double, lo1 double"),
+        "v_poly": spark.createDataFrame([("ra", 12.0, 46.0, 12.1, 46.0)], "region_id string, ax double, ay double, ex double, ey double"),
+    }
+    monkeypatch.setattr(registry.Tables, "__call__", lambda self, name: made[name])
+    monkeypatch.setattr(registry.Tables, "sql", lambda self, body: pytest.fail(body))
+    got = rows(QUERIES["layer_coverage"](spark, "none"), "way_id", "major", "present")
+    assert got == [(1, False, True), (2, True, True), (4, True, True), (9, False, False)]
+
+
 def test_cover_keeps_only_sources_with_new_cells(spark):
     cells = [("r", "own", 9, True, 0, x) for x in range(3)] + [("r", "leaf", 1, False, 0, x) for x in (2, 3, 4)] + [("r", "giant", 5, False, 0, x) for x in range(5)]
     df = spark.createDataFrame(cells, "region_id string, source_id string, size_order int, is_primary boolean, cy long, cx long")
