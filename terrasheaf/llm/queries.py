@@ -1,4 +1,4 @@
-"""Runnable queries of this subpackage, op1 to op10, with SQL where it can express them."""
+"""Runnable queries of this subpackage, op1 to op13, with SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from . import (
     html_text,
     importance,
     language_id,
+    line_dedup,
     quality_rules,
     simhash,
     span_dedup,
@@ -131,6 +132,12 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated(line_dedup.file_batches(read_table(spark, sf_dir, "documents")))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 # ------------------------------------------------------------------ comparison SQL
 
 _WS = r"[\x20\x09-\x0D]"
@@ -267,3 +274,18 @@ fit as (
 select n.page_id, n.host, n.path, f.rule, coalesce(f.verdict, case when l.canonical is not null then 'block' else 'allow' end) verdict
 from named n left join fit f on f.page_id = n.page_id and f.nth = 1 left join listed l using (canonical)
 """.replace("\\\\", "\\")
+
+ORACLES["op11_line_dedup"] = r"""
+with lines as (
+  select row_number() over () r, doc_id, string_split(coalesce(text, ''), chr(10)) l from documents),
+each as (select r, doc_id, unnest(l) line, unnest(generate_series(1, len(l))) i from lines),
+keyed as (
+  select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k
+  from each),
+often as (select k from keyed where k <> '' group by k having count(distinct r) >= 10)
+select any_value(doc_id) doc_id, cast(count(*) as bigint) n_lines, cast(count(o.k) as bigint) n_dropped,
+  sha256(coalesce(string_agg(case when o.k is null then line end, chr(10) order by i), '')) kept_sha256
+from keyed left join often o using (k)
+group by r
+"""
