@@ -15,6 +15,7 @@ from . import (
     importance,
     language_id,
     line_dedup,
+    merkle,
     quality_rules,
     simhash,
     span_dedup,
@@ -138,6 +139,15 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = {"text": merkle.tampered(F.col("text"), F.col("doc_id"))}
+    rows = merkle.manifest(read_table(spark, sf_dir, "documents"), shown)
+    folded = merkle.fold(F.col("presented_leaf"), F.col("path"))
+    rows = rows.withColumns({"proof_sha256": merkle.proof(F.col("path")), "folded_root": folded})
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 # ------------------------------------------------------------------ comparison SQL
 
 _WS = r"[\x20\x09-\x0D]"
@@ -289,3 +299,61 @@ select any_value(doc_id) doc_id, cast(count(*) as bigint) n_lines, cast(count(o.
 from keyed left join often o using (k)
 group by r
 """
+
+
+def _op13_sql(most: int = 6) -> str:
+    """The tree level by level: ``most`` levels, so up to 16^most documents a source and as many sources."""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join([*(field(f"cast({c} as varchar)") for c in ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+
+    # CRC-32 bit by bit: polynomial and start value are those of the standard.
+    crc = (
+        "xor(list_reduce([4294967295] || list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint)), "
+        "lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda d, y: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295)"
+    )
+    parts = [
+        f"""given as (
+  select *, case when doc_id is not null and {crc} % 5 = 0 then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end seen from documents)""",
+        f"""leaves as (select doc_id, coalesce('s' || cast(source as varchar), '') s, {leaf("text")} h, {leaf("seen")} shown from given)""",
+        """a0 as (select *, row_number() over (partition by s order by doc_id nulls first, h) - 1 i, count(*) over (partition by s) n from leaves)""",
+    ]
+
+    def tree(name: str) -> None:
+        for k in range(most):
+            parts.append(
+                f"""{name}{k + 1} as (
+  select s, i // 16 i, (n + 15) // 16 n, case when n = 1 then any_value(h) else sha256(string_agg(h, '' order by i)) end h from {name}{k} group by s, i // 16, n)"""
+            )
+            over = f"partition by s, i // 16 order by i rows between"
+            parts.append(
+                f"""{name}{k}_sides as (
+  select s, i, n > 1 more, coalesce(string_agg(h, '') over ({over} unbounded preceding and 1 preceding), '') l,
+    coalesce(string_agg(h, '') over ({over} 1 following and unbounded following), '') r from {name}{k})"""
+            )
+
+    tree("a")
+    parts.append(f"b0 as (select '' s, h, s as own, row_number() over (order by s) - 1 i, count(*) over () n from a{most})")
+    tree("b")
+    steps = [("a", k) for k in range(most)] + [("b", k) for k in range(most)]
+    joins = " ".join(
+        f"join {t}{k}_sides {t}s{k} on {t}s{k}.s = {'x.s' if t == 'a' else chr(39) * 2} and {t}s{k}.i = {'x' if t == 'a' else 'b0'}.i // {16**k}" for t, k in steps
+    )
+    proof = " || ".join(f"{t}s{k}.l || {t}s{k}.r" for t, k in steps)
+    parts.append(f"held as (select x.doc_id, x.h leaf, x.shown, b0.h subroot, sha256({proof}) proof_sha256, [{', '.join(f'[cast({t}s{k}.more as varchar), {t}s{k}.l, {t}s{k}.r]' for t, k in steps)}] path from a0 x join b0 on b0.own = x.s {joins})")
+    return (
+        "with "
+        + ",\n".join(parts)
+        + f""",
+folded as (
+  select doc_id, leaf, subroot, (select h from b{most}) root, proof_sha256,
+    list_reduce([['', shown, '']] || path, lambda c, p: ['', case when p[1] = 'true' then sha256(p[2] || c[2] || p[3]) else c[2] end, ''])[2] folded_root
+  from held)
+select *, folded_root = root verified from folded"""
+    )
+
+
+ORACLES["op13_merkle_manifest"] = _op13_sql()
