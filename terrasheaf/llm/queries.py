@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import (
     bpe,
     decontamination,
+    hard_negatives,
     html_text,
     importance,
     language_id,
@@ -139,6 +140,13 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.integer_rows(read_table(spark, sf_dir, "embeddings"), label=moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = {"text": merkle.tampered(F.col("text"), F.col("doc_id"))}
@@ -357,3 +365,21 @@ select *, folded_root = root verified from folded"""
 
 
 ORACLES["op13_merkle_manifest"] = _op13_sql()
+
+ORACLES["op12_hard_negatives"] = r"""
+with held as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) q
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+anchors as (select * from held where vec_id % 50 = 0),
+scored as (
+  select a.vec_id anchor_id, h.vec_id other, a.l = h.l same, cast(list_sum(list_transform(list_zip(a.q, h.q), lambda p: p[1] * p[2])) as bigint) score
+  from anchors a join held h on h.vec_id <> a.vec_id),
+positives as (select anchor_id, other positive_id, score positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select p.anchor_id, p.positive_id, cast(row_number() over w as integer) rank, s.other negative_id, p.positive_score, s.score negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and not s.same and 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score
+window w as (partition by p.anchor_id, p.positive_id order by s.score desc, s.other)
+qualify row_number() over w <= 3
+"""
