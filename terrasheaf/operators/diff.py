@@ -11,6 +11,11 @@ from .rules import union_all
 # Hard cap of one device scan window, and layers a map may not carry.
 SCAN_WINDOW_CAP = 512
 FORBIDDEN_LAYERS = ["building", "poi", "poi_detail"]
+# Classes of ways that a map layer must hold.
+SUPPORTED_ROADS = [
+    "motorway", "trunk", "primary", "secondary", "motorway_link", "trunk_link", "primary_link", "secondary_link",
+    "tertiary", "tertiary_link", "unclassified", "residential", "road", "living_street", "service", "track",
+]
 
 
 def tile_fingerprints(tiles: DataFrame) -> DataFrame:
@@ -206,13 +211,17 @@ def near_outline(shapes: DataFrame, outline: DataFrame, metres: float, key: str,
     return s.join(o, ["cy", "cx"]).filter(~apart & (X.segment_distance(*ends) <= metres)).select(key).distinct()
 
 
-def required_roads(features: DataFrame, major: list[str], border: DataFrame) -> DataFrame:
+def required_roads(features: DataFrame, major: list[str], border: DataFrame, supported: list[str] = SUPPORTED_ROADS) -> DataFrame:
     """Required ways with their categories: MAJOR by class, BORDER by corridor.
 
     features: way_id, highway.  border: way_id of the ways near the outline.
+    Features of a class that is not ``supported`` (footpaths and the like) and
+    features without a way are no roads: the map layer need not hold them,
+    wherever they lie.
     """
     near = border.select("way_id").distinct().withColumn("near", F.lit(True))
-    per = features.groupBy("way_id").agg(F.bool_or(F.col("highway").isin(major)).alias("major"), F.min("highway").alias("highway"))
+    roads = features.filter(F.col("highway").isin(supported) & F.col("way_id").isNotNull())
+    per = roads.groupBy("way_id").agg(F.bool_or(F.col("highway").isin(major)).alias("major"), F.min("highway").alias("highway"))
     rows = per.join(near, "way_id", "left")
     cats = F.array_compact(F.array(F.when(F.col("near"), F.lit("BORDER")), F.when(F.col("major"), F.lit("MAJOR"))))
     return rows.select("way_id", "highway", cats.alias("categories")).filter(F.size("categories") > 0)

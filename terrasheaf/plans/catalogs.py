@@ -187,8 +187,7 @@ _D2 = _H.format(r="6371008.8e0", a="lat", b="lon", c="46.08e0", d="12.02e0")
 
 @query(
     "diverse_proposals",
-    f"""with p as (select *, {_D1} + {_D2} as d from ({_PROP}) q), b as (select * from p order by round(d, 6), id limit 2000),
-      c as (select *, row_number() over (partition by floor(lat/0.015e0), floor(lon/0.015e0) order by round(d, 6), id) as n from b)
+    f"""with p as (select *, {_D1} + {_D2} as d from ({_PROP}) q), c as (select *, row_number() over (partition by floor(lat/0.015e0), floor(lon/0.015e0) order by round(d, 6), id) as n from p)
     select id, graph_id as receiver_graph_id from c where n <= 2 order by round(d, 6), id limit 10""",
 )
 def _(t):

@@ -136,28 +136,51 @@ def _(t):
 
 
 
-@query(
-    "layer_coverage",
-    """with r as (select way_id, bool_or(road_class in ('ECONOMY', 'PROMO')) as major from v_way_a group by way_id),
-      b as (select distinct way_id from v_way_a where least(la0, la1) <= 46.010007e0 + 0.0000001e0 and greatest(la0, la1) >= 46.010003e0 - 0.00000005e0 and greatest(lo0, lo1) >= 12.000151e0),
-      c as (select r.way_id, concat_ws(',', case when b.way_id is not null then 'BORDER' end, case when major then 'MAJOR' end) as categories from r left join b on b.way_id = r.way_id)
-    select way_id, categories like '%MAJOR%' as major, way_id % 9 <> 0 as present from c where categories like '%MAJOR%'
-    """,
+def _point_segment(px: str, py: str, ax: str, ay: str, ex: str, ey: str) -> str:
+    """SQL of the planar metres between a point and a segment."""
+    k = f"cos(radians({py}))"
+    dx, dy, qx, qy = f"(({ex} - {ax}) * {k})", f"({ey} - {ay})", f"(({px} - {ax}) * {k})", f"({py} - {ay})"
+    on = f"greatest(0.0e0, least(1.0e0, ({qx} * {dx} + {qy} * {dy}) / ({dx} * {dx} + {dy} * {dy})))"
+    return f"111320.0e0 * sqrt(pow({qx} - {on} * {dx}, 2) + pow({qy} - {on} * {dy}, 2))"
+
+
+def _turn(o: str, p: str, q: str) -> str:
+    return f"sign(({p}x - {o}x) * ({q}y - {o}y) - ({p}y - {o}y) * ({q}x - {o}x))"
+
+
+_APART = ", ".join(
+    _point_segment(f"{p}x", f"{p}y", f"{a}x", f"{a}y", f"{e}x", f"{e}y") for p, a, e in (("w", "o", "q"), ("v", "o", "q"), ("o", "w", "v"), ("q", "w", "v"))
 )
-def _(t):
-    f = t("v_way_a").withColumnRenamed("road_class", "highway")
+_MEET = f"{_turn('o', 'q', 'w')} * {_turn('o', 'q', 'v')} <= 0 and {_turn('w', 'v', 'o')} * {_turn('w', 'v', 'q')} <= 0"
+# Ways of two classes are required wherever they are, others within 75 m of the outline, one class never.
+_MAJOR, _ROADS = ["ECONOMY", "PROMO"], ["ECONOMY", "PROMO", "STANDARD", "MEDIUM", "SMALL"]
+_REQUIRED = f"""with s as (select distinct way_id, lo0 as wx, la0 as wy, lo1 as vx, la1 as vy from v_way_a),
+      o as (select ax as ox, ay as oy, ex as qx, ey as qy from v_poly where region_id = 'ra'),
+      b as (select distinct way_id from s, o where least({_APART}) <= 75.0e0 or ({_MEET})),
+      r as (select way_id, bool_or(road_class in ('ECONOMY', 'PROMO')) as major from v_way_a where road_class <> 'LARGE' group by way_id),
+      c as (select r.way_id, concat_ws(',', case when b.way_id is not null then 'BORDER' end, case when major then 'MAJOR' end) as categories, r.way_id % 9 <> 0 as present
+        from r left join b on b.way_id = r.way_id where major or b.way_id is not null)"""
+
+
+def coverage(t: Tables) -> DataFrame:
+    f = t("v_way_a").withColumn("highway", F.col("road_class"))
     near = D.near_outline(ways(t, "v_way_a"), t("v_poly").filter("region_id = 'ra'"), 75.0, "way_id")
-    req = D.required_roads(f, ["ECONOMY", "PROMO"], near)
-    out = D.layer_coverage(req, t("v_way_a").filter("way_id % 9 <> 0"))
-    # Ways that only the border corridor requires come back too; the SQL knows those by class alone.
-    return out.select("way_id", F.array_contains("categories", "MAJOR").alias("major"), "present")
+    return D.layer_coverage(D.required_roads(f, _MAJOR, near, _ROADS), t("v_way_a").filter("way_id % 9 <> 0"))
 
 
-@query("layer_coverage_counts")
+@query("layer_coverage", f"{_REQUIRED} select way_id, categories, present from c")
 def _(t):
-    f = t("v_way_a").withColumnRenamed("road_class", "highway")
-    near = D.near_outline(ways(t, "v_way_a"), t("v_poly").filter("region_id = 'ra'"), 75.0, "way_id")
-    return D.layer_coverage_counts(D.layer_coverage(D.required_roads(f, ["ECONOMY", "PROMO"], near), t("v_way_a").filter("way_id % 9 <> 0")))
+    return coverage(t).select("way_id", F.array_join("categories", ",").alias("categories"), "present")
+
+
+@query(
+    "layer_coverage_counts",
+    f"""{_REQUIRED} select 'source' as counter, count(*) as n from c union all select 'major', count(*) from c where categories like '%MAJOR%'
+      union all select 'border', count(*) from c where categories like '%BORDER%' union all select 'observed', count(*) from c where present
+      union all select 'missing', count(*) from c where not present""",
+)
+def _(t):
+    return D.layer_coverage_counts(coverage(t))
 
 
 _TF = """select concat('p', cast(l_suppkey % 20 as varchar(20))) as pack_id, cast(4 + l_linenumber as bigint) as zoom, concat(cast(l_linenumber as varchar(20)), '/', cast(l_partkey as varchar(20))) as tile_key,

@@ -391,11 +391,10 @@ def _(t):
 
 @query(
     "normalize_text",
-    """select doc_id, trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g')) as norm from documents
-    where not regexp_matches(strip_accents(text), '[^\\x00-\\x7f]')""",
+    # Compatibility letters (ligatures, wide forms) aside, stripping accents is the fold of the pack.
+    "select doc_id, trim(regexp_replace(lower(strip_accents(coalesce(text, ''))), '[^\\p{L}\\p{N}]+', ' ', 'g')) as norm from documents",
 )
 def _(t):
-    # Every document; the SQL folds only texts that accent stripping turns into ASCII and leaves the others out.
     return t("documents").select("doc_id", normalize_text(F.col("text")).alias("norm"))
 
 

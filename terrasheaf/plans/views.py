@@ -240,13 +240,17 @@ select l_orderkey * 8 + l_linenumber as gid, min(l_partkey) as pk, min(l_suppkey
 from lineitem group by l_orderkey * 8 + l_linenumber
 """
 
+# A segment joins two nodes of one block of 1000; where the block ends, it leads backwards.
+VIEWS["v_span"] = """
+select gid, pk, sk, near_node, near_node + case when near_node % 1000 + pk % 5 + 1 < 1000 then pk % 5 + 1 else 0 - (pk % 5 + 1) end as far_node
+from (select gid, pk, sk, cast(floor(gid / 4) as bigint) as near_node from v_seg) s
+"""
+
 # Each segment gives a forward and a reverse edge; nodes link nearby segments.
 VIEWS["v_half"] = """
-select gid, pk, sk, 0 as dir, cast(floor(gid / 4) as bigint) as start_node, cast(floor(gid / 4) as bigint) + pk % 5 + 1 as end_node from v_seg
-where floor(gid / 4) % 1000 + pk % 5 + 1 < 1000
+select gid, pk, sk, 0 as dir, near_node as start_node, far_node as end_node from v_span
 union all
-select gid, pk, sk, 1 as dir, cast(floor(gid / 4) as bigint) + pk % 5 + 1 as start_node, cast(floor(gid / 4) as bigint) as end_node from v_seg
-where floor(gid / 4) % 1000 + pk % 5 + 1 < 1000
+select gid, pk, sk, 1 as dir, far_node as start_node, near_node as end_node from v_span
 """
 
 VIEWS["v_edges_a"] = """
@@ -341,7 +345,7 @@ VIEWS["d_near"] = """
 select a.graph_id as source_id, b.graph_id as receiver_id, a.way_id as source_way, b.way_id as receiver_way, b.deadend as receiver_deadend,
   a.forward_access as source_access, b.forward_access as receiver_access,
   111320.0e0*sqrt(pow(b.end_lat-a.end_lat, 2) + pow((b.end_lon-a.end_lon)*cos(radians((a.end_lat+b.end_lat)/2)), 2)) as distance_m
-from v_edges_a a join v_edges_b b on b.end_node - 5 between a.end_node - 2 and a.end_node + 2 and a.deadend
+from (select *, end_node + 5 + unnest([-2, -1, 0, 1, 2]) as near_end from v_edges_a where deadend) a join v_edges_b b on b.end_node = a.near_end
 where 111320.0e0*sqrt(pow(b.end_lat-a.end_lat, 2) + pow((b.end_lon-a.end_lon)*cos(radians((a.end_lat+b.end_lat)/2)), 2)) <= 8.0e0
 """
 

@@ -341,16 +341,28 @@ def test_diverse_proposals_look_beyond_a_dense_cell(spark):
 
 def test_layer_coverage_query_returns_border_ways(spark, monkeypatch):
     load_all()
-    # An outline along latitude 46; ways 1 and 2 lie on it, way 3 far off, way 4 far off but of a major class.
-    ways_ = [(1, "OTHER", 46.0, 46.0), (2, "PROMO", 46.0, 46.0), (3, "OTHER", 46.5, 46.5), (4, "ECONOMY", 46.5, 46.5), (9, "OTHER", 46.0004, 46.0004)]
+    # An outline along latitude 46; ways 1 and 2 lie on it, way 3 far off, way 4 far off but of a major class,
+    # way 5 on it but of a class that is no road, like a footpath.
+    ways_ = [
+        (1, "SMALL", 46.0, 46.0), (2, "PROMO", 46.0, 46.0), (3, "SMALL", 46.5, 46.5), (4, "ECONOMY", 46.5, 46.5), (5, "LARGE", 46.0, 46.0), (9, "SMALL", 46.0004, 46.0004),
+    ]
     made = {
         "v_way_a": spark.createDataFrame([(i, c, la0, 12.01, la1, 12.02) for i, c, la0, la1 in ways_], "way_id long, road_class string, la0 double, lo0 double, la1 double, lo1 double"),
         "v_poly": spark.createDataFrame([("ra", 12.0, 46.0, 12.1, 46.0)], "region_id string, ax double, ay double, ex double, ey double"),
     }
     monkeypatch.setattr(registry.Tables, "__call__", lambda self, name: made[name])
     monkeypatch.setattr(registry.Tables, "sql", lambda self, body: pytest.fail(body))
-    got = rows(QUERIES["layer_coverage"](spark, "none"), "way_id", "major", "present")
-    assert got == [(1, False, True), (2, True, True), (4, True, True), (9, False, False)]
+    got = rows(QUERIES["layer_coverage"](spark, "none"), "way_id", "categories", "present")
+    assert got == [(1, "BORDER", True), (2, "BORDER,MAJOR", True), (4, "MAJOR", True), (9, "BORDER", False)]
+
+
+def test_footpaths_are_no_required_roads(spark):
+    features = spark.createDataFrame(
+        [(1, "footway"), (2, "residential"), (3, "motorway"), (4, None), (None, "motorway"), (5, "cycleway"), (5, "service")], "way_id long, highway string"
+    )
+    near = spark.createDataFrame([(1,), (2,), (4,), (5,)], "way_id long")
+    got = diff.required_roads(features, ["motorway"], near).select("way_id", "highway", F.array_join("categories", ",").alias("c"))
+    assert rows(got, "way_id", "highway", "c") == [(2, "residential", "BORDER"), (3, "motorway", "MAJOR"), (5, "service", "BORDER")]
 
 
 def test_cover_keeps_only_sources_with_new_cells(spark):
