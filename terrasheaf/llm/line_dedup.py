@@ -136,7 +136,7 @@ class LineRuns:
         if not paths:
             return self.spark.createDataFrame([], "mark binary, n long")
         # Read as plain files: the adaptive planner can then split the lines of a very frequent key.
-        return self.spark.read.parquet(*paths).where(F.col("n") >= self.least)
+        return self.spark.read.schema("mark binary, n long").parquet(*paths).where(F.col("n") >= self.least)
 
     def dropped_lines(self) -> DataFrame:
         """(id, text_mark, gone): for each document with repeated lines their positions from 0."""
@@ -174,7 +174,7 @@ def drop_repeated(batches: list[DataFrame], least: int = LEAST_DOCUMENTS, fan_in
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("whole"))
     same = F.col("whole.doc_id").eqNullSafe(gone["id"]) & (F.xxhash64(F.col("whole.text")) == gone["text_mark"])
-    met = held.join(gone, same, "left").select("whole", "gone", lines_of(F.col("whole.text")).alias("lines"))
+    met = held.join(gone.hint("merge"), same, "left").select("whole", "gone", lines_of(F.col("whole.text")).alias("lines"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     left = F.array_join(F.transform(kept, lambda nth: F.get("lines", nth)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("whole.text")).otherwise(left)
