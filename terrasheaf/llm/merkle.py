@@ -64,7 +64,7 @@ def directory(words: DataFrame, group: list[str]) -> DataFrame:
     """``words`` (group, word, n, ...) with ``before``: the rows of the group in smaller words."""
     row = words.agg(F.min("word"), F.max("word")).first()
     shifts = [0]
-    while row[0] is not None and row[0] >> (shifts[-1] + RADIX_BITS) != row[1] >> (shifts[-1] + RADIX_BITS):
+    while row[0] is not None and (row[1] >> shifts[-1]) - (row[0] >> shifts[-1]) >= 1 << RADIX_BITS:
         shifts.append(shifts[-1] + RADIX_BITS)
     names = [f"_p{k}" for k in range(len(shifts))]
     levels = [words.withColumn(names[0], F.col("word"))]
@@ -73,7 +73,9 @@ def directory(words: DataFrame, group: list[str]) -> DataFrame:
         levels.append(up)
 
     def counted(level: DataFrame, name: str) -> DataFrame:
-        inside = Window.partitionBy(*group, F.shiftright(name, RADIX_BITS)).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+        # Of the last level a group has few rows, all others are counted from the start of their range.
+        ranges = [] if name == names[-1] else [F.shiftright(name, RADIX_BITS)]
+        inside = Window.partitionBy(*group, *ranges).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
         return level.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
 
     out = counted(levels[-1], names[-1])
