@@ -40,7 +40,7 @@ from ..session import ship, stage
 SHARD_ROWS, BLOCK_ROWS = 1 << 14, 1 << 11
 SCALE = 256
 MOST_COMPONENT = float(1 << 18)  # times SCALE squared, over 2^11 dimensions, stays below 2^63
-FIRST_DEPTH = 8
+FIRST_DEPTH = 16
 _SHARD = "shard int, ids binary, labels binary, vectors binary, lists binary, width int"
 
 
@@ -99,6 +99,8 @@ class Shard:
         self.ids, self.labels, self.vectors = ids, labels, vectors
         self.lists = np.argsort(vectors, axis=0, kind="stable").T if lists is None else lists
         self.met = np.zeros(len(ids), bool)
+        self.doubles = vectors.astype(np.float64)
+        self.most = int(np.abs(vectors).max(initial=0))
 
     def search(self, anchor: np.ndarray, allowed: np.ndarray, low: np.ndarray, high: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray, int]:
         """For each window [low, high] the first k allowed rows, the scores of all rows met, and their number."""
@@ -106,6 +108,10 @@ class Shard:
         anchor = anchor[: self.vectors.shape[1]]
         used = np.flatnonzero(anchor)
         weights, up = anchor[used], anchor[used] > 0
+        # Whole numbers below 2^53 are exact as doubles, whose products are fast; larger ones stay integers.
+        exact = self.most * int(np.abs(anchor).max(initial=0)) * len(anchor) < 1 << 53
+        table = self.doubles if exact else self.vectors
+        factor = anchor.astype(table.dtype)
         scores = np.zeros(n, np.int64)
         met = self.met
         met[:] = False
@@ -114,29 +120,38 @@ class Shard:
         while depth < n:
             stop = min(n, depth + step)
             if len(used):
-                span = np.where(up[:, None], np.arange(n - 1 - depth, n - 1 - stop, -1), np.arange(depth, stop))
-                seen = self.lists[used[:, None], span]
-                fresh = np.unique(seen[~met[seen]])
-                last = self.vectors[seen[:, -1], used]
-                threshold = int(weights @ last)
+                top, low_end = self.lists[used[up], n - stop : n - depth], self.lists[used[~up], depth:stop]
+                fresh = np.zeros(n, bool)
+                fresh[top] = True
+                fresh[low_end] = True
+                fresh = np.flatnonzero(fresh & ~met)
+                threshold = int(weights[up] @ self.vectors[top[:, 0], used[up]] + weights[~up] @ self.vectors[low_end[:, -1], used[~up]])
             else:  # every score is zero
                 fresh, stop, threshold = np.arange(n), n, 0
             met[fresh] = True
-            scores[fresh] = self.vectors[fresh][:, : len(anchor)] @ anchor
+            scores[fresh] = (table[fresh][:, : len(anchor)] @ factor).astype(np.int64)
             fresh = fresh[allowed[fresh]]
+            got = scores[fresh]
             open_ = False
             for w in range(len(low)):
-                inside = fresh[(scores[fresh] >= low[w]) & (scores[fresh] <= high[w])]
-                if len(inside):
-                    rows = np.concatenate([best[w], inside])
-                    best[w] = rows[np.lexsort((self.ids[rows], -scores[rows]))[:k]]
                 bar = scores[best[w][k - 1]] if len(best[w]) == k else low[w]
+                near = (got >= bar) & (got <= high[w])
+                if near.any():
+                    best[w] = self._first(np.concatenate([best[w], fresh[near]]), scores, k)
+                    bar = scores[best[w][k - 1]] if len(best[w]) == k else low[w]
                 open_ |= threshold >= bar
             depth, step = stop, step * 2
             if not open_ or met.all():
                 break
         return best, scores, int(met.sum())
 
+    def _first(self, rows: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+        """The k first of ``rows`` in order of score and id."""
+        if len(rows) > k:
+            own = scores[rows]
+            rows = rows[own >= np.partition(own, len(own) - k)[len(own) - k]]
+        return rows[np.lexsort((self.ids[rows], -scores[rows]))[:k]]
+
 
 def _search(tasks: DataFrame, same: bool, k: int, out: str) -> DataFrame:
     """Rows of ``tasks`` (a shard and a block of anchors) to the first k candidates of each window."""

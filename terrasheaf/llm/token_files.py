@@ -24,6 +24,7 @@ empty table gives an empty table of files; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,7 +45,7 @@ END_ID = 0
 KNOWN_PIECES, KNOWN_LENGTH = 900_000, 48
 # White space of the byte-level pre-tokeniser.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-FIRST = "\ud800"  # a lone surrogate, which no text holds
+FIRST = "\uffff"  # no character; texts that hold it go to the library whole
 SPACE_SET = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") | frozenset(map(chr, range(0x2000, 0x200B)))
 _LOADED: dict[str, Encoder] = {}
 
@@ -187,7 +189,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = [FIRST, *(t.content for t in self.library.get_added_tokens_decoder().values())]
         self.odd = re.compile("[" + SPACES.replace(" ", "").replace("\t-\r", "\t\x0b-\r") + "]")
         self.pieces = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
         self.known: dict[str, bytes] = {}
@@ -200,34 +202,52 @@ class Encoder:
                 self.opens[mark][number] = token.startswith(letter)
 
     def _cut(self, text: str) -> list[str]:
-        """Keys of the pieces of a text."""
-        rows = "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[-1] in " \n"
-        if rows or self.odd.search(text):
-            keys = [p[1:] if p[0] == " " and len(p) > 1 and p[1] not in SPACE_SET else p for p in self.pieces.findall(text)]
-            first = text[0] not in SPACE_SET
-        else:
-            keys = text.replace("\n", " \n").split(" ")
-            first = keys[0] != ""
-            if not first:  # the text begins with white space, which the next piece holds
-                del keys[0]
-        if first:
+        """Keys of the pieces of a text with any white space."""
+        keys = [p[1:] if p[0] == " " and len(p) > 1 and p[1] not in SPACE_SET else p for p in self.pieces.findall(text)]
+        if text[0] not in SPACE_SET:
             keys[0] = FIRST + keys[0]
         return keys
 
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, ``end`` appended."""
+        """Little-endian unsigned 32-bit ids of each text, ``end`` appended.
+
+        Keys of all texts are numbered at once, each distinct key is looked up
+        once, and the ids of all texts are gathered from those of the keys.
+        """
         last = end.to_bytes(4, "little")
-        cut: list[list[str] | None] = []
-        wanted: set[str] = set()
-        for text in texts:
-            whole = text and any(t in text for t in self.special)
-            cut.append(None if whole else self._cut(text) if text else [])
-            wanted.update(cut[-1] or ())
-        table = self._table(wanted)
-        return [
-            (self._ids([text])[0] if keys is None else b"".join(map(table.__getitem__, keys))) + last
-            for text, keys in zip(texts, cut)
-        ]
+        out: list[bytes] = [last] * len(texts)
+        rows: list[list[int]] = [[], []]
+        plain: list[str] = []
+        odd: list[list[str]] = []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if any(t in text for t in self.special):
+                out[i] = self._ids([text])[0] + last
+            elif "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[-1] in " \n" or self.odd.search(text):
+                rows[1].append(i)
+                odd.append(self._cut(text))
+            else:
+                # Single spaces and line ends only: pieces are what stands between them, a line end opens its piece.
+                rows[0].append(i)
+                text = text.replace("\n", " \n")
+                plain.append(text[1:] if text[0] == " " else FIRST + text)
+        cut = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        counts = np.r_[np.diff(cut.offsets.to_numpy()), np.array([len(k) for k in odd], np.int64)].astype(np.int64)
+        keys = pa.concat_arrays([cut.flatten(), pa.array(itertools.chain.from_iterable(odd), pa.large_string())]).dictionary_encode()
+        distinct = keys.dictionary.to_pylist()
+        table = self._table(set(distinct))
+        known = [table[k] for k in distinct]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids, starts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
+        nth = keys.indices.to_numpy()
+        width = sizes[nth]
+        ends = np.cumsum(width)
+        places = np.repeat(starts[nth] - (ends - width), width) + np.arange(ends[-1] if len(ends) else 0)
+        raw, edges = ids[places].tobytes(), np.r_[0, ends][np.r_[0, np.cumsum(counts)]] * 4
+        for i, a, b in zip(rows[0] + rows[1], edges[:-1].tolist(), edges[1:].tolist()):
+            out[i] = raw[a:b] + last
+        return out
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
