@@ -245,26 +245,39 @@ from voted, model
 
 ORACLES["op2_quality_rules"] = _op2_sql()
 
+_SP = r"[^\x20\x09-\x0D]"
 ORACLES["op9_span_dedup"] = rf"""
-with cut as (
-  select doc_id, text, list_filter(string_split(regexp_replace(text, '([.!?…]+{_WS}+|\n{_WS}*)', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') s
-  from documents),
-plain as (select doc_id, text, s, list_transform(s, lambda x: trim(regexp_replace(x, '{_WS}+', ' ', 'g'))) p from cut),
-sized as (select *, list_transform(p, lambda x: case when x = '' then 0 else len(string_split(x, ' ')) end) z from plain),
-starts as (select doc_id, text, p, z, unnest(generate_series(1, len(p))) i from sized where len(p) > 0),
-runs as (
-  select doc_id, i, n, array_to_string(p[i:i + n - 1], chr(10)) g
-  from (
-    select *, case when z[i] >= {span_dedup.WORDS} then 1 when i + 1 <= len(p) and z[i] + z[i + 1] >= {span_dedup.WORDS} then 2
-      when i + 2 <= len(p) and z[i] + z[i + 1] + z[i + 2] >= {span_dedup.LEAST_WORDS} then 3 else 0 end n
-    from starts)
-  where n > 0),
+with tok as (
+  select doc_id, unnest(t) token, unnest(generate_series(1, len(t))) k, len(t) size
+  from (select doc_id, regexp_extract_all(text, '{_SP}+{_WS}*|^{_WS}+') t from documents) c),
+word as (
+  select *, regexp_replace(token, '{_WS}+$', '') w,
+    k = size or regexp_matches(token, '[.!?…]+{_WS}+$') or regexp_matches(token, '\n{_WS}*$') ends
+  from tok),
+sen as (select *, coalesce(sum(cast(ends as int)) over (partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0) s from word),
+long as (select *, count(case when w <> '' then 1 end) over (partition by doc_id, s) words from sen),
+piece as (
+  select *, coalesce(sum(case when ends or (words > {span_dedup.LONG} and w <> '' and (31 * unicode(w) + 7 * unicode(right(w, 1)) + length(w)) % {span_dedup.CUT_ONE_IN} = 0) then 1 else 0 end)
+    over (partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0) c
+  from long),
+cut as (
+  select doc_id, c + 1 i, string_agg(token, '' order by k) raw, coalesce(string_agg(case when w <> '' then w end, ' ' order by k), '') p, count(case when w <> '' then 1 end) z
+  from piece group by doc_id, c),
+held as (select doc_id, list(raw order by i) raw, list(p order by i) p, list(z order by i) z from cut group by doc_id),
+sums as (select *, list_transform(generate_series(0, len(z)), lambda j: coalesce(list_sum(z[1:j]), 0)) acc from held),
+starts as (select doc_id, p, acc, unnest(generate_series(1, len(p))) i from sums),
+sized as (
+  select *, 1 + len(list_filter(acc[i + 1:], lambda x: x - acc[i] < {span_dedup.LEAST_WORDS})) enough from starts),
+lengths as (
+  select *, unnest(list_distinct(list_filter([1, 2, greatest({span_dedup.SENTENCES}, enough)], lambda n: i + n - 1 <= len(p)
+    and (n = greatest({span_dedup.SENTENCES}, enough) or acc[i + n] - acc[i] >= {span_dedup.WORDS} and n < {span_dedup.SENTENCES})))) n
+  from sized),
+runs as (select doc_id, i, n, array_to_string(p[i:i + n - 1], chr(10)) g from lengths),
 ranked as (select *, row_number() over (partition by g order by doc_id, i) nth from runs),
-gone as (select distinct doc_id, unnest(generate_series(i, i + n - 1)) k from ranked where nth > 1),
+gone as (select distinct doc_id, unnest(generate_series(i, i + n - 1)) i from ranked where nth > 1),
 kept as (
-  select c.doc_id, len(s) n_sentences, count(g.k) n_removed, string_agg(case when g.k is null then s[c.i] end, '' order by c.i) t
-  from (select doc_id, s, unnest(generate_series(1, len(s))) i from cut where len(s) > 0) c left join gone g on g.doc_id = c.doc_id and g.k = c.i
-  group by all)
+  select c.doc_id, count(*) n_sentences, count(g.i) n_removed, string_agg(case when g.i is null then raw end, '' order by c.i) t
+  from cut c left join gone g on g.doc_id = c.doc_id and g.i = c.i group by c.doc_id)
 select d.doc_id, case when coalesce(k.n_removed, 0) > 0 then regexp_replace(coalesce(k.t, ''), '{_WS}+$', '') else d.text end as text,
   cast(coalesce(k.n_sentences, 0) as bigint) n_sentences, cast(coalesce(k.n_removed, 0) as bigint) n_removed
 from documents d left join kept k on k.doc_id = d.doc_id

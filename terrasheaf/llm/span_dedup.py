@@ -1,58 +1,80 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of consecutive sentences is hashed; equal hashes meet in one global
-aggregate that finds the first place of each repeated run (the smallest doc_id,
-then the earliest sentence); sentences that any other place covers are removed.
-
-At every sentence start the runs of SENTENCES sentences and all shorter runs of
-WORDS words or more; where SENTENCES sentences have fewer than LEAST_WORDS words,
-the run goes on until it has as many, so that chains of short lines make runs too.  Of a
-passage's end, sentences of fewer than LEAST_WORDS words together may stay,
-since no run within the passage starts there.  The length of a run depends
-on its own text only, so copies of a passage make the same runs wherever they
-stand.  A sentence ends with . ! ? or an ellipsis before white space, or with
-its line; runs are compared without regard to the kind and amount of white space.
-
-A passage may also lie inside longer sentences, or begin and end within them.  So
-windows of WORDS words are hashed too, at content-defined places: of each WINDOWS
-consecutive windows of a text the one with the least hash.  Two texts that share
-WORDS + WINDOWS - 1 words or more thus hash at least one common window, wherever
-the words stand, and later windows are cut word by word.  A sentence of which
-words are left does not count as removed.
+Every run of consecutive sentences is hashed; equal hashes meet in one shuffle;
+of the places of a repeated run all but the first (the smallest doc_id, then the
+earliest sentence) are later ones, and the sentences that they cover are removed.
+
+A sentence ends with . ! ? or an ellipsis before white space, with its line, or
+with its text.  A sentence of more than LONG words is cut further, after each
+word for which :func:`cuts` holds: content-defined places, so that copies of a
+passage inside longer sentences are cut alike wherever they stand.  Runs are
+compared without regard to the kind and amount of white space.
+
+At every sentence start there is a run of SENTENCES sentences, longer if it has
+fewer than LEAST_WORDS words, until it has as many, and each shorter run of
+WORDS words or more.  The length of a run depends on its own text only, so
+copies make the same runs wherever they stand.  Short stock phrases (a licence
+line, a heading) make no run of their own.
+
+Hashing tasks tell places that are later within their own batch at once and send
+on only the first of each hash, so a run that very many documents hold reaches
+the task that compares it once a batch, not once a document.
 
 Defined cases: null and empty texts have no sentences and stay as they are;
 rows that repeat one doc_id and text are one document (all are cut alike, none
 is first against the other), other rows with one doc_id are told apart by their
-text; a null doc_id comes first; a text whose sentences all go becomes empty; an
+text; a null doc_id comes first; a text whose sentences all go becomes empty;
+very long texts are hashed like any other, in time linear in their words; an
 empty table gives an empty result; other columns pass through ``remove_repeats``.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD_SPACE, by_bytes, filter_test, key_hashes, map_texts, ship, stage
 
-SENTENCES, WORDS, LEAST_WORDS = 3, 40, 8
-WINDOWS = 11  # a passage of over 50 words holds a window that is chosen in every copy
-_CUT = re.compile(r"[.!?…]+[ \t\n\x0b\x0c\r]+|\n[ \t\n\x0b\x0c\r]*")
+SENTENCES, WORDS, LEAST_WORDS, LONG = 3, 40, 20, 24
+CUT_ONE_IN = 8
+_END = re.compile(rf"[.!?…]+[{WORD_SPACE}]+$|\n[{WORD_SPACE}]*$")
+_TOKEN = re.compile(rf"[^{WORD_SPACE}]+[{WORD_SPACE}]*|^[{WORD_SPACE}]+")
 
-_WORD = re.compile(rf"[^{WORD_SPACE}]+[{WORD_SPACE}]*")
-_BASE = 0x9E3779B97F4A7C15
+
+def cuts(word: str) -> bool:
+    """Whether a long sentence is cut after ``word``: about one word in CUT_ONE_IN, known from the word alone."""
+    return (31 * ord(word[0]) + 7 * ord(word[-1]) + len(word)) % CUT_ONE_IN == 0
 
 
 def sentences(text: str | None) -> list[str]:
     """The sentences of a text, each with the white space behind it."""
-    if not text:
-        return []
-    cuts = [0, *(m.end() for m in _CUT.finditer(text)), len(text)]
-    return [text[a:b] for a, b in zip(cuts, cuts[1:]) if b > a]
+    out: list[str] = []
+    held: list[str] = []
+    tokens = _TOKEN.findall(text) if text else []
+    for k, token in enumerate(tokens):
+        held.append(token)
+        if k == len(tokens) - 1 or token[-1] in WORD_SPACE and _END.search(token):
+            out += _cut(held) if len(held) > LONG else ["".join(held)]
+            held = []
+    return out
+
+
+def _cut(tokens: list[str]) -> list[str]:
+    """A sentence, given by its words and their white space, cut at content-defined places if it is long."""
+    words = [t.rstrip(WORD_SPACE) for t in tokens]
+    if len(words) - (words[0] == "") <= LONG:
+        return ["".join(tokens)]
+    ends = [k + 1 for k, w in enumerate(words) if w and cuts(w)]
+    if not ends or ends[-1] < len(tokens):
+        ends.append(len(tokens))
+    return ["".join(tokens[a:b]) for a, b in zip([0, *ends], ends)]
 
 
 def runs(text: str | None) -> list[tuple[int, int, bytes]]:
@@ -70,67 +92,43 @@ def runs(text: str | None) -> list[tuple[int, int, bytes]]:
     return out
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    return np.cumprod(np.r_[np.uint64(1), np.full(n, base, np.uint64)], dtype=np.uint64)
-
-
-def windows(text: str | None) -> list[tuple[int, bytes]]:
-    """(first word, digest) of the chosen windows of WORDS words."""
-    words = text.encode().split() if text else []
-    n = len(words)
-    if n < WORDS:
-        return []
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
-    sums = np.r_[np.uint64(0), np.cumsum(hashes * _powers(_BASE, n)[:n], dtype=np.uint64)]
-    mark = (sums[WORDS:] - sums[:-WORDS]) * _powers(pow(_BASE, -1, 1 << 64), n)[: n - WORDS + 1]
-    mark = (mark ^ (mark >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-    mark ^= mark >> np.uint64(29)
-    width = min(WINDOWS, len(mark))
-    # The last of equal hashes, so that text that repeats itself is chosen throughout.
-    back = np.lib.stride_tricks.sliding_window_view(mark, width)[:, ::-1].argmin(axis=1)
-    chosen = np.unique(np.arange(len(back)) + width - 1 - back).tolist()
-    return [(i, xxhash.xxh3_128_digest(b" ".join(words[i : i + WORDS]), 1)) for i in chosen]
-
-
 def without(text: str, spans: list[dict]) -> tuple[str, int, int]:
-    """(text, sentences, sentences removed) without ``spans``; those with no sentences are windows."""
+    """(text, sentences, sentences removed) without the sentences of ``spans``."""
     whole = sentences(text)
     drop = {i for s in spans for i in range(s["first"], s["first"] + s["n"])}
-    gone = {i for s in spans if not s["n"] for i in range(s["first"], s["first"] + WORDS)}
-    left, at = [], 0
-    for i, sentence in enumerate(whole):
-        words = _WORD.findall(sentence) if gone else []
-        stay = [w for k, w in enumerate(words, at) if k not in gone]
-        at += len(words)
-        if words and not stay:
-            drop.add(i)
-        if i not in drop:
-            left.append("".join(stay) if len(stay) < len(words) else sentence)
-    return ("".join(left).rstrip(WORD_SPACE) if drop or gone else text), len(whole), len(drop)
+    left = "".join(s for i, s in enumerate(whole) if i not in drop).rstrip(WORD_SPACE) if drop else text
+    return left, len(whole), len(drop)
+
+
+def equal_ids(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Where two columns are equal; nulls equal each other."""
+    both_null = pc.and_(a.is_null(), b.is_null())
+    return pc.or_(pc.fill_null(pc.equal(a, b), False), both_null).to_numpy(zero_copy_only=False)
 
 
 def _spans(docs: DataFrame) -> DataFrame:
-    """(h1, h2, doc_id, mark, first, n) of every run; ``mark`` is a hash of the whole text.
+    """(h1, h2, doc_id, mark, first, n, later) of every run; ``mark`` is a hash of the whole text.
 
-    Windows have ``n`` zero and their first word as ``first``.
+    ``later`` is true for places behind another one of their hash in the batch.
     """
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [runs(t) + [(i, 0, h) for i, h in windows(t)] for t in batch.column(1).to_pylist()]
+            order = batch.sort_by([("doc_id", "ascending"), ("mark", "ascending")])
+            # Nulls come first, as in the order of places.
+            order = pa.concat_batches([order.filter(order.column(0).is_null()), order.filter(order.column(0).is_valid())])
+            found = [runs(t) for t in order.column(1).to_pylist()]
             rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
             marks = np.frombuffer(b"".join([h for f in found for _, _, h in f]), "<i8").reshape(-1, 2)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(marks[:, 0]),
-                    pa.array(marks[:, 1]),
-                    batch.column(0).take(pa.array(rows)),
-                    batch.column(2).take(pa.array(rows)),
-                    pa.array([i for f in found for i, _, _ in f], pa.int32()),
-                    pa.array([n for f in found for _, n, _ in f], pa.int32()),
-                ],
-                ["h1", "h2", "doc_id", "mark", "first", "n"],
-            )
+            _, first, back = np.unique(marks.view("V16").ravel(), return_index=True, return_inverse=True)
+            owner, text_mark = order.column(0).take(pa.array(rows)), order.column(2).to_numpy()[rows]
+            nth = np.array([i for f in found for i, _, _ in f], np.int32)
+            # A repeated row is the same document, and its places are as first as the row's.
+            head = first[back]
+            same = equal_ids(owner, owner.take(pa.array(head))) & (text_mark == text_mark[head]) & (nth == nth[head])
+            columns = [pa.array(marks[:, 0]), pa.array(marks[:, 1]), owner, pa.array(text_mark), pa.array(nth)]
+            columns += [pa.array([n for f in found for _, n, _ in f], pa.int32()), pa.array(~same)]
+            return pa.RecordBatch.from_arrays(columns, ["h1", "h2", "doc_id", "mark", "first", "n", "later"])
 
         return step
 
@@ -138,20 +136,45 @@ def _spans(docs: DataFrame) -> DataFrame:
     return map_texts(
         docs.select("doc_id", "text", F.xxhash64("text").alias("mark")),
         {"doc_id": "doc_id", "text": "text", "mark": "mark"},
-        f"h1 long, h2 long, doc_id {kind}, mark long, first int, n int",
+        f"h1 long, h2 long, doc_id {kind}, mark long, first int, n int, later boolean",
         make,
     )
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, spans): for each document the (first, n) of runs that are no first ones."""
-    spans = stage(_spans(docs), "spans")
-    place = F.struct("doc_id", "mark", "first")
-    known = spans.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.max(place).alias("end"))
-    known = stage(known.where(~F.col("at").eqNullSafe(F.col("end"))).select("h1", "h2", "at"), "spans-known")
-    # Only spans whose hash may be repeated are moved again.
-    possible = filter_test(docs.sparkSession, known.select("h1", "h2"))
-    later = spans.where(possible(F.col("h1"), F.col("h2"))).join(known, ["h1", "h2"]).where(~place.eqNullSafe(F.col("at")))
+    """(doc_id, mark, spans): for each document the (first, n) of runs that are no first ones.
+
+    One shuffle deals the places by hash; those known to be later are dealt evenly
+    and only pass through.
+    """
+    spans = _spans(docs)
+    kind = spans.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None  # the hash of the last row, and the first place of that hash
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h1, h2, mark, first = (batch.column(k).to_numpy() for k in (0, 1, 3, 4))
+            names, later = batch.column(2), batch.column(6).to_numpy(zero_copy_only=False)
+            new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (later[1:] != later[:-1])]
+            group = np.cumsum(new) - 1
+            head = np.flatnonzero(new)[group]
+            same = equal_ids(names, names.take(pa.array(head))) & (mark == mark[head]) & (first == first[head])
+            place = (names.slice(int(head[-1]), 1), mark[head[-1]], first[head[-1]])
+            if held is not None and held[0] == (h1[0], h2[0], later[0]):
+                n = int(np.searchsorted(group, 1))
+                begin = held[1]
+                same[:n] = equal_ids(names.slice(0, n), begin[0].take(pa.array(np.zeros(n, np.int64)))) & (mark[:n] == begin[1]) & (first[:n] == begin[2])
+                place = begin if n == len(group) else place
+            held = ((h1[-1], h2[-1], later[-1]), place)
+            yield batch.filter(pa.array(later | ~same)).select([2, 3, 4, 5])
+
+    ship(docs.sparkSession)
+    even = F.xxhash64("doc_id", "mark", "first")
+    dealt = spans.withColumn("deal", F.when(F.col("later"), even).otherwise(F.col("h1")))
+    dealt = dealt.repartition("deal").sortWithinPartitions("later", "h1", "h2", "doc_id", "mark", "first").drop("deal")
+    later = dealt.mapInArrow(run, f"doc_id {kind}, mark long, first int, n int")
     return later.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "n")).alias("spans"))
 
 
