@@ -201,10 +201,9 @@ def near_outline(shapes: DataFrame, outline: DataFrame, metres: float, key: str,
     d = X.metres_to_degrees(metres)
     seg = X.shape_segments(shapes, key)
     wide = F.lit(d) / F.cos(F.radians(F.abs("ay")))
-    s = X.box_cells(seg, size, F.least("ay", "ey") - d, F.greatest("ay", "ey") + d, F.least("ax", "ex") - wide, F.greatest("ax", "ex") + wide)
-    o = X.box_cells(
-        outline.select("ax", "ay", "ex", "ey"), size, F.least("ay", "ey"), F.greatest("ay", "ey"), F.least("ax", "ex"), F.greatest("ax", "ex")
-    ).withColumnsRenamed({"ax": "ox", "ay": "oy", "ex": "qx", "ey": "qy"})
+    s = X.line_cells(seg, size, (c("ax"), c("ay")), (c("ex"), c("ey")), d, F.greatest(wide, F.lit(d) / F.cos(F.radians(F.abs("ey")))))
+    o = X.line_cells(outline.select("ax", "ay", "ex", "ey"), size, (c("ax"), c("ay")), (c("ex"), c("ey")))
+    o = o.withColumnsRenamed({"ax": "ox", "ay": "oy", "ex": "qx", "ey": "qy"})
     ends = ((c("ax"), c("ay")), (c("ex"), c("ey")), (c("ox"), c("oy")), (c("qx"), c("qy")))
     # A little wider than the corridor, because a degree of longitude shrinks with latitude.
     apart = X.boxes_apart(*ends, dx=F.lit(d * 1.1) / F.cos(F.radians(F.greatest(F.abs("ay"), F.abs("ey")))), dy=F.lit(d * 1.1))

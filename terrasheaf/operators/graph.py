@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import AUTO_BIT, MODES, MOTORCYCLE_BIT, planar_m, tile_id
 from ..functions.ids import stable_id
-from ..session import cut_lineage
+from ..session import cut_lineage, stage, stage_by
 from .rules import repeated, union_all, violations
 
 # Id prefixes of the two ledgers.
@@ -242,7 +242,12 @@ def one_hop_terminals(roots: DataFrame, options: DataFrame, sources: DataFrame,
     Successors are looked at once and never followed.  ``sources`` carries the
     terminal modes of every edge, ``scope`` the ids whose end lies in the area.
     """
-    hops = root_options(roots, options, tiles).filter(F.col("eligible") & F.col("in_scope"))
+    return _hop_terminals(root_options(roots, options, tiles), sources, scope)
+
+
+def _hop_terminals(opts: DataFrame, sources: DataFrame, scope: DataFrame) -> DataFrame:
+    """The options of :func:`root_options` that end in the receiving area."""
+    hops = opts.filter(F.col("eligible") & F.col("in_scope"))
     ends = sources.select(F.col("graph_id").alias("option_id"), F.col("terminal_modes").alias("available"))
     reached = hops.join(ends, "option_id").join(scope.select(F.col("graph_id").alias("option_id")), "option_id", "left_semi")
     modes = F.col("available").bitwiseAND(F.col("pending"))
@@ -251,13 +256,16 @@ def one_hop_terminals(roots: DataFrame, options: DataFrame, sources: DataFrame,
 
 def terminal_links(roots: DataFrame, options: DataFrame, sources: DataFrame, tiles: DataFrame, scope: DataFrame) -> DataFrame:
     """Direct and one-hop terminal links with their kind."""
+    return _links(roots, one_hop_terminals(roots, options, sources, tiles, scope))
+
+
+def _links(roots: DataFrame, hop: DataFrame) -> DataFrame:
     direct = roots.filter(F.col("terminal_modes") != 0).select(
         F.col("graph_id").alias("terminal_id"),
         F.col("graph_id").alias("root_id"),
         F.col("terminal_modes").alias("modes"),
         F.lit("NATIVE_TERMINAL_AT_SHARED_CUT").alias("kind"),
     )
-    hop = one_hop_terminals(roots, options, sources, tiles, scope)
     return direct.unionByName(hop.withColumn("kind", F.lit("NATIVE_TERMINAL_ONE_IMMEDIATE_HOP_UNPROVEN")))
 
 
@@ -271,10 +279,14 @@ def mode_union(links: DataFrame) -> DataFrame:
 
 
 def select_terminals(roots: DataFrame, options: DataFrame, sources: DataFrame, tiles: DataFrame, scope: DataFrame) -> DataFrame:
-    """Structural status of every root that continues past the cut."""
-    links = terminal_links(roots, options, sources, tiles, scope)
+    """Structural status of every root that continues past the cut.
+
+    The options of the roots are worked out and written once, laid out by root;
+    links are few, so they are written once too.
+    """
+    opts = stage_by(root_options(roots, options, tiles).select("root_id", "option_id", "pending", "eligible", "in_scope"), "root-options", "root_id")
+    links = stage(_links(roots, _hop_terminals(opts, sources, scope)).select("terminal_id", "root_id", "modes"), "root-links")
     merged = links.groupBy("terminal_id").agg(F.bit_or("modes").alias("merged_modes"))
-    opts = root_options(roots, options, tiles)
     per_root = opts.groupBy("root_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("option_id").alias("only_option"),

@@ -9,7 +9,7 @@ from ..functions.geo import AUTO_BIT, MODES, MOTORCYCLE_BIT, PLANAR_TOPOLOGY, ha
 from . import spatial as X
 from .graph import allowed_bits
 from .rules import repeated, union_all, violations
-from ..session import stage
+from ..session import stage, stage_by
 
 
 def cut_geometry(shapes: DataFrame, segments: DataFrame, key: str = "graph_id") -> DataFrame:
@@ -178,7 +178,7 @@ def edges_at_point(points: DataFrame, shapes: DataFrame, metres: float = NEAR_X,
     """
     usable = shapes.filter(~F.col("is_shortcut") & ~F.col("is_transit") & (F.col("forward_access").bitwiseAND(F.lit(TWO_MODES)) != 0))
     seg = X.shape_segments(usable)
-    seg = X.box_cells(seg, size, F.least("ay", "ey"), F.greatest("ay", "ey"), F.least("ax", "ex"), F.greatest("ax", "ex"))
+    seg = X.line_cells(seg, size, (F.col("ax"), F.col("ay")), (F.col("ex"), F.col("ey")))
     d = X.metres_to_degrees(metres * 1.01)
     wide = F.lit(d) / F.cos(F.radians(F.abs("x_lat")))
     p = X.box_cells(
@@ -284,58 +284,87 @@ def successor_relation(rows: DataFrame) -> DataFrame:
 def correlate(candidates: DataFrame, overlaps: DataFrame, options: DataFrame) -> dict[str, DataFrame]:
     """Match every source final to receiver roads and their legal successors.
 
-    candidates: source_id, modes, x_lat, x_lon.  overlaps: output of
-    :func:`directed_overlap`.  options: predecessor_id, option_id, option_access,
-    car, motorcycle, start_lat, start_lon and the p_/n_ attributes.
+    candidates: source_id, modes, x_lat, x_lon, one row per source.  overlaps:
+    output of :func:`directed_overlap`, one row per source and receiver.  options:
+    predecessor_id, option_id, option_access, car, motorcycle, start_lat, start_lon
+    and the p_/n_ attributes.
     Returns ``options`` (one row per source and receiver edge), ``unknowns`` and
     ``status`` (exactly one row per source).
+
+    All facts about a source are rows of one table, written once and laid out by
+    source; the three results are aggregates and filters over it without a shuffle.
     """
-    bits = allowed_bits(F.col("car"), F.col("motorcycle"))
-    overlaps = stage(overlaps, "overlaps")  # small next to its inputs and read four times
-    base = candidates.select("source_id", F.col("modes").alias("source_modes"), "x_lat", "x_lon")
-    upstream = overlaps.filter(F.col("status") == ENDS_AT_X).select("source_id", F.col("receiver_id").alias("predecessor_id"))
-    inside = overlaps.filter(F.col("status") == MATCHED).select("source_id", F.col("receiver_id").alias("option_id"), "common_modes")
-    tried = upstream.join(base, "source_id").join(options, "predecessor_id", "left")
-    tried = stage(tried.withColumn("modes", bits.bitwiseAND(F.col("source_modes")).bitwiseAND(F.col("option_access"))), "tried")
-    legal = successor_relation(tried.filter(F.col("modes") != 0))
-    node = legal.groupBy("source_id", "option_id").agg(
-        F.bit_or("modes").alias("modes"),
-        F.array_sort(F.collect_set("predecessor_id")).alias("predecessors"),  # edges that end at one point
-        F.min("relation").alias("relation"),
-        F.count_distinct("relation").alias("relations"),
-        F.max("start_gap_m").alias("start_gap_m"),
-    )
-    node = node.withColumn("evidence", F.lit(SAME_NODE))
-    on_edge = inside.join(node.select("source_id", "option_id"), ["source_id", "option_id"], "left_anti").join(base, "source_id")
-    on_edge = on_edge.select(
+    c = F.col
+    counts = overlaps.groupBy("source_id").agg(
+        F.count_if(c("status") == ENDS_AT_X).alias("n_predecessors"), F.count_if(c("status") == MATCHED).alias("n_inside")
+    )
+    base = candidates.select("source_id", c("modes").alias("source_modes"), "x_lat", "x_lon").join(counts, "source_id", "left")
+    met = base.join(
+        overlaps.filter(c("status").isin(ENDS_AT_X, MATCHED)).select("source_id", "receiver_id", c("status").alias("met"), "common_modes"),
         "source_id",
-        "option_id",
-        F.col("common_modes").bitwiseAND(F.col("source_modes")).alias("modes"),
-        F.array().cast("array<bigint>").alias("predecessors"),
-        F.lit(INTERIOR_EVIDENCE).alias("relation"),
-        F.lit(1).cast("long").alias("relations"),
-        F.lit(None).cast("double").alias("start_gap_m"),
-        F.lit(INTERIOR).alias("evidence"),
-    )
-    found = node.unionByName(on_edge)
+        "left",
+    )
+    # Only ends have successors; the other rows are spread by their source in the join on the predecessor.
+    at_end = F.coalesce(c("met") == ENDS_AT_X, F.lit(False))
+    met = met.withColumns({"at_end": at_end, "after": F.when(at_end, c("receiver_id")).otherwise(c("source_id"))})
+    turns = options.withColumnRenamed("predecessor_id", "after").withColumn("at_end", F.lit(True))
+    tried = met.join(turns, ["after", "at_end"], "left")
+    bits = allowed_bits(c("car"), c("motorcycle"))
+    tried = tried.withColumn("turn_modes", bits.bitwiseAND(c("source_modes")).bitwiseAND(c("option_access")))
+    tried = successor_relation(tried)
+    legal = c("at_end") & F.coalesce(c("turn_modes") != 0, F.lit(False))
+    inside = F.coalesce(c("met") == MATCHED, F.lit(False))
+    missing = c("at_end") & c("option_id").isNull()
     open_turn = F.startswith("car", F.lit("UNRESOLVED_")) | F.startswith("motorcycle", F.lit("UNRESOLVED_"))
-    missing = F.col("option_id").isNull()
-    unknowns = tried.filter(missing | open_turn).select(
+    facts = tried.select(
         "source_id",
-        "predecessor_id",
-        "option_id",
+        F.when(inside, c("receiver_id")).otherwise(c("option_id")).alias("option_id"),
+        "source_modes",
+        "x_lat",
+        "x_lon",
+        F.coalesce("n_predecessors", F.lit(0)).alias("n_predecessors"),
+        F.coalesce("n_inside", F.lit(0)).alias("n_inside"),
+        legal.alias("legal"),
+        inside.alias("inside"),
+        missing.alias("missing"),
+        (missing | (c("at_end") & F.coalesce(open_turn, F.lit(False)))).alias("unknown"),
+        F.when(c("at_end"), c("receiver_id")).alias("predecessor_id"),
+        F.when(inside, c("common_modes").bitwiseAND(c("source_modes"))).otherwise(c("turn_modes")).alias("modes"),
         "car",
         "motorcycle",
-        F.when(missing, "MISSING_ORIGINAL_B_NATIVE_NODE_READBACK").alias("reason"),
+        "relation",
+        "start_gap_m",
     )
+    facts = stage_by(facts, "match-facts", "source_id")
+    node = F.bool_or("legal")
 
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("source_id").agg(F.count(F.lit(1)).alias(name))
+    def of_legal(name: str) -> Column:
+        return F.when(c("legal"), c(name))
 
-    rows = base
-    for df, name in ((found, "n_options"), (upstream, "n_predecessors"), (inside, "n_inside"), (unknowns, "n_unknown")):
-        rows = rows.join(count(df, name), "source_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
-    c = F.col
+    found = facts.filter(c("legal") | c("inside")).groupBy("source_id", "option_id").agg(
+        F.when(node, F.bit_or(of_legal("modes"))).otherwise(F.bit_or(F.when(c("inside"), c("modes")))).alias("modes"),
+        F.array_sort(F.collect_set(of_legal("predecessor_id"))).alias("predecessors"),  # edges that end at one point
+        F.when(node, F.min(of_legal("relation"))).otherwise(INTERIOR_EVIDENCE).alias("relation"),
+        F.when(node, F.size(F.collect_set(of_legal("relation")))).otherwise(1).cast("long").alias("relations"),  # a handful exist
+        F.max(of_legal("start_gap_m")).alias("start_gap_m"),
+        F.when(node, SAME_NODE).otherwise(INTERIOR).alias("evidence"),
+    )
+    unknowns = facts.filter("unknown").select(
+        "source_id",
+        "predecessor_id",
+        "option_id",
+        "car",
+        "motorcycle",
+        F.when(c("missing"), "MISSING_ORIGINAL_B_NATIVE_NODE_READBACK").alias("reason"),
+    )
+    whole = ["source_modes", "x_lat", "x_lon", "n_predecessors", "n_inside"]
+    per_option = facts.groupBy("source_id", "option_id").agg(
+        F.bool_or(c("legal") | c("inside")).alias("is_option"), F.count_if("unknown").alias("n_unknown"), *[F.max(n).alias(n) for n in whole]
+    )
+    rows = per_option.groupBy("source_id").agg(
+        F.count_if("is_option").alias("n_options"), F.sum("n_unknown").alias("n_unknown"), *[F.max(n).alias(n) for n in whole]
+    )
+    rows = rows.select("source_id", *whole[:3], "n_options", *whole[3:], "n_unknown")
     status = (
         F.when(c("n_unknown") > 0, "B_NODE_CONTINUATION_PARTIALLY_UNRESOLVED")
         .when((c("n_options") > 0) & (c("n_predecessors") <= 1) & (c("n_inside") <= 1), "B_NATIVE_DIRECTIONAL_CONTINUATIONS_IDENTIFIED")

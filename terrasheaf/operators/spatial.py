@@ -36,6 +36,30 @@ def box_cells(df: DataFrame, size: float, min_lat, max_lat, min_lon, max_lon) ->
     )
 
 
+def line_cells(df: DataFrame, size: float, a: tuple, b: tuple, grow_y=0.0, grow_x=0.0) -> DataFrame:
+    """Copy each row to the cells that its segment ab passes, as ``cy`` and ``cx``.
+
+    ``a`` and ``b`` are (x, y).  The segment is walked row by row of the grid; in
+    each row only the cells between the places where it enters and leaves are
+    taken, so their number follows its length and not the area of its box.
+    With ``grow_y`` and ``grow_x`` the cells of all points within that reach of
+    the segment are covered too.  A hair of slack keeps rounding from losing a cell.
+    """
+    (ax, ay), (ex, ey) = a, b
+    rise, run = ey - ay, ex - ax
+    rows = df.withColumn("cy", F.explode(cell_range(F.least(ay, ey) - grow_y, F.greatest(ay, ey) + grow_y, size)))
+    flat = F.abs(rise) < 1e-9  # no two rows apart; the whole width is passed
+
+    def at(y: Column) -> Column:
+        part = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (y - ay) / F.nullif(rise, F.lit(0.0))))
+        return ax + part * run
+
+    enter = F.when(flat, ax).otherwise(at(F.col("cy") * size - grow_y))
+    leave = F.when(flat, ex).otherwise(at((F.col("cy") + 1) * size + grow_y))
+    slack = F.when(flat, 1e-12).otherwise(F.abs(run) * 2e-13 / F.nullif(F.abs(rise), F.lit(0.0)) + 1e-12)
+    return rows.withColumn("cx", F.explode(cell_range(F.least(enter, leave) - grow_x - slack, F.greatest(enter, leave) + grow_x + slack, size)))
+
+
 def point_cells(df: DataFrame, size: float, lat: Column, lon: Column) -> DataFrame:
     return df.withColumns({"cy": cell(lat, size), "cx": cell(lon, size)})
 
@@ -128,9 +152,7 @@ def segments_meet(a: tuple, b: tuple, c: tuple, d: tuple) -> Column:
 
 
 def _segment_cells(df: DataFrame, size: float) -> DataFrame:
-    return box_cells(
-        df, size, F.least("ay", "ey"), F.greatest("ay", "ey"), F.least("ax", "ex"), F.greatest("ax", "ex")
-    )
+    return line_cells(df, size, (F.col("ax"), F.col("ay")), (F.col("ex"), F.col("ey")))
 
 
 def cut_crossings(shapes: DataFrame, segments: DataFrame, size: float = 0.01) -> DataFrame:

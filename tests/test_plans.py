@@ -44,3 +44,26 @@ def test_box_reaches_the_parquet_scan(spark, tmp_path):
     got = search.bbox_filter(sinks.read_pack(spark, base, ["places"])["places"], 45.5, 12.5, 10.0).select("id")
     text = plan(got)
     assert "GreaterThanOrEqual(latitude" in text and "name" not in text.split("ReadSchema")[1]
+
+
+def test_matches_move_no_row_after_they_are_laid_out(spark):
+    from terrasheaf.operators import match
+
+    attributes = ", ".join(f"{p}_{n}" + (" boolean" if n in ("bridge", "tunnel") else " int") for p in "pn" for n in ("class", "use", "layer", "bridge", "tunnel"))
+    candidates = spark.createDataFrame([(k, 1025, 46.0, 12.0) for k in range(40)], "source_id long, modes long, x_lat double, x_lon double")
+    overlaps = spark.createDataFrame(
+        [(k, 100 + k % 7, match.ENDS_AT_X if k % 2 else match.MATCHED, 1) for k in range(30)], "source_id long, receiver_id long, status string, common_modes long"
+    )
+    turn = (1, "ALLOWED_NATIVE_IMMEDIATE", "DENIED", 46.0, 12.0, 1, 1, 0, False, False, 1, 1, 0, False, False)
+    options = spark.createDataFrame(
+        [(100 + k, 200 + k, *turn) for k in range(5)], f"predecessor_id long, option_id long, option_access long, car string, motorcycle string, start_lat double, start_lon double, {attributes}"
+    )
+    found = match.correlate(candidates, overlaps, options)
+    for name in ("options", "unknowns", "status"):
+        assert "Exchange" not in plan(found[name]), name
+    status = {r["source_id"]: r for r in found["status"].collect()}
+    assert len(status) == 40 and status[35]["status"] == "NO_PROVEN_CORRESPONDING_B_DIRECTION"
+    assert (status[1]["n_predecessors"], status[1]["n_options"], status[1]["n_unknown"]) == (1, 1, 0)
+    assert (status[5]["n_predecessors"], status[5]["n_options"], status[5]["n_unknown"]) == (1, 0, 1)
+    assert (status[2]["n_inside"], status[2]["n_options"]) == (1, 1)
+    assert found["options"].count() == sum(r["n_options"] for r in status.values()) and found["unknowns"].count() == 4

@@ -524,3 +524,28 @@ def test_each_pack_gets_its_own_counts(spark):
     found = places.validate_pack(made, counts, orphans, ranks, ranks)
     assert {r for r in rows(found, "subject", "code") if r[0] == "north"} == set()
     assert ("south", "orphan_category_links") in rows(found, "subject", "code")
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(*[st.floats(-3, 3, allow_nan=False) | st.integers(-3, 3).map(float)] * 4), min_size=1, max_size=20))
+def test_line_cells_hold_every_point_of_the_line(spark, segments):
+    df = spark.createDataFrame([(i, *s) for i, s in enumerate(segments)], "i int, ax double, ay double, ex double, ey double")
+    for size, grow in ((0.25, 0.0), (0.1, 0.07)):
+        got: dict[int, set] = {}
+        for r in spatial.line_cells(df, size, (F.col("ax"), F.col("ay")), (F.col("ex"), F.col("ey")), grow, grow).collect():
+            assert (r["cy"], r["cx"]) not in got.setdefault(r["i"], set())
+            got[r["i"]].add((r["cy"], r["cx"]))
+        for i, (ax, ay, ex, ey) in enumerate(segments):
+            for k in range(401):
+                x, y = ax + (ex - ax) * k / 400, ay + (ey - ay) * k / 400
+                for dx, dy in ((0, 0), (grow, 0), (0, -grow), (-grow, grow)):
+                    assert (math.floor((y + dy * 0.999) / size), math.floor((x + dx * 0.999) / size)) in got[i]
+            rows_, columns = abs(ey - ay) / size + 2 + 2 * grow / size, abs(ex - ax) / size + 2 + 2 * grow / size
+            # In proportion to the length: every row adds its own width and what it shares with the next.
+            assert len(got[i]) <= columns + rows_ * (3 + 4 * grow / size * (1 + 0.5 * abs(ex - ax) / max(abs(ey - ay), 1e-9)) if abs(ey - ay) > 1e-9 else columns)
+
+
+def test_a_long_diagonal_takes_cells_by_its_length(spark):
+    df = spark.createDataFrame([(12.0, 46.0, 13.0, 47.0)], "ax double, ay double, ex double, ey double")
+    cells = spatial.line_cells(df, 0.0005, (F.col("ax"), F.col("ay")), (F.col("ex"), F.col("ey")))
+    assert 2000 <= cells.count() <= 3 * 2001  # its box has four million
