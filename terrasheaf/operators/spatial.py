@@ -10,7 +10,7 @@ from __future__ import annotations
 import functools
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import PLANAR_TOPOLOGY, planar_m, tile_bounds
 from ..session import stage
@@ -166,32 +166,107 @@ def cut_crossings(shapes: DataFrame, segments: DataFrame, size: float = 0.01) ->
     return s.join(b, ["cy", "cx"]).filter(~boxes_apart(*ends) & segments_meet(*ends)).select("graph_id", "region_id").distinct()
 
 
-def polygon_strips(segments: DataFrame, strip: float) -> DataFrame:
-    """Segments gathered per region and latitude strip.
+# The place of a cell at which it is known which rings hold it: in parts of the cell, off every round coordinate.
+_REF_X, _REF_Y = 0.41421356237, 0.73205080757
+_SPLIT = 4  # a cell has _SPLIT x _SPLIT children
 
-    A group holds the outline pieces of one region in one thin strip, which is
-    bounded by the detail of the outline and shrinks with ``strip``.
+
+def _parted(rx, ry, px, py, s) -> Column:
+    """Whether the line from R to P crosses segment ``s``; each end of a segment lies on one side, so corners count once."""
+    ends = (_cross(rx, ry, px, py, s["ax"], s["ay"]) > 0) != (_cross(rx, ry, px, py, s["ex"], s["ey"]) > 0)
+    return ends & ((_cross(s["ax"], s["ay"], s["ex"], s["ey"], rx, ry) > 0) != (_cross(s["ax"], s["ay"], s["ex"], s["ey"], px, py) > 0))
+
+
+def _coarse_seeds(segments: DataFrame, size: float) -> DataFrame:
+    """(region_id, cy, cx, odd): of cells whose reference place lies in a ring, the rings that hold it."""
+    c = F.col
+    ref = (c("cy") + _REF_Y) * size
+    rows = segments.withColumn("cy", F.explode(cell_range(F.least("ay", "ey") - size, F.greatest("ay", "ey"), size)))
+    rows = rows.filter((c("ay") > ref) != (c("ey") > ref))
+    at = c("ax") + (ref - c("ay")) * (c("ex") - c("ax")) / F.nullif(c("ey") - c("ay"), F.lit(0.0))
+    # From this cell on, the reference places of the row lie behind the crossing.
+    behind = (F.floor(at / size - _REF_X) + 1).cast("long").alias("cx")
+    ring = ["region_id", "ring_no", "is_hole"]
+    flips = rows.groupBy(*ring, "cy", behind).agg(F.count(F.lit(1)).alias("n")).filter(c("n") % 2 == 1)
+    along = Window.partitionBy(*ring, "cy").orderBy("cx")  # a row of coarse cells, 360 at most at one degree
+    spans = flips.withColumns({"nth": F.row_number().over(along), "stop": F.lead("cx").over(along)}).filter((c("nth") % 2 == 1) & c("stop").isNotNull())
+    odd = spans.withColumn("cx", F.explode(F.sequence(c("cx"), c("stop") - 1)))
+    return odd.groupBy("region_id", "cy", "cx").agg(F.collect_set(F.struct("ring_no", "is_hole")).alias("odd"))
+
+
+def region_quadtree(segments: DataFrame, leaf: int = 32, deepest: int = 12, size: float = 1.0) -> tuple[DataFrame, list[float]]:
+    """(region_id, level, cy, cx, odd, pieces) of the cells that a region touches, and the cell size of each level.
+
+    Cells that no outline passes are inside cells (outside ones are left out) and
+    hold no segments.  A boundary cell holds only the segments that pass it, at
+    most ``leaf`` of them; a fuller one is split into 16, each of which learns
+    from its parent which rings hold its reference place (``odd``), by the
+    segments between the two places.  So no cell is worked out from more than
+    its parent, and no array grows with the outline.  Only a spot of ``deepest``
+    levels (millimetres) through which more than ``leaf`` segments go keeps them all.
     """
-    s = segments.withColumn("cy", F.explode(cell_range(F.least("ay", "ey"), F.greatest("ay", "ey"), strip)))
-    piece = F.struct("ring_no", "is_hole", "ax", "ay", "ex", "ey")
-    return s.groupBy("region_id", "cy").agg(F.collect_list(piece).alias("pieces"))
+    c = F.col
+    at = ["region_id", "cy", "cx"]
+    piece = ["ring_no", "is_hole", "ax", "ay", "ex", "ey"]
+    own = segments.select("region_id", *piece)
+    held = stage(line_cells(own, size, (c("ax"), c("ay")), (c("ex"), c("ey"))), "quadtree-held")
+    seeds = _coarse_seeds(own, size)
+    none = F.array().cast(seeds.schema["odd"].dataType)
+    done, sizes = [], []
+    while True:
+        level = len(sizes)
+        sizes.append(size)
+        counts = held.groupBy(*at).agg(F.count(F.lit(1)).alias("n"))
+        cells = seeds.join(counts, at, "full_outer").withColumns({"odd": F.coalesce("odd", none), "n": F.coalesce("n", F.lit(0))})
+        cells = stage(cells, "quadtree-cells")
+        full = (c("n") > leaf) if level < deepest else F.lit(False)
+        small = held.join(cells.filter((c("n") > 0) & ~full).select(*at), at, "left_semi")
+        pieces = small.groupBy(*at).agg(F.collect_list(F.struct(*piece)).alias("pieces"))
+        kept = cells.filter(~full).join(pieces, at, "left")
+        done.append(kept.select("region_id", F.lit(level).alias("level"), "cy", "cx", "odd", F.coalesce("pieces", F.array().cast(pieces.schema["pieces"].dataType)).alias("pieces")))
+        big = cells.filter(full)
+        if level == deepest or not big.limit(1).count():
+            return functools.reduce(DataFrame.unionByName, done), sizes
+        step = F.sequence(F.lit(0), F.lit(_SPLIT - 1))
+        kids = big.withColumn("i", F.explode(step)).withColumn("j", F.explode(step)).withColumns(
+            {"ky": c("cy") * _SPLIT + c("i"), "kx": c("cx") * _SPLIT + c("j")}
+        )
+        place = lambda x, y, s: ((c(x) + _REF_X) * s, (c(y) + _REF_Y) * s)
+        met = kids.select(*at, "ky", "kx").join(held, at).filter(_parted(*place("cx", "cy", size), *place("kx", "ky", size / _SPLIT), {n: c(n) for n in piece}))
+        turned = met.groupBy("region_id", "ky", "kx", "ring_no", "is_hole").agg(F.count(F.lit(1)).alias("n")).filter(c("n") % 2 == 1)
+        turned = turned.groupBy("region_id", "ky", "kx").agg(F.collect_list(F.struct("ring_no", "is_hole")).alias("turned"))
+        both = kids.join(turned, ["region_id", "ky", "kx"], "left").withColumn("turned", F.coalesce("turned", none))
+        odd = F.concat(F.array_except("odd", "turned"), F.array_except("turned", "odd"))
+        next_seeds = both.select("region_id", c("ky").alias("cy"), c("kx").alias("cx"), odd.alias("odd")).filter(F.size("odd") > 0)
+        parts = held.join(big.select(*at), at, "left_semi").withColumnsRenamed({"cy": "py", "cx": "px"})
+        parts = line_cells(parts, size / _SPLIT, (c("ax"), c("ay")), (c("ex"), c("ey")))
+        parts = parts.filter((F.floor(c("cy") / _SPLIT) == c("py")) & (F.floor(c("cx") / _SPLIT) == c("px"))).drop("py", "px")
+        seeds, held, size = stage(next_seeds, "quadtree-seeds"), stage(parts, "quadtree-held"), size / _SPLIT
 
 
 def points_in_polygon(
-    points: DataFrame, segments: DataFrame, strip: float = 0.01, lat: str = "lat", lon: str = "lon", own: str | None = None
+    points: DataFrame, segments: DataFrame, lat: str = "lat", lon: str = "lon", own: str | None = None, leaf: int = 32
 ) -> DataFrame:
     """Points with each region they meet and ``strictly`` (not on the outline).
 
     ``own`` names a column with the one region a point is tested against; it is
-    part of the join key then, so that points never meet other regions' strips.
+    part of the join key then, so that points never meet other regions' cells.
 
-    Even-odd ray casting per ring; a point on the outline is inside, a point
-    strictly in a hole is not.  The test needs only the strip row, so points are
-    neither grouped nor copied; small outlines make this a map-side join.
+    Even-odd rule per ring; a point on the outline is inside, a point strictly in
+    a hole is not.  A point looks up its cell in the regions' quadtree: an inside
+    cell needs no further test, a boundary cell only its own few segments.
+    Points are not grouped; a small tree makes this a map-side join.
     """
-    strips = polygon_strips(segments, strip)
+    tree, sizes = region_quadtree(segments, leaf)
     px, py = F.col(lon), F.col(lat)
-    p = points.withColumn("cy", cell(py, strip))
+    level = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.lit(v).alias("size")) for k, v in enumerate(sizes)]))
+    p = points.withColumn("_at", level).withColumns(
+        {"_level": F.col("_at.level"), "_cy": F.floor(py / F.col("_at.size")).cast("long"), "_cx": F.floor(px / F.col("_at.size")).cast("long"), "_size": F.col("_at.size")}
+    )
+    t = tree.withColumnsRenamed({"level": "_t_level", "cy": "_t_cy", "cx": "_t_cx", "odd": "_odd", "pieces": "_pieces"})
+    same = (F.col("_level") == F.col("_t_level")) & (F.col("_cy") == F.col("_t_cy")) & (F.col("_cx") == F.col("_t_cx"))
+    met = p.join(t, same if own is None else same & (p[own] == t["region_id"]))
+    rx, ry = (F.col("_cx") + _REF_X) * F.col("_size"), (F.col("_cy") + _REF_Y) * F.col("_size")
 
     def on_edge(s: Column) -> Column:
         return (
@@ -200,26 +275,25 @@ def points_in_polygon(
             & py.between(F.least(s["ay"], s["ey"]), F.greatest(s["ay"], s["ey"]))
         )
 
-    def crosses(s: Column) -> Column:
-        at = s["ax"] + (py - s["ay"]) * (s["ex"] - s["ax"]) / (s["ey"] - s["ay"])
-        return ((s["ay"] > py) != (s["ey"] > py)) & (px < at)
+    met = met.withColumn("_hit", F.filter("_pieces", lambda s: _parted(rx, ry, px, py, s)))
+    rings = F.array_union("_odd", F.transform("_hit", lambda s: F.struct(s["ring_no"].alias("ring_no"), s["is_hole"].alias("is_hole"))))
 
-    hit = F.filter("pieces", crosses)
-
-    def odd(ring: Column) -> Column:
-        return F.size(F.filter(hit, lambda s: s["ring_no"] == ring)) % 2 == 1
+    def holds(r: Column) -> Column:
+        """Is the point inside the ring: held at the reference place, or parted from it, but not both."""
+        times = F.size(F.filter("_hit", lambda s: (s["ring_no"] == r["ring_no"]) & (s["is_hole"] == r["is_hole"])))
+        return F.array_contains("_odd", r) != (times % 2 == 1)
 
     def inside_any(hole: bool) -> Column:
-        rings = F.array_distinct(F.transform(F.filter(hit, lambda s: s["is_hole"] == F.lit(hole)), lambda s: s["ring_no"]))
-        return F.exists(rings, odd)
+        return F.exists(rings, lambda r: (r["is_hole"] == F.lit(hole)) & holds(r))
 
-    edge = F.exists("pieces", on_edge)
-    hole_edge = F.exists("pieces", lambda s: s["is_hole"] & on_edge(s))
-    outer_edge = F.exists("pieces", lambda s: ~s["is_hole"] & on_edge(s))
-    covered = (inside_any(False) | outer_edge) & (~inside_any(True) | hole_edge)
-    met = p.join(strips, "cy") if own is None else p.join(strips, (p["cy"] == strips["cy"]) & (p[own] == strips["region_id"])).drop(strips["cy"])
-    out = met.withColumns({"_covered": covered, "strictly": ~edge})
-    return out.filter("_covered").drop("cy", "pieces", "_covered")
+    edge = F.exists("_pieces", on_edge)
+    hole_edge = F.exists("_pieces", lambda s: s["is_hole"] & on_edge(s))
+    outer_edge = F.exists("_pieces", lambda s: ~s["is_hole"] & on_edge(s))
+    held = F.exists("_odd", lambda r: ~r["is_hole"]) & ~F.exists("_odd", lambda r: r["is_hole"])
+    tested = (inside_any(False) | outer_edge) & (~inside_any(True) | hole_edge)
+    covered = F.when(F.size("_pieces") == 0, held).otherwise(tested)
+    out = met.withColumns({"_covered": covered, "strictly": ~edge}).filter("_covered")
+    return out.drop("_at", "_level", "_cy", "_cx", "_size", "_t_level", "_t_cy", "_t_cx", "_odd", "_pieces", "_hit", "_covered")
 
 
 def covers_flag(points: DataFrame, key: str, segments: DataFrame, name: str, region: str | None = None, **kw) -> DataFrame:
@@ -285,7 +359,7 @@ def area_cells(segments: DataFrame, size: float) -> DataFrame:
     centres = grid.select(
         F.col("region_id").alias("own"), "gy", "gx", ((F.col("gy") + 0.5) * size).alias("lat"), ((F.col("gx") + 0.5) * size).alias("lon")
     )
-    inside = points_in_polygon(centres, segments, strip=size, own="own")
+    inside = points_in_polygon(centres, segments, own="own")
     return inside.select("region_id", F.col("gy").alias("cy"), F.col("gx").alias("cx"))
 
 
@@ -450,8 +524,6 @@ def boundary_samples(segments: DataFrame, buffer_m: float, spacing_m: float = 85
     around the middle of each region.  An outline has a place every ``spacing_m``
     metres, one at least.
     """
-    from pyspark.sql import Window
-
     mid = segments.groupBy("region_id").agg(F.avg("ay").alias("lat0"))
     k = F.cos(F.radians("lat0")) * PLANAR_TOPOLOGY
     m = segments.join(mid, "region_id").select(

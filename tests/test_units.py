@@ -186,7 +186,7 @@ def outline(spark, scale=1.0):
 )
 def test_outline_counts_as_inside_and_hole_does_not(spark, lon, lat, inside, strictly):
     p = spark.createDataFrame([(1, float(lat), float(lon))], "id long, lat double, lon double")
-    got = rows(spatial.points_in_polygon(p, outline(spark), strip=1.0), "strictly")
+    got = rows(spatial.points_in_polygon(p, outline(spark)), "strictly")
     assert got == ([(strictly,)] if inside else [])
 
 
@@ -210,7 +210,7 @@ def test_boundary_samples_lie_on_both_sides(spark):
     flat = s.select("sample", "offset_m", "inside_point.lat", "inside_point.lon").withColumn("id", F.monotonically_increasing_id())
     n = flat.count()
     assert n > 20
-    assert spatial.points_in_polygon(flat, outline(spark, 0.1), strip=0.1).count() == n
+    assert spatial.points_in_polygon(flat, outline(spark, 0.1)).count() == n
 
 
 SHAPE = "struct<lat:double,lon:double>"
@@ -549,3 +549,52 @@ def test_a_long_diagonal_takes_cells_by_its_length(spark):
     df = spark.createDataFrame([(12.0, 46.0, 13.0, 47.0)], "ax double, ay double, ex double, ey double")
     cells = spatial.line_cells(df, 0.0005, (F.col("ax"), F.col("ay")), (F.col("ex"), F.col("ey")))
     assert 2000 <= cells.count() <= 3 * 2001  # its box has four million
+
+
+def star(random_, x, y, low, high, n):
+    """Corners of a jagged ring around (x, y)."""
+    turn = [(2 * math.pi * k / n, random_.uniform(low, high)) for k in range(n)]
+    return [(x + r * math.cos(a), y + r * math.sin(a)) for a, r in turn]
+
+
+@pytest.mark.parametrize("leaf, deepest", [(32, 12), (3, 12), (2, 2)])
+def test_quadtree_against_plain_even_odd(spark, leaf, deepest, monkeypatch):
+    import random
+
+    r = random.Random(5)
+    rings = {
+        ("a", 0, False): star(r, 1.3, 0.4, 1.0, 1.9, 300), ("a", 1, True): star(r, 1.3, 0.4, 0.2, 0.6, 60), ("a", 2, False): star(r, -3.2, -1.1, 0.5, 0.9, 40),
+        ("a", 3, True): star(r, -3.2, -1.1, 0.1, 0.3, 9), ("b", 0, False): star(r, 1.0, 0.0, 2.5, 2.6, 25), ("b", 1, False): [(4.0, 4.0), (4.0001, 4.0), (4.0001, 4.0001), (4.0, 4.0001)],
+    }
+    data = [(*key, *a, *b) for key, pts in rings.items() for a, b in zip(pts, pts[1:] + pts[:1])]
+    segments = spark.createDataFrame(data, "region_id string, ring_no int, is_hole boolean, ax double, ay double, ex double, ey double")
+    corners = [p for pts in rings.values() for p in pts[::7]]
+    points = [(r.uniform(-5, 5), r.uniform(-4, 5)) for _ in range(1500)] + corners + [(float(x), float(y)) for x in range(-4, 5) for y in range(-3, 5)]
+    points += [(4.0 + r.uniform(-0.0001, 0.0002), 4.0 + r.uniform(-0.0001, 0.0002)) for _ in range(60)]
+    df = spark.createDataFrame([(i, y, x) for i, (x, y) in enumerate(points)], "id int, lat double, lon double")
+    tree = spatial.region_quadtree
+    monkeypatch.setattr(spatial, "region_quadtree", lambda s, n: tree(s, n, deepest))
+    got = {(x["id"], x["region_id"]): x["strictly"] for x in spatial.points_in_polygon(df, segments, leaf=leaf).collect()}
+
+    def odd(pts, x, y):
+        return sum((ay > y) != (ey > y) and x < ax + (y - ay) * (ex - ax) / (ey - ay) for (ax, ay), (ex, ey) in zip(pts, pts[1:] + pts[:1])) % 2 == 1
+
+    for i, (x, y) in enumerate(points):
+        for region in "ab":
+            own = {k: pts for k, pts in rings.items() if k[0] == region}
+            corner = [k for k, pts in own.items() if (x, y) in pts]
+            if corner:  # a corner is on the outline, whatever the crossings say
+                assert got[i, region] is False
+                continue
+            inside = any(odd(p, x, y) for k, p in own.items() if not k[2]) and not any(odd(p, x, y) for k, p in own.items() if k[2])
+            assert ((i, region) in got) == inside, (x, y, region)
+    if deepest == 12:
+        cells, sizes = tree(segments, leaf)
+        assert max(x["n"] for x in cells.select(F.size("pieces").alias("n")).collect()) <= leaf and (len(sizes) > 3) == (leaf == 3)
+        assert cells.groupBy("region_id", "level", "cy", "cx").count().filter("count > 1").count() == 0
+
+
+def test_quadtree_of_no_outline_and_points_without_place(spark):
+    df = spark.createDataFrame([(1, None, 1.0), (2, 5.0, None), (3, 1.0, 1.0), (3, 1.0, 1.0)], "id int, lat double, lon double")
+    assert rows(spatial.points_in_polygon(df, outline(spark)), "id") == [(3,), (3,)]
+    assert spatial.points_in_polygon(df, outline(spark).limit(0)).count() == 0
