@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import html as entities
+import math
 import re
 from collections.abc import Iterator
 
@@ -43,6 +44,7 @@ from .url_filter import host_of, path_of
 
 # Element names of HTML by their part in a page.
 DROPPED = frozenset("nav header footer aside form script style noscript template svg iframe object canvas button select textarea dialog menu head".split())
+OFTEN = 64  # places of a line up to which its bits are set one by one
 RAW = frozenset("script style textarea noscript template iframe svg".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = frozenset(
@@ -180,33 +182,66 @@ def line_mark(line: str) -> int:
 def common_lines(mine: list[int], other: list[int]) -> list[bool]:
     """For each of my lines, whether it is in the longest common subsequence with the other's.
 
-    Bit-parallel over the other's lines: one big integer a line of mine.
+    Bit-parallel over the other's lines, one big integer a line of mine.  Lines
+    that only one side has are left out first.  Of the integers only every
+    ``block``-th is kept, and the others of a block are worked out again on the
+    way back, so n lines against m hold about ``2 * sqrt(n) * m`` bits.
     """
-    where: dict[int, int] = {}
-    for j, mark in enumerate(other):
-        where[mark] = where.get(mark, 0) | 1 << j
-    full = (1 << len(other)) - 1
-    row, rows = full, []
-    for mark in mine:
-        hit = row & where.get(mark, 0)
-        row = ((row + hit) | (row - hit)) & full
-        rows.append(row)
-    shared = [False] * len(mine)
-    # A zero bit j after line i: the subsequence grows at column j.  Walk back from the end.
-    j = len(other)
-    for i in range(len(mine) - 1, -1, -1):
-        below = (1 << j) - 1
-        before = rows[i - 1] if i else full
-        grown = (~rows[i] & below).bit_count()
-        if (~before & below).bit_count() < grown:
-            shared[i] = True
-            j = (where[mine[i]] & below).bit_length() - 1
-            # The match is at the largest column of mine where the count still drops.
-            while j >= 0 and (~before & ((1 << j) - 1)).bit_count() + 1 < grown:
-                j = (where[mine[i]] & ((1 << j) - 1)).bit_length() - 1
+    own, shared = set(mine), [False] * len(mine)
+    columns = [mark for mark in other if mark in own]
+    where: dict[int, list[int]] = {}
+    for j, mark in enumerate(columns):
+        where.setdefault(mark, []).append(j)
+    places = [i for i, mark in enumerate(mine) if mark in where]
+    often = {mark: _bits(at) for mark, at in where.items() if len(at) > OFTEN}
+    full = (1 << len(columns)) - 1
+
+    def mask(mark: int) -> int:
+        return often[mark] if mark in often else _bits(where[mark])
+
+    def step(row: int, k: int) -> int:
+        hit = row & mask(mine[places[k]])
+        return ((row + hit) | (row - hit)) & full
+
+    block = max(1, math.isqrt(len(places)))
+    row, kept = full, []
+    for k in range(len(places)):
+        if k % block == 0:
+            kept.append(row)
+        row = step(row, k)
+    # A zero bit j after line k: the subsequence grows at column j.  Walk back from the end.
+    j = len(columns)
+    for start in range(block * (len(kept) - 1), -1, -block):
+        rows = [kept.pop()]
+        for k in range(start, min(start + block, len(places))):
+            rows.append(step(rows[-1], k))
+        for k in range(start + len(rows) - 2, start - 1, -1):
+            before, after = rows[k - start], rows[k - start + 1]
+            below = (1 << j) - 1
+            grown = (~after & below).bit_count()
+            if (~before & below).bit_count() < grown:
+                shared[places[k]] = True
+                at = mask(mine[places[k]])
+                j = (at & below).bit_length() - 1
+                # The match is at the largest column of mine where the count still drops.
+                while j >= 0 and (~before & ((1 << j) - 1)).bit_count() + 1 < grown:
+                    j = (at & ((1 << j) - 1)).bit_length() - 1
     return shared
 
 
+def _bits(at: list[int]) -> int:
+    """An integer with the bits ``at`` (ascending) set."""
+    if len(at) <= OFTEN:
+        out = 0
+        for j in at:
+            out |= 1 << j
+        return out
+    octets = bytearray(at[-1] // 8 + 1)
+    for j in at:
+        octets[j >> 3] |= 1 << (j & 7)
+    return int.from_bytes(octets, "little")
+
+
 def without_shared(found: list[tuple[str, bool]], partner: list[int] | None) -> str:
     """The text of candidate lines (line, protected), given the line marks of the nearest page."""
     if partner and any(not protected for _, protected in found):

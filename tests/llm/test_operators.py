@@ -447,6 +447,19 @@ def test_common_lines():
         picked = [x for x, s in zip(a, html_text.common_lines(a, b)) if s]
         rest = iter(b)
         assert len(picked) == lcs(a, b) and all(x in rest for x in picked)
+    a, b = ([r.randrange(3) for _ in range(400)] for _ in range(2))  # lines that repeat very often
+    assert sum(html_text.common_lines(a, b)) == lcs(a, b)
+
+
+def test_lines_of_very_long_pages_are_aligned_in_bounded_memory():
+    import tracemalloc
+
+    mine, other = list(range(30_000)), [k for k in range(40_000) if k % 7] + list(range(50))
+    tracemalloc.start()
+    shared = html_text.common_lines(mine, other)
+    assert tracemalloc.get_traced_memory()[1] < 40e6  # a row for each line would take 100 MB and more
+    tracemalloc.stop()
+    assert shared == [k % 7 > 0 for k in mine]
 
 
 def test_page_lines():
