@@ -112,6 +112,13 @@ def _edge(text: np.ndarray, suffixes: np.ndarray, lo, hi, depth: int, word: np.n
         hi = np.where(open_ & ~below, mid, hi)
 
 
+def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges [lo, hi), and the range that each belongs to."""
+    count = hi - lo
+    at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    return at, np.repeat(np.arange(len(lo)), count)
+
+
 def search_shard(texts: list[str | None], bench: Benchmark) -> list[tuple[int, list[tuple[int, int]], list[str], int]]:
     """For each document: words, hit spans (first word, end), items, longest match."""
     get = bench.number.get
@@ -133,7 +140,7 @@ def search_shard(texts: list[str | None], bench: Benchmark) -> list[tuple[int, l
     if not len(suffixes):
         return empty
     hits = np.zeros(len(text) + 1, np.int64)
-    pairs, longest = [], np.zeros(len(sizes), np.int64)
+    pairs, longest, reach = [], np.zeros(len(sizes), np.int64), np.zeros(len(suffixes), np.int64)
     doc = np.repeat(np.arange(len(sizes)), np.array(sizes) + 1)
     query = np.arange(len(bench.starts))
     lo, hi = np.zeros(len(query), np.int64), np.full(len(query), len(suffixes), np.int64)
@@ -147,16 +154,27 @@ def search_shard(texts: list[str | None], bench: Benchmark) -> list[tuple[int, l
             break
         deep = bench.sizes[query] <= depth + 1
         if deep.any():
-            count = (hi - lo)[deep]
-            at = np.repeat(lo[deep] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            place, owner = suffixes[at], np.repeat(query[deep], count)
-            np.maximum.at(longest, doc[place], depth + 1)
-            now = bench.sizes[owner] == depth + 1
-            np.add.at(hits, place[now], 1)
-            np.add.at(hits, place[now] + depth + 1, -1)
-            pairs.append(np.unique(doc[place[now]] * len(bench.names) + bench.owner[owner[now]]))
+            # Equal windows have equal ranges: each range is gone through once, whatever windows it answers.
+            code, which = np.unique(lo[deep] * (len(suffixes) + 1) + hi[deep], return_inverse=True)
+            at, _ = _spread(code // (len(suffixes) + 1), code % (len(suffixes) + 1))
+            reach[at] = depth + 1
+            now = bench.sizes[query[deep]] == depth + 1
+            if now.any():
+                ended, which = np.unique(which[now], return_inverse=True)
+                at, nth = _spread(code[ended] // (len(suffixes) + 1), code[ended] % (len(suffixes) + 1))
+                place = suffixes[at]
+                np.add.at(hits, place, 1)
+                np.add.at(hits, place + depth + 1, -1)
+                # Distinct documents of each range with the distinct items of its windows.
+                held = np.unique(nth * len(sizes) + doc[place])
+                asked = np.unique(which * len(bench.names) + bench.owner[query[deep][now]])
+                first_doc = np.searchsorted(held // len(sizes), np.arange(len(ended) + 1))
+                rank = asked // len(bench.names)
+                row_, of = _spread(first_doc[rank], first_doc[rank + 1])
+                pairs.append(np.unique(held[row_] % len(sizes) * len(bench.names) + (asked % len(bench.names))[of]))
     if not pairs:
         return empty
+    np.maximum.at(longest, doc[suffixes], reach)
     inside = np.r_[0, (np.cumsum(hits[:-1]) > 0).astype(np.int8), 0]
     begin, end = np.flatnonzero(np.diff(inside) == 1), np.flatnonzero(np.diff(inside) == -1)
     out = empty
