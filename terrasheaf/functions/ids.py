@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-
-MAX_RANGES = 1_000_000
+from ..session import stage
 
 
 def sha256(col: Column) -> Column:
@@ -37,24 +36,35 @@ def fingerprint_lines(lines: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(body, 256))
 
 
-def dense_ids(keys: DataFrame, ordinal: str, tie: list[str], name: str = "id", width: int = 1_000_000) -> DataFrame:
+def prefix_sums(rows: DataFrame, group: list[str], order: list[str], name: str, value: Column | None = None, parts: int | None = None) -> DataFrame:
+    """``rows`` with ``name``: the sum of ``value`` (1 if none) over the earlier rows of the group in the order.
+
+    Rows are dealt to ranges of (group, order), so a large group lies in many
+    tasks.  Each task sums its own part of a group; where a group goes on in
+    another task, it begins there with the total of the parts before.  Only those
+    totals, one for each group and task, are put in order anew.  ``order``
+    should tell all rows of a group apart; rows that it does not are in any order.
+    """
+    ranges = [parts] if parts else []
+    dealt = rows.withColumn("_value", F.lit(1).cast("long") if value is None else value)
+    held = stage(dealt.repartitionByRange(*ranges, *group, *order).withColumn("_part", F.spark_partition_id()), "prefix-parts")
+    first = [F.lit(0).cast(held.schema["_value"].dataType)]
+    totals = held.groupBy(*group, "_part").agg(F.sum("_value").alias("_total"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*[F.col(g).alias(f"_of_{g}") for g in group], F.col("_part").alias("_at"), F.coalesce(F.sum("_total").over(earlier), *first).alias("_before"))
+    inside = Window.partitionBy("_part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = held.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), *first))
+    same = F.col("_part") == F.col("_at")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    out = summed.join(before, same).withColumn(name, F.col("_before") + F.col("_inside"))
+    return out.select(*[c for c in rows.columns if c != name], name)
+
+
+def dense_ids(keys: DataFrame, ordinal: str, tie: list[str], name: str = "id", parts: int | None = None) -> DataFrame:
     """Number rows 1..n in (ordinal, tie) order without a one-partition window.
 
-    Rows are grouped in ordinal ranges; a range is numbered on its own and gets
-    the count of all earlier ranges as its offset.  Only the per-range counts
-    meet in one task, a million at most: a sparse ordinal (packed ids) gets wider
-    ranges than ``width``, a dense one keeps it and so bounds the rows per range.
+    Rows of one ordinal may lie in several tasks; only one count a task is put in order.
     """
-    span = keys.select((F.max(ordinal) - F.min(ordinal)).alias("s")).scalar()
-    step = F.greatest(F.lit(width).cast("long"), F.ceil(span / MAX_RANGES))
-    bucketed = keys.withColumn("_range", F.floor(F.col(ordinal) / step).cast("long"))
-    counts = bucketed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_range").orderBy(ordinal, *tie)
-    return (
-        bucketed.withColumn("_rn", F.row_number().over(inside))
-        .join(offsets, "_range")
-        .withColumn(name, (F.col("_offset") + F.col("_rn")).cast("long"))
-        .drop("_range", "_rn", "_offset")
-    )
+    counted = prefix_sums(keys, [], [ordinal, *tie], name, parts=parts)
+    return counted.withColumn(name, (F.col(name) + 1).cast("long"))

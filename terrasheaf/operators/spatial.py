@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import PLANAR_TOPOLOGY, planar_m, tile_bounds
+from ..functions.ids import prefix_sums
 from ..session import stage
 
 # The proximity audit.
@@ -517,12 +518,20 @@ def metres_outside(shapes: DataFrame, segments: DataFrame, key: str = "graph_id"
     return rows.groupBy(key).agg(F.sum(F.when(F.col("inside").isNull(), F.col("metres")).otherwise(0.0)).alias("outside_m"))
 
 
-def boundary_samples(segments: DataFrame, buffer_m: float, spacing_m: float = 8500.0) -> DataFrame:
+def boundary_samples(
+    segments: DataFrame, buffer_m: float, spacing_m: float = 8500.0, adjoining: DataFrame | None = None, neighbours: DataFrame | None = None
+) -> DataFrame:
     """Inside/outside point pairs along the normal of evenly spaced outline places.
 
     ``segments`` also carries ``seq`` along its ring.  Metric work is planar
     around the middle of each region.  An outline has a place every ``spacing_m``
-    metres, one at least.
+    metres, one at least.  The running length of an outline is summed in many
+    tasks, however long it is.
+
+    ``adjoining`` has the outlines of areas around the regions and ``neighbours``
+    the pairs (region_id, neighbour_id): a region with neighbours keeps only
+    samples whose outside point one of them covers (its edge included), which
+    spares coasts; a region without any keeps all.
     """
     mid = segments.groupBy("region_id").agg(F.avg("ay").alias("lat0"))
     k = F.cos(F.radians("lat0")) * PLANAR_TOPOLOGY
@@ -531,8 +540,7 @@ def boundary_samples(segments: DataFrame, buffer_m: float, spacing_m: float = 85
         (F.col("ex") * k).alias("x1"), (F.col("ey") * PLANAR_TOPOLOGY).alias("y1"),
     )
     m = m.withColumn("len", F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))
-    along = Window.partitionBy("region_id").orderBy("ring_no", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    m = m.withColumn("cum", F.coalesce(F.sum("len").over(along), F.lit(0.0)))
+    m = prefix_sums(m, ["region_id"], ["ring_no", "seq"], "cum", F.col("len"))
     whole = m.groupBy("region_id").agg(F.sum("len").alias("whole")).withColumn(
         "n", F.greatest(F.lit(1), F.ceil(F.col("whole") / spacing_m)).cast("int")
     )
@@ -574,4 +582,13 @@ def boundary_samples(segments: DataFrame, buffer_m: float, spacing_m: float = 85
         F.max(F.when(F.col("inside"), F.struct("lat", "lon"))).alias("inside_point"),
         F.max(F.when(~F.col("inside"), F.struct("lat", "lon"))).alias("outside_point"),
     )
-    return both.filter(F.col("inside_point").isNotNull() & F.col("outside_point").isNotNull())
+    both = both.filter(F.col("inside_point").isNotNull() & F.col("outside_point").isNotNull())
+    if adjoining is None or neighbours is None:
+        return both
+    asked = neighbours.select(F.col("region_id").alias("own"), "neighbour_id").distinct()
+    tried = both.select(F.col("region_id").alias("own"), "sample", "offset_m", F.col("outside_point.lat").alias("lat"), F.col("outside_point.lon").alias("lon"))
+    tried = tried.join(asked, "own")
+    found = points_in_polygon(tried, adjoining, own="neighbour_id").select(F.col("own").alias("region_id"), "sample", "offset_m").distinct()
+    bound = asked.select(F.col("own").alias("region_id")).distinct()
+    free = both.join(bound, "region_id", "left_anti")
+    return free.unionByName(both.join(found, ["region_id", "sample", "offset_m"], "left_semi"))

@@ -67,13 +67,24 @@ def test_tokens_are_distinct_and_long_enough_and_cut_only_if_asked(spark):
     assert len(df.select(text.query_tokens(F.col("s"))).first()[0]) == 7
 
 
-def test_dense_ids_do_not_depend_on_range_width(spark):
+def test_dense_ids_do_not_depend_on_the_number_of_parts(spark):
     df = spark.createDataFrame([(i * 7 % 50, f"k{i}") for i in range(50)], "ord long, k string")
     wide = rows(ids.dense_ids(df, "ord", ["k"]), "id", "k")
-    assert wide == rows(ids.dense_ids(df, "ord", ["k"], width=3), "id", "k")
+    assert wide == rows(ids.dense_ids(df, "ord", ["k"], parts=7), "id", "k")
     assert sorted(r[0] for r in wide) == list(range(1, 51))
 
 
+@pytest.mark.parametrize("parts", [1, 5, 40])
+def test_prefix_sums_against_a_plain_loop(spark, parts):
+    # One group holds most rows, so that it lies in many parts; another has no key.
+    data = [("big" if i % 5 else None if i % 10 else f"g{i}", (i * 37) % 101, i, (i * 7) % 11 - 3.0) for i in range(400)]
+    df = spark.createDataFrame(data, "g string, a int, b int, v double")
+    got = rows(ids.prefix_sums(df, ["g"], ["a", "b"], "s", F.col("v"), parts), "g", "a", "b", "s")
+    want = [(g, a, b, float(sum(v for h, c, d, v in data if h == g and (c, d) < (a, b)))) for g, a, b, _ in data]
+    assert got == sorted(want, key=repr)
+    assert ids.prefix_sums(df.limit(0), ["g"], ["a"], "s").count() == 0
+
+
 def test_fingerprint_of_nothing_is_that_of_the_empty_text(spark):
     got = spark.range(1).select(ids.fingerprint_lines(F.array().cast("array<string>"))).first()[0]
     assert got == "sha256:e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
@@ -213,6 +224,27 @@ def test_boundary_samples_lie_on_both_sides(spark):
     assert spatial.points_in_polygon(flat, outline(spark, 0.1)).count() == n
 
 
+def test_boundary_samples_need_an_adjoining_area(spark):
+    seg = outline(spark, 0.1).withColumn("seq", F.monotonically_increasing_id())
+    whole = spatial.boundary_samples(seg, 25000.0)
+    # An area to the east of the square (x from 1 to 2), and one far away.
+    def box(name, x, y):
+        corners = [(x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1)]
+        return [(name, 0, False, *a, *b) for a, b in zip(corners, corners[1:] + corners[:1])]
+
+    areas = spark.createDataFrame(
+        box("east", 1.0, 0.0) + box("far", 50.0, 50.0), "region_id string, ring_no int, is_hole boolean, ax double, ay double, ex double, ey double"
+    )
+
+    def kept(*pairs):
+        return rows(spatial.boundary_samples(seg, 25000.0, 8500.0, areas, spark.createDataFrame(pairs, "region_id string, neighbour_id string")), "sample", "offset_m")
+
+    every = rows(whole, "sample", "offset_m", "outside_point.lat", "outside_point.lon")
+    want = sorted(((i, o) for i, o, lat, lon in every if 1 <= lon <= 2 and 0 <= lat <= 1), key=repr)
+    assert 0 < len(want) < len(every)
+    assert kept(("r", "east"), ("r", "far")) == want and kept(("r", "far")) == [] and len(kept(("other", "east"))) == len(every)
+
+
 SHAPE = "struct<lat:double,lon:double>"
 
 
