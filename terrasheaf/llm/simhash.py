@@ -37,9 +37,6 @@ LEAF, FANOUT = 16, 8
 FRONTIER = 1 << 21  # (query, leaf) pairs looked at together
 BATCH_ROWS = 1 << 18  # bucket rows indexed together
 BUCKET_ROWS = 1 << 16  # codes above which a bucket is dealt again
-# Near copies: 42 of 256 bits apart is an angle whose cosine is that of word
-# shingle sets of Jaccard similarity 0.77; the spread of the estimate is 0.03.
-MOST, PRINTS, TOTAL = 7, 4, 42
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -283,6 +280,11 @@ def components(prints: DataFrame, most: int = 4, total: int = 0, bucket_rows: in
     named = prints.select("doc_id", "fp", "more", node.alias("node"))
     codes = stage(named.groupBy("node", "fp", "more").agg(F.min("doc_id").alias("least")), "simhash-codes")
     tree = stage(connected_components(links(codes, most, total, bucket_rows)), "simhash-tree")
+    return named_components(named, codes, tree).select("doc_id", "fp", "component_id")
+
+
+def named_components(named: DataFrame, codes: DataFrame, tree: DataFrame) -> DataFrame:
+    """Rows of ``named`` with component_id, the smallest ``least`` (of ``codes``) in their node's tree."""
     held = tree.join(codes.select("node", "least"), "node")
     least = stage(held.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     linked = stage(tree.join(least, "root").select("node", "component_id"), "simhash-linked")
@@ -290,22 +292,16 @@ def components(prints: DataFrame, most: int = 4, total: int = 0, bucket_rows: in
         codes.join(linked, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")),
         "simhash-names",
     )
-    return named.join(names, "node").select("doc_id", "fp", "component_id")
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, most: int = MOST, prints: int = PRINTS, total: int = TOTAL) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``."""
-    return components(stage(fingerprints(docs, shingle, prints), "simhash"), most, total)
+    return named.join(names, "node").drop("node")
 
 
-def deduplicate(docs: DataFrame, shingle: int = 5, most: int = MOST, prints: int = PRINTS, total: int = TOTAL) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, with all columns.
+def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component of ``found`` (doc_id, component_id), with all columns.
 
     The document whose id names the component stays.  Rows that repeat one
     doc_id count as one document; of them the one with the smallest text hash
     stays.  Rows without a doc_id stay as they are.
     """
-    found = near_duplicates(docs, shingle, most, prints, total).where("doc_id is not null")
     # Ids to look at: those that go, and those on several rows, of which one stays.
     named = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
     odd = stage(named.where("n > 1 or not stays").select(F.col("doc_id").alias("_odd_id"), F.col("stays").alias("_stays")), "simhash-odd")

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from brute import near_components
 from pyspark.sql import functions as F
 
 from terrasheaf.llm import (
@@ -17,6 +18,7 @@ from terrasheaf.llm import (
     html_text,
     importance,
     language_id,
+    near_copies,
     quality_rules,
     simhash,
     span_dedup,
@@ -155,12 +157,54 @@ def test_components_against_all_pairs(spark, bucket_rows):
 
 
 def test_deduplicate(docs, empty):
-    kept = simhash.deduplicate(docs)
+    kept = near_copies.deduplicate(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
     # 1, 2 and 3 have no words and are one group; 5 and both 6 are copies; 7 and 8 near copies.
     assert sorted(i for i in ids if i) == [1, 4, 5, 7, 9, 10, 11, 12, 13, 14] and ids.count(None) == 2
-    assert simhash.deduplicate(empty).count() == 0
+    assert near_copies.deduplicate(empty).count() == 0
+
+
+def edited(text, seed, share):
+    r = random.Random(seed)
+    return " ".join(w if r.random() >= share else f"new{r.randrange(10**6)}" for w in text.split())
+
+
+@pytest.mark.parametrize("bucket_rows", [1 << 16, 20])
+def test_near_copies_against_all_pairs(spark, bucket_rows):
+    """Copies that are like their original but not like each other, copies of copies, and families that are near only."""
+    texts = []
+    for k in range(4):
+        original = prose(500 + k, 400)
+        texts += [original, original, *(edited(original, 10 * k + n, 0.018) for n in range(25))]
+        chain = prose(700 + k, 300)
+        for n in range(12):
+            chain = edited(chain, n, 0.02)
+            texts.append(chain)
+        texts += [edited(prose(800 + k, 300), n, 0.035) for n in range(12)]
+    texts += [None, "", "one two", "One TWO", "one"]
+    order = random.Random(1).sample(range(len(texts)), len(texts))
+    table = spark.createDataFrame([(i, texts[k]) for i, k in enumerate(order)] + [(None, texts[0])], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(table, bucket_rows=bucket_rows).collect()}
+    lab = near_components([texts[k] for k in order])
+    assert got == {i: int(lab[i]) for i in range(len(order))}
+    assert len(set(lab)) < len(texts) - 80  # the groups are found, not only candidates confirmed
+
+
+def test_proposals_go_past_refused_ones():
+    codes = np.repeat(np.array([[0], [1], [3]], np.uint64), near_copies.TESTED, axis=1)
+    size, node, bucket = np.full(3, 100), np.array([7, 8, 9]), np.zeros(3, np.int64)
+    none = (np.empty(0, np.int64),) * 3
+    pairs = lambda label, bars, width=1: {
+        tuple(sorted((int(node[i]), int(node[j])))) for i, j in zip(*near_copies.propose(bucket, codes, size, label, node, bars, width))
+    }
+    assert pairs(node, none) == {(7, 8), (8, 9)}
+    assert pairs(node, (np.array([0]), np.array([7]), np.array([8]))) == {(7, 9), (8, 9)}
+    assert pairs(np.array([7, 7, 9]), (np.array([0]), np.array([8]), np.array([9]))) == {(7, 9)}
+    assert pairs(np.array([7, 7, 7]), none) == set()
+    # Fewer than four fifths of the shingles cannot be similar.
+    size[2] = 79
+    assert pairs(node, none, 4) == {(7, 8)}
 
 
 def test_long_chain_is_one_component(spark):

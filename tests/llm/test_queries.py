@@ -12,6 +12,8 @@ import pytest
 import xxhash
 
 import corpus_pipeline
+from brute import near_components
+
 from terrasheaf.llm import bpe, simhash, span_dedup
 from terrasheaf.llm.common import merge_labels
 from terrasheaf.llm.queries import ORACLES, QUERIES, vocabulary
@@ -111,10 +113,7 @@ def test_pipeline_against_brute_force(spark, con, docs):
 
     good = set(con.execute(f"select doc_id from ({ORACLES['op2_quality_rules']}) where kept").df().doc_id)
     left = [(i, t) for i, t in zip(docs.doc_id, docs.text) if i in good]
-    prints = np.array([simhash.fingerprint_of(t, 5, simhash.PRINTS) for _, t in left]).view(np.uint64)
-    apart = np.bitwise_count(prints[:, None] ^ prints[None])
-    lab = np.arange(len(left))
-    merge_labels(lab, *np.nonzero((apart.min(axis=2) <= simhash.MOST) & (apart.sum(axis=2, dtype=int) <= simhash.TOTAL)))
+    lab = near_components([t for _, t in left])
     left = [d for k, d in enumerate(left) if lab[k] == k]  # ids ascend, so roots are the smallest
     seen, drop = {}, {}
     for i, text in left:
