@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasheaf.llm import bpe, decontamination, quality_rules, simhash, span_dedup
+from terrasheaf.llm import bpe, decontamination, near_copies, quality_rules, span_dedup
 from terrasheaf.llm.common import drop_staged, read_table, stage
 from terrasheaf.llm.queries import vocabulary
 
@@ -32,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, on shingles of five words."""
     drop_staged(spark, docs)
-    return simhash.deduplicate(docs)
+    return near_copies.deduplicate(docs)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
