@@ -3,14 +3,14 @@
 A document has PRINTS fingerprints of its set of shingles.  Each is cut into
 BLOCKS blocks; documents that agree in a block meet in a bucket, where the
 Gray-order index (``simhash.GrayIndex``) finds the codes at most MOST bits apart.
-A pair is a candidate if this and the next two fingerprints together differ in at
+A pair is a candidate if this and the next four fingerprints together differ in at
 most TOTAL bits and the sizes of its sets allow the similarity.  It links only if
 the Jaccard similarity of the two whole shingle sets reaches ``least``.
 
 A bucket proposes, for each set of documents linked so far, its nearest candidate
 outside, and so at most some links a document and not all pairs of a group.
 Where a proposal is refused, the bucket is searched again without it and with the
-components of the confirmed links, and with four times as many proposals a set,
+components of the confirmed links, and with sixteen times as many proposals a set,
 until it proposes nothing new.  So a refused link hides no other, and pairs inside
 a component are never compared.
 
@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from . import simhash
 from .common import connected_components, filter_test, key_hashes, map_texts, merge_labels, ship, stage, words_of
 
-PRINTS, BLOCKS, MOST, TOTAL = 10, 4, 12, 38
-TESTED = 3  # fingerprints that TOTAL adds up
+PRINTS, BLOCKS, MOST, TOTAL = 10, 4, 12, 57
+TESTED = 5  # fingerprints that TOTAL adds up
 LEAST = 0.8
 FRONTIER = 1 << 18  # (code, leaf) pairs looked at together
 
@@ -281,7 +281,7 @@ def confirmed_links(docs: DataFrame, codes: DataFrame, shingle: int, least: floa
             "key", F.col("a").alias("node"), F.lit(-1).alias("size"), filler.alias("codes"), F.lit(0).cast("long").alias("label")
         )
         rows = rows.select("key", "node", "size", "codes", "label").union(barred)
-        width *= 4
+        width *= 16
 
 
 def near_copies(docs: DataFrame, shingle: int = 5, least: float = LEAST, bucket_rows: int = simhash.BUCKET_ROWS) -> DataFrame:
