@@ -258,23 +258,38 @@ def _proposals(rows: DataFrame, width: int, least: float) -> DataFrame:
     return dealt.mapInArrow(search, "key long, a long, b long")
 
 
-def confirmed_links(docs: DataFrame, codes: DataFrame, shingle: int, least: float, bucket_rows: int) -> DataFrame:
-    """Links (a, b) between nodes that connect the same nodes as all similar candidates do."""
+def _grown(tree: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) of the components that ``links`` (a, b) make of those of ``tree``.
+
+    Links meet as links between roots, so that what was joined before is not joined again.
+    """
+    if tree is None:
+        return stage(connected_components(links), "near-labels")
+    for side in ("a", "b"):
+        known = tree.select(F.col("node").alias(side), "root")
+        links = links.join(known, side, "left").withColumn(side, F.coalesce("root", side)).drop("root")
+    moved = stage(connected_components(links), "near-moved")
+    old = tree.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    fresh = moved.join(tree, "node", "left_anti")
+    return stage(old.select("node", F.coalesce("to", "root").alias("root")).union(fresh.select("node", "root")), "near-labels")
+
+
+def confirmed_tree(docs: DataFrame, codes: DataFrame, shingle: int, least: float, bucket_rows: int) -> DataFrame:
+    """(node, root) of the components that all similar candidates make; nodes without a link have no row."""
     keyed = _deal(codes, bucket_rows)
-    rows, width, bars, known, links = keyed.withColumn("label", F.col("node")), 1, None, None, None
+    rows, width, bars, known, tree = keyed.withColumn("label", F.col("node")), 1, None, None, None
     while True:
         found = stage(_proposals(rows, width, least), "near-found")
         pairs = found.select("a", "b").distinct()
         new = stage(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"), "near-new")
         judged = stage(_similar(docs, new, codes, shingle, least), "near-judged")
         known = judged if known is None else known.union(judged)
-        links = known.where("similar").select("a", "b")
+        tree = _grown(tree, judged.where("similar").select("a", "b"))
         refused = stage(found.join(known.where("not similar"), ["a", "b"]).select("key", "a", "b"), "near-refused")
         if not refused.limit(1).count():
-            return links
+            return tree
         bars = refused if bars is None else bars.union(refused)
         open_ = refused.select("key").distinct()
-        tree = stage(connected_components(links), "near-labels")
         rows = keyed.join(open_, "key", "left_semi").join(tree, "node", "left").withColumn("label", F.coalesce("root", "node"))
         filler = F.array(F.col("b"), *[F.lit(0).cast("long")] * (TESTED - 1))
         barred = bars.join(open_, "key", "left_semi").select(
@@ -290,7 +305,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, least: float = LEAST, bucket_
     """(doc_id, component_id) of every row of ``docs`` with a doc_id; component_id is the smallest doc_id reached."""
     found = stage(marked(docs, shingle).withColumn("node", F.xxhash64("fps", "size")), "near-prints")
     codes = stage(found.groupBy("node", "size", "fps").agg(F.min("doc_id").alias("least"), F.min("ident").alias("ident")), "near-codes")
-    tree = stage(connected_components(confirmed_links(docs, codes, shingle, least, bucket_rows)), "near-tree")
+    tree = confirmed_tree(docs, codes, shingle, least, bucket_rows)
     return simhash.named_components(found.select("doc_id", "node"), codes, tree)
 
 

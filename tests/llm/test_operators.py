@@ -191,6 +191,24 @@ def test_near_copies_against_all_pairs(spark, bucket_rows):
     assert len(set(lab)) < len(texts) - 80  # the groups are found, not only candidates confirmed
 
 
+def test_no_round_joins_links_of_the_round_before(spark, monkeypatch):
+    """Each link meets the search for components once, whatever the number of rounds."""
+    searched = []
+
+    def counted(edges):
+        searched.append([tuple(sorted(r)) for r in edges.where("a <> b").distinct().collect()])
+        return connected_components(edges)
+
+    monkeypatch.setattr(near_copies, "connected_components", counted)
+    family = prose(901, 300)
+    texts = [family, *(edited(family, n, 0.018) for n in range(12)), *(edited(prose(902, 300), n, 0.035) for n in range(12))]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(table).collect()}
+    assert got == {i: int(k) for i, k in enumerate(near_components(texts))}
+    links = [pair for round_ in searched for pair in round_]
+    assert len(searched) > 1 and links and len(links) == len(set(links))
+
+
 def test_proposals_go_past_refused_ones():
     codes = np.repeat(np.array([[0], [1], [3]], np.uint64), near_copies.TESTED, axis=1)
     size, node, bucket = np.full(3, 100), np.array([7, 8, 9]), np.zeros(3, np.int64)
