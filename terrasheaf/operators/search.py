@@ -20,6 +20,9 @@ DEFAULT_RESULTS = 8
 EXACT, PREFIX, CONTAINS, BRAND_FIRST, PER_TOKEN = 4000, 2000, 1000, 2500, 250
 CATEGORY_DIRECT, CATEGORY_LINKED, PROXIMITY = 1800, 1000, 900
 
+# Parts that the places of one word are dealt to.
+WORD_PARTS = 64
+
 
 def prepare_queries(queries: DataFrame) -> DataFrame:
     """Add normal forms and tokens; queries no version may answer are in ``refused_queries``.
@@ -95,7 +98,10 @@ def _token_pairs(prepared: DataFrame, places: DataFrame) -> DataFrame:
     keyed = plain.select("term").distinct().withColumn("gram", F.substring("term", 1, 3))
     word_terms = anchored.join(keyed, "gram").filter(F.col("word").contains(F.col("term"))).select("word", "term")
     word_queries = word_terms.join(plain, "term").select("word", "query_id").distinct()
-    by_word = postings.join(word_queries, "word").select("query_id", "place_id")
+    # A word that most places hold would make all its pairs in one task.
+    dealt = postings.withColumn("part", F.pmod(F.xxhash64("place_id"), F.lit(WORD_PARTS)))
+    each = word_queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(WORD_PARTS - 1)).cast("array<bigint>")))
+    by_word = dealt.join(each, ["word", "part"]).select("query_id", "place_id")
 
     lines = texts.select("place_id", F.explode(F.array("n", "a")).alias("line"))
     joints = lines.filter(F.col("line").contains(" ")).select(
