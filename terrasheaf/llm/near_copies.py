@@ -9,10 +9,11 @@ the Jaccard similarity of the two whole shingle sets reaches ``least``.
 
 A bucket proposes, for each set of documents linked so far, its nearest candidate
 outside, and so at most some links a document and not all pairs of a group.
-Where a proposal is refused, the bucket is searched again without it and with the
-components of the confirmed links, and with sixteen times as many proposals a set,
-until it proposes nothing new.  So a refused link hides no other, and pairs inside
-a component are never compared.
+Where a proposal between two components of the confirmed links is refused, the
+bucket is searched again without it and with those components, first with sixteen
+proposals a set; where that leaves refused ones too, all candidates between two
+components that were not compared yet are.  So a refused link hides no other, and
+pairs inside a component are never compared.
 
 Two documents at Jaccard similarity 0.8 (five-word shingles) differ in 15 % of
 their bits, agree in one block of 16 bits with probability 0.07, and in one of the
@@ -42,6 +43,7 @@ PRINTS, BLOCKS, MOST, TOTAL = 10, 4, 12, 57
 TESTED = 5  # fingerprints that TOTAL adds up
 LEAST = 0.8
 FRONTIER = 1 << 18  # (code, leaf) pairs looked at together
+WIDTHS = 1, 16, 0  # proposals a set in each search of a bucket; 0: all
 
 
 # ---------------------------------------------------------------- shingle sets
@@ -158,7 +160,8 @@ def propose(
 
     ``codes`` has one row of fingerprints for each bucket row, the first being the
     bucket's; rows of one bucket and label are joined already; ``refused`` holds
-    (bucket, node, node) not to be proposed again.
+    (bucket, node, node) not to be proposed again.  ``width`` is the greatest number
+    of proposals a set at a time; with a width of 0 all candidates are proposed.
     """
     order = np.lexsort((simhash.gray_rank(codes[:, 0]), bucket))
     bucket, codes, size, label, node = bucket[order], codes[order], size[order], label[order], node[order]
@@ -187,7 +190,10 @@ def propose(
             apart += np.bitwise_count(codes[i, k] ^ codes[j, k])
         near = (apart <= total) & ~np.isin(i * n + j, barred)
         i, j, apart = i[near], j[near], apart[near]
-        while True:
+        if not width:
+            cross = lab[i] != lab[j]
+            found.append((i[cross], j[cross]))
+        while width:
             cross = lab[i] != lab[j]
             i, j, apart = i[cross], j[cross], apart[cross]
             if not len(i):
@@ -232,7 +238,8 @@ def _proposals(rows: DataFrame, width: int, least: float) -> DataFrame:
 
         def answer(key, node, size, codes, label):
             code = size >= 0
-            barred = key[~code], node[~code], codes[~code, 0]
+            bar = ~code & np.isin(key, key[code])  # of buckets that are searched again
+            barred = key[bar], node[bar], codes[bar, 0]
             key, node = key[code], node[code]
             i, j = propose(key, codes[code].view(np.uint64), size[code], label[code], node, barred, width, least)
             low, high = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
@@ -274,31 +281,44 @@ def _grown(tree: DataFrame | None, links: DataFrame) -> DataFrame:
     return stage(old.select("node", F.coalesce("to", "root").alias("root")).union(fresh.select("node", "root")), "near-labels")
 
 
+def _between(pairs: DataFrame, tree: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` (a, b, more) whose nodes are not in one component of ``tree``."""
+    named = pairs
+    for side in ("a", "b"):
+        known = tree.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        named = named.join(known, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    return named.where("root_a <> root_b").select(*pairs.columns)
+
+
 def confirmed_tree(docs: DataFrame, codes: DataFrame, shingle: int, least: float, bucket_rows: int) -> DataFrame:
     """(node, root) of the components that all similar candidates make; nodes without a link have no row."""
     keyed = _deal(codes, bucket_rows)
-    rows, width, bars, known, tree = keyed.withColumn("label", F.col("node")), 1, None, None, None
-    while True:
+    rows, bars, known, tree = keyed.withColumn("label", F.col("node")), None, None, None
+    for width in WIDTHS:
         found = stage(_proposals(rows, width, least), "near-found")
         pairs = found.select("a", "b").distinct()
         new = stage(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"), "near-new")
         judged = stage(_similar(docs, new, codes, shingle, least), "near-judged")
         known = judged if known is None else known.union(judged)
         tree = _grown(tree, judged.where("similar").select("a", "b"))
-        refused = stage(found.join(known.where("not similar"), ["a", "b"]).select("key", "a", "b"), "near-refused")
+        if not width:
+            break
+        # A refused pair whose nodes other links have joined hides nothing, nor will it be proposed again.
+        refused = found.join(known.where("not similar"), ["a", "b"]).select("key", "a", "b")
+        refused = stage(_between(refused, tree), "near-refused")
         if not refused.limit(1).count():
-            return tree
-        bars = refused if bars is None else bars.union(refused)
+            break
+        bars = refused if bars is None else refused.union(_between(bars, tree))
         open_ = refused.select("key").distinct()
         rows = keyed.join(open_, "key", "left_semi").join(tree, "node", "left").withColumn("label", F.coalesce("root", "node"))
         filler = F.array(F.col("b"), *[F.lit(0).cast("long")] * (TESTED - 1))
-        barred = bars.join(open_, "key", "left_semi").select(
+        barred = bars.select(
             "key", F.col("a").alias("node"), F.lit(-1).alias("size"), filler.alias("codes"), F.lit(0).cast("long").alias("label")
         )
         # Written before they are dealt: Spark 4.1 can take a union of two joins by key for dealt by key already,
         # and then the adaptive planner may part the two sides differently.
         rows = stage(rows.select("key", "node", "size", "codes", "label").union(barred), "near-open")
-        width *= 16
+    return tree
 
 
 def near_copies(docs: DataFrame, shingle: int = 5, least: float = LEAST, bucket_rows: int = simhash.BUCKET_ROWS) -> DataFrame:

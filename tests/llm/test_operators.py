@@ -220,6 +220,9 @@ def test_proposals_go_past_refused_ones():
     assert pairs(node, (np.array([0]), np.array([7]), np.array([8]))) == {(7, 9), (8, 9)}
     assert pairs(np.array([7, 7, 9]), (np.array([0]), np.array([8]), np.array([9]))) == {(7, 9)}
     assert pairs(np.array([7, 7, 7]), none) == set()
+    # Without a width every pair that no refusal bars is proposed at once.
+    assert pairs(node, none, 0) == {(7, 8), (7, 9), (8, 9)}
+    assert pairs(np.array([7, 8, 8]), (np.array([0]), np.array([7]), np.array([8])), 0) == {(7, 9)}
     # Fewer than four fifths of the shingles cannot be similar.
     size[2] = 79
     assert pairs(node, none, 4) == {(7, 8)}
