@@ -408,7 +408,13 @@ def _(t):
 def _(t):
     a = t.sql(PG._ANCHORS)
     key = ["region_id", "mode"]
-    pairs = a.filter("is_entry").select(*key, F.col("anchor_id").alias("from_id")).join(a.filter("is_exit").select(*key, F.col("anchor_id").alias("to_id")), key).filter("from_id <> to_id")
+    # Parts of a region's entries meet its exits in tasks of their own: few rows make many pairs.
+    part, parts = F.pmod(F.xxhash64("anchor_id"), F.lit(64)), F.explode(F.sequence(F.lit(0), F.lit(63)).cast("array<bigint>"))
+    entries = a.filter("is_entry").select(*key, part.alias("part"), F.col("anchor_id").alias("from_id"))
+    exits = a.filter("is_exit").select(*key, parts.alias("part"), F.col("anchor_id").alias("to_id"))
+    n_tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    one, two = (df.repartition(n_tasks, *key, "part") for df in (entries, exits))
+    pairs = one.join(two.hint("merge"), [*key, "part"]).filter("from_id <> to_id").drop("part")
     z = F.col("from_id") + F.col("to_id")
     r, u = z % 3 == 0, z % 3 == 1
     cells = pairs.filter(z % 13 != 0).withColumns(
