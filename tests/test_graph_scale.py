@@ -42,3 +42,9 @@ def test_candidates_take_no_join_with_all_shapes(spark, tmp_path):
     assert text.count("Join ") == 2  # edges with edges, and with what leaves them
     ended = PG.sources(t).filter("(terminal_modes & 1025) <> 0 and graph_id is not null")
     assert {r["source_id"] for r in PM.candidates(t).collect()} == {r["graph_id"] for r in ended.collect()} != set()
+
+
+def test_receivers_carry_what_is_read_of_them(spark, tmp_path):
+    t = tables(spark, tmp_path)
+    assert PG.adjacency(t, "b").columns == ["source_id", "opposing_id", "end_node", "outgoing"]
+    assert PG.adjacency(t).columns[1:-1] == t("v_edges_a").columns[1:]
