@@ -25,7 +25,7 @@ from terrasheaf.llm import (
     token_files,
     url_filter,
 )
-from terrasheaf.llm.common import build_filter, connected_components, key_hashes, may_contain, merge_labels
+from terrasheaf.llm.common import build_filter, connected_components, key_hashes, may_contain, merge_labels, stage
 from terrasheaf.llm.queries import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, key string, whole string, mark string, spans string, given string, _id string, _keep_id string, _nth string, n_words string"
@@ -228,6 +228,66 @@ def test_proposals_go_past_refused_ones():
     assert pairs(node, none, 4) == {(7, 8)}
 
 
+def test_refused_pairs_of_a_group_are_no_rows(spark, monkeypatch):
+    """A family just below the similarity: all its pairs are compared, but no table of them is made."""
+    made = {}
+
+    def counted(df, label):
+        kept = stage(df, label)
+        made[label] = max(made.get(label, 0), kept.count())
+        return kept
+
+    monkeypatch.setattr(near_copies, "stage", counted)
+    original = prose(903, 300)
+    texts = [edited(original, n, 0.03) for n in range(300)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(table).collect()}
+    assert got == {i: int(k) for i, k in enumerate(near_components(texts))}
+    # A document is dealt to 40 buckets; two documents meet as candidates 9,382 times.
+    assert max(n for label, n in made.items() if label not in ("near-open", "near-contested")) <= 12 * len(texts), made
+    assert max(made.values()) <= 80 * len(texts)
+
+
+@pytest.mark.parametrize("part_bytes", [1, 3000, 40_000])
+def test_near_copies_with_sets_dealt_to_parts(spark, part_bytes):
+    texts = []
+    for k in range(3):
+        original, other = prose(510 + k, 300), prose(810 + k, 300)
+        texts += [original, original, *(edited(original, 10 * k + n, 0.018) for n in range(15)), *(edited(other, n, 0.035) for n in range(12))]
+    texts += [None, "", "one two"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(table, part_bytes=part_bytes).collect()}
+    assert got == {i: int(k) for i, k in enumerate(near_components(texts))}
+
+
+def test_confirmed_links_join_all_similar_rows():
+    """Links of all similar candidates, no more than two a row, whatever labels they begin with."""
+    rng = np.random.default_rng(3)
+    base = rng.choice(10_000, 100, replace=False)
+    sets = [np.unique(np.where(rng.random(100) < 0.05, rng.integers(10_000, 20_000, 100), base)) for _ in range(60)] + [np.empty(0, np.int64)] * 3
+    first, hashes = np.cumsum([0, *map(len, sets)]), np.concatenate(sets)
+    n = len(sets)
+    bucket = np.repeat([5, 9], [40, n - 40])
+    codes = np.repeat(np.arange(n, dtype=np.uint64)[:, None] % np.uint64(4), near_copies.TESTED, axis=1)
+    size, label = np.diff(first), np.r_[np.zeros(5, np.int64), np.arange(5, n)]
+    i, j = near_copies.confirm(bucket, codes, size, label, first, hashes)
+    got, want = np.arange(n), np.arange(n)
+    merge_labels(got, np.zeros(5, np.int64), np.arange(5))
+    merge_labels(want, np.zeros(5, np.int64), np.arange(5))
+    merge_labels(got, i, j)
+    pairs = [(a, b) for a in range(n) for b in range(a) if bucket[a] == bucket[b]]
+    common = near_copies.shared(first, hashes, *np.array(pairs).T)
+    assert common.tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in pairs]
+    links = np.array([p for p, c in zip(pairs, common) if c >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - c)])
+    merge_labels(want, *links.T)
+    assert got.tolist() == want.tolist() and len(i) < 2 * n < len(links)
+    # Rows that have no candidate in another set need no sets.
+    none = (np.empty(0, np.int64),) * 3
+    args = codes[:3], np.array([100, 100, 70]), np.array([1, 2, 3]), np.array([7, 8, 9])
+    assert near_copies.contested(np.zeros(3, np.int64), *args, none).tolist() == [True, True, False]
+    assert not near_copies.contested(np.zeros(3, np.int64), *args, tuple(np.array([k]) for k in (0, 8, 7))).any()
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (100, 102)], "a long, b long")
     got = {r["node"]: r["root"] for r in connected_components(edges).collect()}
