@@ -51,3 +51,26 @@ def test_many_rows_in_a_small_file_are_not_broadcast(spark, tmp_path):
     t = Tables(spark, str(tmp_path))
     text = t("customer").join(t("part"), F.col("c_custkey") == F.col("p_partkey"))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+
+
+def test_two_places_equal_their_projections(spark):
+    """Places and length of an overlap, worked out by batch, are what the column expressions give."""
+    places = [(46.00003, 12.00002, 46.0, 12.0), (46.00003, None, 46.0, 12.0001), (46.1, 12.0, None, 12.0), (None, 12.0, 46.0, 12.0), (float("nan"), 12.0, 46.0, 12.0)]
+    rows = [(i * 10 + k, *p, r) for i, s, r in ROWS for k, p in enumerate(places)] + [(100 + i, *places[0], s) for i, s, _ in ROWS]
+    df = spark.createDataFrame(rows, f"id long, x_lat double, x_lon double, app_lat double, app_lon double, r_shape {POINT}")
+    c, scale = F.col, 111320.0
+    plain = [
+        *[L.project_on_line(c("x_lat"), c("x_lon"), c("r_shape"), scale, c("x_lat"))[n] for n in ("metres", "along")],
+        *[L.project_on_line(c("app_lat"), c("app_lon"), c("r_shape"), scale, c("x_lat"))[n] for n in ("metres", "along")],
+        L.planar_length(c("r_shape"), c("x_lat"), scale),
+    ]
+    both = L.two_places((c("x_lat"), c("x_lon")), (c("app_lat"), c("app_lon")), c("r_shape"), scale)
+    got = df.select("id", both, F.struct(*[p.alias(f"c{k}") for k, p in enumerate(plain)])).collect()
+    assert len(got) == len(rows)
+    for i, new, old in got:
+        for a, b in zip(new, old, strict=True):
+            assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-6 or (a != a and b != b)), (i, new, old)
+    extra = [F.lit(1).cast("long").alias(n) for n in ("access", "r_access")] + [F.lit(0).alias(n) for n in ("layer", "r_layer")]
+    extra += [F.lit(False).alias(n) for n in ("bridge", "tunnel", "r_bridge", "r_tunnel")]
+    plan = match.directed_overlap(df.select("*", *extra))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambdafunction" not in plan
