@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from terrasheaf.functions import lines as L
 from terrasheaf.operators import graph as G, match as M, spatial as X
 from terrasheaf.plans import graph as PG, match as PM
 from terrasheaf.plans.registry import Tables
@@ -91,3 +92,29 @@ def test_edges_of_both_graphs_meet_where_they_lie(spark):
         assert exchanges(t.starting_at("v_optb", ends)) == 3  # the ids, and both sides at their nodes
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_samples_of_a_tail_become_counts_where_its_pairs_are(spark):
+    r = random.Random(11)
+    line = lambda n: [(46 + r.uniform(0, 2e-4), 12 + r.uniform(0, 2e-4)) for _ in range(n)]
+    rows = []
+    for k, receivers in enumerate([1, 2, 64, 65, 200, 3]):
+        shape = line(4)
+        rows += [(k, shape, line(2 + i % 3)) for i in range(receivers)]
+    rows += [(7, None, line(2)), (8, line(3), None), (None, line(3), line(3))]
+    kind = "array<struct<lat:double,lon:double>>"
+    df = spark.createDataFrame(rows, f"source_id long, shape {kind}, r_shape {kind}").repartition(5)
+    each = df.select("source_id", F.posexplode(L.tail_gaps(F.col("shape"), F.col("r_shape"))).alias("i", "gap")).groupBy("source_id", "i").agg(F.min("gap").alias("gap"))
+    want = each.groupBy("source_id").agg(F.count("i").alias("n"), F.count_if(F.col("gap") <= M.COLOCATED).alias("c"), F.max("gap").alias("m"))
+    got = M.tail_coverage(df)
+    assert exchanges(got) == 2  # the pairs, and a row for each batch
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_pairs_that_lie_by_source_do_not_move(spark):
+    t = Tables(spark, SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(M.tail_coverage(PM.ab_pairs(t), laid_by=["gid"])) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
