@@ -118,3 +118,25 @@ def test_pairs_that_lie_by_source_do_not_move(spark):
         assert exchanges(M.tail_coverage(PM.ab_pairs(t), laid_by=["gid"])) == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_options_of_the_second_hop_are_chosen_before_they_move(spark, monkeypatch):
+    ids = "graph_id long, access long, terminal_modes long"
+    roots = spark.createDataFrame([(1, 1025, 0), (2, 1025, 0), (9, 1, 0)], ids)
+    ok, kind = "ALLOWED_NATIVE_IMMEDIATE", "source_id long, option_id long, option_access long, shortcut boolean, transit boolean, via_hierarchy boolean, car string, motorcycle string"
+    hop = lambda a, b, access=1025, **k: (a, b, access, k.get("shortcut", False), False, k.get("via", False), k.get("car", ok), ok)
+    options = [hop(1, 3), hop(1, 4, shortcut=True), hop(2, 5), hop(9, 3), hop(3, 6), hop(3, 7, car="DENIED"), hop(3, 8, via=True), hop(5, 6, 1024), hop(5, 10), *[hop(100 + i, 6) for i in range(50)]]
+    sources = spark.createDataFrame([(6, 1025, 1025), (7, 1025, 1), (8, 1025, 1025), (10, 1025, 1025), (11, 1, 0)], ids)
+    tiles = spark.createDataFrame([(i,) for i in (3, 4, 5, 6, 7, 8)], "tile_id long")
+    scope = spark.createDataFrame([(i,) for i in (6, 7, 8, 10)], "graph_id long")
+    links = spark.createDataFrame([(9,)], "root_id long")
+    options = spark.createDataFrame(options, kind)
+    want = [(1, 3, 6, 1025), (2, 5, 6, 1024)]
+    out = G.two_hop_recovery(roots, links, options, sources, tiles, scope)
+    assert sorted(map(tuple, out.collect())) == want
+    own = options.join(roots.select(F.col("graph_id").alias("source_id")), "source_id", "left_semi")
+    assert sorted(map(tuple, G.two_hop_recovery(roots, links, options, sources, tiles, scope, of_roots=own).collect())) == want
+    moved = []
+    monkeypatch.setattr(G, "stage", lambda df, label: moved.append((label, df.count())) or df)
+    G.two_hop_recovery(roots, links, options, sources, tiles, scope)
+    assert moved == [("first-hop", 2)]
