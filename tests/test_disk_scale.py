@@ -2,11 +2,12 @@
 
 import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from terrasheaf.functions import lines as L
-from terrasheaf.operators import graph as G, match as M, spatial as X
+from terrasheaf.operators import graph as G, match as M, quality as Q, spatial as X
 from terrasheaf.plans import graph as PG, match as PM
 from terrasheaf.plans.registry import Tables
 
@@ -140,3 +141,37 @@ def test_options_of_the_second_hop_are_chosen_before_they_move(spark, monkeypatc
     monkeypatch.setattr(G, "stage", lambda df, label: moved.append((label, df.count())) or df)
     G.two_hop_recovery(roots, links, options, sources, tiles, scope)
     assert moved == [("first-hop", 2)]
+
+
+def test_pieces_are_flagged_where_their_shape_is(spark):
+    r = random.Random(2)
+    rows = []
+    for i in range(300):
+        x, y = 12 + r.uniform(-0.02, 0.05), 46 + r.uniform(-0.02, 0.05)
+        rows.append((i, i // 3, [(y, x), (y + r.uniform(-0.02, 0.02), x + r.uniform(-0.02, 0.02)), (y + r.uniform(-0.02, 0.02), x)]))
+    rows.append((None, None, [(None, None), (None, None)]))
+    shapes = spark.createDataFrame(rows, "graph_id long, g long, shape array<struct<lat:double,lon:double>>")
+    ring = [(12.0, 46.0), (12.0301, 46.0007), (12.0317, 46.0313), (12.0103, 46.0201), (12.0003, 46.0307), (12.0, 46.0)]
+    outline = [("r", 0, False, *a, *b) for a, b in zip(ring, ring[1:])]
+    segments = spark.createDataFrame(outline, "region_id string, ring_no int, is_hole boolean, ax double, ay double, ex double, ey double")
+    want = {row["graph_id"]: row["outside_m"] for row in X.metres_outside(shapes, segments).collect()}
+    out = X.metres_outside(shapes, segments, laid_by="g")
+    got = {row["graph_id"]: row["outside_m"] for row in out.collect()}
+    assert out.columns == ["graph_id", "outside_m"] and got.keys() == want.keys() and any(want.values())
+    for k, metres in want.items():
+        assert got[k] == metres or math.isclose(got[k], metres, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_repeated_options_are_counted_where_they_meet_their_references(spark):
+    cat = spark.createDataFrame([(1, 10, 46.0, 12.0, 1, "x")], "source_id long, end_node long, x_lat double, x_lon double, modes long, correlation string")
+    kind = "source_id long, option_id long, modes long, relation string, evidence string"
+    options = spark.createDataFrame([(1, 5, 1, "r", "e"), (1, 5, 1, "r", "e"), (1, 6, 1, "r", "e")], kind)
+    refs = spark.createDataFrame([(1, 5, 1, "r", "e"), (1, 6, 1, "r", "e")], kind)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = Q.audit_catalog(cat, cat, options, refs, spark.createDataFrame([], "source_id long, receiver_id long"), cat.select("source_id"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"hashpartitioning\(source_id#\w+, option_id#", plan)) == 2  # options and references, once each
+        assert [tuple(r) for r in out.collect()] == [("1", "option_repeated")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
